@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.llm import encode_corpus, mixture, neighbours, shared_spans, split_items, standing_lines, token_budget
+from inkwell.llm import encode_corpus, mixture, neighbours, residue, shared_spans, split_items, standing_lines, token_budget
 from inkwell.session import table
 
 
@@ -57,8 +57,20 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix_report(mixture.mix(table(spark, d, "documents"), targets), targets)
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.classify(table(spark, d, "documents"), True)
+
+
+def p8_clean(spark: SparkSession, d: str) -> DataFrame:
+    return residue.classify(table(spark, d, "documents"), False, keep=("source", "title", "text"))
+
+
+def p8_validation(spark: SparkSession, d: str) -> DataFrame:
+    return residue.validation(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_shares, p3_found, p3_clean, p4_budget, p5_found, p6_ids, p7_mix, p7_shares)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_shares, p3_found, p3_clean, p4_budget, p5_found, p6_ids, p7_mix, p7_shares, p8_found, p8_clean, p8_validation)}
 
 
 def oracle_sql() -> dict[str, str]:
