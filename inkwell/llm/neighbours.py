@@ -272,7 +272,8 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
                 yield pa.RecordBatch.from_arrays([pa.array(k1[lo:hi]), pa.array(k2[lo:hi]), pa.array(found, pa.list_(pa.string()))], names=["k1", "k2", "best"])
 
     best = spark.range(0, len(units), 1, tasks).mapInArrow(search, "k1 BIGINT, k2 BIGINT, best ARRAY<STRING>")
-    own = members.select("id", "k1", "k2").join(best, ["k1", "k2"])
+    # the planner takes the result of a range for small, whatever it grows to: no broadcast
+    own = members.select("id", "k1", "k2").join(best.hint("merge"), ["k1", "k2"])
     others = F.slice(F.filter("best", lambda x: x != F.col("id")), 1, k)
     return own.select(F.col("id").alias(id_col), F.posexplode(others).alias("rank", "neighbour")).select(id_col, (F.col("rank") + 1).alias("rank"), "neighbour")
 
