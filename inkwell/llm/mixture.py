@@ -152,7 +152,8 @@ def mix(docs: DataFrame, mix_targets: DataFrame, total_tokens: float | None = No
     if len(targets) < len(listed):
         raise ValueError("a source is listed twice")
     names = spark.createDataFrame([(s,) for s in targets], "source STRING")
-    mine = docs.join(names, "source", "left_semi") if targets else docs.where("false")
+    # at most MAX_SOURCES names: texts stay where they are read, however large a source is
+    mine = docs.join(F.broadcast(names), "source", "left_semi") if targets else docs.where("false")
     counted = cut(count_tokens(mine, id_col, text_col, tokenizer, folder).where("tokens > 0"))
     sizes = {r[0]: (int(r[1]), int(r[2])) for r in counted.groupBy("source").agg(F.sum("tokens"), F.count(F.lit(1))).collect()}
     sums = {s: n for s, (n, _) in sizes.items()}
