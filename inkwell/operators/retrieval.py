@@ -30,7 +30,7 @@ def search(index: DataFrame, queries: DataFrame, top_n: int = TOP_N, where: Colu
     if q.limit(BLOCK + 1).count() > BLOCK:
         raise ValueError(f"more than {BLOCK} queries; search in blocks")
     rows = index if where is None else index.where(where)
-    d = rows.select("chunk_id", "embedding").join(F.broadcast(q), F.lit(True)).select("query_id", "chunk_id", F.round(1 - cosine(F.col("embedding"), F.col("qv")), 9).alias("distance")).where("distance IS NOT NULL")
+    d = rows.select("chunk_id", "embedding").join(F.broadcast(q), F.lit(True)).select("query_id", "chunk_id", (F.round(1 - cosine(F.col("embedding"), F.col("qv")), 9) + F.lit(0.0)).alias("distance")).where("distance IS NOT NULL")
     best = d.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "chunk_id")))
     return best.where(F.col("rank") <= top_n).select("query_id", "rank", "chunk_id", "distance")
 

@@ -40,7 +40,7 @@ def classify(blocks: DataFrame, profile: Profile, keys: tuple[str, ...] = ISSUE)
 
 def dominant_font(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """(keys, font, size) of spans (keys, pos, text, font, size): the font with the most characters, the size of the first span."""
-    w = spans.groupBy(*keys, "font").agg(F.sum(F.length("text")).alias("n"), F.min("pos").alias("pos"), F.min_by("size", "pos").alias("size"))
+    w = spans.groupBy(*keys, "font").agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n"), F.min("pos").alias("pos"), F.min_by("size", "pos").alias("size"))
     return w.groupBy(*keys).agg(F.max_by("font", F.struct("n", -F.col("pos"))).alias("font"), F.min_by("size", "pos").alias("size"))
 
 
