@@ -36,7 +36,8 @@ def line_key(variant: Column) -> Column:
     Upper case goes first, so that a letter without a capital of its own (as sharp s) is the same as
     what it is printed as in capitals.
     """
-    return F.regexp_replace(F.lower(F.upper(variant)), "[0-9]+", "0")
+    # the numbers are replaced in between, as lower(upper(x)) would be simplified to lower(x)
+    return F.lower(F.regexp_replace(F.upper(variant), "[0-9]+", "0"))
 
 
 def _wide(text: Column) -> list[Column]:
