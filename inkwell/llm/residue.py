@@ -28,6 +28,8 @@ SAMPLE_DOCS = 10_000
 #: One in so many unlabelled segments of these is a negative example, and every one of up to three words.
 NEGATIVES = 5
 BITS = 19
+#: Log-odds over which a segment is residue; both classes have equal weight in training, where residue is rare.
+THRESHOLD = 1.5
 
 _QUOTED = re.compile(r"„[^“”\n]{0,240}[“”]|«[^»\n]{0,240}»|“[^”\n]{0,240}”|`[^`\n]{0,240}`|\"[^\"\n]{0,240}\"")
 _CODE = re.compile(
@@ -216,7 +218,7 @@ def _words_of(ts: list[str], span: np.ndarray) -> str:
 class Model:
     weights: np.ndarray
     bias: float
-    threshold: float = 0.0
+    threshold: float = THRESHOLD
 
     def scores(self, s: Segments) -> np.ndarray:
         return np.bincount(s.of, self.weights[s.features], minlength=len(s.doc)) + self.bias
