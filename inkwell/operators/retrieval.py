@@ -49,8 +49,8 @@ def caption_spans(captions: DataFrame, body: DataFrame, window: int = WINDOW) ->
     captions and body share article_id; pages overlap within an article, so the join is by its key.
     """
     keys = [c for c in captions.columns]
-    b = body.select(F.col("article_id"), F.col("chunk_index").alias("b_index"), F.col("page_start").alias("b_start"), F.col("page_end").alias("b_end"))
-    near = captions.join(b, (captions["article_id"] == b["article_id"]) & (b["b_start"] <= captions["page_end"]) & (b["b_end"] >= captions["page_start"]), "left").drop(b["article_id"])
+    b = body.select(F.col("article_id").alias("b_article"), F.col("chunk_index").alias("b_index"), F.col("page_start").alias("b_start"), F.col("page_end").alias("b_end"))
+    near = captions.join(b, (F.col("article_id") == F.col("b_article")) & (F.col("b_start") <= F.col("page_end")) & (F.col("b_end") >= F.col("page_start")), "left")
     on = F.sort_array(F.collect_list("b_index"))
     g = near.groupBy(*keys).agg(on.alias("on"))
     mid = F.get("on", F.floor(F.size("on") / 2).cast("int"))

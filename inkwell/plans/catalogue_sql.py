@@ -76,7 +76,7 @@ CTE = {
             GROUP BY ALL) WHERE n > 0) GROUP BY ALL""",
     "lab": f"""SELECT journal, year, issue, page, arg_min(label, block_id) AS label FROM (
         SELECT journal, year, issue, page, block_id, list_filter({words('text')}, lambda w: NOT contains(w, '/') AND regexp_matches(w, '^([0-9]{{1,4}}|[IVXLCDMivxlcdm]{{1,10}})$'))[1] AS label
-        FROM b WHERE font_size < 10 AND y0 >= 0 AND len({words('text')}) <= 2) WHERE label IS NOT NULL GROUP BY ALL""",
+        FROM b WHERE font_size < 10 AND y0 >= 0 AND len({words('text')}) <= 1) WHERE label IS NOT NULL GROUP BY ALL""",
     "rv": roman_values(),
     "runs": """SELECT journal, year, issue, run, any_value(scheme) AS scheme, any_value(page - value) AS "offset", min(value) AS value_min, max(value) AS value_max FROM (
         SELECT *, sum(new) OVER (PARTITION BY journal, year, issue ORDER BY page) AS run FROM (
@@ -138,7 +138,7 @@ COS = "list_dot_product(a.e, q.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(lis
 TOPK = f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM (
     SELECT q.vec_id AS query_id, CAST(a.vec_id AS VARCHAR) AS chunk_id, round(1 - {COS}, 9) + 0.0 AS distance FROM es a CROSS JOIN (SELECT * FROM es WHERE vec_id %% 100 = 0) q WHERE true %s)) WHERE rank <= %d"""
 PAGES = "CASE WHEN page_start = page_end THEN 'PDF p. ' || page_start ELSE 'PDF pp. ' || page_start || '-' || page_end END"
-JUNK = f"(coalesce(font_size < 10 AND height > 0 AND (y0 >= 0 OR y1 <= 0.08 * height) AND len({words('text')}) <= 2, false) OR coalesce(regexp_matches(text, '^{WS}*\\p{{Nd}}+{WS}*$') AND x1 - x0 < 15 AND y1 - y0 < 15, false))"
+JUNK = f"(coalesce(font_size < 10 AND height > 0 AND (y0 >= 0 OR y1 <= 0.08 * height) AND len({words('text')}) <= 1, false) OR coalesce(regexp_matches(text, '^{WS}*\\p{{Nd}}+{WS}*$') AND x1 - x0 < 15 AND y1 - y0 < 15, false))"
 AUTHOR = "coalesce(nullif(author, ''), 'unknown')"
 LAB_TITLE = "concat_ws('-', nullif(journal, ''), nullif(year, ''), nullif(issue, ''))"
 
@@ -166,7 +166,7 @@ SQL: dict[str, str] = {
     "numbered_pages": _with("b") + f"""SELECT *, CASE WHEN with_number >= 0.4 * pages THEN 'position' ELSE 'keyword' END AS advice FROM (SELECT journal, count(*) AS pages, count(*) FILTER (bare) AS with_number FROM (
         SELECT journal, year, issue, page, bool_or(coalesce(regexp_matches(text, '^{WS}*[0-9]{{1,4}}{WS}*$'), false)) AS bare FROM b GROUP BY ALL) GROUP BY journal)""",
     "suggested_rules": _with("stats") + "SELECT journal, year, issue, body_family AS family, body_size AS body, round(body_size * 1.7, 1) AS title_from, round(body_size * 1.18, 1) AS heading_from, round(body_size * 1.05, 1) AS subheading_from, round(body_size * 3.0, 1) AS cover_from FROM stats",
-    "junk_blocks": _with("b") + f"""SELECT journal, count(*) FILTER (coalesce(font_size < 10 AND (y0 >= 0 OR y1 <= 80) AND len({words('text')}) <= 2, false)
+    "junk_blocks": _with("b") + f"""SELECT journal, count(*) FILTER (coalesce(font_size < 10 AND (y0 >= 0 OR y1 <= 80) AND len({words('text')}) <= 1, false)
         OR coalesce(regexp_matches(text, '^{WS}*\\p{{Nd}}+{WS}*$') AND x1 - x0 < 15 AND y1 - y0 < 15, false)) AS n_junk, count(*) AS n FROM b GROUP BY journal""",
     "page_labels": _with("lab") + "SELECT journal, year, issue, page, upper(label) AS label FROM lab",
     "page_labels_keyword": _with("b") + f"""SELECT journal, year, issue, page, arg_min(label, block_id) AS label FROM (SELECT journal, year, issue, page, block_id, upper(list_filter({words('text')}, lambda w: NOT contains(w, '/') AND regexp_matches(w, '^([0-9]{{1,4}}|[IVXLCDMivxlcdm]{{1,10}})$'))[1]) AS label
