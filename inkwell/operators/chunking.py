@@ -14,6 +14,12 @@ TARGET = 1200
 OVERLAP = 150
 LEAST = 200
 
+
+def let(value: Column, use) -> Column:
+    """use(value), the value being computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 _PART = "struct<page:int,text:string>"
 
 
@@ -73,13 +79,12 @@ def pack(paragraphs: Column, target: int = TARGET, overlap: int = OVERLAP, least
     def add(acc: Column, p: Column) -> Column:
         n = F.length(p["text"])
         full = (F.size(acc["cur"]) > 0) & (acc["len"] + n + 2 > target)
-        rest = tail(acc["cur"])
-        closed = F.struct(F.array_append(acc["done"], acc["cur"]).alias("done"), F.array_append(rest["kept"], p).alias("cur"), (rest["len"] + n + 2).alias("len"))
+        closed = let(tail(acc["cur"]), lambda rest: F.struct(F.array_append(acc["done"], acc["cur"]).alias("done"), F.array_append(rest["kept"], p).alias("cur"), (rest["len"] + n + 2).alias("len")))
         return F.when(full, closed).otherwise(F.struct(acc["done"].alias("done"), F.array_append(acc["cur"], p).alias("cur"), (acc["len"] + n + 2).alias("len")))
 
     groups = F.aggregate(parts, start, add, lambda acc: F.when(F.size(acc["cur"]) > 0, F.array_append(acc["done"], acc["cur"])).otherwise(acc["done"]))
     chunks = F.transform(groups, lambda g: F.struct(F.array_min(g["page"]).alias("page_start"), F.array_max(g["page"]).alias("page_end"), F.array_join(g["text"], "\n\n").alias("text")))
-    return _with_tail(chunks, least)
+    return let(chunks, lambda c: _with_tail(c, least))
 
 
 def _with_tail(chunks: Column, least: int) -> Column:

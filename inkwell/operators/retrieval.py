@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.templates import fill, or_label
 from inkwell.functions.text import estimated_tokens
-from inkwell.functions.vectors import cosine
 from inkwell.plans.profile import Profile
 
 #: Hits of a question, chunks on either side of a hit, hits that promote an article.
@@ -23,16 +26,53 @@ def search(index: DataFrame, queries: DataFrame, top_n: int = TOP_N, where: Colu
 
     index has chunk_id, embedding and what `where` asks for, which is applied before the ranking;
     queries has query_id, embedding and must be at most BLOCK rows. Distances are rounded to 9 decimals,
-    equal ones ordered by chunk_id; vectors without length have none. Each task ranks its own part
-    before anything is shuffled, so that a query costs top_n rows a task.
+    equal ones ordered by chunk_id. Vectors that are null, of another length than the query's, without
+    length, or that hold nulls or NaN have none. The queries are one matrix; a batch of vectors is one
+    product with it, and only its own best rows of each query go on.
     """
-    q = queries.select("query_id", F.col("embedding").alias("qv"))
-    if q.limit(BLOCK + 1).count() > BLOCK:
+    few = queries.select("query_id", "embedding").limit(BLOCK + 1).collect()
+    if len(few) > BLOCK:
         raise ValueError(f"more than {BLOCK} queries; search in blocks")
+    kind = queries.schema["query_id"].dataType.simpleString()
+    schema = "q INT, chunk_id STRING, distance DOUBLE"
+    by_dim: dict[int, tuple[list[int], np.ndarray]] = {}
+    for i, r in enumerate(few):
+        v = np.array([np.nan if x is None else x for x in r.embedding or []], dtype=np.float64)
+        n = np.sqrt((v * v).sum()) if len(v) else 0.0
+        if n > 0:
+            rows, m = by_dim.get(len(v), ([], np.zeros((0, len(v)))))
+            by_dim[len(v)] = ([*rows, i], np.vstack([m, v / n]))
     rows = index if where is None else index.where(where)
-    d = rows.select("chunk_id", "embedding").join(F.broadcast(q), F.lit(True)).select("query_id", "chunk_id", (F.round(1 - cosine(F.col("embedding"), F.col("qv")), 9) + F.lit(0.0)).alias("distance")).where("distance IS NOT NULL")
-    best = d.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "chunk_id")))
-    return best.where(F.col("rank") <= top_n).select("query_id", "rank", "chunk_id", "distance")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(1)
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat = lists.values.to_numpy(zero_copy_only=False).astype(np.float64)
+            begin = lists.offsets.to_numpy()[:-1]
+            names = np.array(b.column(0).to_pylist(), dtype=object)
+            for dim, (number, q) in by_dim.items():
+                at = np.nonzero((sizes == dim) & np.asarray(lists.is_valid()))[0]
+                m = flat[begin[at][:, None] + np.arange(dim)[None]]
+                length = np.sqrt((m * m).sum(1))
+                ok = length > 0
+                m, ids = m[ok] / length[ok, None], names[at[ok]]
+                if not len(m):
+                    continue
+                distance = np.round(1 - q @ m.T, 9) + 0.0
+                k = min(top_n, len(m))
+                least = np.partition(distance, k - 1, axis=1)[:, k - 1]
+                qi, vi = np.nonzero(distance <= least[:, None])
+                order = np.lexsort((ids[vi].astype(str), distance[qi, vi], qi))
+                qi, vi = qi[order], vi[order]
+                place = np.arange(len(qi)) - np.searchsorted(qi, qi)
+                qi, vi = qi[place < k], vi[place < k]
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(number)[qi].astype(np.int32)), pa.array(ids[vi], pa.string()), pa.array(distance[qi, vi])], names=["q", "chunk_id", "distance"])
+
+    best = rows.select(F.col("chunk_id").cast("string"), F.col("embedding").cast("array<double>")).mapInArrow(run, schema)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("distance", "chunk_id"))).where(F.col("rank") <= top_n)
+    ids = index.sparkSession.createDataFrame([(i, r.query_id) for i, r in enumerate(few)], f"q INT, query_id {kind}")
+    return best.join(F.broadcast(ids), "q").select("query_id", "rank", "chunk_id", "distance")
 
 
 def merged_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
