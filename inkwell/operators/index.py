@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.vectors import hash_embedding, prefixed
@@ -42,6 +42,12 @@ def misaligned(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
     return a.join(b, "chunk_id", "left_anti").withColumn("side", F.lit("chunks")).unionByName(b.join(a, "chunk_id", "left_anti").withColumn("side", F.lit("vectors")))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to the end at path, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 #: model -> (dimension, function of a list of texts to an array of vectors of length 1), made once a worker.
 EMBEDDERS: dict[str, tuple[int, Callable[[], Callable[[list[str]], np.ndarray]]]] = {}
 

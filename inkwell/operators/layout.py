@@ -32,6 +32,29 @@ def style_groups(lines: Column, tolerance: float = SIZE_TOLERANCE) -> Column:
     return F.aggregate(lines, start, add, lambda acc: acc["groups"])
 
 
+def frames_of_spans(spans: DataFrame, keys: tuple[str, ...] = (*ISSUE, "page")) -> DataFrame:
+    """Frames for merged_frames of spans (SPANS): the lines of a raw block, cut where the type size jumps.
+
+    A line's text is its spans' texts without a separator, its size that of its first span; x0 to y1 of a
+    span are those of its line. A picture is a frame without text.
+    """
+    fonts = F.collect_list(F.struct("pos", "font", F.coalesce(F.length("text"), F.lit(0)).alias("n")))
+    lines = spans.groupBy(*keys, "raw_block", "kind", "line").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("text", F.lit("")).alias("text")))), lambda s: s["text"]), "").alias("text"), F.min_by("size", "pos").alias("size"),
+        F.sort_array(fonts).alias("fonts"), F.min("pos").alias("pos"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    one = F.sort_array(F.collect_list(F.struct("pos", "text", "size", "fonts", "x0", "y0", "x1", "y1")))
+    blocks = lines.groupBy(*keys, "raw_block", "kind").agg(F.min("pos").alias("first"), one.alias("lines"))
+    groups = style_groups(F.transform("lines", lambda x: F.struct(x["text"].alias("text"), x["size"].alias("size"))))
+    each = blocks.withColumn("g", groups).select(*keys, "raw_block", "kind", "first", F.posexplode(F.arrays_zip("lines", "g")).alias("i", "z"))
+    each = each.where("kind = 'image' OR z.g IS NOT NULL").select(*keys, "raw_block", "kind", "first", F.coalesce("z.g", F.lit(0)).alias("g"), "i", "z.lines.*")
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("i", "text"))), lambda x: x["text"])
+    names = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "fonts"))), lambda x: x["fonts"]))
+    f = each.groupBy(*keys, "raw_block", "kind", "first", "g").agg(glue(parts).alias("text"), names.alias("fonts"), F.min_by("size", "i").alias("size"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+    distinct = F.array_distinct(F.transform("fonts", lambda y: y["font"]))
+    sums = F.transform(distinct, lambda name, i: F.struct(F.aggregate(F.filter("fonts", lambda y: y["font"].eqNullSafe(name)), F.lit(0), lambda s, y: s + y["n"]).alias("n"), (-i).alias("i"), name.alias("font")))
+    return f.select(*keys, F.struct("first", "g").alias("pos"), F.when(F.col("kind") == "text", F.col("text")).alias("text"), F.array_max(sums)["font"].alias("font"), "size", "x0", "y0", "x1", "y1")
+
+
 _ENTRY = "struct<kind:string,text:string,size:double,fonts:array<struct<font:string,n:int>>,x0:double,y0:double,x1:double,y1:double>"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,17 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("jour
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """df in place of the table at path, which df may read: written beside it whole, then moved."""
+    new = f"{path}.new"
+    df.write.mode("overwrite").parquet(new)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    a, b = hadoop.Path(new), hadoop.Path(path)
+    fs = b.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(b, True)
+    fs.rename(a, b)
+
+
 def export_json(df: DataFrame, path: str) -> None:
     """One JSON array in one local file, streamed row by row through the driver; for exchange, not for scale."""
     with open(path, "w", encoding="utf-8") as f:
@@ -84,11 +96,15 @@ def pymupdf_spans(content: bytes) -> Iterator[dict]:
     with fitz.open(stream=content, filetype="pdf") as doc:
         for page_no, page in enumerate(doc, 1):
             pos = 0
-            for block in page.get_text("dict")["blocks"]:
-                for line in block.get("lines", ()):
+            for raw_block, block in enumerate(page.get_text("dict")["blocks"]):
+                key = {"page": page_no, "raw_block": raw_block}
+                if block["type"] != 0:
+                    yield key | dict(zip(("x0", "y0", "x1", "y1"), block["bbox"])) | {"kind": "image", "pos": pos}
+                    pos += 1
+                for line_no, line in enumerate(block.get("lines", ())):
+                    box = dict(zip(("x0", "y0", "x1", "y1"), line["bbox"]))
                     for span in line["spans"]:
-                        x0, y0, x1, y1 = span["bbox"]
-                        yield {"page": page_no, "pos": pos, "text": span["text"], "font": span["font"], "size": span["size"], "color": span["color"], "x0": x0, "y0": y0, "x1": x1, "y1": y1}
+                        yield key | box | {"kind": "text", "line": line_no, "pos": pos, "text": span["text"], "font": span["font"], "size": span["size"], "color": span["color"]}
                         pos += 1
 
 
@@ -97,17 +113,19 @@ def read_spans(issues: DataFrame, journal: str, parse: Callable[[bytes], Iterato
     spark = issues.sparkSession
     paths = spark.read.format("binaryFile").load([r.path for r in issues.select("path").collect()]).select("path", "content").join(issues, "path")
     schema = schemas.SPANS + ", path STRING, error STRING"
-    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = {"STRING": pa.string(), "INT": pa.int32(), "DOUBLE": pa.float64()}
+    fields = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_dict("records"):
+            for r in b.to_pylist():
                 key = {"journal": journal, "year": r["year"], "issue": r["issue"], "path": r["path"]}
                 try:
-                    rows = [key | s | {"error": None} for s in parse(bytes(r["content"]))]
+                    rows = [key | s for s in parse(r["content"])]
                 except Exception as e:  # whatever a parser meets in a file
                     rows = [key | {"error": f"{type(e).__name__}: {e}"}]
-                yield pd.DataFrame(rows, columns=names)
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=fields)
 
-    all_rows = paths.mapInPandas(run, schema)
+    all_rows = paths.mapInArrow(run, schema)
     return all_rows.where("error IS NULL").drop("path", "error"), all_rows.where("error IS NOT NULL").select("path", "error")

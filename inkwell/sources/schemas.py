@@ -1,7 +1,8 @@
 """Schemas of what is read and written, never inferred."""
 
 PARAGRAPHS = "ARRAY<STRUCT<page: INT, text: STRING>>"
-SPANS = "journal STRING, year STRING, issue STRING, page INT, pos INT, text STRING, font STRING, size DOUBLE, color INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE"
+#: One row per span; a picture is a row of its raw_block with kind 'image' and no text. raw_block counts within a page.
+SPANS = "journal STRING, year STRING, issue STRING, page INT, raw_block INT, kind STRING, line INT, pos INT, text STRING, font STRING, size DOUBLE, color INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE"
 BLOCKS = "journal STRING, year STRING, issue STRING, page INT, block_id INT, type STRING, text STRING, font STRING, font_size DOUBLE, bbox ARRAY<DOUBLE>"
 TOC = "journal STRING, year STRING, issue STRING, toc_pos INT, printed_page STRING, title STRING, author STRING"
 ARTICLES = (
