@@ -103,13 +103,12 @@ def without_standing_lines(blocks: DataFrame, source: str = "journal", page_key:
     only becomes empty. Of rows with one key the latest is taken (rows delivered twice are equal).
     """
     keys = [source, *page_key, "block_id"]
-    gone = standing_places(blocks, source, page_key, min_pages, min_share).groupBy(*keys).agg(F.collect_set("line_no").alias("gone"))
-    latest = blocks.groupBy(*keys).agg(F.max_by("text", F.struct(version, "text")).alias("text"))
-    a, b = latest.alias("a"), gone.alias("b")
-    on = None
-    for k in keys:
-        same = F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-        on = same if on is None else on & same
-    kept = F.filter(lines_of(F.col("a.text")), lambda line, i: ~F.array_contains(F.col("b.gone"), i))
-    text = F.when(F.col("b.gone").isNull(), F.col("a.text")).otherwise(F.array_join(kept, "\n"))
-    return a.join(b, on, "left").select(*[F.col(f"a.{k}") for k in keys], text.alias("text"), F.coalesce(F.size("b.gone"), F.lit(0)).alias("n_removed"))
+    places = standing_places(blocks, source, page_key, min_pages, min_share)
+    state = F.struct(F.col(version), F.col("text"))
+    rows = blocks.select(*keys, state.alias("state"), F.lit(None).cast("int").alias("gone"))
+    # blocks and places meet in one aggregation by the block's key, so a text is moved once
+    both = rows.unionByName(places.select(*keys, F.lit(None).cast(rows.schema["state"].dataType).alias("state"), F.col("line_no").alias("gone")))
+    one = both.groupBy(*keys).agg(F.max("state").alias("state"), F.collect_set("gone").alias("gone"))
+    kept = F.filter(lines_of(F.col("state.text")), lambda line, i: ~F.array_contains(F.col("gone"), i))
+    text = F.when(F.size("gone") == 0, F.col("state.text")).otherwise(F.array_join(kept, "\n"))
+    return one.select(*keys, text.alias("text"), F.size("gone").alias("n_removed"))
