@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,15 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, as a URI that every process can open; removed when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.deleteOnExit(path)
+    uri = fs.makeQualified(path).toUri().toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written once to the shared folder: lineage ends there and lost executors cost nothing."""
     shared_dir(df.sparkSession)
