@@ -14,7 +14,6 @@ Equal vectors are one entry with its least ids, so that a vector of a third of a
 from __future__ import annotations
 
 import heapq
-import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkwell.session import cut, shared_dir
+from inkwell.session import cut, scratch_table
 
 DIM = 64
 #: Vectors that the codebooks are trained on, at most about so many; all vectors are indexed.
@@ -238,9 +237,7 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(held, kinds)], names=["a", "b", "k1", "k2", "vec", "ids"])
 
-    uri = f"{shared_dir(spark)}/multi-index-{uuid.uuid4().hex}"
-    if "://" not in uri:
-        uri = (uri if uri.startswith("file:") else f"file://{uri}").replace("file:/", "file:///", 1) if uri.startswith("file:/") else f"file://{uri}"
+    uri = scratch_table(spark, "multi-index")
     sorted_parts.mapInArrow(unite, fields).write.option("compression", "uncompressed").partitionBy("a").parquet(uri)
     counted = spark.read.parquet(uri).groupBy("a", "b").count().collect()
     counts = [[0] * len(books[1]) for _ in books[0]]
