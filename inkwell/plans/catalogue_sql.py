@@ -213,7 +213,7 @@ SQL: dict[str, str] = {
         FROM (SELECT * FROM c WHERE chunk_type = 'caption') k LEFT JOIN (SELECT * FROM c WHERE chunk_type = 'body') o ON o.article_id = k.article_id AND o.page_start <= k.page_end AND o.page_end >= k.page_start GROUP BY k.chunk_id)""",
     "citations": _with("c") + f"SELECT chunk_id, coalesce(title, '') || ' (' || journal_name || ' ' || coalesce(year, '') || '/' || coalesce(issue, '') || ', ' || {PAGES} || '), authors: ' || {AUTHOR} AS citation FROM c JOIN journals USING (journal)",
     "quality_flag_counts": _with("a") + "SELECT flag, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM a), 4) AS percent FROM (SELECT unnest(quality_flags) AS flag FROM a) GROUP BY flag",
-    "flags_by_issue": _with("a") + f"SELECT issue_label, flag, count(*) AS n FROM (SELECT {LAB_TITLE} AS issue_label, unnest(quality_flags) AS flag FROM a) GROUP BY CUBE (issue_label, flag)",
+    "flags_by_issue": _with("a") + f"SELECT issue_label, flag, count(*) AS n FROM (SELECT {LAB_TITLE} AS issue_label, unnest(quality_flags) AS flag FROM a) GROUP BY CUBE (issue_label, flag) HAVING count(*) > 0",
     "flagged_unique_titles": _with("a") + "SELECT title, article_id, array_to_string(quality_flags, ',') AS flags, length(full_text) AS n_chars FROM (SELECT *, count(*) OVER (PARTITION BY title) AS n FROM a WHERE len(quality_flags) > 0) WHERE n = 1",
     "issue_health": _with("a") + f"SELECT {LAB_TITLE} AS issue_label, count(*) AS articles, count(*) FILTER (len(quality_flags) > 0) AS flagged, count(*) FILTER (full_text IS NULL OR NOT regexp_matches(full_text, '{NWS}')) AS empty FROM a GROUP BY 1",
     "length_histogram": _with("c") + "SELECT chunk_type, CAST(least(length(text) // 200 * 200, 3000) AS INTEGER) AS bucket, count(*) AS n FROM c WHERE text IS NOT NULL GROUP BY ALL",
