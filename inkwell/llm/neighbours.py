@@ -31,6 +31,8 @@ SAMPLE = 16_384
 CANDIDATES = 1_500
 _TOGETHER = 96
 _CACHE_BYTES = 160 << 20
+#: Row groups of about 1,500 vectors, so that a cell can be read without its neighbours.
+_WRITE = {"compression": "uncompressed", "parquet.block.size": 512 << 10, "parquet.enable.dictionary": "false"}
 
 
 def is_valid(vector: Column, dim: int = DIM) -> Column:
@@ -94,66 +96,97 @@ def visit(near: list[float], far: list[float], first: list[int], second: list[in
     return found
 
 
-class Shards:
-    """The index's directories in a worker's memory, up to a number of bytes."""
+class Cells:
+    """The index's cells in a worker: row groups of its directories, the last used ones up to a number of bytes.
+
+    A directory's files are sorted by the second centroid and cut into small row groups, of which only
+    those that hold an asked cell are read. Codebooks are in an order of nearness, so cells that are
+    visited together lie together.
+    """
 
     def __init__(self, uri: str, keep: int = _CACHE_BYTES):
         from pyarrow import fs
 
         self.fs, self.root = fs.FileSystem.from_uri(uri)
         self.keep = keep
-        self.held: OrderedDict[int, tuple] = OrderedDict()
+        self.files: dict[int, list[tuple]] = {}
+        self.held: OrderedDict[tuple, tuple] = OrderedDict()
         self.bytes = 0
 
-    def get(self, i: int) -> tuple:
-        """(begins of the second centroids, double vectors, single vectors, ids, keys) sorted by second centroid."""
-        if i in self.held:
-            self.held.move_to_end(i)
-            return self.held[i]
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        files = sorted(f.path for f in self.fs.get_file_info(fs.FileSelector(f"{self.root}/a={i}")) if f.path.endswith(".parquet"))
-        t = pa.concat_tables([pq.ParquetFile(self.fs.open_input_file(f)).read() for f in files]).sort_by([("b", "ascending"), ("k1", "ascending"), ("k2", "ascending")])
+    def _groups(self, a: int) -> list[tuple]:
+        """(file, its reader, row group, least and greatest second centroid) of a directory."""
+        if a not in self.files:
+            import pyarrow.parquet as pq
+            from pyarrow import fs
+
+            found = []
+            if len(self.files) > 600:
+                self.files.clear()
+            for path in sorted(f.path for f in self.fs.get_file_info(fs.FileSelector(f"{self.root}/a={a}")) if f.path.endswith(".parquet")):
+                reader = pq.ParquetFile(self.fs.open_input_file(path))
+                at = reader.schema_arrow.get_field_index("b")
+                for g in range(reader.num_row_groups):
+                    stats = reader.metadata.row_group(g).column(at).statistics
+                    found.append((path, reader, g, stats.min, stats.max))
+            self.files[a] = found
+        return self.files[a]
+
+    def _load(self, path: str, reader, group: int) -> tuple:
+        """(second centroids, vectors, 1 / their lengths, ids, keys)."""
+        key = (path, group)
+        if key in self.held:
+            self.held.move_to_end(key)
+            return self.held[key]
+        t = reader.read_row_group(group)
         raw = np.frombuffer(b"".join(t["vec"].to_pylist()), dtype=np.float32).reshape(len(t), -1)
-        wide, single = unit(raw)
-        one = (t["b"].to_numpy(), wide, single, t["ids"].combine_chunks(), t["k1"].to_numpy(), t["k2"].to_numpy())
-        self.held[i] = one
+        inverse = (1 / np.sqrt((raw.astype(np.float64) ** 2).sum(1))).astype(np.float32)
+        one = (t["b"].to_numpy(), raw, inverse, t["ids"].combine_chunks(), t["k1"].to_numpy(), t["k2"].to_numpy())
+        self.held[key] = one
         self.bytes += sum(x.nbytes for x in one)
         while self.bytes > self.keep and len(self.held) > 1:
             _, old = self.held.popitem(last=False)
             self.bytes -= sum(x.nbytes for x in old)
         return one
 
-
-def answer(queries: np.ndarray, wide: np.ndarray, cells: list[tuple[int, int]], shards: Shards, take: int) -> list[list[str]]:
-    """For each query the `take` best ids among the cells' entries: by cosine to 9 decimals, then by id."""
-    parts, where = [], []
-    for a in sorted({c[0] for c in cells}):
-        b, *_ = shards.get(a)
-        for second in sorted(c[1] for c in cells if c[0] == a):
-            lo, hi = np.searchsorted(b, second), np.searchsorted(b, second, "right")
-            parts.append((a, lo, hi))
-            where.append(hi - lo)
-    singles = np.concatenate([shards.get(a)[2][lo:hi] for a, lo, hi in parts])
-    near = queries @ singles.T
+    def get(self, a: int, b: int) -> list[tuple]:
+        """(row group's contents, begin, end) of a cell, in the order of the files."""
+        out = []
+        for path, reader, group, least, most in self._groups(a):
+            if least <= b <= most:
+                one = self._load(path, reader, group)
+                lo, hi = np.searchsorted(one[0], b), np.searchsorted(one[0], b, "right")
+                if lo < hi:
+                    out.append((one, int(lo), int(hi)))
+        return out
+
+
+def near_order(centres: np.ndarray) -> np.ndarray:
+    """Centroids along a chain that goes on to the nearest one not yet taken."""
+    left = list(range(1, len(centres)))
+    chain = [0]
+    while left:
+        gap = ((centres[left] - centres[chain[-1]]) ** 2).sum(1)
+        chain.append(left.pop(int(gap.argmin())))
+    return centres[chain]
+
+
+def answer(queries: np.ndarray, parts: list[tuple], take: int) -> list[list[str]]:
+    """For each query the `take` best ids among the parts' entries: by cosine to 9 decimals, then by id."""
+    wide, single = unit(queries)
+    raw = np.concatenate([g[1][lo:hi] for g, lo, hi in parts])
+    near = single @ raw.T
+    near *= np.concatenate([g[2][lo:hi] for g, lo, hi in parts])[None]
     k = min(take, near.shape[1])
     least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
     rows, cols = np.nonzero(near >= (least - 4e-6)[:, None])
     wanted, inverse = np.unique(cols, return_inverse=True)
-    ends = np.cumsum(where)
-    part = np.searchsorted(ends, wanted, "right")
-    at = wanted - (ends - where)[part] + np.array([p[1] for p in parts])[part]
-    owner = np.array([p[0] for p in parts])[part]
-    exact = np.empty((len(wanted), wide.shape[1]))
-    ids: list[list[str]] = [[]] * len(wanted)
-    for a in np.unique(owner):
-        of = np.nonzero(owner == a)[0]
-        shard = shards.get(int(a))
-        exact[of] = shard[1][at[of]]
-        for x, names in zip(of, shard[3].take(pa.array(at[of])).to_pylist()):
-            ids[x] = names
-    cosine = np.round(np.einsum("ij,ij->i", wide[rows], exact[inverse]), 9)
+    ends = np.cumsum([hi - lo for _, lo, hi in parts])
+    of = np.searchsorted(ends, wanted, "right")
+    ids: list[list[str]] = []
+    for p in np.unique(of):
+        g, lo, hi = parts[p]
+        ids += g[3].take(pa.array(wanted[of == p] - (ends[p] - (hi - lo)) + lo)).to_pylist()
+    cosine = np.round(np.einsum("ij,ij->i", wide[rows], unit(raw[wanted])[0][inverse]), 9)
     begin = np.searchsorted(rows, np.arange(len(queries) + 1))
     cos, inv = (-cosine).tolist(), inverse.tolist()
     out = []
@@ -192,7 +225,7 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
     points = unit(drawn["vec"].combine_chunks().flatten().to_numpy().reshape(-1, dim))[1]
     size = centroids or int(min(512, max(4, 2 ** round(np.log2(max(1.0, n / 28)) / 2))))
     half = dim // 2
-    books = [codebook(points[:, :half], size), codebook(points[:, half:], size, seed=6)]
+    books = [near_order(codebook(points[:, :half], size)), near_order(codebook(points[:, half:], size, seed=6))]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,35 +271,47 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
             yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(held, kinds)], names=["a", "b", "k1", "k2", "vec", "ids"])
 
     uri = scratch_table(spark, "multi-index")
-    sorted_parts.mapInArrow(unite, fields).write.option("compression", "uncompressed").partitionBy("a").parquet(uri)
+    sorted_parts.mapInArrow(unite, fields).write.options(**_WRITE).partitionBy("a").parquet(uri)
     counted = spark.read.parquet(uri).groupBy("a", "b").count().collect()
     counts = [[0] * len(books[1]) for _ in books[0]]
     for a, b, c in counted:
         counts[a][b] = c
     total = sum(map(sum, counts))
     most = max(500, total // 20_000)
-    units = [(a, lo, min(lo + most, s)) for a, s in enumerate(map(sum, counts)) for lo in range(0, s, most)]
+    # slices (a, b, begin, end) of cells, and units of about `most` queries in neighbouring cells
+    slices = [(a, b, lo, min(lo + most, n)) for a, row in enumerate(counts) for b, n in enumerate(row) for lo in range(0, n, most)]
+    units: list[list[tuple]] = []
+    room = 0
+    for x in slices:
+        n = x[3] - x[2]
+        if not units or units[-1][-1][0] != x[0] or room < n:
+            units.append([])
+            room = most
+        units[-1].append(x)
+        room -= n
     tasks = min(len(units), max(spark.sparkContext.defaultParallelism * 3, len(units) // 64))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards = Shards(uri)
+        index = Cells(uri)
         for batch in batches:
             for u in batch.column(0).to_pylist():
-                a, lo, hi = units[u]
-                second, wide, single, _, k1, k2 = shards.get(a)
+                keys: list[np.ndarray] = []
                 found: list[list[str]] = []
-                at = lo
-                while at < hi:
-                    to = min(hi, int(np.searchsorted(second, second[at], "right")), at + _TOGETHER)
-                    q = single[at:to]
-                    d = [distances(q[:, :half], books[0]), distances(q[:, half:], books[1])]
-                    order = [x.argsort(1) for x in d]
-                    near, far = (np.take_along_axis(x, o, 1).tolist() for x, o in zip(d, order))
-                    lists = [o.tolist() for o in order]
-                    cells = {c for x in range(to - at) for c in visit(near[x], far[x], lists[0][x], lists[1][x], counts, candidates)}
-                    found += answer(q, wide[at:to], sorted(cells), shards, k + 1)
-                    at = to
-                yield pa.RecordBatch.from_arrays([pa.array(k1[lo:hi]), pa.array(k2[lo:hi]), pa.array(found, pa.list_(pa.string()))], names=["k1", "k2", "best"])
+                for a, b, lo, hi in units[u]:
+                    own = index.get(a, b)
+                    raw, k1, k2 = (np.concatenate([g[c][x:y] for g, x, y in own])[lo:hi] for c in (1, 4, 5))
+                    keys.append(np.stack([k1, k2]))
+                    for at in range(0, hi - lo, _TOGETHER):
+                        q = raw[at : at + _TOGETHER]
+                        points = unit(q)[1]
+                        d = [distances(points[:, :half], books[0]), distances(points[:, half:], books[1])]
+                        order = [x.argsort(1) for x in d]
+                        near, far = (np.take_along_axis(x, o, 1).tolist() for x, o in zip(d, order))
+                        lists = [o.tolist() for o in order]
+                        cells = {c for x in range(len(q)) for c in visit(near[x], far[x], lists[0][x], lists[1][x], counts, candidates)}
+                        found += answer(q, [p for c in sorted(cells) for p in index.get(*c)], k + 1)
+                k1, k2 = np.concatenate(keys, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(found, pa.list_(pa.string()))], names=["k1", "k2", "best"])
 
     best = spark.range(0, len(units), 1, tasks).mapInArrow(search, "k1 BIGINT, k2 BIGINT, best ARRAY<STRING>")
     # the planner takes the result of a range for small, whatever it grows to: no broadcast
