@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkwell.functions.templates import joined
 from inkwell.functions.text import is_blank
 from inkwell.functions.vectors import cosine
+from inkwell.operators import index, retrieval
 
 
 def flag_counts(articles: DataFrame) -> DataFrame:
@@ -93,3 +94,19 @@ def hash_sample(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
 def most_common(rows: DataFrame, key: str, order: Column, k: int) -> DataFrame:
     """The k most frequent values; of equal ones the first met."""
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("at")).orderBy(F.desc("n"), "at").limit(k).select(key, "n")
+
+
+def compare_models(chunks: DataFrame, questions: DataFrame, models: dict[str, int], k: int = 5) -> DataFrame:
+    """(model, n, found, rate) of each model: chunks and questions embedded, titles searched for among the first k.
+
+    questions: query_id, question, expect (words of the title). models: name and dimension.
+    """
+    every = None
+    for m, dim in models.items():
+        ix = index.embed(chunks.select("chunk_id", "embedding_text"), model=m, dim=dim)
+        q = index.embed(questions.select("query_id", "question"), "question", m, True, dim)
+        one = hit_rate(retrieval.search(ix, q, k), questions.select("query_id", "expect"), chunks, k).select(F.lit(m).alias("model"), "n", "found", "rate")
+        every = one if every is None else every.unionByName(one)
+    if every is None:
+        raise ValueError("no models")
+    return every

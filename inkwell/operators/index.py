@@ -27,10 +27,26 @@ def metadata(chunks: DataFrame) -> DataFrame:
 
 
 def pending(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Chunks that have no vector yet: what a resumed run has left to do."""
+    """Chunks that have no vector yet: what a resumed run has left to do.
+
+    Where vectors hold text_hash (see text_hash), a chunk whose text has changed since is pending too.
+    """
+    if "text_hash" in vectors.columns:
+        c = chunks.withColumn("text_hash", text_hash(F.col("embedding_text")))
+        return c.join(vectors.select("chunk_id", "text_hash").distinct(), ["chunk_id", "text_hash"], "left_anti").select(*chunks.columns)
     return chunks.join(vectors.select("chunk_id").distinct(), "chunk_id", "left_anti")
 
 
+def text_hash(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def truncation_report(embedded: DataFrame, samples: int = 5) -> DataFrame:
+    """(n, n_truncated, ids): how many texts were cut, and some of their ids, the least ones."""
+    few = embedded.where("truncated").orderBy("chunk_id").limit(samples).agg(F.array_sort(F.collect_list("chunk_id")).alias("ids"))
+    return embedded.agg(F.count(F.lit(1)).alias("n"), F.count_if("truncated").alias("n_truncated")).join(F.broadcast(few), F.lit(True))
+
+
 def upserted(old: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
     """old with the rows of new in place of those of the same key; rows that new doesn't name stay."""
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)

@@ -76,3 +76,14 @@ def lone_runs(blocks: DataFrame, profile: Profile) -> DataFrame:
     """(issue, n_runs, n_lone) of issues with suspiciously many runs of one page: over 2 and over a fifth."""
     r = runs(page_labels(blocks, profile)).groupBy(*ISSUE).agg(F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("value_min") == F.col("value_max")).alias("n_lone"))
     return r.where(F.col("n_lone") > F.greatest(F.lit(2.0), F.col("n_runs") * 0.2))
+
+
+def nearby_labels(toc: DataFrame, label_to_page: DataFrame, reach: int = 3) -> DataFrame:
+    """(issue, toc_pos, printed_page, delta, page): which labels up to `reach` away from an entry's lead somewhere.
+
+    For entries whose label is a number; delta 0 is the entry's own label. Entries without any have no row.
+    """
+    v = labels.label_value(labels.canonical_label(F.col("printed_page")))
+    t = toc.select(*ISSUE, "toc_pos", "printed_page", v.alias("v")).where("v IS NOT NULL").withColumn("delta", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
+    t = t.withColumn("label", labels.to_label(F.col("v.scheme"), F.col("v.value") + F.col("delta"))).where(F.col("v.value") + F.col("delta") > 0)
+    return t.join(label_to_page, [*ISSUE, "label"]).select(*ISSUE, "toc_pos", "printed_page", "delta", "page")

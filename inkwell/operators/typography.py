@@ -74,3 +74,16 @@ def suggested_rules(blocks: DataFrame, keys: tuple[str, ...] = ISSUE) -> DataFra
     size = F.col("body_size")
     at = {"title_from": 1.7, "heading_from": 1.18, "subheading_from": 1.05, "cover_from": 3.0}
     return s.select(*keys, F.col("body_family").alias("family"), size.alias("body"), *[F.round(size * f, 1).alias(n) for n, f in at.items()])
+
+
+def other_families(blocks: DataFrame, keys: tuple[str, ...] = ISSUE, top: int = 3) -> DataFrame:
+    """(keys, place, family, chars): the most used families beside that of the body text."""
+    h = style_histogram(blocks, keys).groupBy(*keys, "family").agg(F.sum("chars").alias("chars"))
+    rest = h.join(document_stats(blocks, keys), list(keys)).where("family <> body_family")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("chars"), "family"))
+    return rest.select(*keys, place.alias("place"), "family", "chars").where(F.col("place") <= top)
+
+
+def lines_with(blocks: DataFrame, needle: str) -> DataFrame:
+    """Blocks whose text holds a string, case not told apart."""
+    return blocks.where(F.lower("text").contains(needle.lower()))

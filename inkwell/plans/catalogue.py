@@ -177,6 +177,17 @@ def suggested_rules(spark, d):
     return typography.suggested_rules(blocks(spark, d))
 
 
+@query
+def other_families(spark, d):
+    return typography.other_families(blocks(spark, d))
+
+
+@query
+def contact_blocks(spark, d):
+    """Blocks with an address of the archive's hosts."""
+    return typography.lines_with(blocks(spark, d), ".EXAMPLE").select(*BLOCK)
+
+
 @query
 def junk_blocks(spark, d):
     b = with_box(blocks(spark, d))
@@ -251,6 +262,11 @@ def unresolved_entries(spark, d):
     return articles.unresolved(contents(spark, d), page_map.page_map(blocks(spark, d), NUMBERED))
 
 
+@query
+def nearby_labels(spark, d):
+    return page_map.nearby_labels(contents(spark, d), page_map.page_map(blocks(spark, d), NUMBERED))
+
+
 @query
 def article_ranges(spark, d):
     b = blocks(spark, d)
@@ -497,6 +513,21 @@ def hit_rate_at_k(spark, d):
     return evaluate.hit_rate(retrieval.search(e, q, 5), q, e)
 
 
+@query
+def model_comparison(spark, d):
+    """A model without parameters on titles: each journal's question is a title, to be found among its own chunks."""
+    c = chunks(spark, d)
+    q = c.where("title IS NOT NULL").groupBy(F.col("journal").alias("query_id")).agg(F.min("title").alias("question")).withColumn("expect", F.col("question"))
+    return evaluate.compare_models(c, q, {"hash": 64})
+
+
+@query
+def truncated_texts(spark, d):
+    """Texts over 1,500 characters, which an embedder with that limit would cut."""
+    e = index.embed(chunks(spark, d).select("chunk_id", "embedding_text"), max_chars=1500)
+    return index.truncation_report(e.select("chunk_id", "truncated")).select("n", "n_truncated", F.array_join("ids", ",").alias("ids"))
+
+
 @query
 def common_titles(spark, d):
     return evaluate.most_common(corpus(spark, d).where("title IS NOT NULL"), "title", F.col("article_id"), 20)

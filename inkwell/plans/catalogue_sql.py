@@ -190,6 +190,11 @@ SQL: dict[str, str] = {
     "hits_by_article": _with("c", "hits") + "SELECT query_id, article_id, count(*) AS n_hits, min(distance) AS best, count(*) >= 3 AS promoted FROM hits JOIN c USING (chunk_id) GROUP BY ALL",
     "resolved_entries": _with("res") + "SELECT * FROM res",
     "unresolved_entries": _with("map", "toc", "tl") + "SELECT * FROM tl ANTI JOIN map USING (journal, year, issue, label)",
+    "nearby_labels": _with("map", "toc", "tl") + "SELECT t.journal, t.year, t.issue, t.toc_pos, t.printed_page, CAST(t.delta AS INTEGER) AS delta, map.page FROM (SELECT *, CAST(CAST(label AS INTEGER) + delta AS VARCHAR) AS near FROM (SELECT *, unnest(range(-3, 4)) AS delta FROM tl)) t JOIN map ON map.journal = t.journal AND map.year = t.year AND map.issue = t.issue AND map.label = t.near WHERE CAST(t.label AS INTEGER) + t.delta > 0",
+    "other_families": _with("b", "stats") + f"""SELECT journal, year, issue, CAST(place AS INTEGER) AS place, family, chars FROM (SELECT *, row_number() OVER (PARTITION BY journal, year, issue ORDER BY chars DESC, family) AS place FROM (
+        SELECT journal, year, issue, {family('font')} AS family, sum(length({T})) AS chars FROM b WHERE length({T}) > 0 GROUP BY ALL) JOIN stats {ON} WHERE family <> body_family) WHERE place <= 3""",
+    "contact_blocks": _with("b") + "SELECT journal, year, issue, page, block_id FROM b WHERE contains(lower(text), '.example')",
+    "truncated_texts": _with("c") + "SELECT count(*) AS n, count(*) FILTER (length(embedding_text) > 1500) AS n_truncated, coalesce((SELECT string_agg(chunk_id, ',' ORDER BY chunk_id) FROM (SELECT chunk_id FROM c WHERE length(embedding_text) > 1500 ORDER BY chunk_id LIMIT 5)), '') AS ids FROM c",
     "article_ranges": _with("rng") + "SELECT journal, year, issue, toc_pos, group_no, in_group, pdf_page_start, pdf_page_end FROM rng",
     "blocks_in_ranges": _with("pg") + "SELECT journal, year, issue, group_no, count(*) AS n_blocks FROM b JOIN pg USING (journal, year, issue, page) GROUP BY ALL",
     "boundary_cuts": _with("rng", src=f"SELECT * FROM b JOIN (SELECT journal, year, issue, max(y1) AS height FROM b GROUP BY ALL) {ON} WHERE NOT {JUNK}", ord=CTE["ord"]) + f"""SELECT journal, year, issue, group_no, page, coalesce(arg_min(y0, reading_pos) FILTER (by_author), arg_min(y0, reading_pos) FILTER (by_title)) AS split_y FROM (
