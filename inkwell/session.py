@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 def get_spark(app: str = "inkwell", cpus: int | None = None) -> SparkSession:
     """A local session for tests and the bench; on a cluster use the session that is there."""
     n = cpus or int(os.environ.get("BENCH_CPUS", "8"))
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(n))
@@ -24,6 +28,8 @@ def get_spark(app: str = "inkwell", cpus: int | None = None) -> SparkSession:
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
+    ship(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,5 +60,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the workers this package, once a session, for clusters where it isn't installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_inkwell_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="inkwell-code-")  # on the driver, which serves it to the executors to the end
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/inkwell.zip", "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(f"{folder}/inkwell.zip")
+    sc._inkwell_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
