@@ -10,7 +10,7 @@
    hashes of 96 bits together; those of more than one record are shared, and their union is the result.
 
 Steps 1 and 3 ask the same of a key: does it occur in two records? A task first answers from its own
-rows and passes on one row of a key; a key in a third of all records is then one row per batch.
+rows and passes on two rows of a key; a key in a third of all records is then two rows per batch.
 """
 
 from __future__ import annotations
@@ -125,7 +125,8 @@ def find_anchors(texts: list[str | None], span: int, phrase: int) -> Iterator[tu
 def _own_answer(k1: np.ndarray, k2: np.ndarray, rec: np.ndarray, lo: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Of one batch: (rec, lo) of keys seen in two records, and (k1, k2, rec, lo) rows to pass on.
 
-    A key seen in one record passes all its rows on, a key seen in two records one.
+    A key seen in one record passes all its rows on, a key seen in two records a row of each of two of
+    them: another batch may hold a state of one of them only, and must still learn that there are two.
     """
     order = np.lexsort((lo, rec, k2, k1))
     k1, k2, rec, lo = k1[order], k2[order], rec[order], lo[order]
@@ -136,6 +137,7 @@ def _own_answer(k1: np.ndarray, k2: np.ndarray, rec: np.ndarray, lo: np.ndarray)
     twice = rec[first] != rec[last]
     shared = np.repeat(twice, last - first + 1)
     on = ~shared | new
+    on[last] = True  # sorted by rec, so a shared key's last row is of another record than its first
     return [rec[shared], lo[shared]], [k1[on], k2[on], rec[on], lo[on]]
 
 

@@ -71,3 +71,27 @@ def test_empty_table_and_shares(spark):
     df = spark.createDataFrame(rows, "chunk_id string, text string, ingested_at int")
     got = {r.chunk_id: r.n_chars for r in S.shared_shares(df).collect()}
     assert got == {"a": 40, "b": 30, "c": 0}
+
+
+def test_an_older_state_in_another_batch_at_another_offset(spark):
+    """Two batches hold old states and partners, a third the latest states, in which the passage has moved."""
+    rng = random.Random(8)
+
+    def other(n):
+        return "".join(rng.choice("ijklmnop ") for _ in range(n))
+
+    first, second, texts = [], [], {}
+    for n in range(40):
+        passage = "".join(rng.choice("abcdefgh ") for _ in range(40))
+        x, y = other(30) + passage + other(5), other(3) + passage + other(9)
+        first += [(f"x{n}", passage + other(5), 1), (f"y{n}", y, 1)]
+        second.append((f"x{n}", x, 2))
+        texts |= {f"x{n}": x, f"y{n}": y}
+    names = "chunk_id string, text string, ingested_at int"
+    df = spark.createDataFrame(spark.sparkContext.parallelize(first + second, 3), names)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else all texts are one batch in the second step
+    try:
+        got = {tuple(r) for r in S.shared_spans(df, span=20, phrase=8).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert got == brute(texts, 20)
