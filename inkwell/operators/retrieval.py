@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.templates import fill, or_label
@@ -17,7 +18,7 @@ from inkwell.plans.profile import Profile
 TOP_N = 10
 WINDOW = 1
 PROMOTE = 3
-#: Questions that are compared with all vectors at once; they are broadcast, so their number is bounded.
+#: Questions that are compared with all vectors at once, in one pass over them; more are taken in blocks.
 BLOCK = 2_000
 
 
@@ -25,24 +26,37 @@ def search(index: DataFrame, queries: DataFrame, top_n: int = TOP_N, where: Colu
     """(query_id, rank, chunk_id, distance): the nearest vectors of each query by cosine distance.
 
     index has chunk_id, embedding and what `where` asks for, which is applied before the ranking;
-    queries has query_id, embedding and must be at most BLOCK rows. Distances are rounded to 9 decimals,
-    equal ones ordered by chunk_id. Vectors that are null, of another length than the query's, without
-    length, or that hold nulls or NaN have none. The queries are one matrix; a batch of vectors is one
-    product with it, and only its own best rows of each query go on.
+    queries has query_id, embedding. Distances are rounded to 9 decimals, equal ones ordered by chunk_id.
+    Vectors that are null, of another length than the query's, without length, or that hold nulls or NaN
+    have none. BLOCK queries are one matrix; a batch of vectors is one product with it, and only its own
+    best rows of each query go on. More queries are more such passes, whose rows are united.
     """
-    few = queries.select("query_id", "embedding").limit(BLOCK + 1).collect()
-    if len(few) > BLOCK:
-        raise ValueError(f"more than {BLOCK} queries; search in blocks")
     kind = queries.schema["query_id"].dataType.simpleString()
-    schema = "q INT, chunk_id STRING, distance DOUBLE"
-    by_dim: dict[int, tuple[list[int], np.ndarray]] = {}
-    for i, r in enumerate(few):
+    rows = (index if where is None else index.where(where)).select(F.col("chunk_id").cast("string"), F.col("embedding").cast("array<double>"))
+    best, names = None, []
+    few = queries.select("query_id", "embedding").toLocalIterator()
+    while block := list(itertools.islice(few, BLOCK)):
+        one = rows.mapInArrow(_nearest(block, len(names), top_n), "q INT, chunk_id STRING, distance DOUBLE")
+        best = one if best is None else best.unionByName(one)
+        names += [(len(names) + i, r.query_id) for i, r in enumerate(block)]
+    ids = index.sparkSession.createDataFrame(names, f"q INT, query_id {kind}")
+    if best is None:
+        best = rows.where("false").select(F.lit(0).alias("q"), "chunk_id", F.lit(0.0).alias("distance"))
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("distance", "chunk_id"))).where(F.col("rank") <= top_n)
+    return best.join(F.broadcast(ids), "q").select("query_id", "rank", "chunk_id", "distance")
+
+
+def _nearest(queries: list[Row], begin: int, top_n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The best rows of each batch for these queries, numbered from `begin`."""
+    vectors: dict[int, list[np.ndarray]] = {}
+    numbers: dict[int, list[int]] = {}
+    for i, r in enumerate(queries, begin):
         v = np.array([np.nan if x is None else x for x in r.embedding or []], dtype=np.float64)
         n = np.sqrt((v * v).sum()) if len(v) else 0.0
         if n > 0:
-            rows, m = by_dim.get(len(v), ([], np.zeros((0, len(v)))))
-            by_dim[len(v)] = ([*rows, i], np.vstack([m, v / n]))
-    rows = index if where is None else index.where(where)
+            vectors.setdefault(len(v), []).append(v / n)
+            numbers.setdefault(len(v), []).append(i)
+    by_dim = {dim: (numbers[dim], np.array(v)) for dim, v in vectors.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -69,10 +83,7 @@ def search(index: DataFrame, queries: DataFrame, top_n: int = TOP_N, where: Colu
                 qi, vi = qi[place < k], vi[place < k]
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(number)[qi].astype(np.int32)), pa.array(ids[vi], pa.string()), pa.array(distance[qi, vi])], names=["q", "chunk_id", "distance"])
 
-    best = rows.select(F.col("chunk_id").cast("string"), F.col("embedding").cast("array<double>")).mapInArrow(run, schema)
-    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("distance", "chunk_id"))).where(F.col("rank") <= top_n)
-    ids = index.sparkSession.createDataFrame([(i, r.query_id) for i, r in enumerate(few)], f"q INT, query_id {kind}")
-    return best.join(F.broadcast(ids), "q").select("query_id", "rank", "chunk_id", "distance")
+    return run
 
 
 def merged_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
