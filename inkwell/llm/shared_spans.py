@@ -3,9 +3,9 @@
 1. Recurring phrases are confirmed. Of every SPAN-character window of a text, the PHRASE characters
    with the least hash are its anchor (winnowing). Equal windows have equal anchors, so a phrase that
    is an anchor in one record only can't lie in a shared window as its anchor; the others recur.
-2. Automata are compiled and the documents streamed. The recurring phrases of a shard of documents go
-   into one Aho-Corasick automaton, which finds every place of each in the shard's texts. Only phrases
-   that a shard's own documents hold can match there, so shards stay small however many phrases recur.
+2. Windows are laid around the phrases. Those that step 1 placed in up to 2,000 texts go into one
+   Aho-Corasick automaton, which finds them again in these texts only. It adds nothing to the result, as
+   step 1 has the anchor of every shared window; documents without a place pass through no automaton.
 3. Exactly. The SPAN-character windows around these places are compared over all records by two
    hashes of 96 bits together; those of more than one record are shared, and their union is the result.
 
