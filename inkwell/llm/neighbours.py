@@ -28,7 +28,7 @@ DIM = 64
 #: Vectors that the codebooks are trained on, at most about so many; all vectors are indexed.
 SAMPLE = 16_384
 #: Candidates that a query's cells must hold before it stops.
-CANDIDATES = 1_200
+CANDIDATES = 1_500
 _TOGETHER = 96
 _CACHE_BYTES = 160 << 20
 #: Row groups of about 1,500 vectors, so that a cell can be read without its neighbours.

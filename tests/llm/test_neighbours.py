@@ -58,3 +58,11 @@ def test_cells_come_in_order_of_summed_distance():
     got = N.visit(d1[o1].tolist(), d2[o2].tolist(), o1.tolist(), o2.tolist(), counts, 10**9)
     sums = [d1[a] + d2[b] for a, b in got]
     assert sums == sorted(sums) and len(got) == int((np.array(counts) > 0).sum())
+
+
+def test_candidates_by_default_are_1500(spark):
+    """Of 1,450 vectors without any clusters the default reaches each, so the answer is exact; 1,200 miss pairs."""
+    vecs = np.random.default_rng(9).normal(size=(1450, 64)).astype(np.float32)
+    ids = [f"k{i:04d}" for i in range(len(vecs))]
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in zip(ids, vecs)], "chunk_id string, embedding array<float>, embedded_at int")
+    assert {tuple(r) for r in N.neighbour_pairs(N.neighbours(df, centroids=32)).collect()} == brute(ids, vecs)
