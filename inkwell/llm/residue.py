@@ -36,10 +36,12 @@ _CODE = re.compile(
     r"<noscript\b[^>]*>.*?</noscript>|<script\b[^>]*>.*?</script>|<div\b[^>]*>\s*</div>|<(\w+)>\s*\{\{[^}\n]*\}\}\s*</\1>"
     r"|\b(?:GET|POST|PUT) /\S* -> \d+|\braise \w+\([^)\n]*\)|\bprint\([^)\n]*\)|\bfor \w+ in \w+\(\d*\):|\becho \"[^\"\n]*\"(?: >> \S+)?|\b\w+ = f?\"[^\"\n]*\"",
     re.IGNORECASE)
-_NAME = r"[A-Za-z][\w.\- ]{0,40}"
+_LETTER = r"[^\W\d_]"
+_CAPITALS = "".join(c for c in map(chr, range(0x10000)) if c.isalpha() and c.isupper())
+_NAME = _LETTER + r"[\w.\- ]*"
 _SLOT = re.compile(
-    r"\{%[^%\n]{1,60}%\}(?:\{%[^%\n]{1,60}%\})?|\{\{[^{}\n]{1,60}\}\}|<%=?[^%\n]{1,60}%>|\[%[^%\n]{1,60}%\]|\[\[" + _NAME + r"\]\]|<<" + _NAME + r">>|\$\{" + _NAME + r"\}|%%\w{2,40}%%|@@\w{2,40}@@|%\(\w{1,40}\)s"
-    r"|(?<![\w$])\$[A-Za-z]\w{1,40}\$|(?<![\w#])#[A-Z]\w{1,40}#|(?<!\w)__[A-Za-z]\w{1,40}__|\{[A-Za-z]\w{0,40}\}|\[[A-Z]{2}[A-Z_ ]{0,40}\]")
+    r"\{%[^%\n]+%\}(?:\{%[^%\n]+%\})?|\{\{[^{}\n]+\}\}|<%=?[^%\n]+%>|\[%[^%\n]+%\]|\[\[" + _NAME + r"\]\]|<<" + _NAME + r">>|\$\{" + _NAME + r"\}|%%\w{2,}%%|@@\w{2,}@@|%\(\w+\)s"
+    r"|(?<![\w$])\$" + _LETTER + r"\w+\$|(?<![\w#])#[" + _CAPITALS + r"]\w+#|(?<!\w)__" + _LETTER + r"\w+__|\{" + _LETTER + r"\w*\}|\[[" + _CAPITALS + "]{2}[" + _CAPITALS + r"_ ]*\]")
 _NUMBER_SLOT = re.compile(r"\{\d{1,3}\}")
 _SPECIAL = re.compile(r"[„«“\"`{}<>\[\]$@#%_]|-> |raise |print")
 _SPECIAL_TOKENS = re.compile(r"<\|\w+\|>|</?s>|<unk>|<br/?>|[​‌‍⁠﻿­\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")

@@ -51,6 +51,12 @@ def test_masks():
     assert R.tokens("the [sic] and $5 and 50% and #tag") == ["the", "[sic]", "and", "$5", "and", "50%", "and", "#tag"]
 
 
+def test_slot_names_of_other_letters_and_lengths():
+    for slot in ("[[úvod]]", "<<článek>>", "{úvod}", "${úvod}", "#ÚVOD#", "__ÚVOD__", "$čas$", "[NÁZEV]", "[ÜBERSCHRIFT]", "{{ " + "a" * 90 + " }}", "[[" + "long name " * 9 + "]]"):
+        assert R.tokens(f"text {slot} text") == ["text", "⟨slot⟩", "text"], slot
+    assert R.tokens("the [Název] and [čtvrtek] and {{ open") == ["the", "[Název]", "and", "[čtvrtek]", "and", "{{", "open"]
+
+
 def test_copies_and_no_labels(spark):
     df = spark.createDataFrame([(1, "plain words only", "t", "s"), (2, "plain words only", "t", "s")], "doc_id long, text string, title string, source string")
     assert R.classify(df, True).count() == 0 and R.classify(df, False).count() == 2
