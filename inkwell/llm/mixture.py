@@ -137,7 +137,7 @@ def count_tokens(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, fo
     return data.mapInArrow(run, f"id {kind}, source STRING, tokens BIGINT")
 
 
-def mix(docs: DataFrame, mix_targets: DataFrame, total_tokens: float | None = None, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", give_up: float = 0.05) -> DataFrame:
+def mix(docs: DataFrame, mix_targets: DataFrame, total_tokens: float | None = None, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", give_up: float = 0.0) -> DataFrame:
     """(id, source, tokens, copies) of every document of a listed source that holds a token.
 
     copies is 0 to max_repeats. Documents of unlisted or null sources and those without tokens (null,

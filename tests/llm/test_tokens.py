@@ -1,3 +1,4 @@
+import inspect
 import random
 
 from hypothesis import given, settings
@@ -116,3 +117,10 @@ def test_mixture(spark):
         assert abs(rep[s].reached_share - w / 0.98) < 0.002
     assert rep["nowhere"].copies == 0
     assert M.mix(df.limit(0), targets).count() == 0
+
+
+def test_a_scarce_source_keeps_its_share():
+    """Its share is under 5 %, and only a smaller total lets it be reached; by mix's default none is given up."""
+    t, n = {"a": (0.95, 1), "tiny": (0.03, 1), "nowhere": (0.02, 1)}, {"a": 50_000, "tiny": 760}
+    r = M.source_rates(t, n, None, inspect.signature(M.mix).parameters["give_up"].default)
+    assert r["tiny"] == 1 and abs(r["a"] * n["a"] / n["tiny"] - 0.95 / 0.03) < 1e-6
