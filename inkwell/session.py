@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -33,7 +34,10 @@ def get_spark(app: str = "inkwell", cpus: int | None = None) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests), a local one is set."""
+    """The folder named by spark.checkpoint.dir; where it is unset, a local session (tests) gets one of its own.
+
+    On a cluster a folder of one machine would be a different one for each process, so that is an error.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named:
@@ -41,7 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="inkwell-"))
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="inkwell-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir("file://" + own)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -60,6 +68,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str = "rows") -> DataFrame:
+    """df as a table in the shared folder: compressed, by columns, and read again only as far as it is used."""
+    path = scratch_table(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the workers this package, once a session, for clusters where it isn't installed."""
     sc = spark.sparkContext
