@@ -40,6 +40,10 @@ def p4_budget(spark: SparkSession, d: str) -> DataFrame:
     return token_budget.chunk_budget(table(spark, d, "chunks"), table(spark, d, "journals"))
 
 
+def p4_update(spark: SparkSession, d: str) -> DataFrame:
+    return token_budget.chunk_deltas(table(spark, d, "chunks"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.neighbour_pairs(neighbours.neighbours(table(spark, d, "vectors")))
 
@@ -70,7 +74,7 @@ def p8_validation(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_shares, p3_found, p3_clean, p4_budget, p5_found, p6_ids, p7_mix, p7_shares, p8_found, p8_clean, p8_validation)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_shares, p3_found, p3_clean, p4_budget, p4_update, p5_found, p6_ids, p7_mix, p7_shares, p8_found, p8_clean, p8_validation)}
 
 
 def oracle_sql() -> dict[str, str]:

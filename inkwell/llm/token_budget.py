@@ -1,24 +1,30 @@
 """Problem 4: tokens per source, language and domain, kept up by signed deltas.
 
-Two tables are the operator's state. The count table holds one row per content and tokenizer (hash of
-the text, fingerprint of the vocabulary -> tokens): a text is encoded only if no row of it is there.
-The snapshot holds one small row per live document (key, slices, hashes of its texts). A new snapshot
-is compared with the last one; documents that are new, changed or gone give deltas of +1 and -1, which
-are multiplied by the counts and added to the cube. Texts are never shuffled, only hashes.
+Three tables are the operator's state (class Budget). The count table holds one row per content and
+tokenizer (hash of the text, fingerprint of the vocabulary -> tokens): a text is encoded only if no row
+of it is there. The snapshot holds one small row per live document (key, slices, hashes of its texts).
+A new snapshot is compared with the last one; documents that are new, changed or gone give deltas of +1
+and -1, which are multiplied by the counts and added to the cube. Texts are never shuffled, only hashes:
+those that have no count are told to the readers by a bitmap of bounded size. Where two hashes meet in it
+a text is encoded for nothing and its count is left out, so the size changes no result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from inkwell.llm.tokenizing import TOKENIZER_DIR, encoder, fingerprint
+from inkwell.session import scratch_table
+from inkwell.sources.generations import Generations
 
 COUNTS_SCHEMA = "content STRING, tokenizer STRING, n_tokens BIGINT"
+#: Least and greatest size of the bitmap of contents to be encoded, as powers of two.
+MIN_BITS, MAX_BITS = 20, 27
 
 
 def content_hash(text: Column) -> Column:
@@ -45,35 +51,61 @@ def latest_snapshot(rows: DataFrame, key: str, version: str, slices: dict[str, C
     return best.select("k", *[F.col(f"s.h_{c}") for c in texts], *[F.col(f"s.{n}") for n in slices])
 
 
-def count_new(rows: DataFrame, texts: Sequence[str], known: DataFrame | None, tokenizer: str, folder: str = TOKENIZER_DIR) -> DataFrame:
-    """Count rows (COUNTS_SCHEMA) of those contents in rows that `known` doesn't hold for this tokenizer.
+def unseen_contents(snapshot: DataFrame, texts: Sequence[str], known: DataFrame, tokenizer: str, folder: str = TOKENIZER_DIR) -> DataFrame:
+    """(content) of the snapshot's texts that have no row in `known` for this tokenizer, each once."""
+    contents = snapshot.select(F.explode(F.array(*[F.col(f"h_{c}") for c in texts])).alias("content")).where("content IS NOT NULL").distinct()
+    return contents.join(known.where(F.col("tokenizer") == fingerprint(tokenizer, folder)).select("content"), "content", "left_anti")
 
-    An empty text has 0 tokens; null texts have no row. With an empty `known` every row is encoded
-    where it is read; otherwise only rows with an unseen content are, found by a join on hashes.
+
+def _places_of(h: np.ndarray, g: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of a content in a bitmap of 2^bits, by its two hashes."""
+    mask = np.int64((1 << bits) - 1)
+    return h & mask, g & mask
+
+
+def content_bitmap(contents: DataFrame, n: int) -> np.ndarray:
+    """A bitmap of 2^MIN_BITS to 2^MAX_BITS bits (16 MB) with two bits for each of about n contents."""
+    bits = min(MAX_BITS, max(MIN_BITS, int(n * 16).bit_length()))
+    halves = F.split("content", "-")
+    place = F.explode(F.array(*[F.conv(halves[i], 16, -10).cast("bigint").bitwiseAND(F.lit((1 << bits) - 1)) + 1 for i in (0, 1)])).alias("place")
+    parts = contents.select(place).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
+    held = np.zeros(1 << (bits - 3), np.uint8)
+    for part, bitmap in parts.collect():  # at most 2^(MAX_BITS - 15) rows of 4 KB
+        held[(part - 1) * 4096 : part * 4096] = np.frombuffer(bitmap, np.uint8)
+    return held
+
+
+def count_new(rows: DataFrame, texts: Sequence[str], unseen: DataFrame, tokenizer: str, folder: str = TOKENIZER_DIR, encoded=None) -> DataFrame:
+    """Count rows (COUNTS_SCHEMA) of the contents in `unseen`, from whichever of the rows hold them.
+
+    An empty text has 0 tokens. `unseen` is read several times. encoded, if given, is an accumulator that
+    the number of encoded texts is added to.
     """
     mark = fingerprint(tokenizer, folder)
-    named = [F.struct(content_hash(F.col(c)).alias("content"), F.col(c).alias("t")) for c in texts]
-    each = rows.select(*[s.alias(f"s{i}") for i, s in enumerate(named)])
-    if known is not None:
-        flat = rows.select(F.explode(F.array(*named)).alias("s")).select("s.*").where("content IS NOT NULL")
-        seen = known.where(F.col("tokenizer") == mark).select("content")
-        unseen = flat.select("content").distinct().join(seen, "content", "left_anti")
-        each = flat.join(unseen, "content", "left_semi").select(F.struct("content", "t").alias("s0"))
-    width = len(each.columns)
+    n = unseen.count()
+    held = content_bitmap(unseen, n)
+    bits = len(held).bit_length() + 2
+    columns = [x for i, c in enumerate(texts) for x in (F.xxhash64(c).alias(f"h{i}"), F.xxhash64(F.lit(0x5BD1E995), c).alias(f"g{i}"), F.col(c).alias(f"t{i}"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = encoder(tokenizer, folder).count
         for b in batches:
             done: dict[str, int] = {}
-            for i in range(width):
-                contents, values = (b.column(i).field(j).to_pylist() for j in (0, 1))
-                for content, text in zip(contents, values):
-                    if content is not None and content not in done:
+            for i in range(len(texts)):
+                h, g, t = (b.column(3 * i + j) for j in range(3))
+                places = _places_of(h.to_numpy(), g.to_numpy(), bits)
+                wanted = np.logical_and(*[held[p >> 3] >> (p & 7).astype(np.uint8) & 1 for p in places]) & t.is_valid().to_numpy(zero_copy_only=False)
+                at = pa.array(np.nonzero(wanted)[0])
+                for x, y, text in zip(*[c.take(at).to_numpy().view(np.uint64).tolist() for c in (h, g)], t.take(at).to_pylist()):
+                    content = f"{x:X}-{y:X}"
+                    if content not in done:
                         done[content] = count(text)
+            if encoded is not None:
+                encoded.add(len(done))
             yield pa.RecordBatch.from_arrays([pa.array(done.keys(), pa.string()), pa.array(done.values(), pa.int64())], names=["content", "n_tokens"])
 
-    counted = each.mapInArrow(run, "content STRING, n_tokens BIGINT")
-    return counted.groupBy("content").agg(F.max("n_tokens").alias("n_tokens")).select("content", F.lit(mark).alias("tokenizer"), "n_tokens")
+    counted = rows.select(*columns).mapInArrow(run, "content STRING, n_tokens BIGINT").groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    return counted.join(unseen, "content", "left_semi").select("content", F.lit(mark).alias("tokenizer"), "n_tokens")
 
 
 def cube_deltas(before: DataFrame | None, after: DataFrame, counts: DataFrame, slices: Sequence[str], texts: Sequence[str]) -> DataFrame:
@@ -93,7 +125,7 @@ def cube_deltas(before: DataFrame | None, after: DataFrame, counts: DataFrame, s
     found = contents.join(counts.select("content", "n_tokens"), "content", "left")
     tokens = F.col("sign") * F.coalesce(F.col("n_tokens"), F.lit(0))
     sums = found.groupBy(*slices).agg(
-        F.sum(F.when(F.col("field") == texts[0], F.col("sign"))).alias("n_docs"),
+        F.coalesce(F.sum(F.when(F.col("field") == texts[0], F.col("sign"))), F.lit(0)).alias("n_docs"),
         *[F.coalesce(F.sum(F.when(F.col("field") == c, tokens)), F.lit(0)).alias(f"tokens_{c}") for c in texts],
     )
     return sums
@@ -116,17 +148,99 @@ def by_each_slice(cube: DataFrame, slices: Sequence[str], texts: Sequence[str])
     return flat.groupBy("d.dimension", "d.slice").agg(*sums)
 
 
-def chunk_budget(chunks: DataFrame, journals: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR) -> DataFrame:
+class Budget:
+    """The state in a folder that all executors share, as generations: an update is whole or hasn't happened."""
+
+    def __init__(self, spark: SparkSession, root: str, slices: dict[str, Column], texts: Sequence[str], tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR):
+        self.spark, self.slices, self.texts, self.tokenizer, self.folder = spark, slices, list(texts), tokenizer, folder
+        self.generations = Generations(spark, f"{root}/{fingerprint(tokenizer, folder)}")  # another vocabulary has a state of its own
+        self.encoded = spark.sparkContext.accumulator(0)
+        named = ", ".join(f"{n} STRING" for n in slices)
+        self._snapshot = f"k STRING, {', '.join(f'h_{c} STRING' for c in self.texts)}, {named}"
+        self._cube = f"{named}, n_docs BIGINT, {', '.join(f'tokens_{c} BIGINT' for c in self.texts)}"
+
+    def _last(self, name: str, schema: str) -> DataFrame:
+        n = self.generations.last()
+        return self.generations.read(name, [n] if n else [], schema)
+
+    def counts(self) -> DataFrame:
+        return self.generations.read("counts", self.generations.closed(), COUNTS_SCHEMA)
+
+    def snapshot(self) -> DataFrame:
+        return self._last("snapshot", self._snapshot)
+
+    def cube(self) -> DataFrame:
+        """(slices, n_docs, tokens_...) of the documents as of the last update."""
+        return self._last("cube", self._cube)
+
+    def delta(self, n: int | None = None) -> DataFrame:
+        """The signed change that update n, or the last one, made to the cube."""
+        return self.generations.read("delta", [n or self.generations.last()], self._cube)
+
+    def update(self, rows: DataFrame, key: str, version: str) -> int:
+        """Brings the state to `rows`, which hold all live documents; gives the update's number.
+
+        Only contents without a count are encoded, whichever documents they are in. Documents of the last
+        snapshot that aren't in `rows` are removed ones.
+        """
+        g = self.generations
+        n = g.last() + 1
+        named = {s: c.cast("string") for s, c in self.slices.items()}
+        g.write(n, snapshot=latest_snapshot(rows, key, version, named, self.texts).withColumn("k", F.col("k").cast("string")))
+        snapshot = g.read("snapshot", [n], self._snapshot)
+        g.write(n, unseen=unseen_contents(snapshot, self.texts, self.counts(), self.tokenizer, self.folder))
+        g.write(n, counts=count_new(rows, self.texts, g.read("unseen", [n], "content STRING"), self.tokenizer, self.folder, self.encoded))
+        counts = g.read("counts", [*g.closed(), n], COUNTS_SCHEMA)
+        g.write(n, delta=cube_deltas(self.snapshot(), snapshot, counts, list(self.slices), self.texts))
+        g.write(n, cube=add_cubes([self.cube(), g.read("delta", [n], self._cube)], list(self.slices), self.texts))
+        g.close(n)
+        return n
+
+
+_TEXTS = ("text", "embedding_text")
+_SLICES = ("journal", "language")
+
+
+def _archive(chunks: DataFrame, root: str | None, tokenizer: str, folder: str) -> tuple[Budget, DataFrame]:
+    """(a budget of chunks, the rows that had come by the middle of the time of delivery)."""
+    spark = chunks.sparkSession
+    budget = Budget(spark, root or scratch_table(spark, "budget"), {"journal": F.col("journal"), "language": language_key(F.col("lang"))}, _TEXTS, tokenizer, folder)
+    at = F.col("ingested_at").cast("double")
+    first, last = chunks.agg(F.min(at), F.max(at)).first()
+    return budget, chunks.where(at.isNull() | (at <= ((first or 0.0) + (last or 0.0)) / 2))
+
+
+def chunk_budget(chunks: DataFrame, journals: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, root: str | None = None) -> DataFrame:
     """Token totals of chunks in their latest state by journal, language and the journal's domain.
 
+    With a `root` that holds the state of an earlier run the budget is brought up to these chunks by one
+    update. Otherwise it is built as an archive's would be: one update with what had come by the middle of
+    the time of delivery, and a second one with all of it, which counts only what is new.
+
     Null texts count nothing; a chunk of an unknown journal, or of one without a domain, is in the
     domain slice null; languages are told apart by the main part of their tag, null is 'und'.
     Repeated rows count once. No chunks give no rows.
     """
-    texts = ["text", "embedding_text"]
-    snap = latest_snapshot(chunks, "chunk_id", "ingested_at", {"journal": F.col("journal"), "language": language_key(F.col("lang"))}, texts)
-    counts = count_new(chunks, texts, None, tokenizer, folder)
-    cube = cube_deltas(None, snap, counts, ["journal", "language"], texts)
+    budget, earlier = _archive(chunks, root, tokenizer, folder)
+    if not budget.generations.last():
+        budget.update(earlier, "chunk_id", "ingested_at")
+    budget.update(chunks, "chunk_id", "ingested_at")
     domains = journals.groupBy(F.col("journal").alias("j")).agg(F.max("domain").alias("domain"))
-    cube = cube.join(domains, F.col("journal") == F.col("j"), "left").drop("j")
-    return by_each_slice(cube, ["journal", "language", "domain"], texts)
+    cube = budget.cube().join(domains, F.col("journal") == F.col("j"), "left").drop("j")
+    return by_each_slice(cube, [*_SLICES, "domain"], _TEXTS)
+
+
+def chunk_deltas(chunks: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, root: str | None = None) -> DataFrame:
+    """(update_no, journal, language, n_docs, tokens_...): the signed changes of three updates.
+
+    The first brings in what had come by the middle of the time of delivery, the second the rest and all
+    changed states, the third takes the journal of the least name out of the archive.
+    """
+    budget, earlier = _archive(chunks, root, tokenizer, folder)
+    least = chunks.agg(F.min("journal")).first()[0]
+    out = None
+    for rows in (earlier, chunks, chunks.where(~F.col("journal").eqNullSafe(F.lit(least)))):
+        n = budget.update(rows, "chunk_id", "ingested_at")
+        delta = budget.delta(n).select(F.lit(n).alias("update_no"), "*")
+        out = delta if out is None else out.unionByName(delta)
+    return out
