@@ -78,7 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND}
+    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p3_clean": P3_CLEAN}
 
 
 P1_FOUND = r"""
@@ -103,3 +103,18 @@ WITH b AS (SELECT DISTINCT journal, year, issue, page, block_id, text FROM block
 SELECT DISTINCT k.journal, k.year, k.issue, k.page, k.block_id, CAST(k.line_no AS INTEGER) AS line_no
 FROM k JOIN s ON k.journal = s.journal AND k.key = s.key WHERE s.c >= 3 AND s.c >= 0.05 * s.pages
 """
+
+P3_CLEAN = f"""
+WITH f AS ({P3_FOUND}),
+     g AS (SELECT journal, year, issue, page, block_id, list(line_no) AS gone FROM f GROUP BY ALL),
+     t AS (SELECT journal, year, issue, page, block_id, text,
+                  row_number() OVER (PARTITION BY journal, year, issue, page, block_id ORDER BY extracted_at DESC NULLS LAST, text DESC NULLS LAST) AS n FROM blocks),
+     s AS (SELECT t.*, coalesce(g.gone, []) AS gone, string_split_regex(t.text, '\\r\\n|\\n') AS lines, regexp_extract_all(t.text, '\\r\\n|\\n') AS breaks
+           FROM t LEFT JOIN g ON t.journal IS NOT DISTINCT FROM g.journal AND t.year IS NOT DISTINCT FROM g.year AND t.issue IS NOT DISTINCT FROM g.issue AND t.page = g.page AND t.block_id = g.block_id
+           WHERE t.n = 1),
+     k AS (SELECT *, coalesce(array_to_string(list_transform(list_filter(range(len(lines)), lambda i: NOT list_contains(gone, i)), lambda i: lines[i + 1] || coalesce(breaks[i + 1], '')), ''), '') AS kept FROM s)
+SELECT journal, year, issue, page, block_id,
+       CASE WHEN len(gone) = 0 THEN text WHEN list_contains(gone, len(lines) - 1) THEN regexp_replace(kept, '\\r?\\n\\z', '') ELSE kept END AS text,
+       CAST(len(gone) AS INTEGER) AS n_removed
+FROM k
+"""

@@ -1,11 +1,15 @@
 """Problem 3: lines that a source prints on page after page, by bitmaps of pages.
 
-A line's pages are a compressed bitmap: 64-bit words, of which only those with a bit set are kept, as
-rows (source, line, container, word). A container is an issue and page div 64; the bit is page mod 64.
-Building is a bit_or, so is the union of the variants of a line (case, white space, numbers); the
-cardinality is the sum of bit_count. All of it is partial aggregation on numbers: a line on a third of
-all pages is one row per task and container. A block's line is deleted where the bitmap of its
-standing line has the block's page, which is a lookup by (source, line, container).
+A line as it is printed is a variant. Each variant's pages are a compressed bitmap of its source: 64-bit
+words, of which only those with a bit set are kept, as rows (source, variant, container, word). A
+container is an issue and page div 64; the bit is page mod 64. The bitmaps of the variants of a line
+(case, white space, numbers) are united; the cardinality is the sum of bit_count over the union. All of it
+is partial aggregation on numbers: a line on a third of all pages is one row per task and container. A
+block's line is deleted where the united bitmap of its standing line has the block's page, which is a
+lookup by (source, line, container).
+
+The texts are read and their lines keyed once, into a narrow table of numbers in the shared folder, which
+the bitmaps and the lookup are made from.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkwell.session import written
+
 MIN_PAGES = 3
 MIN_SHARE = 0.05
 
@@ -44,35 +50,39 @@ def _wide(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("line"), F.hash(text).alias("line2")]
 
 
-def _places(blocks: DataFrame, source: str, page_key: tuple[str, ...]) -> DataFrame:
-    """One row per line: source, page, container, block key, line_no and the line's variant."""
+def line_table(blocks: DataFrame, source: str = "journal", page_key: tuple[str, ...] = ("year", "issue", "page")) -> DataFrame:
+    """One row per line that isn't blank, written once: source, page, container, block_id, line_no, and the hashes of variant and line."""
     *issue, page = page_key
-    return blocks.select(
+    lines = blocks.select(
         F.col(source).alias("source"), *[F.col(c).alias(f"i{n}") for n, c in enumerate(issue)], F.col(page).alias("page"), F.col("block_id").alias("block_id"),
         F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in issue], F.floor(F.col(page) / 64)).alias("container"),
-        F.posexplode(lines_of(F.col("text"))).alias("line_no", "raw"),
-    ).withColumn("variant", line_variant(F.col("raw")))
+        F.posexplode(lines_of(F.col("text"))).alias("line_no", "variant"),
+    ).withColumn("shown", line_variant(F.col("variant"))).where("shown <> ''")
+    return written(lines.withColumn("key", line_key(F.col("shown"))).select("source", *[f"i{n}" for n in range(len(issue))], "page", "block_id", "line_no", "container", F.xxhash64("variant").alias("variant"), *_wide(F.col("key"))), "lines")
 
 
 def _bit() -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.coalesce(F.col("page"), F.lit(-1)), F.lit(64)).cast("int"))
 
 
-def page_bitmaps(blocks: DataFrame, source: str = "journal", page_key: tuple[str, ...] = ("year", "issue", "page")) -> DataFrame:
-    """(source, line, line2, container, word): the bitmap of each line, its variants' bitmaps united."""
-    places = _places(blocks, source, page_key).where("variant <> ''")
-    by_variant = places.select("source", "container", _bit().alias("bit"), *_wide(line_key(F.col("variant"))))
-    return by_variant.groupBy("source", "line", "line2", "container").agg(F.bit_or("bit").alias("word"))
+def variant_bitmaps(lines: DataFrame) -> DataFrame:
+    """(source, line, line2, variant, container, word): the bitmap of each variant of a line."""
+    return lines.select("source", "line", "line2", "variant", "container", _bit().alias("bit")).groupBy("source", "line", "line2", "variant", "container").agg(F.bit_or("bit").alias("word"))
+
+
+def united(bitmaps: DataFrame) -> DataFrame:
+    """(source, line, line2, container, word): the union of the bitmaps of each line's variants."""
+    return bitmaps.groupBy("source", "line", "line2", "container").agg(F.bit_or("word").alias("word"))
 
 
-def standing_lines(blocks: DataFrame, source: str = "journal", page_key: tuple[str, ...] = ("year", "issue", "page"), min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(source, line, line2, n_pages) of the lines on at least min_pages and min_share of a source's pages.
+def standing_lines(bitmaps: DataFrame, blocks: DataFrame, source: str = "journal", page_key: tuple[str, ...] = ("year", "issue", "page"), min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(source, line, line2, n_pages) of the united bitmaps with at least min_pages pages and min_share of the source's.
 
     Pages are counted from distinct (issue, page) of the blocks, with or without text. The share is
     compared in whole numbers of pages: n_pages >= min_share * pages.
     """
     pages = blocks.select(F.col(source).alias("source"), *[F.col(c) for c in page_key]).distinct().groupBy("source").agg(F.count(F.lit(1)).alias("pages"))
-    counts = page_bitmaps(blocks, source, page_key).groupBy("source", "line", "line2").agg(F.sum(F.bit_count("word")).alias("n_pages"))
+    counts = bitmaps.groupBy("source", "line", "line2").agg(F.sum(F.bit_count("word")).alias("n_pages"))
     often = counts.where(F.col("n_pages") >= min_pages)
     return often.join(pages, often["source"].eqNullSafe(pages["source"])).where(F.col("n_pages") >= F.lit(min_share) * F.col("pages") - 1e-9).select(often["source"], "line", "line2", "n_pages")
 
@@ -87,9 +97,9 @@ def standing_places(blocks: DataFrame, source: str = "journal", page_key: tuple[
     Null sources are a source of their own; null texts and blank lines have no place; rows delivered
     twice count once. No blocks give no rows.
     """
-    lines = standing_lines(blocks, source, page_key, min_pages, min_share)
-    places = _places(blocks, source, page_key).where("variant <> ''").select("*", *_wide(line_key(F.col("variant")))).drop("raw", "variant")
-    words = page_bitmaps(blocks, source, page_key)
+    places = line_table(blocks, source, page_key)
+    words = written(united(variant_bitmaps(places)), "bitmaps")
+    lines = standing_lines(words, blocks, source, page_key, min_pages, min_share)
     words = words.join(lines, _same_line(words, lines), "left_semi")
     held = F.call_function("shiftright", words["word"], F.pmod(F.coalesce(places["page"], F.lit(-1)), F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
     hit = places.join(words, _same_line(places, words) & (places["container"] == words["container"]) & held, "left_semi")
@@ -99,8 +109,9 @@ def standing_places(blocks: DataFrame, source: str = "journal", page_key: tuple[
 def without_standing_lines(blocks: DataFrame, source: str = "journal", page_key: tuple[str, ...] = ("year", "issue", "page"), version: str = "extracted_at", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(source, page key, block_id, text, n_removed): each block once, its standing lines taken out.
 
-    The lines that stay are joined by a line feed. A null text stays null; a text of standing lines
-    only becomes empty. Of rows with one key the latest is taken (rows delivered twice are equal).
+    A line goes with the break after it, the last line with the one before it; all other characters stay
+    as they are. A null text stays null; a text of standing lines only becomes empty. Of rows with one
+    key the latest is taken (rows delivered twice are equal).
     """
     keys = [source, *page_key, "block_id"]
     places = standing_places(blocks, source, page_key, min_pages, min_share)
@@ -109,6 +120,7 @@ def without_standing_lines(blocks: DataFrame, source: str = "journal", page_key:
     # blocks and places meet in one aggregation by the block's key, so a text is moved once
     both = rows.unionByName(places.select(*keys, F.lit(None).cast(rows.schema["state"].dataType).alias("state"), F.col("line_no").alias("gone")))
     one = both.groupBy(*keys).agg(F.max("state").alias("state"), F.collect_set("gone").alias("gone"))
-    kept = F.filter(lines_of(F.col("state.text")), lambda line, i: ~F.array_contains(F.col("gone"), i))
-    text = F.when(F.size("gone") == 0, F.col("state.text")).otherwise(F.array_join(kept, "\n"))
-    return one.select(*keys, text.alias("text"), F.size("gone").alias("n_removed"))
+    lines = F.split("state.text", "(?<=\n)", -1)  # each with its break
+    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col("gone"), i)), "")
+    kept = F.when(F.array_contains(F.col("gone"), F.size(lines) - 1), F.regexp_replace(kept, "\r?\n\\z", "")).otherwise(kept)
+    return one.select(*keys, F.when(F.size("gone") == 0, F.col("state.text")).otherwise(kept).alias("text"), F.size("gone").alias("n_removed"))

@@ -54,12 +54,29 @@ def test_clean_texts(spark):
     for j, y, i, p, b, t in rows:
         lines = re.split("\r\n|\n", t) if t is not None else None
         drop = {x[5] for x in gone if x[:5] == (j, y, i, p, b)}
-        want[j, y, i, p, b] = t if not drop else "\n".join(x for n, x in enumerate(lines) if n not in drop)
+        if drop:
+            breaks = [*re.findall("\r\n|\n", t), ""]
+            kept = "".join(x + br for n, (x, br) in enumerate(zip(lines, breaks)) if n not in drop)
+            t = re.sub("\r?\n\\Z", "", kept) if len(lines) - 1 in drop else kept
+        want[j, y, i, p, b] = t
     got = S.without_standing_lines(table(spark, rows)).collect()
     assert len(got) == len(want)
     assert {tuple(r)[:5]: r.text for r in got} == want
 
 
+def test_bitmaps_are_of_variants_and_only_their_union_reaches_the_threshold(spark):
+    """Each variant is on two pages, the line on six; a bitmap of one variant stays under the threshold."""
+    rows = [("a", "", "1", p, 0, ["NOTICE 1", " notice 2", "Notice\t3"][p % 3] + f"\r\nown {chr(97 + p)}\r\nend {chr(97 + p)}") for p in range(6)]
+    t = table(spark, rows)
+    lines = S.line_table(t)
+    by_variant = S.variant_bitmaps(lines)
+    assert by_variant.selectExpr("bit_count(word) AS n").where("n = 2").count() == 3
+    assert {(r.page, r.line_no) for r in S.standing_places(t).collect()} == {(p, 0) for p in range(6)}
+    double = S.without_standing_lines(table(spark, rows + [("a", "", "1", 9, 0, "x\n\n\nnotice 7")])).where("page = 9").first()
+    assert (double.text, double.n_removed) == ("x\n\n", 1)
+    assert {r.text for r in S.without_standing_lines(t).collect()} == {f"own {chr(97 + p)}\r\nend {chr(97 + p)}" for p in range(6)}
+
+
 def test_empty_table(spark):
     assert S.standing_places(table(spark, [])).count() == 0
     assert S.without_standing_lines(table(spark, [])).count() == 0
