@@ -1,10 +1,11 @@
 """Problem 6: the whole corpus as token ids, by a tree of joins.
 
-encode(text) is a monoid over pieces of the text: a long text is cut in the middle, both halves are
-encoded by recursion, and the join encodes a window around the cut again. The window reaches to a cut
-point (see tokenizing) on either side; tokens outside it are then the same in the whole text as in the
-half, whatever the other half holds. Where a window holds no cut point it is doubled, up to the whole
-of both halves. Decoding concatenates up the same tree: the ids in order give back the bytes.
+encode(text) is a monoid over pieces of the text: a text is cut in the middle, both halves are encoded by
+recursion, and the join encodes a window around the cut again. Each side of the window begins with a few
+characters and doubles until a cut point (see tokenizing) lies in it; from there on outwards the tokens
+are proved to be the same in the whole text as in the half, whatever the other half holds. A side without
+any cut point grows to the whole of its half. Decoding concatenates up the same tree: the ids in order
+give back the bytes.
 """
 
 from __future__ import annotations
@@ -20,53 +21,67 @@ from pyspark.sql import types as T
 from inkwell.llm.tokenizing import TOKENIZER_DIR, Encoder, encoder
 
 #: A text of at most so many characters is a leaf of the tree.
-LEAF_CHARS = 16_384
-WINDOW_CHARS = 64
+LEAF_CHARS = 256
+#: Characters on either side of a join that the window begins with.
+WINDOW_CHARS = 16
 
 
-def _cut_point_before(text: str, lo: int, at: int) -> int:
-    """The last cut point in [lo, at], or lo, where the part begins."""
-    while True:
-        p = text.rfind(" ", lo + 1, at + 1)
-        if p < 0:
-            return lo
+def _last_cut_point(text: str, lo: int, hi: int) -> int:
+    """The last cut point in [lo, hi], its character before it in [lo, hi] too; -1 if there is none."""
+    while (p := text.rfind(" ", lo + 1, hi + 1)) >= 0:
         if not text[p - 1].isspace():
             return p
-        at = p - 1
+        hi = p - 1
+    return -1
 
 
-def _cut_point_after(text: str, at: int, hi: int) -> int:
-    """The first cut point in [at, hi), or hi, where the part ends."""
-    while True:
-        p = text.find(" ", at, hi)
-        if p < 0:
-            return hi
+def _first_cut_point(text: str, lo: int, hi: int) -> int:
+    """The first cut point in [lo, hi); -1 if there is none."""
+    while (p := text.find(" ", lo, hi)) >= 0:
         if not text[p - 1].isspace():
             return p
-        at = p + 1
+        lo = p + 1
+    return -1
+
+
+def window_around(text: str, lo: int, mid: int, hi: int, window: int = WINDOW_CHARS) -> tuple[int, int]:
+    """[start, end) around mid, each side grown until it ends at a cut point or at the part's end."""
+    start = end = -1
+    size = window
+    while start < 0:
+        start = _last_cut_point(text, max(lo, mid - size), mid)
+        if start < 0 and mid - size <= lo:
+            start = lo
+        size *= 2
+    size = window
+    while end < 0:
+        end = _first_cut_point(text, mid, min(hi, mid + size))
+        if end < 0 and mid + size >= hi:
+            end = hi
+        size *= 2
+    return start, end
 
 
 def join(enc: Encoder, text: str, lo: int, mid: int, hi: int, left: np.ndarray, right: np.ndarray, window: int = WINDOW_CHARS) -> np.ndarray:
     """Tokens of text[lo:hi] from those of text[lo:mid] and text[mid:hi]."""
-    while True:
-        start = _cut_point_before(text, lo, max(lo, mid - window))
-        end = _cut_point_after(text, min(hi, mid + window), hi)
-        keep = _tokens_of(enc, left[::-1], len(text[start:mid].encode()))
-        drop = _tokens_of(enc, right, len(text[mid:end].encode()))
-        if keep >= 0 and drop >= 0:
-            again = np.asarray(enc.encode(text[start:end]), dtype=np.int32)
-            return np.concatenate([left[: len(left) - keep], again, right[drop:]])
-        window *= 2  # never after a real cut point; a guard that costs a comparison
+    start, end = window_around(text, lo, mid, hi, window)
+    if start == end:
+        return np.concatenate([left, right])
+    keep = _tokens_of(enc, left[::-1], len(text[start:mid].encode()))
+    drop = _tokens_of(enc, right, len(text[mid:end].encode()))
+    again = np.asarray(enc.encode(text[start:end]), dtype=np.int32)
+    return np.concatenate([left[: len(left) - keep], again, right[drop:]])
 
 
 def _tokens_of(enc: Encoder, ids: np.ndarray, n_bytes: int) -> int:
-    """How many of the first ids make up exactly n_bytes; -1 if a token lies across that place."""
+    """How many of the first ids make up n_bytes, which end at a token's end, as a cut point does."""
     if n_bytes == 0:
         return 0
-    take = ids[: n_bytes + 1]
-    ends = np.cumsum(enc.byte_lengths[take])
+    ends = np.cumsum(enc.byte_lengths[ids[:n_bytes]])
     k = int(np.searchsorted(ends, n_bytes))
-    return k + 1 if k < len(ends) and ends[k] == n_bytes else -1
+    if k == len(ends) or ends[k] != n_bytes:
+        raise AssertionError("a token lies across a cut point")
+    return k + 1
 
 
 def encode_tree(enc: Encoder, text: str, leaf: int = LEAF_CHARS) -> np.ndarray:
@@ -95,14 +110,9 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             parts: list = []
             offsets = np.zeros(b.num_rows + 1, dtype=np.int32)
             for i, text in enumerate(b.column(1).to_pylist()):
-                if not text:
-                    ids = []
-                elif len(text) <= leaf_chars:
-                    ids = enc.encode(text)
-                else:
-                    ids = encode_tree(enc, text, leaf_chars)
+                ids = encode_tree(enc, text or "", leaf_chars)
                 offsets[i + 1] = offsets[i] + len(ids)
-                parts.append(np.asarray(ids, dtype=np.int32))
+                parts.append(ids)
             values = np.concatenate(parts) if parts else np.zeros(0, np.int32)
             ids_column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)).cast(kind)
             yield pa.RecordBatch.from_arrays([b.column(0), ids_column], names=[id_col, "ids"])

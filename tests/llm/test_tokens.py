@@ -32,6 +32,15 @@ def test_tree_of_joins(text, leaf):
     assert e.encoding.decode(ids) == text
 
 
+def test_windows_grow_only_to_a_cut_point():
+    text = "aaa " * 50 + "x" * 300 + " bbb" * 50
+    assert E.window_around(text, 0, 202, len(text)) == (199, 500)  # inside the long word: to its ends
+    assert E.window_around(text, 0, 42, len(text)) == (39, 43)
+    assert E.window_around(text, 0, 43, len(text)) == (43, 43)  # at a cut point: the halves are only set side by side
+    assert E.window_around("x" * 900, 0, 450, 900) == (0, 900)  # no cut point: both halves whole
+    assert E.window_around(" " * 900, 0, 450, 900) == (0, 900)
+
+
 def test_corpus(spark):
     rows = [(1, "Hello <|endoftext|> world", "x", 1), (2, None, "x", 1), (3, "", "x", 1), (4, "dlouhé slovo " * 5000, "x", 1), (4, "again", "x", 1), (None, "null id", "x", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, k string, ids int")
