@@ -1,9 +1,10 @@
 """Problem 1: oversized texts cut at natural boundaries, by dynamic programming.
 
-A cut lies at the end of a paragraph, line, sentence or word, or, where a stretch has none of these,
-between two characters. The piece after a cut begins up to `overlap` characters before it, at a word
-start. Over all cuts of a text, the programme takes the ones with the least sum of cut penalties and
-of squared deviations from equal sizes, no piece being longer than the limit.
+A cut lies at the end of a paragraph, line, sentence or word. Where such ends lie too far apart for any
+piece, a cut may also lie between two characters as they are seen (never between a letter and its
+marks), or, if even these are too far apart, between any two. The piece after a cut begins up to `overlap`
+characters before it, at a word start. Over all cuts of a text, the programme takes the ones with the
+least sum of cut penalties and of squared deviations from equal sizes, no piece being longer than the limit.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,21 +25,16 @@ OVERLAP = 150
 PENALTY = {"paragraph": 0.0, "line": 0.08, "sentence": 0.15, "word": 0.8, "character": 6.0}
 
 _SPACE = re.compile(r"\s+")
+#: A character as it is seen: a letter with its marks, a joined emoji.
+_SEEN = regex.compile(r"\X")
 _SENTENCE = re.compile(r"[.!?…][\"'’”“»)\]]*$")
 
 PIECES = "item_kind STRING, item_id STRING, pos INT, pieces ARRAY<STRUCT<start: INT, end: INT, text: STRING>>"
 
 
 def boundaries(text: str, limit: int, overlap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ends of possible pieces in order (0 and the text's length among them), their penalties, and word starts.
-
-    Word ends are offered only where the stronger ends lie more than half a piece apart, and ends
-    between characters only where the word ends do.
-    """
-    strong: list[int] = [0]
-    cost = {0: 0.0}
-    words: list[int] = []
-    starts: list[int] = []
+    """All ends of possible pieces in order (0 and the text's length among them), their penalties, and all starts."""
+    ends, cost, starts = [0], [0.0], []
     for m in _SPACE.finditer(text):
         at, nxt = m.start(), m.end()
         if nxt < len(text):
@@ -53,39 +50,32 @@ def boundaries(text: str, limit: int, overlap: int) -> tuple[np.ndarray, np.ndar
         elif _SENTENCE.search(text, max(0, at - 4), at) and not (text[nxt].islower() or text[nxt].isdigit()):
             kind = "sentence"
         else:
-            words.append(at)
-            continue
-        strong.append(at)
-        cost[at] = PENALTY[kind]
-    strong.append(len(text))
-    cost[len(text)] = 0.0
-    reach = max(1, (limit - overlap) // 2)
-    at_words = np.asarray(words, dtype=np.int64)
-
-    def filled(points: list[int], between) -> list[int]:
-        out = [points[0]]
-        for a, b in zip(points, points[1:]):
-            if b - a > reach:
-                out += between(a, b)
-            out.append(b)
-        return out
-
-    def some_words(a: int, b: int) -> list[int]:
-        found = at_words[np.searchsorted(at_words, a, "right") : np.searchsorted(at_words, b)].tolist()
-        cost.update((x, PENALTY["word"]) for x in found)
-        return found
-
-    def characters(a: int, b: int) -> list[int]:
-        found = list(range(a + max(1, reach // 2), b, max(1, reach // 2)))
-        cost.update((x, PENALTY["character"]) for x in found)
-        return found
-
-    ends = filled(filled(strong, some_words), characters)
-    return np.asarray(ends, dtype=np.int64), np.asarray([cost[e] for e in ends]), np.asarray(starts, dtype=np.int64)
+            kind = "word"
+        ends.append(at)
+        cost.append(PENALTY[kind])
+    ends.append(len(text))
+    cost.append(0.0)
+    ends, cost = np.asarray(ends, dtype=np.int64), np.asarray(cost)
+    step = limit - overlap
+    if (np.diff(ends) > step).any():
+        more: list[int] = []
+        for i in np.nonzero(np.diff(ends) > step)[0]:
+            lo, hi = int(ends[i]), int(ends[i + 1])
+            seen = [lo, *(m.start() for m in _SEEN.finditer(text, lo, hi) if m.start() > lo), hi]
+            for x, y in zip(seen, seen[1:]):  # a letter with more marks than a piece holds is cut anywhere
+                more += range(x + 1, y) if y - x > step else ()
+            more += seen[1:-1]
+            starts += seen[1:-1]
+        ends = np.concatenate([ends, more]).astype(np.int64)
+        cost = np.concatenate([cost, np.full(len(more), PENALTY["character"])])
+        order = np.argsort(ends, kind="stable")
+        ends, cost = ends[order], cost[order]
+        starts.sort()
+    return ends, cost, np.asarray(starts, dtype=np.int64)
 
 
 def next_starts(ends: np.ndarray, starts: np.ndarray, overlap: int) -> np.ndarray:
-    """Where the piece after each end begins: the first word start in the last `overlap` characters.
+    """Where the piece after each end begins: the first start in the last `overlap` characters.
 
     In a stretch without one it begins exactly `overlap` characters before the end.
     """

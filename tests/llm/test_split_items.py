@@ -59,6 +59,24 @@ def test_text_without_ends_is_cut_between_characters():
     check(" " * 5000, 1200, 150)
 
 
+def test_letters_keep_their_marks():
+    import regex
+
+    for unit in ("e\u0301", "\U0001f469\u200d\U0001f680", "\U0001f1e8\U0001f1ff"):
+        text = unit * 900
+        whole = {m.start() for m in regex.finditer(r"\X", text)} | {len(text)}
+        assert all(s in whole and e in whole for s, e in check(text, 1200, 150))
+    check("e" + "\u0301" * 5000 + " end", 1200, 150)  # a letter larger than any piece
+
+
+def test_every_word_end_is_offered():
+    text = "One sentence here. " + "w " * 300
+    ends, _, _ = S.boundaries(text, 60, 10)
+    assert len(ends) == 2 + 3 + 299  # both ends of the text, three in the sentence, one after each w but the last
+    ends, _, _ = S.boundaries("x" * 50 + " " + "y" * 80, 60, 10)
+    assert ends.tolist() == [0, 50, *range(52, 131)]
+
+
 def test_overlap_must_be_under_the_limit():
     with pytest.raises(ValueError):
         S.split("abc", 10, 10)
