@@ -74,7 +74,7 @@ def test_every_word_end_is_offered():
     ends, _, _ = S.boundaries(text, 60, 10)
     assert len(ends) == 2 + 3 + 299  # both ends of the text, three in the sentence, one after each w but the last
     ends, _, _ = S.boundaries("x" * 50 + " " + "y" * 80, 60, 10)
-    assert ends.tolist() == [0, 50, *range(52, 131)]
+    assert ends.tolist() == [0, 50, *range(51, 132)]
 
 
 def test_overlap_must_be_under_the_limit():
