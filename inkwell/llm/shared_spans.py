@@ -1,16 +1,19 @@
 """Problem 2: stretches of text that stand letter for letter in more than one record.
 
-1. Recurring phrases are confirmed. Of every SPAN-character window of a text, the PHRASE characters
+1. Recurring passages are confirmed. Of every SPAN-character window of a text, the PHRASE characters
    with the least hash are its anchor (winnowing). Equal windows have equal anchors, so a phrase that
-   is an anchor in one record only can't lie in a shared window as its anchor; the others recur.
-2. Windows are laid around the phrases. Those that step 1 placed in up to 2,000 texts go into one
-   Aho-Corasick automaton, which finds them again in these texts only. It adds nothing to the result, as
-   step 1 has the anchor of every shared window; documents without a place pass through no automaton.
-3. Exactly. The SPAN-character windows around these places are compared over all records by two
-   hashes of 96 bits together; those of more than one record are shared, and their union is the result.
+   is an anchor in one record only can't lie in a shared window as its anchor; the others recur. Each
+   recurring phrase is taken from one record, its first; phrases of one stretch of one such record are a
+   family, and families are spread over shards by hash.
+2. The phrases of a shard are compiled into an Aho-Corasick automaton, and documents are streamed through
+   it: each through those of all shards whose families its own fingerprints name. Step 1 keeps no place of
+   a document but those that the phrases are cut from: where phrases occur, only the automata find.
+3. The SPAN-character windows around the occurrences are compared over all records by 128 bits of hash,
+   and then letter by letter with the record they were found equal to. The union of what is equal is the result.
 
 Steps 1 and 3 ask the same of a key: does it occur in two records? A task first answers from its own
-rows and passes on two rows of a key; a key in a third of all records is then two rows per batch.
+rows and passes on two rows of a key; a key in a third of all records is then two rows per batch, and a
+family of its own in each batch.
 """
 
 from __future__ import annotations
@@ -23,12 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.llm.bitmaps import Bitmap
+from inkwell.session import written
+
 SPAN = 200
 PHRASE = 100
 #: Characters that are hashed at once; longer texts are taken in overlapping parts.
 _PART = 200_000
 _MUL = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_ROWS = "k1 BIGINT, k2 INT, rec BIGINT, lo INT, hi INT"
+#: Phrases of an automaton, about so many at most: some 60 bytes a character of them.
+SHARD_PHRASES = 20_000
+#: Characters of a record whose phrases are one family.
+_FAMILY = 100_000
+#: An open question about a key (to < 0), or an answer; prec and pat are the partner's record and place.
+_ROWS = "k1 BIGINT, k2 BIGINT, rec BIGINT, at BIGINT, to BIGINT, prec BIGINT, pat BIGINT"
 
 
 @functools.lru_cache(maxsize=4)
@@ -122,169 +133,231 @@ def find_anchors(texts: list[str | None], span: int, phrase: int) -> Iterator[tu
         yield rows, at - begin[which] + np.array([o for _, o, _ in group])[which], h[at]
 
 
-def _own_answer(k1: np.ndarray, k2: np.ndarray, rec: np.ndarray, lo: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Of one batch: (rec, lo) of keys seen in two records, and (k1, k2, rec, lo) rows to pass on.
+def _rows(n: int, k1=0, k2=0, rec=0, at=0, to=-1, prec=0, pat=0) -> pa.RecordBatch:
+    columns = [pa.array(np.broadcast_to(np.asarray(x, np.int64), n)) for x in (k1, k2, rec, at, to, prec, pat)]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _ROWS.split(", ")])
+
+
+class Keyed:
+    """Rows (k1, k2, rec, at) in this order, and which of them have a key of two records."""
+
+    def __init__(self, k1: np.ndarray, k2: np.ndarray, rec: np.ndarray, at: np.ndarray, in_order: bool = False):
+        if not in_order:
+            order = np.lexsort((at, rec, k2, k1))
+            k1, k2, rec, at = k1[order], k2[order], rec[order], at[order]
+        self.k1, self.k2, self.rec, self.at = k1, k2, rec, at
+        n = len(k1)
+        new = np.ones(n, bool)
+        new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
+        self.first = np.nonzero(new)[0]  # of each key
+        self.last = np.append(self.first[1:], n) - 1
+        key = np.cumsum(new) - 1
+        other = np.zeros(n, bool)
+        other[1:] = ~new[1:] & (rec[1:] != rec[:-1])
+        second = np.full(len(self.first), -1)  # the key's first row of another record
+        found = np.nonzero(other)[0][::-1]
+        second[key[found]] = found
+        self.head = self.first[key]
+        self.shared = second[key] >= 0
+        self.partner = np.where(rec != rec[self.head], self.head, second[key])
+        self.passed_on = ~self.shared | new
+        self.passed_on[self.last] = True  # the key's last row is of another record than its first
+
+
+def _families(rec: np.ndarray, at: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mixed(rec.view(np.uint64) + ((at & 0xFFFFFFFF) // _FAMILY).astype(np.uint64) * np.uint64(_MUL[0])).view(np.int64)
 
-    A key seen in one record passes all its rows on, a key seen in two records a row of each of two of
-    them: another batch may hold a state of one of them only, and must still learn that there are two.
-    """
-    order = np.lexsort((lo, rec, k2, k1))
-    k1, k2, rec, lo = k1[order], k2[order], rec[order], lo[order]
-    new = np.ones(len(k1), bool)
-    new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-    first = np.nonzero(new)[0]
-    last = np.append(first[1:], len(k1)) - 1
-    twice = rec[first] != rec[last]
-    shared = np.repeat(twice, last - first + 1)
-    on = ~shared | new
-    on[last] = True  # sorted by rec, so a shared key's last row is of another record than its first
-    return [rec[shared], lo[shared]], [k1[on], k2[on], rec[on], lo[on]]
-
-
-def _intervals(rec: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rec, first, last) of the runs of consecutive places."""
-    order = np.lexsort((lo, rec))
-    rec, lo = rec[order], lo[order]
+
+def _routes(rec: np.ndarray, frec: np.ndarray, fat: np.ndarray) -> pa.RecordBatch:
+    """Answers of step 1: rec belongs to the family prec; to = 1: the phrase at `at` of rec is the family's."""
+    family = _families(frec, fat)
+    own = np.unique(np.stack([frec, fat, family]), axis=1)
+    member = np.unique(np.stack([rec, family]), axis=1)
+    spread = np.concatenate([member[0], own[0]])
+    n, m = member.shape[1], own.shape[1]
+    return _rows(n + m, k1=spread, rec=spread, at=np.concatenate([np.zeros(n, np.int64), own[1]]), to=np.repeat([0, 1], [n, m]), prec=np.concatenate([member[1], own[2]]))
+
+
+def _stretches(rec: np.ndarray, at: np.ndarray, prec: np.ndarray, pat: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(rec, first place, last place, prec, pat of the first) of runs of consecutive places with consecutive partners."""
+    order = np.lexsort((at, at - pat, prec, rec))
+    rec, at, prec, pat = rec[order], at[order], prec[order], pat[order]
     new = np.ones(len(rec), bool)
-    new[1:] = (rec[1:] != rec[:-1]) | (lo[1:] > lo[:-1] + 1)
+    new[1:] = (rec[1:] != rec[:-1]) | (prec[1:] != prec[:-1]) | (at[1:] - pat[1:] != at[:-1] - pat[:-1]) | (at[1:] > at[:-1] + 1)
     first = np.nonzero(new)[0]
     last = np.append(first[1:], len(rec)) - 1
-    return (rec[first], lo[first], lo[last]) if len(rec) else (rec, lo, lo)
-
-
-def _rows(k1, k2, rec, lo, hi) -> pa.RecordBatch:
-    kinds = (("k1", np.int64), ("k2", np.int32), ("rec", np.int64), ("lo", np.int32), ("hi", np.int32))
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x).astype(t)) for x, (_, t) in zip((k1, k2, rec, lo, hi), kinds)], names=[n for n, _ in kinds])
+    return (rec[first], at[first], at[last], prec[first], pat[first]) if len(rec) else (rec, at, at, prec, pat)
 
 
-def _answered(k1: np.ndarray, k2: np.ndarray, rec: np.ndarray, lo: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of _ROWS. hi < 0: an open question about a key; else an answer, under a key that spreads."""
-    shared, on = _own_answer(k1, k2, rec, lo)
-    r, a, b = _intervals(*shared)
-    if len(r):
-        yield _rows(r ^ (a * 0x9E3779B1), np.zeros(len(r), int), r, a, b)
-    if len(on[0]):
-        yield _rows(*on, np.full(len(on[0]), -1))
+def _same_letters(a: str, lo: int, hi: int, b: str, plo: int, span: int) -> list[tuple[int, int]]:
+    """[first, last] runs of the windows lo to hi of a that are, letter by letter, those of b from plo on."""
+    if a[lo : hi + span] == b[plo : plo + hi - lo + span]:
+        return [(lo, hi)]
+    same = [i for i in range(lo, hi + 1) if a[i : i + span] == b[plo + i - lo : plo + i - lo + span]]  # two texts of one hash
+    return [(i, i) for i in same]
 
 
-def in_two_records(rows: DataFrame) -> DataFrame:
-    """(rec, lo, hi) of the rows of _ROWS that are answers, or whose key occurs in two records.
+def in_two_records(rows: DataFrame, what: str) -> DataFrame:
+    """Answers (rec, at, to, prec, pat): those among the rows, and of the keys that occur in two records.
 
+    what is 'routes' (step 1) or 'windows' (step 3; of windows found here, to is their last place and
+    prec, pat the partner they are to be compared with; those compared already have to and no partner).
     Each partition is read in the order of its keys; what is kept is the rows of one key and record.
     """
-    sorted_rows = rows.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "rec")
+    sorted_rows = rows.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "rec", "at")
+
+    def found(rec, at, frec, fat, prec, pat) -> pa.RecordBatch:
+        if what == "routes":
+            return _routes(rec, frec, fat)
+        r, lo, hi, p, plo = _stretches(rec, at, prec, pat)
+        return _rows(len(r), rec=r, at=lo, to=hi, prec=p, pat=plo)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None  # the last key's rows, all of one record
-        proven: tuple | None = None  # the last key, where two records of it were seen
+        proven: tuple | None = None  # the last key, where two records of it were seen, and its first row
         for b in batches:
-            k1, k2, rec, lo, hi = (b.column(i).to_numpy() for i in range(5))
-            answer = hi >= 0
+            columns = [b.column(i).to_numpy() for i in range(7)]
+            answer = columns[4] >= 0
             if answer.any():
-                yield _out(rec[answer], lo[answer], hi[answer])
-                k1, k2, rec, lo = (x[~answer] for x in (k1, k2, rec, lo))
-            if not len(k1):
-                continue
-            if proven:
+                yield _rows(int(answer.sum()), *[x[answer] for x in columns])
+            k1, k2, rec, at = (x[~answer] for x in columns[:4])
+            if proven and len(k1):
                 same = (k1 == proven[0]) & (k2 == proven[1])
                 if same.any():
-                    yield _out(rec[same], lo[same], lo[same])
-                    k1, k2, rec, lo = (x[~same] for x in (k1, k2, rec, lo))
-                    if not len(k1):
-                        continue
-                proven = None
+                    frec, fat = np.full(int(same.sum()), proven[2]), np.full(int(same.sum()), proven[3])
+                    yield found(rec[same], at[same], frec, fat, frec, fat)
+                    k1, k2, rec, at = (x[~same] for x in (k1, k2, rec, at))
+                if len(k1):
+                    proven = None
+            if not len(k1):
+                continue
             if held is not None:
-                k1, k2, rec, lo = (np.concatenate([x, y]) for x, y in zip(held, (k1, k2, rec, lo)))
+                k1, k2, rec, at = (np.concatenate([x, y]) for x, y in zip(held, (k1, k2, rec, at)))
                 held = None
-            new = np.ones(len(k1), bool)
-            new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
-            first = np.nonzero(new)[0]
-            last = np.append(first[1:], len(k1)) - 1
-            twice = rec[first] != rec[last]
-            shared = np.repeat(twice, last - first + 1)
-            if shared.any():
-                yield _out(rec[shared], lo[shared], lo[shared])
-            if twice[-1]:
-                proven = (k1[-1], k2[-1])
+            k = Keyed(k1, k2, rec, at, True)
+            s = k.shared
+            if s.any():
+                yield found(rec[s], at[s], rec[k.head[s]], at[k.head[s]], rec[k.partner[s]], at[k.partner[s]])
+            start = k.first[-1]
+            if s[-1]:
+                proven = (k1[-1], k2[-1], rec[start], at[start])
             else:
-                held = [x[first[-1] :].copy() for x in (k1, k2, rec, lo)]
-
-    def _out(rec, lo, hi) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(rec), pa.array(lo), pa.array(hi)], names=["rec", "lo", "hi"])
+                held = [x[start:].copy() for x in (k1, k2, rec, at)]
 
-    return sorted_rows.mapInArrow(run, "rec BIGINT, lo INT, hi INT")
+    return sorted_rows.mapInArrow(run, _ROWS).select("rec", "at", "to", "prec", "pat")
 
 
-def shared_windows(records: DataFrame, id_col: str, text_col: str, version: str | None, span: int = SPAN, phrase: int = PHRASE) -> DataFrame:
+def shared_windows(records: DataFrame, id_col: str, text_col: str, version: str | None, span: int = SPAN, phrase: int = PHRASE, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
     """(rec, lo, hi): the starts, lo to hi, of windows of `span` characters that another record has too.
 
     rec is the 64-bit hash of the record's id.
     """
+    spark = records.sparkSession
     v = F.col(version) if version else F.lit(0)
-    base = records.where(F.col(id_col).isNotNull() & (F.length(text_col) >= span)).select(F.xxhash64(id_col).alias("rec"), F.col(text_col).alias("t"))
+    states = records.where(F.col(id_col).isNotNull()).select(F.xxhash64(id_col).alias("rec"), v.alias("v"), F.col(text_col).alias("t"), F.hash(text_col).bitwiseAND(F.lit(0x7FFFFFFF)).cast("bigint").alias("state"))
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy()
             found = list(find_anchors(b.column(1).to_pylist(), span, phrase))
             if found:
                 rows, at, h = (np.concatenate(x) for x in zip(*found))
-                yield from _answered(h.view(np.int64), np.zeros(len(h), int), ids[rows], at)
+                ids, state = b.column(0).to_numpy()[rows], b.column(2).to_numpy()[rows]
+                h = h.view(np.int64)
+                k = Keyed(h, np.zeros(len(h), np.int64), ids, (state << 32) | at)
+                s = k.shared
+                if s.any():
+                    yield _routes(k.rec[s], k.rec[k.head[s]], k.at[k.head[s]])
+                on = k.passed_on
+                yield _rows(int(on.sum()), k.k1[on], 0, k.rec[on], k.at[on])
+
+    # all states are fingerprinted, as a phrase too many does no harm; documents are the latest ones only
+    routes = written(in_two_records(states.where(F.length("t") >= span).select("rec", "t", "state").mapInArrow(phrases, _ROWS), "routes").select("rec", "at", "to", F.col("prec").alias("family")).distinct(), "routes")
+    n = routes.agg(F.sum("to")).first()[0]
+    if not n:
+        return spark.createDataFrame([], "rec BIGINT, lo INT, hi INT")
+    shards = max(spark.sparkContext.defaultParallelism, -(-n // shard_phrases))
+    shard = F.pmod(F.xxhash64("family"), F.lit(shards)).cast("int")
+    named = routes.groupBy("rec").agg(F.collect_set(shard).alias("shards"), F.collect_set(F.when(F.col("to") == 1, F.struct(shard.alias("shard"), "at"))).alias("phrases"))
+    recs = routes.select("rec").distinct()
+    held = Bitmap.of(recs, "rec", recs.count())
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(held.has(b.column(0).to_numpy())))
 
-    recurring = in_two_records(base.mapInArrow(phrases, _ROWS))
-    places = recurring.groupBy("rec").agg(F.collect_set(F.struct("lo", "hi")).alias("places"))
-    # all states are fingerprinted, as a phrase too many does no harm; from here on only the latest counts
-    states = records.where(F.col(id_col).isNotNull()).select(F.xxhash64(id_col).alias("rec"), v.alias("v"), F.col(text_col).alias("t"))
-    mine = states.join(places, "rec")
+    near = states.mapInArrow(routed, states.schema).join(named, "rec")
     newest = Window.partitionBy("rec").orderBy(F.col("v").desc_nulls_last(), F.xxhash64("t").desc())
-    mine = mine.withColumn("n", F.row_number().over(newest)).where((F.col("n") == 1) & (F.length("t") >= span))
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    near = written(near.withColumn("latest", F.row_number().over(newest) == 1).where(F.length("t") >= span).drop("v"), "routed")
+    cut_out = F.filter("phrases", lambda p: F.shiftright(p["at"], 32) == F.col("state"))
+    of_phrase = F.substring(F.col("t"), (F.col("p.at").bitwiseAND(F.lit(0xFFFFFFFF)) + 1).cast("int"), F.lit(phrase))
+    patterns = near.select("t", F.explode(cut_out).alias("p")).select(F.col("p.shard").alias("shard"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("rec"), of_phrase.alias("t"))
+    docs = near.where("latest").select(F.explode("shards").alias("shard"), F.lit(1).alias("kind"), "rec", "t")
+    stream = patterns.unionByName(docs).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    answers = in_two_records(stream.mapInArrow(lambda batches: _windows(batches, span, phrase), _ROWS), "windows")
+    answers = written(answers, "windows")
+    texts = near.where("latest").select("rec", "t")
+    open_ones = answers.where("prec IS NOT NULL AND pat >= 0").join(texts, "rec").withColumnRenamed("t", "a").join(texts.select(F.col("rec").alias("prec"), F.col("t").alias("b")), "prec")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, texts, spots = b.column(0).to_numpy(), b.column(1).to_pylist(), b.column(2).to_pylist()
-            found = []
-            for lo in range(0, len(texts), 2000):
-                found += _windows_of(texts[lo : lo + 2000], spots[lo : lo + 2000], ids[lo : lo + 2000], span, phrase)
-            if found:
-                k1, k2, rec, at = (np.concatenate(x) for x in zip(*found))
-                yield from _answered(k1, k2, rec, at)
+            rows = [(r["rec"], lo, hi) for r in b.to_pylist() for lo, hi in _same_letters(r["a"], r["at"], r["to"], r["b"], r["pat"], span)]
+            rec, lo, hi = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(rec, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], names=["rec", "lo", "hi"])
 
-    return in_two_records(mine.select("rec", "t", "places").mapInArrow(windows, _ROWS))
+    done = answers.where("pat < 0").select("rec", F.col("at").cast("int").alias("lo"), F.col("to").cast("int").alias("hi"))
+    return done.unionByName(open_ones.select("rec", "at", "to", "pat", "a", "b").mapInArrow(compared, "rec BIGINT, lo INT, hi INT"))
 
 
-def _windows_of(texts: list[str], spots: list[list[dict]], ids: np.ndarray, span: int, phrase: int) -> list[tuple]:
-    """Keys of the windows around each place where the shard's automaton finds a recurring phrase."""
+def _windows(batches: Iterator[pa.RecordBatch], span: int, phrase: int) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, kind, rec, t), the phrases of a shard before its documents, to rows of _ROWS."""
     import ahocorasick
 
-    shard = ahocorasick.Automaton()
-    for t, places in zip(texts, spots):
-        for s in places:
-            for at in range(s["lo"], s["hi"] + 1):
-                if at + phrase <= len(t):
-                    shard.add_word(t[at : at + phrase], True)
-    if not len(shard):
-        return []
-    shard.make_automaton()
-    out = []
-    for t, rec in zip(texts, ids):
-        ends = np.fromiter((e for e, _ in shard.iter(t)), dtype=np.int64)
-        if not len(ends):
-            continue
-        at = ends - phrase + 1
-        first, last = np.maximum(at - (span - phrase), 0), np.minimum(at, len(t) - span)
-        ok = first <= last
-        if not ok.any():
+    shard, automaton, ready = None, None, False
+    for b in batches:
+        found, texts = [], {}
+        for s, kind, rec, t in zip(*[c.to_pylist() for c in b.columns]):
+            if s != shard:
+                shard, automaton, ready = s, ahocorasick.Automaton(), False
+            if kind == 0:
+                automaton.add_word(t, True)
+                continue
+            if not len(automaton):
+                continue
+            if not ready:
+                automaton.make_automaton()
+                ready = True
+            ends = np.fromiter((e for e, _ in automaton.iter(t)), dtype=np.int64)
+            if len(ends):
+                texts[rec] = t
+                found += _around(t, ends - phrase + 1, rec, span, phrase)
+        if not found:
             continue
-        mark = np.zeros(len(t) + 1, np.int32)
-        np.add.at(mark, first[ok], 1)
-        np.add.at(mark, last[ok] + 1, -1)
-        starts = np.nonzero(np.cumsum(mark)[:-1] > 0)[0]
-        # hash only from the first to the last window
-        lo = int(starts[0])
-        codes = codes_of(t[lo : int(starts[-1]) + span]).astype(np.uint64)
-        a, c = gram_hashes(codes, span), gram_hashes(codes, span, 1)
-        pick = starts - lo
-        out.append((a[pick].view(np.int64), (c[pick] >> np.uint64(33)).astype(np.int64), np.full(len(pick), rec, np.int64), starts))
+        k = Keyed(*[np.concatenate(x) for x in zip(*found)])
+        s = k.shared
+        if s.any():
+            same = [(r, x, y) for r, lo, hi, p, plo in zip(*[x.tolist() for x in _stretches(k.rec[s], k.at[s], k.rec[k.partner[s]], k.at[k.partner[s]])]) for x, y in _same_letters(texts[r], lo, hi, texts[p], plo, span)]
+            if same:
+                r, lo, hi = (np.array(x, dtype=np.int64) for x in zip(*same))
+                yield _rows(len(r), k1=r ^ (lo * 0x9E3779B1), rec=r, at=lo, to=hi, pat=-1)
+        on = k.passed_on
+        yield _rows(int(on.sum()), k.k1[on], k.k2[on], k.rec[on], k.at[on])
+
+
+def _around(t: str, at: np.ndarray, rec: int, span: int, phrase: int) -> list[tuple]:
+    """(k1, k2, rec, at) of the windows of t that hold one of the phrases at `at`, in runs."""
+    first, last = np.maximum(at - (span - phrase), 0), np.minimum(at, len(t) - span)
+    ok = first <= last
+    mark = np.zeros(len(t) + 1, np.int32)
+    np.add.at(mark, first[ok], 1)
+    np.add.at(mark, last[ok] + 1, -1)
+    inside = np.diff(np.concatenate([[0], (np.cumsum(mark) > 0).astype(np.int8), [0]]))
+    out = []
+    for lo, hi in zip(np.nonzero(inside > 0)[0].tolist(), np.nonzero(inside < 0)[0].tolist()):
+        for x in range(lo, hi, _PART):
+            y = min(hi, x + _PART)
+            codes = codes_of(t[x : y - 1 + span]).astype(np.uint64)
+            out.append((gram_hashes(codes, span).view(np.int64), gram_hashes(codes, span, 1).view(np.int64), np.full(y - x, rec, np.int64), np.arange(x, y)))
     return out
 
 

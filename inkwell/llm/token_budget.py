@@ -18,13 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.llm.bitmaps import Bitmap
 from inkwell.llm.tokenizing import TOKENIZER_DIR, encoder, fingerprint
 from inkwell.session import scratch_table
 from inkwell.sources.generations import Generations
 
 COUNTS_SCHEMA = "content STRING, tokenizer STRING, n_tokens BIGINT"
-#: Least and greatest size of the bitmap of contents to be encoded, as powers of two.
-MIN_BITS, MAX_BITS = 20, 27
 
 
 def content_hash(text: Column) -> Column:
@@ -57,24 +56,6 @@ def unseen_contents(snapshot: DataFrame, texts: Sequence[str], known: DataFrame,
     return contents.join(known.where(F.col("tokenizer") == fingerprint(tokenizer, folder)).select("content"), "content", "left_anti")
 
 
-def _places_of(h: np.ndarray, g: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two places of a content in a bitmap of 2^bits, by its two hashes."""
-    mask = np.int64((1 << bits) - 1)
-    return h & mask, g & mask
-
-
-def content_bitmap(contents: DataFrame, n: int) -> np.ndarray:
-    """A bitmap of 2^MIN_BITS to 2^MAX_BITS bits (16 MB) with two bits for each of about n contents."""
-    bits = min(MAX_BITS, max(MIN_BITS, int(n * 16).bit_length()))
-    halves = F.split("content", "-")
-    place = F.explode(F.array(*[F.conv(halves[i], 16, -10).cast("bigint").bitwiseAND(F.lit((1 << bits) - 1)) + 1 for i in (0, 1)])).alias("place")
-    parts = contents.select(place).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
-    held = np.zeros(1 << (bits - 3), np.uint8)
-    for part, bitmap in parts.collect():  # at most 2^(MAX_BITS - 15) rows of 4 KB
-        held[(part - 1) * 4096 : part * 4096] = np.frombuffer(bitmap, np.uint8)
-    return held
-
-
 def count_new(rows: DataFrame, texts: Sequence[str], unseen: DataFrame, tokenizer: str, folder: str = TOKENIZER_DIR, encoded=None) -> DataFrame:
     """Count rows (COUNTS_SCHEMA) of the contents in `unseen`, from whichever of the rows hold them.
 
@@ -82,9 +63,8 @@ def count_new(rows: DataFrame, texts: Sequence[str], unseen: DataFrame, tokenize
     the number of encoded texts is added to.
     """
     mark = fingerprint(tokenizer, folder)
-    n = unseen.count()
-    held = content_bitmap(unseen, n)
-    bits = len(held).bit_length() + 2
+    first = F.conv(F.element_at(F.split("content", "-"), 1), 16, -10).cast("bigint").alias("h")
+    held = Bitmap.of(unseen.select(first), "h", unseen.count())
     columns = [x for i, c in enumerate(texts) for x in (F.xxhash64(c).alias(f"h{i}"), F.xxhash64(F.lit(0x5BD1E995), c).alias(f"g{i}"), F.col(c).alias(f"t{i}"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,8 +73,7 @@ def count_new(rows: DataFrame, texts: Sequence[str], unseen: DataFrame, tokenize
             done: dict[str, int] = {}
             for i in range(len(texts)):
                 h, g, t = (b.column(3 * i + j) for j in range(3))
-                places = _places_of(h.to_numpy(), g.to_numpy(), bits)
-                wanted = np.logical_and(*[held[p >> 3] >> (p & 7).astype(np.uint8) & 1 for p in places]) & t.is_valid().to_numpy(zero_copy_only=False)
+                wanted = held.has(h.to_numpy()) & t.is_valid().to_numpy(zero_copy_only=False)
                 at = pa.array(np.nonzero(wanted)[0])
                 for x, y, text in zip(*[c.take(at).to_numpy().view(np.uint64).tolist() for c in (h, g)], t.take(at).to_pylist()):
                     content = f"{x:X}-{y:X}"

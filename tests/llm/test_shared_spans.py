@@ -95,3 +95,46 @@ def test_an_older_state_in_another_batch_at_another_offset(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert got == brute(texts, 20)
+
+
+def test_without_phrases_in_the_automata_nothing_is_found(spark):
+    rows = [("a", "x" + "0123456789" * 3, 1, "", ""), ("b", "0123456789" * 3 + "y", 1, "", "")]
+    assert found(spark, rows, 20, 8) == {("a", 1, 31), ("b", 0, 30)}
+    none = [r for r in S._windows(iter([pa_batch([(0, 1, 5, "0123456789" * 3), (0, 1, 6, "0123456789" * 3)])]), 20, 8)]
+    assert none == []  # documents of a shard without a phrase have no window
+    some = [r for r in S._windows(iter([pa_batch([(0, 0, 0, "01234567"), (0, 1, 5, "0123456789" * 3), (0, 1, 6, "0123456789" * 3)])]), 20, 8)]
+    assert sum(r.num_rows for r in some) > 0
+
+
+def pa_batch(rows):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["shard", "kind", "rec", "t"])
+
+
+def test_small_batches_and_many_shards(spark):
+    """Keys that go on over many batches and partitions, families of one phrase, partners in other shards."""
+    rng = random.Random(11)
+    hot = ["".join(rng.choice("abcdefgh ") for _ in range(45)) for _ in range(3)]
+    texts = {}
+    for n in range(150):
+        s = rng.choice(hot)
+        texts[f"k{n}"] = "".join(rng.choice("ijklmnop ") for _ in range(rng.randint(0, 30))) + s[rng.randint(0, 15) :] + rng.choice(["", s[:30]]) + "".join(rng.choice("qrstuv") for _ in range(9))
+    df = spark.createDataFrame([(k, t, 1) for k, t in texts.items()], "chunk_id string, text string, ingested_at int").repartition(7)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        hits = S.shared_windows(df, "chunk_id", "text", "ingested_at", 20, 8, shard_phrases=4)
+        got = {(r.rec, i) for r in hits.collect() for i in range(r.lo, r.hi + 1)}
+        names = {r.rec: r.chunk_id for r in df.selectExpr("xxhash64(chunk_id) AS rec", "chunk_id").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    owners = {}
+    for k, t in texts.items():
+        for i in range(len(t) - 19):
+            owners.setdefault(t[i : i + 20], set()).add((k, i))
+    assert {(names[r], i) for r, i in got} == {x for o in owners.values() if len({k for k, _ in o}) > 1 for x in o}
+
+
+def test_letters_decide_where_hashes_are_equal():
+    assert S._same_letters("abcdef", 0, 3, "zbcdez", 0, 3) == [(1, 1), (2, 2)]
+    assert S._same_letters("abcdef", 0, 3, "abcdef", 0, 3) == [(0, 3)]
