@@ -2,17 +2,20 @@
 
 The two halves of the unit vectors are quantised apart, with codebooks of `centroids` entries each
 trained on a bounded sample. Every vector is in the cell of its two nearest centroids. The index is a
-table in the shared folder, in directories by the first centroid and sorted by the second. A query
-visits cells in the order of the summed distance of their centroids to its halves, by a heap over the
-two sorted lists of distances (multi-sequence), until these hold enough candidates; the candidates are
-reranked by exact cosines in double precision. Queries of one cell are answered together over all cells
-that one of them visits, as a matrix product.
+table in the shared folder, in directories by the first centroid and sorted by the second. Queries of one
+cell are a block. A heap over the two sorted lists of distances (multi-sequence) gives cells in the order
+of the summed distance of their centroids to the block's halves, a centroid's distance to a block being
+that to the nearest query of it. Of these cells each query takes those nearest to itself by the same sum,
+until they hold enough candidates; so the heap runs once a block and the choice is every query's own. The
+block is answered over all cells that one of its queries took: cosines as a matrix product, the best of
+them reranked exactly in double precision.
 
 Equal vectors are one entry with its least ids, so that a vector of a third of all rows costs one query.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -25,11 +28,21 @@ from pyspark.sql import functions as F
 from inkwell.session import cut, scratch_table
 
 DIM = 64
-#: Vectors that the codebooks are trained on, at most about so many; all vectors are indexed.
+#: Vectors that the codebooks are trained on, about so many or 32 a centroid; all vectors are indexed.
 SAMPLE = 16_384
-#: Candidates that a query's cells must hold before it stops.
+#: Centroids of a half at most: 2^24 cells, for some 500 million vectors; beyond that cells grow.
+MOST_CENTROIDS = 4_096
+#: Candidates that a query's cells must hold, for up to GROWS_FROM vectors; for more of them the number
+#: grows with the fourth root of theirs.
 CANDIDATES = 1_500
-_TOGETHER = 96
+GROWS_FROM = 20_000
+#: The heap goes on until its cells hold so many times the candidates of a query.
+_STREAM = 16
+#: Queries of a block at most.
+_TOGETHER = 128
+#: An equal vector of more than so many ids, or of a thousandth of all, is joined in _SALTS parts.
+_HOT = 10_000
+_SALTS = 64
 _CACHE_BYTES = 160 << 20
 #: Row groups of about 1,500 vectors, so that a cell can be read without its neighbours.
 _WRITE = {"compression": "uncompressed", "parquet.block.size": 512 << 10, "parquet.enable.dictionary": "false"}
@@ -74,7 +87,7 @@ def distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (centres * centres).sum(1)[None] - 2 * points @ centres.T
 
 
-def visit(near: list[float], far: list[float], first: list[int], second: list[int], counts: list[list[int]], enough: int) -> list[tuple[int, int]]:
+def visit(near: list[float], far: list[float], first: list[int], second: list[int], counts: np.ndarray, enough: int) -> list[tuple[int, int]]:
     """Cells in order of near[a] + far[b], both ascending, until they hold `enough`; empty ones left out.
 
     first and second give the centroids at the places of near and far. Each pair enters the heap once:
@@ -96,6 +109,13 @@ def visit(near: list[float], far: list[float], first: list[int], second: list[in
     return found
 
 
+def taken(sums: np.ndarray, sizes: np.ndarray, enough: int) -> np.ndarray:
+    """Numbers of the cells that a query takes: by its own sums (a row of sums), until they hold `enough`."""
+    order = sums.argsort(1, kind="stable")
+    size = sizes[order]
+    return np.unique(order[size.cumsum(1) - size < enough])
+
+
 class Cells:
     """The index's cells in a worker: row groups of its directories, the last used ones up to a number of bytes.
 
@@ -107,6 +127,8 @@ class Cells:
     def __init__(self, uri: str, keep: int = _CACHE_BYTES):
         from pyarrow import fs
 
+        self.reading = None  # an accumulator that the bytes of loaded row groups are added to
+
         self.fs, self.root = fs.FileSystem.from_uri(uri)
         self.keep = keep
         self.files: dict[int, list[tuple]] = {}
@@ -142,7 +164,10 @@ class Cells:
         inverse = (1 / np.sqrt((raw.astype(np.float64) ** 2).sum(1))).astype(np.float32)
         one = (t["b"].to_numpy(), raw, inverse, t["ids"].combine_chunks(), t["k1"].to_numpy(), t["k2"].to_numpy())
         self.held[key] = one
-        self.bytes += sum(x.nbytes for x in one)
+        size = sum(x.nbytes for x in one)
+        self.bytes += size
+        if self.reading is not None:
+            self.reading.add(size)
         while self.bytes > self.keep and len(self.held) > 1:
             _, old = self.held.popitem(last=False)
             self.bytes -= sum(x.nbytes for x in old)
@@ -160,6 +185,12 @@ class Cells:
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def cells_of(uri: str) -> Cells:
+    """One per Python worker, for all its tasks over one index."""
+    return Cells(uri)
+
+
 def near_order(centres: np.ndarray) -> np.ndarray:
     """Centroids along a chain that goes on to the nearest one not yet taken."""
     left = list(range(1, len(centres)))
@@ -196,13 +227,14 @@ def answer(queries: np.ndarray, parts: list[tuple], take: int) -> list[list[str]
     return out
 
 
-def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_col: str = "embedding", version: str | None = "embedded_at", dim: int = DIM, centroids: int | None = None, candidates: int = CANDIDATES, sample: int = SAMPLE) -> DataFrame:
+def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_col: str = "embedding", version: str | None = "embedded_at", dim: int = DIM, centroids: int | None = None, candidates: int | None = None, sample: int = SAMPLE, reading=None) -> DataFrame:
     """(id, rank, neighbour): up to k other ids with the most similar valid vectors, for every valid one.
 
     Cosines are in double precision, rounded to 9 decimals; equal ones are ordered by id. Invalid
     vectors (see is_valid) and null ids have no part; rows of one id are one vector, the one of the
     greatest version. With fewer than k + 1 ids there are fewer neighbours; no vectors give no rows.
-    The number of centroids, if not given, grows with the square root of the number of vectors.
+    The number of centroids, if not given, grows with the square root of the number of vectors, that of
+    the candidates with its fourth root.
     """
     spark = vectors.sparkSession
     v = F.col(version) if version else F.lit(0)
@@ -218,12 +250,13 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
     if several:
         data = data.join(members.where("several").select("id", F.col("k1").alias("m1"), F.col("k2").alias("m2")), "id", "left")
         data = data.where("m1 IS NULL OR (k1 = m1 AND k2 = m2)")
-    chance = min(1.0, sample / n)
+    size = centroids or int(min(MOST_CENTROIDS, max(4, 2 ** round(np.log2(max(1.0, n / 28)) / 2))))
+    enough = candidates or int(CANDIDATES * max(1.0, n / GROWS_FROM) ** 0.25)
+    chance = min(1.0, max(sample, 32 * size) / n)
     drawn = data.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1_000_000)) < int(chance * 1_000_000) + 1).select("vec").toArrow()
     if not len(drawn):
         drawn = data.select("vec").limit(1).toArrow()
     points = unit(drawn["vec"].combine_chunks().flatten().to_numpy().reshape(-1, dim))[1]
-    size = centroids or int(min(512, max(4, 2 ** round(np.log2(max(1.0, n / 28)) / 2))))
     half = dim // 2
     books = [near_order(codebook(points[:, :half], size)), near_order(codebook(points[:, half:], size, seed=6))]
 
@@ -246,7 +279,9 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
     fields = "a INT, b INT, k1 BIGINT, k2 BIGINT, vec BINARY, ids ARRAY<STRING>"
     parts = data.select("id", "k1", "k2", "vec").mapInArrow(assign, fields)
     # equal vectors are in one cell and next to each other; their rows, one a batch, become one entry
-    sorted_parts = parts.repartition("a", F.expr("b div 8")).sortWithinPartitions("a", "b", "k1", "k2")
+    # a first centroid's cells are cut into as many groups as keep all tasks busy, so files stay few
+    groups = -(-4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // size)
+    sorted_parts = parts.repartition("a", F.floor(F.col("b") / -(-size // groups))).sortWithinPartitions("a", "b", "k1", "k2")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list | None = None
@@ -273,13 +308,13 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
     uri = scratch_table(spark, "multi-index")
     sorted_parts.mapInArrow(unite, fields).write.options(**_WRITE).partitionBy("a").parquet(uri)
     counted = spark.read.parquet(uri).groupBy("a", "b").count().collect()
-    counts = [[0] * len(books[1]) for _ in books[0]]
+    counts = np.zeros((len(books[0]), len(books[1])), np.int32)
     for a, b, c in counted:
-        counts[a][b] = c
-    total = sum(map(sum, counts))
+        counts[a, b] = c
+    total = int(counts.sum())
     most = max(500, total // 20_000)
     # slices (a, b, begin, end) of cells, and units of about `most` queries in neighbouring cells
-    slices = [(a, b, lo, min(lo + most, n)) for a, row in enumerate(counts) for b, n in enumerate(row) for lo in range(0, n, most)]
+    slices = [(a, b, lo, min(lo + most, c)) for a, b in np.argwhere(counts).tolist() for c in (int(counts[a, b]),) for lo in range(0, c, most)]
     units: list[list[tuple]] = []
     room = 0
     for x in slices:
@@ -292,7 +327,8 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
     tasks = min(len(units), max(spark.sparkContext.defaultParallelism * 3, len(units) // 64))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Cells(uri)
+        index = cells_of(uri)
+        index.reading = reading
         for batch in batches:
             for u in batch.column(0).to_pylist():
                 keys: list[np.ndarray] = []
@@ -305,17 +341,23 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
                         q = raw[at : at + _TOGETHER]
                         points = unit(q)[1]
                         d = [distances(points[:, :half], books[0]), distances(points[:, half:], books[1])]
-                        order = [x.argsort(1) for x in d]
-                        near, far = (np.take_along_axis(x, o, 1).tolist() for x, o in zip(d, order))
-                        lists = [o.tolist() for o in order]
-                        cells = {c for x in range(len(q)) for c in visit(near[x], far[x], lists[0][x], lists[1][x], counts, candidates)}
-                        found += answer(q, [p for c in sorted(cells) for p in index.get(*c)], k + 1)
+                        least = [x.min(0) for x in d]
+                        order = [x.argsort() for x in least]
+                        cells = np.array(visit(*[x[o].tolist() for x, o in zip(least, order)], order[0].tolist(), order[1].tolist(), counts, _STREAM * enough))
+                        cells = cells[taken(d[0][:, cells[:, 0]] + d[1][:, cells[:, 1]], counts[cells[:, 0], cells[:, 1]], enough)]
+                        found += answer(q, [p for c in sorted(cells.tolist()) for p in index.get(*c)], k + 1)
                 k1, k2 = np.concatenate(keys, axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(found, pa.list_(pa.string()))], names=["k1", "k2", "best"])
 
     best = spark.range(0, len(units), 1, tasks).mapInArrow(search, "k1 BIGINT, k2 BIGINT, best ARRAY<STRING>")
+    own = members.select("id", "k1", "k2")
+    hot = [r[0] for r in own.groupBy("k1", "k2").count().where(F.col("count") > max(_HOT, n // 1000)).select("k1").collect()]  # at most 1,000
+    if hot:
+        salted = F.col("k1").isin(hot)
+        own = own.withColumn("salt", F.when(salted, F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int")).otherwise(0))
+        best = best.withColumn("salt", F.explode(F.when(salted, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))))
     # the planner takes the result of a range for small, whatever it grows to: no broadcast
-    own = members.select("id", "k1", "k2").join(best.hint("merge"), ["k1", "k2"])
+    own = own.join(best.hint("merge"), ["k1", "k2", "salt"] if hot else ["k1", "k2"])
     others = F.slice(F.filter("best", lambda x: x != F.col("id")), 1, k)
     return own.select(F.col("id").alias(id_col), F.posexplode(others).alias("rank", "neighbour")).select(id_col, (F.col("rank") + 1).alias("rank"), "neighbour")
 
