@@ -9,6 +9,8 @@ decides a document. A task does so with its own rows in one pass and leaves at m
 of each source; these few fly together, and the last two of a source land where its total comes nearest.
 Two long documents may still be far from it. So a bounded number of ordinary documents of each source,
 drawn by hash, flies last: their probabilities first take up what the landing of the others left.
+
+Which documents are drawn depends on how the rows lie in the tasks; shares, caps and expectations don't.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ import random
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +28,9 @@ from inkwell.llm.tokenizing import TOKENIZER_DIR, encoder
 from inkwell.session import cut
 
 _EPS = 1e-9
-#: The sources and their shares are a configuration, kept on the driver up to this many.
-MAX_SOURCES = 100_000
-#: About so many documents of a source fly last, if none is longer than LAST_LENGTH times the mean.
+#: The sources and their shares are a configuration, which the driver knows; up to so many names are broadcast.
+MOST_BROADCAST = 100_000
+#: Documents of a source that fly last: about so many, of those no longer than LAST_LENGTH times its mean.
 LAST_UNITS = 400
 LAST_LENGTH = 3
 
@@ -145,15 +146,13 @@ def mix(docs: DataFrame, mix_targets: DataFrame, total_tokens: float | None = No
     their own. No documents or no targets give no rows. A source listed twice is an error.
     """
     spark = docs.sparkSession
-    listed = mix_targets.where("source IS NOT NULL").select("source", "target_share", "max_repeats").limit(MAX_SOURCES + 1).collect()
-    if len(listed) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    listed = mix_targets.where("source IS NOT NULL").select("source", "target_share", "max_repeats").collect()
     targets = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in listed}
     if len(targets) < len(listed):
         raise ValueError("a source is listed twice")
     names = spark.createDataFrame([(s,) for s in targets], "source STRING")
-    # at most MAX_SOURCES names: texts stay where they are read, however large a source is
-    mine = docs.join(F.broadcast(names), "source", "left_semi") if targets else docs.where("false")
+    # with the names broadcast texts stay where they are read, however large a source is
+    mine = docs.join(F.broadcast(names) if len(targets) <= MOST_BROADCAST else names, "source", "left_semi") if targets else docs.where("false")
     counted = cut(count_tokens(mine, id_col, text_col, tokenizer, folder).where("tokens > 0"))
     sizes = {r[0]: (int(r[1]), int(r[2])) for r in counted.groupBy("source").agg(F.sum("tokens"), F.count(F.lit(1))).collect()}
     sums = {s: n for s, (n, _) in sizes.items()}
@@ -161,63 +160,65 @@ def mix(docs: DataFrame, mix_targets: DataFrame, total_tokens: float | None = No
     kind = counted.schema["id"].dataType.simpleString()
     out = f"id {kind}, source STRING, tokens BIGINT, p DOUBLE, open BOOLEAN, last BOOLEAN, base INT"
 
-    def fly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows():
-            for b in batches:
-                yield from zip(b["id"], b["source"], b["tokens"])
+    columns = ["id", "source", "tokens", "p", "open", "last", "base"]
+
+    def rows_of(units: list[list], key: pa.DataType, is_open: bool, is_last: bool = False) -> pa.RecordBatch:
+        """Units [p, tokens, id, source, base] as rows."""
+        n = len(units)
+        arrays = [pa.array([u[2] for u in units], key), pa.array([u[3] for u in units], pa.string()), pa.array([u[1] for u in units], pa.int64()), pa.array([float(u[0]) for u in units], pa.float64()),
+                  pa.array([is_open] * n, pa.bool_()), pa.array([is_last] * n, pa.bool_()), pa.array([u[4] for u in units], pa.int32())]
+        return pa.RecordBatch.from_arrays(arrays, names=columns)
 
+    def fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         rngs: dict[str, random.Random] = {}
         done: list[list] = []
         last: list[list] = []
-        for key, source, n in rows():
-            rate = rates.get(source, 0.0)
-            base = int(rate + _EPS)
-            p = max(0.0, rate - base)
-            total, count = sizes[source]
-            if p < _EPS:
-                done.append([0.0, n, key, source, base])
-            elif n <= LAST_LENGTH * total / count and zlib.crc32(f"{seed}/{key}".encode()) < (1 << 32) * LAST_UNITS / count:
-                last.append([p, n, key, source, base])
-            else:
-                rng = rngs.setdefault(source, random.Random(f"{seed}/{source}/{key}"))
-                mine = held.setdefault(source, [])
-                mine.append([p, n, key, source, base])
-                if len(mine) == 3:
-                    decided = list(flight(iter(mine), rng))
-                    held[source] = [u for u in decided if _EPS < u[0] < 1 - _EPS]
-                    done += [u for u in decided if not _EPS < u[0] < 1 - _EPS]
+        key_type = None
+        for b in batches:
+            key_type = b.schema.field(0).type
+            for key, source, n in zip(*[b.column(i).to_pylist() for i in range(3)]):
+                rate = rates.get(source, 0.0)
+                base = int(rate + _EPS)
+                p = max(0.0, rate - base)
+                total, count = sizes[source]
+                if p < _EPS:
+                    done.append([0.0, n, key, source, base])
+                elif n <= LAST_LENGTH * total / count and zlib.crc32(f"{seed}/{key}".encode()) < (1 << 32) * LAST_UNITS / count:
+                    last.append([p, n, key, source, base])
+                else:
+                    rng = rngs.setdefault(source, random.Random(f"{seed}/{source}/{key}"))
+                    mine = held.setdefault(source, [])
+                    mine.append([p, n, key, source, base])
+                    if len(mine) == 3:
+                        decided = list(flight(iter(mine), rng))
+                        held[source] = [u for u in decided if _EPS < u[0] < 1 - _EPS]
+                        done += [u for u in decided if not _EPS < u[0] < 1 - _EPS]
             if len(done) >= 20_000:
-                yield frame(done, False)
+                yield rows_of(done, key_type, False)
                 done = []
-        yield frame(done, False)
-        yield frame([u for x in held.values() for u in x], True)
-        yield frame(last, True, True)
-
-    def frame(units: list[list], is_open: bool, is_last: bool = False) -> pd.DataFrame:
-        return pd.DataFrame({"id": [u[2] for u in units], "source": [u[3] for u in units], "tokens": [u[1] for u in units], "p": [float(u[0]) for u in units], "open": is_open, "last": is_last, "base": [u[4] for u in units]})
-
-    def land(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["last", "id", "tokens"]).reset_index(drop=True)
-        rng = random.Random(f"{seed}/{group['source'].iloc[0]}")
-        units = [[p, n, i] for i, (p, n) in enumerate(zip(group["p"], group["tokens"]))]
-        wanted = sum(p * n for p, n, _ in units)
-        n_first = int((~group["last"]).sum())
-        first, last = units[:n_first], units[n_first:]
-        settle(first, sum(p * n for p, n, _ in first), rng)
-        missing = wanted - sum(p * n for p, n, _ in first)
+        if key_type is not None:
+            yield rows_of(done, key_type, False)
+            yield rows_of([u for x in held.values() for u in x], key_type, True)
+            yield rows_of(last, key_type, True, True)
+
+    def land(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: (r["last"], str(r["id"]), r["tokens"]))
+        rng = random.Random(f"{seed}/{rows[0]['source']}")
+        units = [[r["p"], r["tokens"], r["id"], r["source"], r["base"]] for r in rows]
+        wanted = sum(u[0] * u[1] for u in units)
+        first, last = ([u for u, r in zip(units, rows) if r["last"] is is_last] for is_last in (False, True))
+        settle(first, sum(u[0] * u[1] for u in first), rng)
+        missing = wanted - sum(u[0] * u[1] for u in first)
         if first and last:
-            shift = (missing - sum(p * n for p, n, _ in last)) / sum(n for _, n, _ in last)
+            shift = (missing - sum(u[0] * u[1] for u in last)) / sum(u[1] for u in last)
             for u in last:
                 u[0] = min(1.0, max(0.0, u[0] + shift))
         settle(last, missing, rng)
-        final = first + last
-        for u in final:
-            group.loc[u[2], "p"] = round(u[0])
-        return group.assign(open=False)
+        return pa.Table.from_batches([rows_of(first + last, group.schema.field("id").type, False)])
 
-    flown = cut(counted.mapInPandas(fly, out))
-    landed = flown.where("open").groupBy("source").applyInPandas(land, out)
+    flown = cut(counted.mapInArrow(fly, out))
+    landed = flown.where("open").groupBy("source").applyInArrow(land, out)
     return flown.where("NOT open").unionByName(landed).select(F.col("id").alias(id_col), "source", "tokens", (F.col("base") + F.round("p").cast("int")).alias("copies"))
 
 

@@ -173,3 +173,12 @@ def test_a_scarce_source_keeps_its_share():
     t, n = {"a": (0.95, 1), "tiny": (0.03, 1), "nowhere": (0.02, 1)}, {"a": 50_000, "tiny": 760}
     r = M.source_rates(t, n, None, inspect.signature(M.mix).parameters["give_up"].default)
     assert r["tiny"] == 1 and abs(r["a"] * n["a"] / n["tiny"] - 0.95 / 0.03) < 1e-6
+
+
+def test_mixture_of_few_documents(spark):
+    """One, two or three documents, string ids, repeated rows, a source with a null share."""
+    targets = spark.createDataFrame([("a", 0.6, 2), ("b", 0.4, 1), ("c", None, None)], "source string, target_share double, max_repeats int")
+    for docs in ([("x1", "one", "a")], [("x1", "one two", "a"), ("x2", "three", "b")], [("x1", "one two", "a"), ("x1", "one two", "a"), ("x3", "three four five six", "b"), ("x4", "t", "c")], [(None, "one two", "a"), ("x", "y " * 500, "a")]):
+        rows = M.mix(spark.createDataFrame(docs, "doc_id string, text string, source string"), targets).collect()
+        assert len(rows) == len(docs)
+        assert all(0 <= r.copies <= {"a": 2, "b": 1, "c": 0}[r.source] for r in rows)
