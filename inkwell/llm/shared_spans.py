@@ -12,8 +12,8 @@
    and then letter by letter with the record they were found equal to. The union of what is equal is the result.
 
 Steps 1 and 3 ask the same of a key: does it occur in two records? A task first answers from its own
-rows and passes on two rows of a key; a key in a third of all records is then two rows per batch, and a
-family of its own in each batch.
+rows and passes on one row of a key it has answered; a key in a third of all records is then one row per
+batch, and a family of its own in each batch.
 """
 
 from __future__ import annotations
@@ -150,7 +150,6 @@ class Keyed:
         new = np.ones(n, bool)
         new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
         self.first = np.nonzero(new)[0]  # of each key
-        self.last = np.append(self.first[1:], n) - 1
         key = np.cumsum(new) - 1
         other = np.zeros(n, bool)
         other[1:] = ~new[1:] & (rec[1:] != rec[:-1])
@@ -160,8 +159,8 @@ class Keyed:
         self.head = self.first[key]
         self.shared = second[key] >= 0
         self.partner = np.where(rec != rec[self.head], self.head, second[key])
+        # of a key answered here one row: another task that has it in one record only must learn that there are two
         self.passed_on = ~self.shared | new
-        self.passed_on[self.last] = True  # the key's last row is of another record than its first
 
 
 def _families(rec: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -297,7 +296,12 @@ def shared_windows(records: DataFrame, id_col: str, text_col: str, version: str
     answers = in_two_records(stream.mapInArrow(lambda batches: _windows(batches, span, phrase), _ROWS), "windows")
     answers = written(answers, "windows")
     texts = near.where("latest").select("rec", "t")
-    open_ones = answers.where("prec IS NOT NULL AND pat >= 0").join(texts, "rec").withColumnRenamed("t", "a").join(texts.select(F.col("rec").alias("prec"), F.col("t").alias("b")), "prec")
+    # windows answered one by one become stretches again before any text is joined
+    along = Window.partitionBy("rec", "prec", "shift").orderBy("at")
+    apart = answers.where("pat >= 0").withColumn("shift", F.col("at") - F.col("pat"))
+    apart = apart.withColumn("new", F.when(F.col("at") <= F.lag("to").over(along) + 1, 0).otherwise(1)).withColumn("run", F.sum("new").over(along))
+    stretches = apart.groupBy("rec", "prec", "shift", "run").agg(F.min("at").alias("at"), F.max("to").alias("to")).withColumn("pat", F.col("at") - F.col("shift"))
+    open_ones = stretches.join(texts, "rec").withColumnRenamed("t", "a").join(texts.select(F.col("rec").alias("prec"), F.col("t").alias("b")), "prec")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
