@@ -4,8 +4,8 @@ A text is cut into segments (sentences and lines). What is quoted and what is a
 masked first, so that texts on such things show only the mask; slots of template languages become one
 token. A segment's features are its words, pairs and triples, hashed, with its length, that of the
 document, and whether it stands alone, first, last, or as the document's title. Weights come from a
-logistic regression with an L2 penalty. Its labels are weak: phrases and slots, and response status
-codes at the begin or end of a segment. A document is a case if one of its segments scores over the
+logistic regression with an L2 penalty. Its labels are weak: phrases and slots, response status codes at
+the begin or end of a segment, and segments made of the words that labelled filler is made of. A document is a case if one of its segments scores over the
 threshold. Training sees a bounded sample; the sources (hosts) of a fifth of it are held out to
 validate. All documents are scored, whole.
 """
@@ -23,15 +23,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from inkwell.session import shared_dir
+from inkwell.sources.generations import Generations
+
 #: Documents that segments for training are taken from, about so many at most.
 SAMPLE_DOCS = 10_000
 #: One in so many unlabelled segments of these is a negative example, and every one of up to three words.
 NEGATIVES = 5
 BITS = 19
+#: Least share that a word's filler segments have of all its segments, for it to be a word of filler.
+FILLER_SHARE = 0.05
 #: Log-odds over which a segment is residue; both classes have equal weight in training, where residue is rare.
 THRESHOLD = 1.5
 
-_QUOTED = re.compile(r"„[^“”\n]{0,240}[“”]|«[^»\n]{0,240}»|“[^”\n]{0,240}”|`[^`\n]{0,240}`|\"[^\"\n]{0,240}\"")
+#: Quotations close in their line, however long they are.
+_QUOTED = re.compile(r"„[^“”\n]*[“”]|«[^»\n]*»|“[^”\n]*”|`[^`\n]*`|\"[^\"\n]*\"")
 _CODE = re.compile(
     r"<noscript\b[^>]*>.*?</noscript>|<script\b[^>]*>.*?</script>|<div\b[^>]*>\s*</div>|<(\w+)>\s*\{\{[^}\n]*\}\}\s*</\1>"
     r"|\b(?:GET|POST|PUT) /\S* -> \d+|\braise \w+\([^)\n]*\)|\bprint\([^)\n]*\)|\bfor \w+ in \w+\(\d*\):|\becho \"[^\"\n]*\"(?: >> \S+)?|\b\w+ = f?\"[^\"\n]*\"",
@@ -48,19 +54,26 @@ _SPECIAL_TOKENS = re.compile(r"<\|\w+\|>|</?s>|<unk>|<br/?>|[​‌‍⁠﻿­\x
 _BREAK = " ␤ "
 _ENDS = (".", "!", "?", "…")
 
-#: Phrases of weak labels in the languages of the archive (cs, en, de, fr), by kind; matched on masked segments.
+#: Phrases of weak labels in the languages of the archive (cs, en, de, fr), by kind; matched on masked
+#: segments in small letters, without commas, colons and semicolons.
 PHRASES = {
-    "filler": r"lorem ipsum|\b(bla|blah|text|texte|probe|sazba|asdf|testing) \1\b|\bfiller copy\b|\bsample paragraph\b|\bonly to show the column\b|výplňový text|ukázkový odstavec|zkušební sazba|jen pro tvar odstavce"
-    r"|\bblindtext\b|\bmusterabsatz\b|nur text für das auge|faux texte|paragraphe d.exemple|mots pour remplir",
-    "instruction": r"\bgoes here\b|\binsert [\w ]{2,30} here\b|\byour \w+ here\b|\btext to follow\b|\bdummy (caption|text)\b|\btk tk\b|\bxxx \w+ xxx\b|sem vložte|sem přijde|zde napište|zde bude text|doplnit \w+ \w+|\bhier \w+ einfügen|text folgt"
-    r"|platzhalter für|blindüberschrift|bitte ergänzen|texte à venir|insérer [\w ]{2,30} ici|votre \w+ ici|à compléter|nom de l.auteur \?",
-    "error": r"page not found|internal server error|access denied|bad gateway|too many requests|service temporarily unavailable|session has expired|no longer exists|not available on this machine|try again later|return to the front page"
-    r"|establishing a database connection|upstream \w+ timed out|traceback \(most recent|^keyerror|fatal error: |warning: undefined|illegalstateexception|^ora-\d|^at \w+\.\w+\.|^file ⟨q⟩ line"
-    r"|stránka nebyla nalezena|chyba serveru|přístup odepřen|relace vypršela|dočasně mimo provoz|databáze neodpovídá|článek už neexistuje|zkuste to prosím později|zkontrolujte adresu"
-    r"|seite nicht gefunden|interner serverfehler|zugriff verweigert|sitzung ist abgelaufen|vorübergehend nicht erreichbar|leider nicht mehr verfügbar|versuchen sie es später|prüfen sie die adresse|zu viele anfragen"
-    r"|page introuvable|erreur interne du serveur|accès refusé|trop de requêtes|session a expiré|momentanément indisponible|article n.existe plus|veuillez réessayer|vérifiez l.adresse",
-    "scripts": r"enable javascript to|javascript is disabled|does not run scripts|needs active scripting|turn on scripts to|zapněte javascript|vyžaduje povolené skripty|nespouští skripty|^bez skriptů se"
-    r"|aktivieren sie javascript|benötigt javascript|ohne aktivierte skripte|führt keine skripte|activer javascript pour|exécute pas les scripts|exige des scripts actifs|sans javascript",
+    "filler": r"lorem ipsum|\b(bla|blah|text|texte|probe|sazba|asdf|testing) \1\b|\bfiller (copy|text)\b|\bsample paragraph\b|\bonly to show the column\b|výplňový text|ukázkový odstavec|zkušební sazba|jen pro tvar odstavce"
+    r"|\bblindtext\b|\bfülltext\b|\bmustertext\b|\bmusterabsatz\b|nur text für das auge|faux texte|texte factice|texte de remplissage|paragraphe d.exemple|mots pour remplir",
+    "instruction": r"\bgoes here\b|\binsert (?:[\w⟨⟩.'’-]+ )+here\b|\byour \w+ here\b|\b(?:add|enter|type) (?:your|the|a) (?:\w+ )+here\b|\bclick (?:here )?to (?:add|edit)\b|\btext to follow\b|\bdummy (caption|text)\b|\btk tk\b|\bxxx \w+ xxx\b"
+    r"|sem vložte|sem přijde|sem napište|sem doplňte|zde napište|zde doplňte|zde bude text|klikněte pro (?:úpravu|přidání)|doplnit \w+ \w+|\bhier (?:\w+ )+(?:einfügen|eingeben)|text folgt"
+    r"|platzhalter für|blindüberschrift|bitte ergänzen|zum bearbeiten klicken|texte à venir|insérer (?:[\w'’-]+ )+ici|votre \w+ ici|cliquez (?:ici )?pour (?:ajouter|modifier)|à compléter|nom de l.auteur \?",
+    "error": r"(?:page|file|url|document) (?:was )?not found|internal server error|access denied|permission denied|bad (?:gateway|request)|gateway timeout|gateway time.out|request timeout|too many requests|service (?:is )?(?:temporarily )?unavailable|session has expired|no longer exists"
+    r"|not available on this machine|try again later|return to the front page|you (?:do not|don.t) have permission|an (?:unexpected )?error (?:has )?occurred|something went wrong|connection (?:refused|timed out|was reset)|(?:down|closed) for maintenance"
+    r"|establishing a database connection|upstream \w+ timed out|traceback \(most recent|^keyerror|fatal error|parse error|syntax error|undefined (?:variable|index|offset|function|method|property)|call to (?:a member|undefined)|uncaught \w+|exception in thread|unhandled exception|stack trace"
+    r"|illegalstateexception|nullpointerexception|no such file or directory|segmentation fault|\bon line \d+$|^ora-\d|^at \w+\.\w+\.|^file ⟨q⟩ line"
+    r"|stránka nebyla nalezena|soubor nebyl nalezen|chyba serveru|přístup odepřen|relace vypršela|dočasně mimo provoz|databáze neodpovídá|článek už neexistuje|zkuste to prosím později|zkontrolujte adresu"
+    r"|časový limit|brána neodpověděla|chybná brána|neplatný požadavek|příliš mnoho požadavků|služba (?:je nedostupná|není dostupná)|došlo k (?:neočekávané )?chybě|nemáte oprávnění"
+    r"|seite nicht gefunden|datei nicht gefunden|interner serverfehler|zugriff verweigert|sitzung ist abgelaufen|vorübergehend nicht erreichbar|leider nicht mehr verfügbar|versuchen sie es später|prüfen sie die adresse|zu viele anfragen"
+    r"|zeitüberschreitung|fehlerhaftes gateway|ungültige anfrage|dienst nicht verfügbar|fehler ist aufgetreten|verbindung (?:abgelehnt|fehlgeschlagen)|keine berechtigung"
+    r"|page introuvable|fichier introuvable|erreur interne du serveur|accès refusé|trop de requêtes|session a expiré|momentanément indisponible|article n.existe plus|veuillez réessayer|vérifiez l.adresse"
+    r"|délai d.attente|délai dépassé|mauvaise passerelle|requête (?:incorrecte|invalide)|service indisponible|une erreur (?:est survenue|s.est produite)|vous n.avez pas l.autorisation",
+    "scripts": r"(?:enable|activate|allow) javascript to|javascript (?:is|must be) (?:disabled|required|enabled|turned off|turned on)|requires javascript|does not run scripts|needs active scripting|turn on scripts to|zapněte javascript|povolte javascript|vyžaduje (?:povolené skripty|javascript)|nespouští skripty|^bez skriptů se"
+    r"|aktivieren sie javascript|benötigt javascript|javascript ist deaktiviert|ohne aktivierte skripte|führt keine skripte|activer javascript pour|exécute pas les scripts|exige des scripts actifs|javascript est désactivé|sans javascript",
 }
 _PHRASE = re.compile("|".join(f"(?:{p})" for p in PHRASES.values()).replace(r"\1", r"(?:bla|blah|text|texte|probe|sazba|asdf|testing)"))
 #: Of these words each phrase holds one; a segment without any needs no search.
@@ -118,6 +131,8 @@ class Segments:
     of: np.ndarray  # the segment of each feature
     spans: np.ndarray  # [begin, end) in the documents' tokens
     line: np.ndarray
+    words: np.ndarray
+    of_word: np.ndarray  # the segment of each word
 
 
 def _hashed(*parts: np.ndarray) -> np.ndarray:
@@ -151,7 +166,7 @@ def segment(texts: list[list[str]], titles: list[str | None]) -> Segments:
     ids = np.array([_IDS[t] for ts in texts for t in ts], dtype=np.int64)
     if not len(ids):
         e = np.zeros(0, np.int64)
-        return Segments(e, e, e, e, np.zeros((0, 2), np.int64), e)
+        return Segments(e, e, e, e, np.zeros((0, 2), np.int64), e, e, e)
     doc = np.repeat(np.arange(len(texts)), sizes)
     words, ends = ids >> 1, (ids & 1).astype(bool)
     new = np.ones(len(ids), bool)
@@ -163,7 +178,7 @@ def segment(texts: list[list[str]], titles: list[str | None]) -> Segments:
     words, doc, seg = words[keep], doc[keep], seg[keep]
     if not len(words):
         e = np.zeros(0, np.int64)
-        return Segments(e, e, e, e, np.zeros((0, 2), np.int64), e)
+        return Segments(e, e, e, e, np.zeros((0, 2), np.int64), e, e, e)
     head = np.ones(len(seg), bool)
     head[1:] = seg[1:] != seg[:-1]
     begin = np.nonzero(head)[0]
@@ -189,7 +204,7 @@ def segment(texts: list[list[str]], titles: list[str | None]) -> Segments:
             (_hashed(np.full(n, 5), first_of_doc * 4 + last_of_doc * 2 + is_title), seg_ids),
         ]
     f, of = np.concatenate([x for x, _ in features]), np.concatenate([s for _, s in features])
-    return Segments(owner, begin, f, of, np.stack([place[begin], place[end - 1] + 1], 1), np.cumsum(~keep)[place[begin]])
+    return Segments(owner, begin, f, of, np.stack([place[begin], place[end - 1] + 1], 1), np.cumsum(~keep)[place[begin]], words, seg)
 
 
 def weak_label(words: str) -> bool:
@@ -201,15 +216,20 @@ def weak_label(words: str) -> bool:
     return bool(_STATUS.search(words))
 
 
-def spread_filler(labels: np.ndarray, said: list[str], s: Segments) -> None:
-    """Filler goes on to the end of its line: the label of its first words holds for what follows them."""
+def spread_filler(labels: np.ndarray, said: list[str], s: Segments) -> np.ndarray:
+    """Filler goes on to the end of its line: the label of its first words holds for what follows them.
+
+    Gives the segments that this holds for.
+    """
+    filler = np.zeros(len(said), bool)
     on = False
     for i, x in enumerate(said):
         if i and (s.doc[i] != s.doc[i - 1] or s.line[i] != s.line[i - 1]):
             on = False
         on = on or x.startswith("lorem ipsum")
-        if on:
-            labels[i] = True
+        filler[i] = on
+    labels |= filler
+    return filler
 
 
 def _words_of(ts: list[str], span: np.ndarray) -> str:
@@ -244,13 +264,22 @@ def fit(s_features: np.ndarray, s_of: np.ndarray, labels: np.ndarray, l2: float
     return Model(w.astype(np.float32), float(b))
 
 
-def _sampled(docs: DataFrame, id_col: str, text_col: str, sample_docs: int) -> DataFrame:
-    """(source, doc, label, segment features) of labelled segments; all positives, one in NEGATIVES of the rest."""
-    n = docs.count()
+_SAMPLED = "source STRING, label BOOLEAN, filler BOOLEAN, features ARRAY<INT>, words ARRAY<INT>"
+
+
+def _sampled(docs: DataFrame, n: int, id_col: str, text_col: str, sample_docs: int) -> DataFrame:
+    """_SAMPLED of labelled segments; all positives, one in NEGATIVES of the rest."""
     rate = min(1.0, sample_docs / max(n, 1))
     some = docs.where(F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(F.lit(8), F.col(id_col)), F.lit(1_000_000)) < int(rate * 1_000_000) + 1))
     data = some.select(F.coalesce(F.col("source"), F.lit("")).alias("source"), F.col(text_col).alias("t"), F.col("title").alias("title"))
 
+    def lists(values: np.ndarray, of: np.ndarray, n_segments: int, picked: np.ndarray) -> pa.Array:
+        order = np.argsort(of, kind="stable")
+        begins = np.searchsorted(of[order], np.arange(n_segments + 1))
+        parts = [values[order[begins[i] : begins[i + 1]]].astype(np.int32) for i in picked]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
@@ -261,17 +290,34 @@ def _sampled(docs: DataFrame, id_col: str, text_col: str, sample_docs: int) -> D
                     continue
                 said = [_words_of(texts[d], span - base) for d, span, base in zip(s.doc, s.spans, _bases(texts)[s.doc])]
                 labels = np.array([weak_label(x) for x in said])
-                spread_filler(labels, said, s)
+                filler = spread_filler(labels, said, s)
                 drawn = labels | (np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in said]) % NEGATIVES == 0) | (np.array([x.count(" ") for x in said]) < 3)
-                order = np.argsort(s.of, kind="stable")
-                begins = np.searchsorted(s.of[order], np.arange(len(s.doc) + 1))
                 picked = np.nonzero(drawn)[0]
-                lists = [s.features[order[begins[i] : begins[i + 1]]].astype(np.int32) for i in picked]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-                sources = part.column(0).take(pa.array(s.doc[picked]))
-                yield pa.RecordBatch.from_arrays([sources, pa.array(labels[picked]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int32)))], names=["source", "label", "features"])
+                words = lists(s.words.astype(np.uint32).view(np.int32), s.of_word, len(s.doc), picked)
+                columns = [part.column(0).take(pa.array(s.doc[picked])), pa.array(labels[picked]), pa.array(filler[picked]), lists(s.features, s.of, len(s.doc), picked), words]
+                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _SAMPLED.split(", ")])
+
+    return data.mapInArrow(run, _SAMPLED)
+
 
-    return data.mapInArrow(run, "source STRING, label BOOLEAN, features ARRAY<INT>")
+def filler_words(words: np.ndarray, of: np.ndarray, filler: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Words that belong to filler: in two of its segments at least, and in not many more of unlabelled ones.
+
+    Filler that doesn't begin with its well-known words consists of the same words, so these tell it.
+    """
+    def seen_in(segments: np.ndarray) -> dict[int, int]:
+        pairs = np.unique(np.stack([words[segments[of]], of[segments[of]]]), axis=1)
+        values, n = np.unique(pairs[0], return_counts=True)
+        return dict(zip(values.tolist(), n.tolist()))
+
+    other = seen_in(~labels)
+    return np.array([w for w, n in seen_in(filler).items() if n >= 2 and n >= FILLER_SHARE * (n + NEGATIVES * other.get(w, 0))], dtype=words.dtype)
+
+
+def like_filler(words: np.ndarray, of: np.ndarray, n: int, known: np.ndarray) -> np.ndarray:
+    """Segments of three words or more, three quarters of which are known words of filler."""
+    total = np.bincount(of, minlength=n)
+    return (total >= 3) & (np.bincount(of, np.isin(words, known), minlength=n) >= 0.75 * total)
 
 
 def _bases(texts: list[list[str]]) -> np.ndarray:
@@ -283,15 +329,21 @@ def held_out(source: str) -> bool:
     return zlib.crc32(source.encode()) % 5 == 0
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> tuple[Model | None, dict[str, float]]:
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values of all lists, number of the list of each)."""
+    lists = column.combine_chunks()
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+
+
+def train(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> tuple[Model | None, dict[str, float]]:
     """A model and its figures on the segments of unseen hosts; no model if no segment has a label."""
-    t = _sampled(docs, id_col, text_col, sample_docs).toArrow()
+    t = _sampled(docs, n, id_col, text_col, sample_docs).toArrow()
     if not len(t) or not any(t["label"].to_pylist()):
         return None, {}
-    lists = t["features"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
-    flat, of = lists.flatten().to_numpy(), np.repeat(np.arange(len(t)), sizes)
-    labels = t["label"].to_numpy().astype(bool)
+    flat, of = _flat(t["features"])
+    words, of_word = _flat(t["words"])
+    labels, filler = (t[c].to_numpy().astype(bool) for c in ("label", "filler"))
+    labels |= like_filler(words, of_word, len(labels), filler_words(words, of_word, filler, labels))
     out = np.array([held_out(s) for s in t["source"].to_pylist()])
     if not labels[~out].any():
         out[:] = False
@@ -305,6 +357,31 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return model, {"segments": float(seen.sum()), "labelled": float((labels & seen).sum()), "precision": both / max(1.0, float((hit & seen).sum())), "recall": both / max(1.0, float((labels & seen).sum()))}
 
 
+def model_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> tuple[Model | None, dict[str, float]]:
+    """The model of these documents: trained once, and kept in the shared folder under a fingerprint of them.
+
+    Queries of one session over the same documents share it.
+    """
+    spark = docs.sparkSession
+    row = F.xxhash64(F.col(id_col), F.col(text_col), F.col("title"), F.col("source"))
+    n, mark = docs.agg(F.count(F.lit(1)), F.bit_xor(row)).first()
+    kept = Generations(spark, f"{shared_dir(spark)}/residue-{n}-{(mark or 0) & (2**64 - 1):x}-{sample_docs}")
+    if not kept.last():
+        model, figures = train(docs, n, id_col, text_col, sample_docs)
+        if model is None:
+            return None, {}
+        at = np.nonzero(model.weights)[0]
+        columns = [pa.array(at.astype(np.int32)), pa.array(model.weights[at])]
+        weights = spark.createDataFrame(pa.Table.from_arrays(columns, names=["feature", "weight"]))
+        kept.write(1, weights=weights, figures=spark.createDataFrame([*figures.items(), ("bias", model.bias)], "metric STRING, value DOUBLE"))
+        kept.close(1)
+    figures = {r.metric: r.value for r in kept.read("figures", [1], "metric STRING, value DOUBLE").collect()}
+    t = kept.read("weights", [1], "feature INT, weight FLOAT").toArrow()  # at most 2^BITS rows
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[t["feature"].to_numpy()] = t["weight"].to_numpy()
+    return Model(weights, figures.pop("bias")), figures
+
+
 def classify(docs: DataFrame, flagged: bool, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
     """The documents that are cases (flagged) or are not: id and the columns of keep.
 
@@ -312,7 +389,7 @@ def classify(docs: DataFrame, flagged: bool, id_col: str = "doc_id", text_col: s
     text and title only. Very long texts are scored whole. If nothing in the sample has a weak label
     there are no cases; no rows give no rows.
     """
-    model, _ = train(docs, id_col, text_col, sample_docs)
+    model, _ = model_of(docs, id_col, text_col, sample_docs)
     columns = [F.col(id_col), *[F.col(c) for c in keep if c != id_col]]
     data = docs.select(F.struct(*columns).alias("row"), F.col(text_col).alias("t"), F.col("title").alias("title"))
     schema = T.StructType([T.StructField("row", data.schema["row"].dataType)])
@@ -332,5 +409,5 @@ def classify(docs: DataFrame, flagged: bool, id_col: str = "doc_id", text_col: s
 
 def validation(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(metric, value) on the segments of hosts that training didn't see."""
-    _, figures = train(docs, id_col, text_col)
+    _, figures = model_of(docs, id_col, text_col)
     return docs.sparkSession.createDataFrame(sorted(figures.items()), "metric STRING, value DOUBLE")
