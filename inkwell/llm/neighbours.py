@@ -15,8 +15,11 @@ Equal vectors are one entry with its least ids, so that a vector of a third of a
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import glob
 import heapq
+import os
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -37,9 +40,9 @@ MOST_CENTROIDS = 4_096
 CANDIDATES = 1_500
 GROWS_FROM = 20_000
 #: The heap goes on until its cells hold so many times the candidates of a query.
-_STREAM = 16
+_STREAM = 12
 #: Queries of a block at most.
-_TOGETHER = 128
+_TOGETHER = 64
 #: An equal vector of more than so many ids, or of a thousandth of all, is joined in _SALTS parts.
 _HOT = 10_000
 _SALTS = 64
@@ -111,7 +114,7 @@ def visit(near: list[float], far: list[float], first: list[int], second: list[in
 
 def taken(sums: np.ndarray, sizes: np.ndarray, enough: int) -> np.ndarray:
     """Numbers of the cells that a query takes: by its own sums (a row of sums), until they hold `enough`."""
-    order = sums.argsort(1, kind="stable")
+    order = sums.argsort(1)
     size = sizes[order]
     return np.unique(order[size.cumsum(1) - size < enough])
 
@@ -154,23 +157,27 @@ class Cells:
         return self.files[a]
 
     def _load(self, path: str, reader, group: int) -> tuple:
-        """(second centroids, vectors, 1 / their lengths, ids, keys)."""
+        """(second centroid -> begin and end, vectors, the same at length 1, ids, keys)."""
         key = (path, group)
         if key in self.held:
             self.held.move_to_end(key)
             return self.held[key]
         t = reader.read_row_group(group)
-        raw = np.frombuffer(b"".join(t["vec"].to_pylist()), dtype=np.float32).reshape(len(t), -1)
-        inverse = (1 / np.sqrt((raw.astype(np.float64) ** 2).sum(1))).astype(np.float32)
-        one = (t["b"].to_numpy(), raw, inverse, t["ids"].combine_chunks(), t["k1"].to_numpy(), t["k2"].to_numpy())
+        vec = t["vec"].combine_chunks()
+        begin = np.frombuffer(vec.buffers()[1], np.int32)[vec.offset]
+        width = len(vec[0].as_py())
+        raw = np.frombuffer(vec.buffers()[2], np.uint8)[begin : begin + width * len(vec)].view(np.float32).reshape(len(vec), -1)
+        seconds, first = np.unique(t["b"].to_numpy(), return_index=True)
+        spans = dict(zip(seconds.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(t)])))
+        one = (spans, raw, unit(raw)[1], t["ids"].combine_chunks(), t["k1"].to_numpy(), t["k2"].to_numpy())
         self.held[key] = one
-        size = sum(x.nbytes for x in one)
+        size = sum(x.nbytes for x in one[1:])
         self.bytes += size
         if self.reading is not None:
-            self.reading.add(size)
+            self.reading.add(size - one[2].nbytes)
         while self.bytes > self.keep and len(self.held) > 1:
             _, old = self.held.popitem(last=False)
-            self.bytes -= sum(x.nbytes for x in old)
+            self.bytes -= sum(x.nbytes for x in old[1:])
         return one
 
     def get(self, a: int, b: int) -> list[tuple]:
@@ -179,18 +186,28 @@ class Cells:
         for path, reader, group, least, most in self._groups(a):
             if least <= b <= most:
                 one = self._load(path, reader, group)
-                lo, hi = np.searchsorted(one[0], b), np.searchsorted(one[0], b, "right")
-                if lo < hi:
-                    out.append((one, int(lo), int(hi)))
+                if b in one[0]:
+                    out.append((one, *one[0][b]))
         return out
 
 
 @functools.lru_cache(maxsize=1)
 def cells_of(uri: str) -> Cells:
     """One per Python worker, for all its tasks over one index."""
+    _one_thread()
     return Cells(uri)
 
 
+def _one_thread() -> None:
+    """Products run on one thread: the cores have tasks of their own, and threads that wait would only spin."""
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), os.pardir, "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                return
+
+
 def near_order(centres: np.ndarray) -> np.ndarray:
     """Centroids along a chain that goes on to the nearest one not yet taken."""
     left = list(range(1, len(centres)))
@@ -201,23 +218,48 @@ def near_order(centres: np.ndarray) -> np.ndarray:
     return centres[chain]
 
 
+def near_best(values: np.ndarray, k: int, slack: float, width: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, columns), by row, of what may be among a row's k greatest values, or less than `slack` below.
+
+    The k-th greatest of the maxima of `width` columns each is a bound that the k-th greatest value
+    reaches; only in columns whose maximum reaches it are values looked at one by one.
+    """
+    n = values.shape[1]
+    whole = n // width
+    if whole < k:
+        bound = np.partition(values, n - min(k, n), axis=1)[:, n - min(k, n)] - slack
+        return np.nonzero(values >= bound[:, None])
+    parts = values[:, : whole * width].reshape(len(values), whole, width)
+    maxima = parts.max(2)
+    bound = np.partition(maxima, whole - k, axis=1)[:, whole - k] - slack
+    row, part = np.nonzero(maxima >= bound[:, None])
+    at, inner = np.nonzero(parts[row, part] >= bound[row, None])
+    more, rest = np.nonzero(values[:, whole * width :] >= bound[:, None])
+    rows, cols = np.concatenate([row[at], more]), np.concatenate([part[at] * width + inner, rest + whole * width])
+    order = rows.argsort(kind="stable")
+    return rows[order], cols[order]
+
+
 def answer(queries: np.ndarray, parts: list[tuple], take: int) -> list[list[str]]:
     """For each query the `take` best ids among the parts' entries: by cosine to 9 decimals, then by id."""
     wide, single = unit(queries)
-    raw = np.concatenate([g[1][lo:hi] for g, lo, hi in parts])
-    near = single @ raw.T
-    near *= np.concatenate([g[2][lo:hi] for g, lo, hi in parts])[None]
-    k = min(take, near.shape[1])
-    least = np.partition(near, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
-    rows, cols = np.nonzero(near >= (least - 4e-6)[:, None])
+    near = single @ np.concatenate([g[2][lo:hi] for g, lo, hi in parts]).T
+    rows, cols = near_best(near, take, 4e-6)
     wanted, inverse = np.unique(cols, return_inverse=True)
-    ends = np.cumsum([hi - lo for _, lo, hi in parts])
+    sizes = np.array([hi - lo for _, lo, hi in parts])
+    ends = np.cumsum(sizes)
     of = np.searchsorted(ends, wanted, "right")
-    ids: list[list[str]] = []
-    for p in np.unique(of):
-        g, lo, hi = parts[p]
-        ids += g[3].take(pa.array(wanted[of == p] - (ends[p] - (hi - lo)) + lo)).to_pylist()
-    cosine = np.round(np.einsum("ij,ij->i", wide[rows], unit(raw[wanted])[0][inverse]), 9)
+    groups = {id(g): g for g, _, _ in parts}
+    group_of = np.array([id(g) for g, _, _ in parts])[of]
+    places = wanted - (ends - sizes)[of] + np.array([lo for _, lo, _ in parts])[of]
+    ids: list = [None] * len(wanted)
+    raw = np.empty((len(wanted), queries.shape[1]), np.float32)
+    for key in np.unique(group_of).tolist():
+        mine = np.nonzero(group_of == key)[0]
+        raw[mine] = groups[key][1][places[mine]]
+        for x, names in zip(mine.tolist(), groups[key][3].take(pa.array(places[mine])).to_pylist()):
+            ids[x] = names
+    cosine = np.round(np.einsum("ij,ij->i", wide[rows], unit(raw)[0][inverse]), 9)
     begin = np.searchsorted(rows, np.arange(len(queries) + 1))
     cos, inv = (-cosine).tolist(), inverse.tolist()
     out = []
