@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.operators import chunking, evaluate, index, page_map, retrieval, typography
-from inkwell.plans import pipeline, profile
+from inkwell.plans import pipeline, publication
 from inkwell.session import get_spark
 from inkwell.sources import files, schemas
 
@@ -26,7 +26,7 @@ def _questions(spark: SparkSession, text: str, model: str) -> DataFrame:
 
 
 def _context(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
-    p = profile.get(a.profile)
+    p = publication.get(a.publication)
     chunks, corpus = _read(spark, a.chunks, schemas.CHUNKS), _read(spark, a.corpus, schemas.ARTICLES)
     q = _questions(spark, a.query, a.model)
     hits = retrieval.search(_read(spark, a.vectors, schemas.VECTORS), q, a.top_n)
@@ -34,9 +34,9 @@ def _context(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, Dat
 
 
 def run_all(spark, a):
-    p = profile.get(a.profile)
+    p = publication.get(a.publication)
     issues, skipped = files.find_issues(spark, a.input, p)
-    spans, errors = files.read_spans(issues, a.journal_name or p.journal_name or p.key)
+    spans, errors = files.read_spans(issues, a.journal_name or p.title or p.name)
     built = pipeline.build(spans, p, a.skip_first, a.skip_last)
     for name in ("blocks", "toc", "labels", "articles", "chunks", "unresolved"):
         files.write_table(getattr(built, name), f"{a.output}/{name}")
@@ -45,7 +45,7 @@ def run_all(spark, a):
 
 
 def build_chunks(spark, a):
-    out = chunking.chunk_articles(_read(spark, a.input, schemas.ARTICLES), profile.get(a.profile), None, a.skip_first, a.skip_last)
+    out = chunking.chunk_articles(_read(spark, a.input, schemas.ARTICLES), publication.get(a.publication), None, a.skip_first, a.skip_last)
     out.write.mode("overwrite").parquet(a.output)
     evaluate.counts_by(spark.read.parquet(a.output), "chunk_type").show()
 
@@ -67,7 +67,7 @@ def build_index(spark, a):
 
 def page_labels(spark, a):
     blocks = _read(spark, a.blocks, schemas.BLOCKS)
-    p = profile.get(a.profile)
+    p = publication.get(a.publication)
     page_map.page_map(blocks, p).show(1000, False)
     print("pages without a label:", page_map.unlabelled_pages(blocks, p).count())
 
@@ -82,7 +82,7 @@ def context(spark, a):
 def answer(spark, a):
     """The prompt of a question; a language model is reached through a function registered in ANSWERERS."""
     blocks, q = _context(spark, a)
-    (r,) = retrieval.prompts(blocks, q, profile.get(a.profile)).collect()
+    (r,) = retrieval.prompts(blocks, q, publication.get(a.publication)).collect()
     print(f"about {r.est_tokens} tokens\n\n{r.prompt}" if a.dry_run or a.llm_model not in ANSWERERS else ANSWERERS[a.llm_model](r.prompt, a.max_tokens))
 
 
@@ -133,7 +133,7 @@ def main(argv: list[str] | None = None) -> None:
         s = sub.add_parser(f.__name__.replace("_", "-"), help=f.__doc__)
         for o in options:
             s.add_argument(f"--{o}", required=o.replace("-", "_") not in defaults, default=defaults.get(o.replace("-", "_")), type=type(defaults[o.replace("-", "_")]) if defaults.get(o.replace("-", "_")) is not None else (int if o in ("skip-first", "skip-last", "year") else str))
-        s.add_argument("--profile", default="adaptive", choices=profile.available())
+        s.add_argument("--publication", default="adaptive", choices=publication.available())
         s.set_defaults(run=f)
         return s
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkwell.functions.text import strip, words
+from inkwell.functions.text import SENTENCE_CAPITALS, strip, words
 
 #: Style words after the family name.
 STYLE_WORDS = ("Bold", "Italic", "Oblique", "Light", "Medium", "Regular", "Roman", "Semibold", "SemiBold", "Black", "Thin", "ExtraBold", "Condensed")
@@ -13,7 +13,11 @@ STYLE_WORDS = ("Bold", "Italic", "Oblique", "Light", "Medium", "Regular", "Roman
 UNITS = ("mm", "cm", "km", "μm", "µm", "nm", "m")
 LEGEND_WORDS = ("do", "nad", "pod", "až")
 
+#: What a number in a figure, a bracketed unit and the numbers that open a caption look like.
 _NUMBER = r"-?[0-9]+[.,]?[0-9]*"
+_BRACKETED = r"^\[[^\[\]]{1,6}\]$"
+_CAPTION_NUMBERS = r"^[0-9]+(?:\s*(?:a|až|,|-|–)\s*[0-9]+)*\s+"
+_CAPTION_LEAST = 20
 
 
 def family(font: Column) -> Column:
@@ -41,11 +45,11 @@ def is_figure_label(text: Column) -> Column:
 
     legend = F.forall(tokens, lambda w: w.rlike(f"^{_NUMBER}(?:[–-]{_NUMBER})?$") | F.lower(w).isin(*LEGEND_WORDS))
     single = F.forall(tokens, lambda w: F.length(F.regexp_replace(w, r"\.+$", "")) == 1)
-    bar = t.rlike(r"(?iu)^(?:[0-9.,]+\s*(?:" + "|".join(UNITS) + r")\s*)+$") | t.rlike(r"^\[[^\[\]]{1,6}\]$")
+    bar = t.rlike(r"(?iu)^(?:[0-9.,]+\s*(?:" + "|".join(UNITS) + r")\s*)+$") | t.rlike(_BRACKETED)
     return (t != "") & (bar | every(f"^{_NUMBER}\\.?$") | legend | single)
 
 
 def opens_caption(text: Column) -> Column:
     """Whether a text of more than 20 characters begins with figure numbers and a capital."""
     t = strip(text)
-    return F.coalesce((F.length(t) > 20) & t.rlike(r"^[0-9]+(?:\s*(?:a|až|,|-|–)\s*[0-9]+)*\s+[A-ZÁČĎÉĚÍŇÓŘŠŤÚŮÝŽ]"), F.lit(False))
+    return F.coalesce((F.length(t) > _CAPTION_LEAST) & t.rlike(_CAPTION_NUMBERS + f"[{SENTENCE_CAPITALS}]"), F.lit(False))

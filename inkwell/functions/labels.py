@@ -12,10 +12,12 @@ from inkwell.functions.text import clean, strip, words
 #: Roman symbols by value, largest first.
 ROMAN = (("M", 1000), ("CM", 900), ("D", 500), ("CD", 400), ("C", 100), ("XC", 90), ("L", 50), ("XL", 40), ("X", 10), ("IX", 9), ("V", 5), ("IV", 4), ("I", 1))
 
+#: Labels have 1 to 4 digits or 1 to 10 roman letters; a range has a hyphen or a dash.
+_LETTERS = "(?i:[ivxlcdm])"
 _ARABIC = r"^[0-9]{1,4}$"
-_ROMAN = r"^[IVXLCDMivxlcdm]{1,10}$"
-_ANY_ROMAN = r"^[IVXLCDMivxlcdm]+$"
-_RANGE = r"^([IVXLCDMivxlcdm]+|[0-9]+)\s*[-–]\s*([IVXLCDMivxlcdm]+|[0-9]+)$"
+_ROMAN = f"^{_LETTERS}{{1,10}}$"
+_ANY_ROMAN = f"^{_LETTERS}+$"
+_RANGE = rf"^({_LETTERS}+|[0-9]+)\s*[-–]\s*({_LETTERS}+|[0-9]+)$"
 
 
 def roman_value(text: Column) -> Column:

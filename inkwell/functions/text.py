@@ -72,10 +72,10 @@ def match_key(text: Column) -> Column:
     return strip(F.regexp_replace(low, "^(?:" + "|".join(TITLE_PREFIXES) + ")", ""))
 
 
-def shingles(text: Column, size: int) -> Column:
+def shingles(text: Column, size: int | Column) -> Column:
     """All substrings of `size` characters; an empty array for shorter texts."""
-    n = F.length(text)
-    return F.when(n >= size, F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+    n, size = F.length(text), F.lit(size) if isinstance(size, int) else size
+    return F.when(n >= size, F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.substring(text, i, size))).otherwise(F.array().cast("array<string>"))
 
 
 def same_title(a: Column, b: Column, least_common: int = 15) -> Column:
@@ -88,20 +88,21 @@ def same_title(a: Column, b: Column, least_common: int = 15) -> Column:
     return F.coalesce((x != "") & (y != "") & ((x == y) | y.contains(x) | x.contains(y) | common), F.lit(False))
 
 
-def common_length(a: str | None, b: str | None) -> int:
-    """Length of the longest common stretch of two strings, over one row of a suffix table."""
-    if not a or not b:
-        return 0
-    best, row = 0, {}
-    for ch in a:
-        nxt = {}
-        for j, other in enumerate(b):
-            if ch == other:
-                nxt[j] = row.get(j - 1, 0) + 1
-        if nxt:
-            best = max(best, max(nxt.values()))
-        row = nxt
-    return best
+def common_length(a: Column, b: Column) -> Column:
+    """Length of the longest common stretch of two strings; 0 if one is empty or null.
+
+    A stretch of some length in common means one of each shorter length, so the length is found by
+    halving: 20 steps are enough for a million characters.
+    """
+    start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.least(F.length(a), F.length(b)), F.lit(0)).alias("hi"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"] + 1) / 2).cast("int")
+        held = F.coalesce(F.arrays_overlap(shingles(a, mid), shingles(b, mid)), F.lit(False))
+        nearer = F.when(held, F.struct(mid.alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), (mid - 1).alias("hi")))
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(nearer)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(20)), start, halve, lambda acc: acc["lo"])
 
 
 def sentences(text: Column) -> Column:

@@ -30,8 +30,11 @@ def prefixed(text: Column, model: str, query: bool) -> Column:
 
 
 def hash_embedding(text: Column, dim: int = 64) -> Column:
-    """Counts of words by hash bucket, of length 1; zeros for a text without words. Deterministic."""
-    buckets = F.transform(words(F.lower(text)), lambda w: F.pmod(F.xxhash64(w), F.lit(dim)).cast("int"))
+    """Counts of words by hash bucket, of length 1; zeros for a text without words. Deterministic.
+
+    A word's bucket is the first 32 bits of its MD5, which every engine has, modulo the dimension.
+    """
+    buckets = F.transform(words(F.lower(text)), lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dim).cast("int"))
     held = F.struct(buckets.alias("b"), F.size(buckets).alias("n"))
 
     def counted(x: Column) -> Column:

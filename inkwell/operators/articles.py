@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions import labels
 from inkwell.functions.templates import joined
-from inkwell.functions.text import breaks_word, common_length, is_blank, same_title, strip, without_break
+from inkwell.functions.text import breaks_word, common_length, is_blank, match_key, same_title, strip, without_break
 from inkwell.operators import layout
 from inkwell.operators.common import ISSUE, with_box
 from inkwell.operators.page_map import last_pages
-from inkwell.plans.profile import Profile
+from inkwell.plans.publication import Line, Publication
 from inkwell.session import cut
 
 BODY_TYPES = ("title", "heading", "other", "body")
@@ -39,12 +38,12 @@ def ranges(entries: DataFrame, last: DataFrame) -> DataFrame:
     return e.join(groups, [*ISSUE, "group_no"])
 
 
-def content_blocks(blocks: DataFrame, profile: Profile) -> DataFrame:
+def content_blocks(blocks: DataFrame, publication: Publication) -> DataFrame:
     """Blocks that are not junk, with boxes and their place on the page."""
     b = with_box(blocks)
     height = b.groupBy(*ISSUE).agg(F.max("y1").alias("height"))
     b = b.join(height, list(ISSUE))
-    junk = profile.is_junk(F.col("font"), F.col("font_size"), F.col("text"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), F.col("height"))
+    junk = publication.is_junk(Line.of_block())
     return layout.reading_order(b.where(~junk))
 
 
@@ -80,86 +79,79 @@ def assigned(ordered: DataFrame, entries: DataFrame) -> DataFrame:
     return b.withColumn("group_no", F.when(above, F.col("group_no") - 1).otherwise(F.col("group_no"))).drop("start", "split_y")
 
 
-_SHARED = "journal STRING, year STRING, issue STRING, group_no INT, in_group INT, title STRING, author STRING, lo INT, hi INT, quality_flags ARRAY<STRING>, original_titles ARRAY<STRING>, absorbed_titles ARRAY<STRING>"
+_GROUP = (*ISSUE, "group_no")
+_HEADS = ("title", "heading")
 
 
-def share_page(group: dict, entries: list[dict], blocks: list[dict]) -> list[dict]:
-    """Slices [lo, hi) of a group's blocks for its entries; one entry if none has a heading of its own.
+def heading_places(entries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(group, in_group, place): the group_pos of the heading that each entry of a shared page begins at; null if none.
 
-    As many headings as entries: one each, in order. Else each entry looks for the first heading like
-    its title, from the last one found on. A heading that the entry before matches as well stays with it.
+    As many headings as entries: one each, in order. Else each entry takes the first heading like its
+    title from the last one taken on. A heading that was taken already goes on to an entry only if it
+    has a longer stretch in common with its title than with that of the entry that took it.
     """
-    heads = [i for i, b in enumerate(blocks) if b["type"] in ("title", "heading")]
-    place: list[int | None] = []
-    if len(heads) == len(entries):
-        place = list(heads)
-    else:
-        held: tuple[int, int] | None = None  # the last place found and how long its match was
-        for e in entries:
-            at = next((i for i in heads if i >= (held[0] if held else 0) and _alike(e["title"], blocks[i]["text"])), None)
-            if at is not None:
-                score = common_length(_key(e["title"]), _key(blocks[at]["text"]))
-                if held and held[0] == at and held[1] >= score:
-                    at = None
-                else:
-                    held = (at, score)
-            place.append(at)
-    own = [i for i, p in enumerate(place) if p is not None]
-    unsure = ["boundary_page_unverified"] if group["unverified"] else []
-    if not own:
-        titles = [e["title"] for e in entries]
-        author = next((e["author"] for e in entries if e["author"]), None)
-        return [{"in_group": 0, "title": "; ".join(titles), "author": author, "lo": 0, "hi": len(blocks), "quality_flags": ["merged_fallback", *unsure], "original_titles": titles, "absorbed_titles": None}]
-    out = []
-    for i, (e, p) in enumerate(zip(entries, place)):
-        row = {"in_group": e["in_group"], "title": e["title"], "author": e["author"], "original_titles": None, "absorbed_titles": None}
-        if p is None:
-            out.append(row | {"lo": 0, "hi": 0, "quality_flags": ["heading_not_found_empty"]})
-            continue
-        later = next((j for j in own if j > i), None)
-        lost = [x["title"] for x in entries[i + 1 : later if later is not None else len(entries)]]
-        flags = (unsure if i == own[0] else []) + (["absorbed_unmatched_siblings"] if lost else [])
-        out.append(row | {"lo": 0 if i == own[0] else p, "hi": place[later] if later is not None else len(blocks), "quality_flags": flags, "absorbed_titles": lost or None})
-    return out
-
-
-def _key(text: str) -> str:
-    from inkwell.functions.text import TITLE_PREFIXES
-
-    low = (text or "").strip().lower()
-    prefix = next((p for p in TITLE_PREFIXES if low.startswith(p)), "")
-    return low[len(prefix) :].strip()
-
-
-def _alike(a: str, b: str, least: int = 15) -> bool:
-    x, y = _key(a), _key(b)
-    return bool(x and y) and (x in y or y in x or common_length(x, y) >= least)
+    heads = blocks.where(F.col("type").isin(*_HEADS)).select(*_GROUP, "group_pos", "text")
+    like = entries.join(heads, list(_GROUP)).where(same_title(F.col("title"), F.col("text")))
+    like = like.select(*_GROUP, "in_group", F.struct("group_pos", common_length(match_key(F.col("title")), match_key(F.col("text"))).alias("score")).alias("c")).groupBy(*_GROUP, "in_group").agg(F.sort_array(F.collect_list("c")).alias("like"))
+    one = entries.join(like, [*_GROUP, "in_group"], "left").groupBy(*_GROUP).agg(F.sort_array(F.collect_list(F.struct("in_group", "like"))).alias("e"))
+    one = one.join(heads.groupBy(*_GROUP).agg(F.sort_array(F.collect_list("group_pos")).alias("heads")), list(_GROUP), "left")
+    start = F.struct(F.array().cast("array<int>").alias("places"), F.lit(0).alias("at"), F.lit(-1).alias("score"))
+
+    def take(acc: Column, e: Column) -> Column:
+        first = F.get(F.filter(e["like"], lambda c: c["group_pos"] >= acc["at"]), F.lit(0))
+        taken = F.coalesce((first["group_pos"] > acc["at"]) | (first["score"] > acc["score"]), F.lit(False))
+        return F.struct(
+            F.array_append(acc["places"], F.when(taken, first["group_pos"].cast("int"))).alias("places"),
+            F.when(taken, first["group_pos"].cast("int")).otherwise(acc["at"]).alias("at"), F.when(taken, first["score"]).otherwise(acc["score"]).alias("score"))
+
+    by_title = F.aggregate("e", start, take, lambda acc: acc["places"])
+    places = F.when(F.size("heads") == F.size("e"), F.transform("heads", lambda h: h.cast("int"))).otherwise(by_title)
+    return one.select(*_GROUP, F.explode(F.arrays_zip(F.col("e.in_group").alias("in_group"), places.alias("place"))).alias("z")).select(*_GROUP, "z.in_group", "z.place")
+
+
+def shared_pages(entries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The entries of groups of several (group, in_group, title, author, unverified) with lo, hi, flags and titles.
+
+    Each entry that has a heading gets the blocks from there to the next entry's heading, the first of
+    them what lies before it too; titles of the entries in between are kept as absorbed. An entry without
+    a heading gets no blocks. If none of a group has one, the group is one article with all titles.
+    """
+    size = blocks.groupBy(*_GROUP).agg(F.count(F.lit(1)).cast("int").alias("n_blocks"))
+    e = entries.join(heading_places(entries, blocks), [*_GROUP, "in_group"]).join(size, list(_GROUP), "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(0)))
+    group = Window.partitionBy(*_GROUP)
+    order = group.orderBy("in_group")
+    e = e.withColumns({
+        "n_own": F.count("place").over(group), "run": F.count("place").over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        "next": F.first("place", True).over(order.rowsBetween(1, Window.unboundedFollowing))})
+    nothing, none = F.array().cast("array<string>"), F.lit(None).cast("array<string>")
+    unsure = F.when(F.col("unverified"), F.array(F.lit("boundary_page_unverified"))).otherwise(nothing)
+    titles = F.transform(F.sort_array(F.collect_list(F.struct("in_group", "title"))), lambda x: x["title"])
+    lost = e.where("place IS NULL AND run > 0").groupBy(*_GROUP, "run").agg(titles.alias("absorbed_titles"))
+    own = e.where("place IS NOT NULL").join(lost, [*_GROUP, "run"], "left")
+    first = F.col("run") == 1
+    kept = own.select(
+        *_GROUP, "in_group", "title", "author", F.when(first, 0).otherwise(F.col("place")).alias("lo"), F.coalesce("next", "n_blocks").alias("hi"),
+        F.concat(F.when(first, unsure).otherwise(nothing), F.when(F.col("absorbed_titles").isNotNull(), F.array(F.lit("absorbed_unmatched_siblings"))).otherwise(nothing)).alias("quality_flags"),
+        none.alias("original_titles"), "absorbed_titles")
+    empty = e.where("place IS NULL AND n_own > 0").select(
+        *_GROUP, "in_group", "title", "author", F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.array(F.lit("heading_not_found_empty")).alias("quality_flags"), none.alias("original_titles"), none.alias("absorbed_titles"))
+    author = F.min_by(F.nullif("author", F.lit("")), F.when(F.nullif("author", F.lit("")).isNotNull(), F.col("in_group")))
+    merged = e.where("n_own = 0").groupBy(*_GROUP).agg(titles.alias("t"), author.alias("author"), F.max("n_blocks").alias("hi"), F.bool_or("unverified").alias("unverified"))
+    merged = merged.select(
+        *_GROUP, F.lit(0).alias("in_group"), F.array_join("t", "; ").alias("title"), "author", F.lit(0).alias("lo"), "hi",
+        F.concat(F.array(F.lit("merged_fallback")), unsure).alias("quality_flags"), F.col("t").alias("original_titles"), none.alias("absorbed_titles"))
+    return kept.unionByName(empty).unionByName(merged)
 
 
 def article_entries(entries: DataFrame, blocks: DataFrame, cuts: DataFrame) -> DataFrame:
-    """(_SHARED columns) of all entries, and lo..hi in their group's blocks (hi null: to the end).
-
-    Only groups of several entries go through Python, one small group at a time; the others stay here.
-    """
-    unverified = cuts.where("split_y IS NULL").select(*ISSUE, "group_no", F.lit(True).alias("unverified"))
-    e = entries.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*ISSUE, "group_no"))).join(unverified, [*ISSUE, "group_no"], "left")
+    """All entries with lo..hi in their group's blocks (hi null: to the end), flags, original and absorbed titles."""
+    unverified = cuts.where("split_y IS NULL").select(*_GROUP, F.lit(True).alias("unverified"))
+    e = entries.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*_GROUP))).join(unverified, list(_GROUP), "left")
+    e = e.select(*ISSUE, F.col("group_no").cast("int"), F.col("in_group").cast("int"), "title", "author", F.coalesce("unverified", F.lit(False)).alias("unverified"), "n")
     flag = F.when(F.col("unverified"), F.array(F.lit("boundary_page_unverified"))).otherwise(F.array().cast("array<string>"))
     none = F.lit(None).cast("array<string>")
-    single = e.where("n = 1").select(*ISSUE, F.col("group_no").cast("int"), F.col("in_group").cast("int"), "title", "author", F.lit(0).alias("lo"), F.lit(None).cast("int").alias("hi"), flag.alias("quality_flags"), none.alias("original_titles"), none.alias("absorbed_titles"))
-    several = e.where("n > 1").groupBy(*ISSUE, "group_no").agg(F.sort_array(F.collect_list(F.struct("in_group", "title", "author"))).alias("entries"), F.max(F.coalesce("unverified", F.lit(False))).alias("unverified"))
-    own = blocks.groupBy(*ISSUE, "group_no").agg(F.sort_array(F.collect_list(F.struct("group_pos", "type", "text"))).alias("blocks"))
-    work = several.join(own, [*ISSUE, "group_no"], "left")
-
-    def run(batches):
-        for b in batches:
-            rows = []
-            for r in b.to_dict("records"):
-                held = [dict(x) for x in r["blocks"]] if r["blocks"] is not None else []
-                for x in share_page({"unverified": bool(r["unverified"])}, [dict(x) for x in r["entries"]], held):
-                    rows.append({k: r[k] for k in (*ISSUE, "group_no")} | x)
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SHARED.split(", ")])
-
-    return single.unionByName(work.mapInPandas(run, _SHARED))
+    single = e.where("n = 1").select(*_GROUP, "in_group", "title", "author", F.lit(0).alias("lo"), F.lit(None).cast("int").alias("hi"), flag.alias("quality_flags"), none.alias("original_titles"), none.alias("absorbed_titles"))
+    return single.unionByName(shared_pages(e.where("n > 1").drop("n"), blocks))
 
 
 def merged_paragraphs(parts: DataFrame, keys: tuple[str, ...], order: str = "pos") -> DataFrame:
@@ -176,7 +168,7 @@ def merged_paragraphs(parts: DataFrame, keys: tuple[str, ...], order: str = "pos
     return one.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("para", "page", "text"))), lambda x: F.struct(x["page"].alias("page"), x["text"].alias("text"))).alias("paragraphs"))
 
 
-def assemble(blocks: DataFrame, toc: DataFrame, label_to_page: DataFrame, profile: Profile) -> DataFrame:
+def assemble(blocks: DataFrame, toc: DataFrame, label_to_page: DataFrame, publication: Publication) -> DataFrame:
     """Articles of blocks (one row per block), contents entries and page labels.
 
     article_id, issue, title, author, printed_page_start, pages, flags, full_text and captions_text with
@@ -185,7 +177,7 @@ def assemble(blocks: DataFrame, toc: DataFrame, label_to_page: DataFrame, profil
     last = last_pages(blocks)
     # each of these has several readers; written once, they also keep the plans behind them short
     entries = cut(ranges(resolved(toc, label_to_page), last))
-    ordered = cut(content_blocks(blocks, profile))
+    ordered = cut(content_blocks(blocks, publication))
     mine = assigned(ordered, entries)
     w = Window.partitionBy(*ISSUE, "group_no").orderBy("page", "reading_pos")
     # a boundary page's blocks of the group before come after that group's own

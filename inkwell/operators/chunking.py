@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.templates import fill, joined, or_label
 from inkwell.functions.text import is_blank, sentences, strip, words
-from inkwell.plans.profile import Profile
+from inkwell.plans.publication import Publication
 
 #: Fixed values, in characters.
 TARGET = 1200
@@ -99,23 +99,23 @@ def _with_tail(chunks: Column, least: int) -> Column:
     return F.when((F.size(chunks) > 1) & (F.length(last["text"]) < least), join(head, last)).otherwise(chunks)
 
 
-def chunk_articles(articles: DataFrame, profile: Profile, journal_name: Column | None = None, skip_first: int | None = None, skip_last: int | None = None) -> DataFrame:
+def chunk_articles(articles: DataFrame, publication: Publication, journal_name: Column | None = None, skip_first: int | None = None, skip_last: int | None = None) -> DataFrame:
     """Chunks of articles, body and captions numbered apart. An article with a blank full_text has none.
 
     Each article is one row and its chunks are folded in place: nothing is shuffled.
     """
-    first = profile.skip_first_pages if skip_first is None else skip_first
-    last = profile.skip_last_pages if skip_last is None else skip_last
-    name = F.lit(profile.journal_name) if journal_name is None else journal_name
+    first = publication.covers[0] if skip_first is None else skip_first
+    last = publication.covers[1] if skip_last is None else skip_last
+    name = F.lit(publication.title) if journal_name is None else journal_name
     none = F.array().cast(f"array<{_PART}>")
     a = articles.where(~is_blank(F.col("full_text")))
 
     def of(column: str, kind: str, label: str) -> Column:
-        kept = without_covers(F.coalesce(F.col(column), none), F.col("total_pdf_pages"), first, last)
+        kept = F.filter(without_covers(F.coalesce(F.col(column), none), F.col("total_pdf_pages"), first, last), lambda p: p["text"].isNotNull())
         return F.transform(pack(kept), lambda c, i: F.struct(F.lit(kind).alias("chunk_type"), i.cast("int").alias("chunk_index"), F.lit(label).alias("label"), c["page_start"].alias("page_start"), c["page_end"].alias("page_end"), c["text"].alias("text")))
 
     a = a.withColumn("_all", F.concat(of("full_text_paragraphs", "body", "chunk"), of("captions_paragraphs", "caption", "caption")))
     a = a.select("article_id", "journal", "year", "issue", "title", "author", name.alias("journal_name"), F.explode("_all").alias("c"))
     out = a.select(joined(F.col("article_id"), F.col("c.label"), F.col("c.chunk_index")).alias("chunk_id"), "c.chunk_type", "c.chunk_index", "journal", "year", "issue", "article_id", "title", "author", "c.page_start", "c.page_end", "c.text", "journal_name")
-    values = {"journal": F.col("journal_name"), "author": or_label(F.col("author"), profile.unknown_author)} | {c: F.col(c) for c in ("year", "issue", "title", "text")}
-    return out.withColumn("embedding_text", fill(profile.chunk_header, values)).drop("journal_name")
+    values = {"journal": F.col("journal_name"), "author": or_label(F.col("author"), publication.wording.nobody)} | {c: F.col(c) for c in ("year", "issue", "title", "text")}
+    return out.withColumn("embedding_text", fill(publication.wording.embedded, values)).drop("journal_name")

@@ -12,9 +12,13 @@ ISSUE = ("journal", "year", "issue")
 BLOCK = (*ISSUE, "page", "block_id")
 
 
-def latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """One row per key, of the greatest version; equal versions by the other columns, so always the same."""
-    rest = [c for c in df.columns if c not in keys and c != version]
+def latest(df: DataFrame, keys: Sequence[str], version: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per key, of the greatest version: keys, version and the wanted columns, of which alone the scan reads.
+
+    Rows of equal version are ordered by the wanted columns in the table's order, so the choice is the same
+    each time. Without columns all are wanted.
+    """
+    rest = [c for c in df.columns if c not in keys and c != version and (columns is None or c in columns)]
     s = F.struct(F.col(version), *[F.col(c) for c in rest])
     return df.groupBy(*keys).agg(F.max(s).alias("_s")).select(*keys, "_s.*")
 

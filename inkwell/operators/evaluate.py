@@ -9,6 +9,7 @@ from inkwell.functions.templates import joined
 from inkwell.functions.text import is_blank
 from inkwell.functions.vectors import cosine
 from inkwell.operators import index, retrieval
+from inkwell.session import cut
 
 
 def flag_counts(articles: DataFrame) -> DataFrame:
@@ -59,15 +60,20 @@ def sampled_pairs(vectors: DataFrame, n: int = 2000, seed: int = 42) -> DataFram
     """(kind, a, b, similarity): pairs of one article and of different ones, n of each kind, drawn by hash.
 
     A vector is paired with the next one of its article, and with the next one of all that is not of its
-    article, in the order of hashes. Rows: chunk_id, article_id, embedding.
+    article, in the order of hashes. Rows: chunk_id, article_id, embedding. Ids are drawn first, of each
+    article as many as could be wanted; the vectors of the pairs are joined after.
     """
-    v = vectors.withColumn("h", F.xxhash64("chunk_id", F.lit(seed)))
-    same = v.withColumns({"b": F.lead("chunk_id").over(Window.partitionBy("article_id").orderBy("h", "chunk_id")), "bv": F.lead("embedding").over(Window.partitionBy("article_id").orderBy("h", "chunk_id"))})
-    same = same.where("b IS NOT NULL").orderBy("h", "chunk_id").limit(n).select(F.lit("same").alias("kind"), F.col("chunk_id").alias("a"), "b", cosine(F.col("embedding"), F.col("bv")).alias("similarity"))
-    few = v.orderBy("h", "chunk_id").limit(2 * n)
-    w = Window.orderBy("h", "chunk_id")
-    diff = few.withColumns({"b": F.lead("chunk_id").over(w), "ba": F.lead("article_id").over(w), "bv": F.lead("embedding").over(w)}).where("ba <> article_id").limit(n)
-    return same.unionByName(diff.select(F.lit("different").alias("kind"), F.col("chunk_id").alias("a"), "b", cosine(F.col("embedding"), F.col("bv")).alias("similarity")))
+    v = vectors.select("chunk_id", "article_id", F.md5(F.concat_ws("/", "chunk_id", F.lit(seed))).alias("h"))
+    own = Window.partitionBy("article_id").orderBy("h", "chunk_id")
+    same = v.withColumn("no", F.row_number().over(own)).where(F.col("no") <= n + 1).withColumn("b", F.lead("chunk_id").over(own))
+    same = same.where("b IS NOT NULL").orderBy("h", "chunk_id").limit(n).select(F.lit("same").alias("kind"), F.col("chunk_id").alias("a"), "b")
+    w = Window.orderBy("h", "chunk_id")  # of the 2 n vectors of least hash
+    few = v.orderBy("h", "chunk_id").limit(2 * n).withColumns({"b": F.lead("chunk_id").over(w), "ba": F.lead("article_id").over(w)})
+    diff = few.where("ba <> article_id").orderBy("h", "chunk_id").limit(n).select(F.lit("different").alias("kind"), F.col("chunk_id").alias("a"), "b")
+    pairs = cut(same.unionByName(diff))
+    one = vectors.select(F.col("chunk_id").alias("a"), F.col("embedding").alias("va")).join(F.broadcast(pairs), "a")  # 2 n pairs at most
+    both = vectors.select(F.col("chunk_id").alias("b"), F.col("embedding").alias("vb")).join(F.broadcast(one), "b")
+    return both.select("kind", "a", "b", cosine(F.col("va"), F.col("vb")).alias("similarity"))
 
 
 def separation(pairs: DataFrame) -> DataFrame:

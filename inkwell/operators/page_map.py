@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import labels
 from inkwell.operators.common import ISSUE, with_box
-from inkwell.plans.profile import Profile
+from inkwell.plans.publication import Line, Publication
 
 MAX_EXTEND = 5
 
 
-def page_labels(blocks: DataFrame, profile: Profile) -> DataFrame:
+def page_labels(blocks: DataFrame, publication: Publication) -> DataFrame:
     """(issue, page, label): the first label on a running line of each page."""
     b = with_box(blocks)
     height = b.groupBy(*ISSUE).agg(F.max("y1").alias("height"))
     b = b.join(height, list(ISSUE))
-    keywords = profile.footer_keywords if profile.footer_detection == "keyword" else None
-    lines = b.where(profile.is_footer_block(F.col("font"), F.col("font_size"), F.col("text"), F.col("y0"), F.col("y1"), F.col("height"))).select(
-        *ISSUE, "page", "block_id", labels.label_in(F.col("text"), profile.footer_skip_tokens, keywords).alias("label"))
+    lines = b.where(publication.running.holds(Line.of_block())).select(
+        *ISSUE, "page", "block_id", labels.label_in(F.col("text"), publication.running.no_labels, publication.running.words).alias("label"))
     return lines.where("label IS NOT NULL").groupBy(*ISSUE, "page").agg(F.min_by("label", F.struct("block_id", "label")).alias("label"))
 
 
@@ -61,20 +60,20 @@ def label_pages(grown: DataFrame) -> DataFrame:
     return lab.groupBy(*ISSUE, "label").agg(F.max_by("page", F.struct("run", "page")).alias("page"))
 
 
-def page_map(blocks: DataFrame, profile: Profile) -> DataFrame:
+def page_map(blocks: DataFrame, publication: Publication) -> DataFrame:
     """(issue, label, page) of every label of an issue, gaps filled. Issues without labels have no rows."""
-    return label_pages(extended(runs(page_labels(blocks, profile)), last_pages(blocks)))
+    return label_pages(extended(runs(page_labels(blocks, publication)), last_pages(blocks)))
 
 
-def unlabelled_pages(blocks: DataFrame, profile: Profile) -> DataFrame:
+def unlabelled_pages(blocks: DataFrame, publication: Publication) -> DataFrame:
     """(issue, page) of pages that no label leads to."""
     pages = blocks.select(*ISSUE, "page").distinct()
-    return pages.join(page_map(blocks, profile), [*ISSUE, "page"], "left_anti")
+    return pages.join(page_map(blocks, publication), [*ISSUE, "page"], "left_anti")
 
 
-def lone_runs(blocks: DataFrame, profile: Profile) -> DataFrame:
+def lone_runs(blocks: DataFrame, publication: Publication) -> DataFrame:
     """(issue, n_runs, n_lone) of issues with suspiciously many runs of one page: over 2 and over a fifth."""
-    r = runs(page_labels(blocks, profile)).groupBy(*ISSUE).agg(F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("value_min") == F.col("value_max")).alias("n_lone"))
+    r = runs(page_labels(blocks, publication)).groupBy(*ISSUE).agg(F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("value_min") == F.col("value_max")).alias("n_lone"))
     return r.where(F.col("n_lone") > F.greatest(F.lit(2.0), F.col("n_runs") * 0.2))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.templates import fill, or_label
 from inkwell.functions.text import estimated_tokens
-from inkwell.plans.profile import Profile
+from inkwell.plans.publication import Publication, Wording
 
 #: Hits of a question, chunks on either side of a hit, hits that promote an article.
 TOP_N = 10
@@ -108,12 +108,12 @@ def caption_spans(captions: DataFrame, body: DataFrame, window: int = WINDOW) ->
     return g.select(*keys, F.greatest(F.get("on", F.lit(0)), mid - window).alias("lo"), F.least(F.get("on", F.size("on") - 1), mid + window).alias("hi"))
 
 
-def citation(profile: Profile, journal: Column, year: Column, issue: Column, title: Column, author: Column, start: Column, end: Column) -> Column:
-    pages = F.when(start == end, fill(profile.one_page, {"page": start})).otherwise(fill(profile.more_pages, {"start": start, "end": end}))
-    return fill(profile.citation, {"journal": journal, "year": year, "issue": issue, "title": title, "author": or_label(author, profile.unknown_author), "pages": pages})
+def citation(wording: Wording, journal: Column, year: Column, issue: Column, title: Column, author: Column, start: Column, end: Column) -> Column:
+    pages = F.when(start == end, fill(wording.on_page, {"page": start})).otherwise(fill(wording.on_pages, {"start": start, "end": end}))
+    return fill(wording.cited, {"journal": journal, "year": year, "issue": issue, "title": title, "author": or_label(author, wording.nobody), "pages": pages})
 
 
-def context_blocks(hits: DataFrame, chunks: DataFrame, corpus: DataFrame, profile: Profile, window: int = WINDOW, promote: int = PROMOTE) -> DataFrame:
+def context_blocks(hits: DataFrame, chunks: DataFrame, corpus: DataFrame, publication: Publication, window: int = WINDOW, promote: int = PROMOTE) -> DataFrame:
     """(query_id, block_no, mode, n_hits, citation, text, best_distance): what a question gets to read.
 
     hits: query_id, rank, chunk_id, distance. An article with `promote` hits is given whole, with its
@@ -126,7 +126,7 @@ def context_blocks(hits: DataFrame, chunks: DataFrame, corpus: DataFrame, profil
     heads = h.groupBy(*by).agg(F.count(F.lit(1)).alias("n_hits"), F.min("distance").alias("best"), F.min("rank").alias("first_rank"), F.min_by(F.struct("journal", "year", "issue", "title", "author"), "rank").alias("m"))
     arts = corpus.select("article_id", "pdf_page_start", "pdf_page_end", "full_text", "captions_text")
     whole = heads.where(F.col("n_hits") >= promote).join(arts, "article_id")
-    with_captions = F.when(F.coalesce(F.col("captions_text"), F.lit("")) != "", F.concat(F.lit(f"\n\n{profile.captions_label}\n\n"), F.col("captions_text"))).otherwise("")
+    with_captions = F.when(F.coalesce(F.col("captions_text"), F.lit("")) != "", F.concat(F.lit(f"\n\n{publication.wording.captions}\n\n"), F.col("captions_text"))).otherwise("")
     full = whole.select("query_id", F.lit("full_article").alias("mode"), "n_hits", "m", F.col("pdf_page_start").alias("ps"), F.col("pdf_page_end").alias("pe"), F.concat(F.coalesce("full_text", F.lit("")), with_captions).alias("text"), F.col("best").alias("best_distance"), "first_rank", F.lit(-1).alias("win"))
     few = h.join(heads.where(F.col("n_hits") < promote).select(*by), by)
     body = chunks.where("chunk_type = 'body'")
@@ -144,18 +144,18 @@ def context_blocks(hits: DataFrame, chunks: DataFrame, corpus: DataFrame, profil
     w = parts.groupBy(*by, "lo", "hi", "dist").agg(F.sort_array(F.collect_list("p")).alias("ps"))
     texts = F.transform(F.filter("ps", lambda x: x["k"] == 0), lambda x: x["text"])
     caption_texts = F.transform(F.filter("ps", lambda x: x["k"] == 1), lambda x: x["text"])
-    text = F.array_join(F.concat(texts, F.when(F.size(caption_texts) > 0, F.concat(F.array(F.lit(profile.captions_label)), caption_texts)).otherwise(F.array().cast("array<string>"))), "\n\n")
+    text = F.array_join(F.concat(texts, F.when(F.size(caption_texts) > 0, F.concat(F.array(F.lit(publication.wording.captions)), caption_texts)).otherwise(F.array().cast("array<string>"))), "\n\n")
     windows = w.join(heads, by).select("query_id", F.lit("window").alias("mode"), "n_hits", "m", F.array_min("ps.page_start").alias("ps"), F.array_max("ps.page_end").alias("pe"), text.alias("text"), F.col("dist").alias("best_distance"), "first_rank", F.col("lo").alias("win"))
     every = full.unionByName(windows)
-    cite = citation(profile, F.col("m.journal"), F.col("m.year"), F.col("m.issue"), F.col("m.title"), F.col("m.author"), F.col("ps"), F.col("pe"))
+    cite = citation(publication.wording, F.col("m.journal"), F.col("m.year"), F.col("m.issue"), F.col("m.title"), F.col("m.author"), F.col("ps"), F.col("pe"))
     no = F.row_number().over(Window.partitionBy("query_id").orderBy("best_distance", "first_rank", "win")) - 1
     return every.select("query_id", no.alias("block_no"), "mode", "n_hits", cite.alias("citation"), "text", "best_distance")
 
 
-def prompts(blocks: DataFrame, questions: DataFrame, profile: Profile) -> DataFrame:
+def prompts(blocks: DataFrame, questions: DataFrame, publication: Publication) -> DataFrame:
     """(query_id, prompt, n_sources, est_tokens): the sources in order, then the question."""
-    tag = F.when(F.col("mode") == "full_article", profile.full_article_label).otherwise(profile.excerpt_label)
-    one = F.concat(F.lit(f"--- {profile.source_label} "), F.col("block_no") + 1, F.lit(" ["), tag, F.lit("] ---\n"), F.col("citation"), F.lit("\n\n"), F.col("text"))
+    tag = F.when(F.col("mode") == "full_article", publication.wording.whole).otherwise(publication.wording.part)
+    one = F.concat(F.lit(f"--- {publication.wording.source} "), F.col("block_no") + 1, F.lit(" ["), tag, F.lit("] ---\n"), F.col("citation"), F.lit("\n\n"), F.col("text"))
     ctx = blocks.groupBy("query_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_no", one.alias("t")))), lambda x: x["t"]), "\n\n").alias("context"), F.count(F.lit(1)).alias("n_sources"))
     j = questions.select("query_id", "question").join(ctx, "query_id", "left")
     nothing = F.concat(F.lit("Question: "), F.col("question"), F.lit("\n\nContext: (retrieval found no relevant excerpts)"))

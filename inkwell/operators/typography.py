@@ -1,4 +1,4 @@
-"""Fonts of documents: the body style, block types, histograms and what a profile could be."""
+"""Fonts of documents: the body style, block types, histograms and what rules could be."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import fonts
 from inkwell.functions.text import strip, words
 from inkwell.operators.common import ISSUE
-from inkwell.plans.profile import Profile
+from inkwell.plans.publication import Line, Publication
 
 
 def document_stats(blocks: DataFrame, keys: tuple[str, ...] = ISSUE) -> DataFrame:
@@ -24,17 +24,18 @@ def document_stats(blocks: DataFrame, keys: tuple[str, ...] = ISSUE) -> DataFram
         *keys, F.when(F.col("chars") > 0, F.col("s.family")).otherwise("").alias("body_family"), F.coalesce(F.when(F.col("chars") > 0, F.nullif(F.col("s.size"), F.lit(0.0))), F.lit(10.0)).alias("body_size"))
 
 
-def classify(blocks: DataFrame, profile: Profile, keys: tuple[str, ...] = ISSUE) -> DataFrame:
+def classify(blocks: DataFrame, publication: Publication, keys: tuple[str, ...] = ISSUE) -> DataFrame:
     """blocks with new_type. Body text that opens like a caption is a caption.
 
     The adaptive kind joins one row of statistics per document, on the document's key.
     """
-    if profile.adaptive:
+    line = Line(F.col("text"), F.col("font"), F.col("font_size"))
+    if publication.types.needs_body_style:
         s = document_stats(blocks, keys)
         blocks = blocks.join(s, list(keys))
-        kind = profile.block_type(F.col("text"), F.col("font"), F.col("font_size"), F.col("body_size"), F.col("body_family"))
+        kind = publication.block_type(line, F.col("body_size"), F.col("body_family"))
     else:
-        kind = profile.block_type(F.col("text"), F.col("font"), F.col("font_size"))
+        kind = publication.block_type(line)
     return blocks.withColumn("new_type", F.when((kind == "body") & fonts.opens_caption(F.col("text")), "caption").otherwise(kind))
 
 
@@ -69,7 +70,7 @@ def numbered_pages(blocks: DataFrame, keys: tuple[str, ...] = ("journal",)) -> D
 
 
 def suggested_rules(blocks: DataFrame, keys: tuple[str, ...] = ISSUE) -> DataFrame:
-    """(keys, family, body, title_from, heading_from, subheading_from, cover_from): sizes of a hand-made profile, to 1 decimal."""
+    """(keys, family, body, title_from, heading_from, subheading_from, cover_from): sizes of a hand-made set of rules, to 1 decimal."""
     s = document_stats(blocks, keys)
     size = F.col("body_size")
     at = {"title_from": 1.7, "heading_from": 1.18, "subheading_from": 1.05, "cover_from": 3.0}

@@ -7,16 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from inkwell.functions import fonts, labels, templates, text, vectors
+from inkwell.functions import fonts, labels, templates, text
 from inkwell.operators import articles, chunking, evaluate, index, layout, page_map, retrieval, toc, typography
 from inkwell.operators.common import BLOCK, ISSUE, latest, with_box
-from inkwell.plans import profile
-from inkwell.session import table
+from inkwell.plans import publication
+from inkwell.session import table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-KEYWORD, NUMBERED, ADAPTIVE = profile.SERIF_SANS, profile.NUMBERED_PAGES, profile.ADAPTIVE
+KEYWORD, NUMBERED, ADAPTIVE = publication.SERIF_SANS, publication.NUMBERED_PAGES, publication.ADAPTIVE
 
 
 def query(f: Query) -> Query:
@@ -29,24 +29,30 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from inkwell.plans.catalogue_sql import SQL
+    from inkwell.plans import catalogue_sql, fold_sql
 
-    return {k: v for k, v in SQL.items() if k in _QUERIES}
+    return {k: v for k, v in (catalogue_sql.SQL | fold_sql.SQL).items() if k in _QUERIES}
 
 
 # --- tables in their latest states ------------------------------------------------
 
 
-def blocks(spark: SparkSession, d: str) -> DataFrame:
-    return latest(table(spark, d, "blocks"), BLOCK, "extracted_at")
+def blocks(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Blocks with their key and the columns named."""
+    return latest(table(spark, d, "blocks"), BLOCK, "extracted_at", columns)
 
 
-def corpus(spark: SparkSession, d: str) -> DataFrame:
-    return latest(table(spark, d, "corpus"), ["article_id"], "ingested_at")
+def page_blocks(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Blocks with what page labels need and the columns named, written once for all that read them."""
+    return written(blocks(spark, d, "text", "font", "font_size", "bbox", *columns), "blocks")
 
 
-def chunks(spark: SparkSession, d: str) -> DataFrame:
-    return latest(table(spark, d, "chunks"), ["chunk_id"], "ingested_at")
+def corpus(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return latest(table(spark, d, "corpus"), ["article_id"], "ingested_at", columns)
+
+
+def chunks(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return latest(table(spark, d, "chunks"), ["chunk_id"], "ingested_at", columns)
 
 
 def contents(spark: SparkSession, d: str) -> DataFrame:
@@ -79,38 +85,38 @@ def clean_text(spark, d):
 def word_breaks(spark, d):
     """Blocks whose last word goes on in the page's next block, by journal."""
     w = Window.partitionBy(*ISSUE, "page").orderBy("block_id")
-    b = blocks(spark, d).select(*BLOCK, "text").withColumn("after", F.lead("text").over(w))
+    b = blocks(spark, d, "text").select(*BLOCK, "text").withColumn("after", F.lead("text").over(w))
     return b.where(text.breaks_word(F.col("text"), F.col("after"))).groupBy("journal").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def glued_pages(spark, d):
     """Pages with their blocks' texts glued: characters and cut words made whole."""
-    b = blocks(spark, d).groupBy(*ISSUE, "page").agg(F.sort_array(F.collect_list(F.struct("block_id", "text"))).alias("b"))
+    b = blocks(spark, d, "text").groupBy(*ISSUE, "page").agg(F.sort_array(F.collect_list(F.struct("block_id", "text"))).alias("b"))
     return b.select(*ISSUE, "page", F.md5(text.glue(F.transform("b", lambda x: x["text"]))).alias("glued"))
 
 
 @query
 def font_styles(spark, d):
-    b = blocks(spark, d)
+    b = blocks(spark, d, "font", "font_size")
     return b.groupBy(fonts.family(F.col("font")).alias("family"), fonts.half_points(F.col("font_size")).alias("size"), fonts.is_bold(F.col("font")).alias("bold")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def figure_labels(spark, d):
     t = F.col("text")
-    return blocks(spark, d).groupBy("journal").agg(F.count_if(fonts.is_figure_label(t)).alias("n_labels"), F.count_if(fonts.opens_caption(t)).alias("n_captions"))
+    return blocks(spark, d, "text").groupBy("journal").agg(F.count_if(fonts.is_figure_label(t)).alias("n_labels"), F.count_if(fonts.opens_caption(t)).alias("n_captions"))
 
 
 @query
 def roman_round_trip(spark, d):
-    r = blocks(spark, d).select(F.col("page").alias("n")).distinct().withColumn("roman", labels.to_roman(F.col("n")))
+    r = table(spark, d, "blocks").select(F.col("page").alias("n")).distinct().withColumn("roman", labels.to_roman(F.col("n")))
     return r.select("n", "roman", labels.roman_value(F.lower("roman")).alias("value"))
 
 
 @query
 def canonical_labels(spark, d):
-    return corpus(spark, d).select("article_id", labels.canonical_label(F.col("printed_page_start")).alias("label"), labels.page_value(F.col("printed_page_start")).alias("first_page"))
+    return corpus(spark, d, "printed_page_start").select("article_id", labels.canonical_label(F.col("printed_page_start")).alias("label"), labels.page_value(F.col("printed_page_start")).alias("first_page"))
 
 
 @query
@@ -122,13 +128,13 @@ def sentence_counts(spark, d):
 def title_matches(spark, d):
     """Headings of an issue that are like a contents title of it."""
     c = contents(spark, d).select(*ISSUE, "toc_pos", "title")
-    h = blocks(spark, d).where("type IN ('title', 'heading')").select(*BLOCK, "text")
+    h = blocks(spark, d, "type", "text").where("type IN ('title', 'heading')").select(*BLOCK, "text")
     return h.join(c, list(ISSUE)).where(text.same_title(F.col("title"), F.col("text"))).select(*BLOCK, "toc_pos")
 
 
 @query
 def token_totals(spark, d):
-    c = chunks(spark, d)
+    c = chunks(spark, d, "journal", "text", "embedding_text")
     return c.groupBy("journal").agg(F.sum(text.estimated_tokens(F.col("text"))).alias("est_tokens"), F.sum(text.estimated_tokens(F.col("embedding_text"))).alias("est_embedding_tokens"))
 
 
@@ -137,61 +143,61 @@ def token_totals(spark, d):
 
 @query
 def document_stats(spark, d):
-    return typography.document_stats(blocks(spark, d))
+    return typography.document_stats(blocks(spark, d, "text", "font", "font_size"))
 
 
 @query
 def classify_absolute(spark, d):
-    return typography.classify(blocks(spark, d), KEYWORD).groupBy("journal", "type", "new_type").agg(F.count(F.lit(1)).alias("n"))
+    return typography.classify(blocks(spark, d, "type", "text", "font", "font_size"), KEYWORD).groupBy("journal", "type", "new_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def classify_adaptive(spark, d):
-    return typography.classify(blocks(spark, d), ADAPTIVE).groupBy("journal", "type", "new_type").agg(F.count(F.lit(1)).alias("n"))
+    return typography.classify(written(blocks(spark, d, "type", "text", "font", "font_size"), "blocks"), ADAPTIVE).groupBy("journal", "type", "new_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def style_histogram(spark, d):
-    return typography.style_histogram(blocks(spark, d))
+    return typography.style_histogram(blocks(spark, d, "text", "font", "font_size"))
 
 
 @query
 def dominant_font(spark, d):
     """The dominant font of each page, its blocks taken as spans."""
-    s = blocks(spark, d).select(*ISSUE, "page", F.col("block_id").alias("pos"), "text", "font", F.col("font_size").alias("size"))
+    s = blocks(spark, d, "text", "font", "font_size").select(*ISSUE, "page", F.col("block_id").alias("pos"), "text", "font", F.col("font_size").alias("size"))
     return typography.dominant_font(s, (*ISSUE, "page"))
 
 
 @query
 def footer_candidates(spark, d):
-    return typography.footer_candidates(blocks(spark, d))
+    return typography.footer_candidates(blocks(spark, d, "text", "font_size"))
 
 
 @query
 def numbered_pages(spark, d):
-    return typography.numbered_pages(blocks(spark, d))
+    return typography.numbered_pages(blocks(spark, d, "text"))
 
 
 @query
 def suggested_rules(spark, d):
-    return typography.suggested_rules(blocks(spark, d))
+    return typography.suggested_rules(blocks(spark, d, "text", "font", "font_size"))
 
 
 @query
 def other_families(spark, d):
-    return typography.other_families(blocks(spark, d))
+    return typography.other_families(written(blocks(spark, d, "text", "font", "font_size"), "blocks"))
 
 
 @query
 def contact_blocks(spark, d):
     """Blocks with an address of the archive's hosts."""
-    return typography.lines_with(blocks(spark, d), ".EXAMPLE").select(*BLOCK)
+    return typography.lines_with(blocks(spark, d, "text"), ".EXAMPLE").select(*BLOCK)
 
 
 @query
 def junk_blocks(spark, d):
-    b = with_box(blocks(spark, d))
-    junk = NUMBERED.is_junk(F.col("font"), F.col("font_size"), F.col("text"), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), F.lit(1000.0))
+    b = with_box(blocks(spark, d, "text", "font", "font_size", "bbox"))
+    junk = NUMBERED.is_junk(publication.Line.of_block(F.lit(1000.0)))
     return b.groupBy("journal").agg(F.count_if(junk).alias("n_junk"), F.count(F.lit(1)).alias("n"))
 
 
@@ -200,38 +206,38 @@ def junk_blocks(spark, d):
 
 @query
 def page_labels(spark, d):
-    return page_map.page_labels(blocks(spark, d), NUMBERED)
+    return page_map.page_labels(page_blocks(spark, d), NUMBERED)
 
 
 @query
 def page_labels_keyword(spark, d):
-    return page_map.page_labels(blocks(spark, d), KEYWORD)
+    return page_map.page_labels(page_blocks(spark, d), KEYWORD)
 
 
 @query
 def page_runs(spark, d):
-    return page_map.runs(page_map.page_labels(blocks(spark, d), NUMBERED))
+    return page_map.runs(page_map.page_labels(page_blocks(spark, d), NUMBERED))
 
 
 @query
 def extended_runs(spark, d):
-    b = blocks(spark, d)
+    b = page_blocks(spark, d)
     return page_map.extended(page_map.runs(page_map.page_labels(b, NUMBERED)), page_map.last_pages(b))
 
 
 @query
 def label_to_page(spark, d):
-    return page_map.page_map(blocks(spark, d), NUMBERED)
+    return page_map.page_map(page_blocks(spark, d), NUMBERED)
 
 
 @query
 def unlabelled_pages(spark, d):
-    return page_map.unlabelled_pages(blocks(spark, d), NUMBERED)
+    return page_map.unlabelled_pages(page_blocks(spark, d), NUMBERED)
 
 
 @query
 def lone_runs(spark, d):
-    return page_map.lone_runs(blocks(spark, d), NUMBERED)
+    return page_map.lone_runs(page_blocks(spark, d), NUMBERED)
 
 
 # --- contents and articles --------------------------------------------------------------
@@ -254,62 +260,62 @@ def toc_entries(spark, d):
 
 @query
 def resolved_entries(spark, d):
-    return articles.resolved(contents(spark, d), page_map.page_map(blocks(spark, d), NUMBERED))
+    return articles.resolved(contents(spark, d), page_map.page_map(page_blocks(spark, d), NUMBERED))
 
 
 @query
 def unresolved_entries(spark, d):
-    return articles.unresolved(contents(spark, d), page_map.page_map(blocks(spark, d), NUMBERED))
+    return articles.unresolved(contents(spark, d), page_map.page_map(page_blocks(spark, d), NUMBERED))
 
 
 @query
 def nearby_labels(spark, d):
-    return page_map.nearby_labels(contents(spark, d), page_map.page_map(blocks(spark, d), NUMBERED))
+    return page_map.nearby_labels(contents(spark, d), page_map.page_map(page_blocks(spark, d), NUMBERED))
 
 
 @query
 def article_ranges(spark, d):
-    b = blocks(spark, d)
+    b = page_blocks(spark, d)
     e = articles.ranges(articles.resolved(contents(spark, d), page_map.page_map(b, NUMBERED)), page_map.last_pages(b))
     return e.select(*ISSUE, "toc_pos", "group_no", "in_group", "pdf_page_start", "pdf_page_end")
 
 
 @query
 def blocks_in_ranges(spark, d):
-    b = blocks(spark, d)
+    b = page_blocks(spark, d)
     e = articles.ranges(articles.resolved(contents(spark, d), page_map.page_map(b, NUMBERED)), page_map.last_pages(b))
     return b.join(articles.page_groups(e), [*ISSUE, "page"]).groupBy(*ISSUE, "group_no").agg(F.count(F.lit(1)).alias("n_blocks"))
 
 
 @query
 def boundary_cuts(spark, d):
-    b = blocks(spark, d)
+    b = page_blocks(spark, d, "type")
     e = articles.ranges(articles.resolved(contents(spark, d), page_map.page_map(b, NUMBERED)), page_map.last_pages(b))
     return articles.boundary_cuts(articles.content_blocks(b, NUMBERED), e)
 
 
 @query
 def reading_order(spark, d):
-    return layout.reading_order(with_box(blocks(spark, d))).select(*BLOCK, "column_no", "reading_pos")
+    return layout.reading_order(with_box(blocks(spark, d, "bbox"))).select(*BLOCK, "column_no", "reading_pos")
 
 
 @query
 def merged_frames(spark, d):
-    b = with_box(blocks(spark, d)).select(*ISSUE, "page", F.col("block_id").alias("pos"), "text", "font", F.col("font_size").alias("size"), "x0", "y0", "x1", "y1")
+    b = with_box(blocks(spark, d, "text", "font", "font_size", "bbox")).select(*ISSUE, "page", F.col("block_id").alias("pos"), "text", "font", F.col("font_size").alias("size"), "x0", "y0", "x1", "y1")
     return layout.merged_frames(b)
 
 
 @query
 def style_groups(spark, d):
     """Lines of each page by groups of one size."""
-    b = blocks(spark, d).groupBy(*ISSUE, "page").agg(F.sort_array(F.collect_list(F.struct("block_id", "text", F.col("font_size").alias("size")))).alias("b"))
+    b = blocks(spark, d, "text", "font_size").groupBy(*ISSUE, "page").agg(F.sort_array(F.collect_list(F.struct("block_id", "text", F.col("font_size").alias("size")))).alias("b"))
     g = layout.style_groups(F.transform("b", lambda x: F.struct(x["text"].alias("text"), x["size"].alias("size"))))
     return b.select(*ISSUE, "page", F.posexplode(g).alias("line", "style_group"))
 
 
 @query
 def assembled_articles(spark, d):
-    b = blocks(spark, d)
+    b = page_blocks(spark, d, "type")
     a = articles.assemble(b, contents(spark, d), page_map.page_map(b, NUMBERED), NUMBERED)
     return a.select("article_id", *ISSUE, "title", "author", "pdf_page_start", "pdf_page_end", F.array_join("quality_flags", ",").alias("flags"), F.size("full_text_paragraphs").alias("n_paragraphs"), F.length("full_text").alias("n_chars"), F.length("captions_text").alias("n_caption_chars"))
 
@@ -317,7 +323,7 @@ def assembled_articles(spark, d):
 @query
 def merged_paragraphs(spark, d):
     """Body blocks of an issue in block order, cut words made whole."""
-    b = blocks(spark, d).where("type = 'body'").withColumn("pos", F.struct("page", "block_id"))
+    b = blocks(spark, d, "type", "text").where("type = 'body'").withColumn("pos", F.struct("page", "block_id"))
     return articles.merged_paragraphs(b, ISSUE).select(*ISSUE, F.size("paragraphs").alias("n"), F.md5(F.array_join("paragraphs.text", "\n\n")).alias("text_md5"))
 
 
@@ -327,30 +333,30 @@ def merged_paragraphs(spark, d):
 @query
 def cover_filter(spark, d):
     kept = chunking.without_covers(F.col("full_text_paragraphs"), F.col("total_pdf_pages"), 2, 2)
-    return corpus(spark, d).select("article_id", F.size(kept).alias("n_kept"), F.size("full_text_paragraphs").alias("n_all"))
+    return corpus(spark, d, "full_text_paragraphs", "total_pdf_pages").select("article_id", F.size(kept).alias("n_kept"), F.size("full_text_paragraphs").alias("n_all"))
 
 
 @query
 def long_paragraphs_cut(spark, d):
-    p = corpus(spark, d).select("article_id", F.posexplode("full_text_paragraphs.text").alias("pos", "text")).where(F.length("text") > chunking.TARGET)
+    p = corpus(spark, d, "full_text_paragraphs").select("article_id", F.posexplode("full_text_paragraphs.text").alias("pos", "text")).where(F.length("text") > chunking.TARGET)
     return p.select("article_id", "pos", F.posexplode(chunking.cut_paragraph(F.col("text"))).alias("piece_no", "piece"))
 
 
 @query
 def article_chunks(spark, d):
-    return chunking.chunk_articles(corpus(spark, d), KEYWORD, F.col("journal"))
+    return chunking.chunk_articles(corpus(spark, d, *ISSUE, "title", "author", "total_pdf_pages", "full_text", "full_text_paragraphs", "captions_paragraphs"), KEYWORD, F.col("journal"))
 
 
 @query
 def embedding_texts(spark, d):
-    c = chunks(spark, d).join(table(spark, d, "journals").select("journal", "journal_name"), "journal")
-    values = {"journal": F.col("journal_name"), "author": templates.or_label(F.col("author"), KEYWORD.unknown_author)} | {n: F.col(n) for n in ("year", "issue", "title", "text")}
-    return c.select("chunk_id", F.md5(templates.fill(KEYWORD.chunk_header, values)).alias("header_md5"))
+    c = chunks(spark, d, *ISSUE, "title", "author", "text").join(table(spark, d, "journals").select("journal", "journal_name"), "journal")
+    values = {"journal": F.col("journal_name"), "author": templates.or_label(F.col("author"), KEYWORD.wording.nobody)} | {n: F.col(n) for n in ("year", "issue", "title", "text")}
+    return c.select("chunk_id", F.md5(templates.fill(KEYWORD.wording.embedded, values)).alias("header_md5"))
 
 
 @query
 def body_and_captions(spark, d):
-    c = chunks(spark, d)
+    c = chunks(spark, d, "journal", "chunk_type", "text")
     both = c.where("chunk_type = 'body'").unionByName(c.where("chunk_type = 'caption'"))
     return both.groupBy("journal", "chunk_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
 
@@ -360,12 +366,12 @@ def body_and_captions(spark, d):
 
 @query
 def index_metadata(spark, d):
-    return index.metadata(chunks(spark, d)).drop("text")
+    return index.metadata(chunks(spark, d, *ISSUE, "chunk_type", "chunk_index", "article_id", "title", "author", "page_start", "page_end", "text")).drop("text")
 
 
 @query
 def pending_chunks(spark, d):
-    return index.pending(chunks(spark, d).select("chunk_id", "journal"), table(spark, d, "vectors"))
+    return index.pending(chunks(spark, d, "journal").select("chunk_id", "journal"), table(spark, d, "vectors"))
 
 
 @query
@@ -373,7 +379,7 @@ def upserted_chunks(spark, d):
     """The latest chunks of years before 2000 brought into an index that holds all first states."""
     t = table(spark, d, "chunks").where("chunk_id IS NOT NULL")
     old = t.groupBy("chunk_id").agg(F.min_by(F.struct("article_id", "text"), F.struct("ingested_at", "text")).alias("s")).select("chunk_id", "s.*")
-    new = chunks(spark, d).where(F.col("year").try_cast("int") < 2000).select("chunk_id", "article_id", "text")
+    new = chunks(spark, d, "year", "article_id", "text").where(F.col("year").try_cast("int") < 2000).select("chunk_id", "article_id", "text")
     return index.upserted(old, new).select("chunk_id", "article_id", F.md5("text").alias("text_md5"))
 
 
@@ -399,14 +405,14 @@ def vector_topk_filtered(spark, d):
 def journal_questions(spark: SparkSession, d: str) -> DataFrame:
     """One question per journal: the text and vector of its chunk with the least id among those with a vector."""
     v = latest(table(spark, d, "vectors"), ["chunk_id"], "embedded_at").where("size(embedding) = 64")
-    c = chunks(spark, d).select("chunk_id", "journal", "text")
+    c = chunks(spark, d, "journal", "text").select("chunk_id", "journal", "text")
     return c.join(v, "chunk_id").groupBy(F.col("journal").alias("query_id")).agg(F.min_by(F.struct("text", "embedding"), "chunk_id").alias("s")).select("query_id", F.col("s.text").alias("question"), "s.embedding")
 
 
-def journal_hits(spark: SparkSession, d: str) -> DataFrame:
+def journal_hits(spark: SparkSession, d: str, questions: DataFrame | None = None) -> DataFrame:
     v = latest(table(spark, d, "vectors"), ["chunk_id"], "embedded_at").where("size(embedding) = 64")
     known = v.join(table(spark, d, "chunks").select("chunk_id").distinct(), "chunk_id")
-    return retrieval.search(known, journal_questions(spark, d))
+    return retrieval.search(known, journal_questions(spark, d) if questions is None else questions)
 
 
 @query
@@ -416,44 +422,52 @@ def question_hits(spark, d):
 
 @query
 def hits_by_article(spark, d):
-    h = journal_hits(spark, d).join(chunks(spark, d).select("chunk_id", "article_id"), "chunk_id")
+    h = journal_hits(spark, d).join(chunks(spark, d, "article_id").select("chunk_id", "article_id"), "chunk_id")
     return h.groupBy("query_id", "article_id").agg(F.count(F.lit(1)).alias("n_hits"), F.min("distance").alias("best"), (F.count(F.lit(1)) >= retrieval.PROMOTE).alias("promoted"))
 
 
 @query
 def merged_page_spans(spark, d):
     """Page spans of an article's body chunks, united where they touch."""
-    s = chunks(spark, d).where("chunk_type = 'body'").select("article_id", F.col("page_start").alias("lo"), F.col("page_end").alias("hi"), F.lit(0.0).alias("dist"))
+    s = chunks(spark, d, "chunk_type", "article_id", "page_start", "page_end").where("chunk_type = 'body'").select("article_id", F.col("page_start").alias("lo"), F.col("page_end").alias("hi"), F.lit(0.0).alias("dist"))
     return retrieval.merged_spans(s, ("article_id",)).drop("dist")
 
 
 @query
 def caption_windows(spark, d):
-    c = chunks(spark, d)
+    c = written(chunks(spark, d, "chunk_type", "chunk_index", "article_id", "page_start", "page_end"), "chunks")
     caps = c.where("chunk_type = 'caption'").select("chunk_id", "article_id", "page_start", "page_end")
     return retrieval.caption_spans(caps, c.where("chunk_type = 'body'")).select("chunk_id", "lo", "hi")
 
 
 @query
 def context_blocks(spark, d):
-    return retrieval.context_blocks(journal_hits(spark, d), chunks(spark, d), corpus(spark, d), KEYWORD)
+    return _context(spark, d, journal_questions(spark, d))
+
+
+def _context(spark: SparkSession, d: str, questions: DataFrame) -> DataFrame:
+    """Hits and the chunks they are shown with have several readers, so they are written once, as far as they are used."""
+    hits = written(journal_hits(spark, d, questions), "hits")
+    shown = chunks(spark, d, *ISSUE, "chunk_type", "chunk_index", "article_id", "title", "author", "page_start", "page_end", "text")
+    return retrieval.context_blocks(hits, written(shown, "chunks"), corpus(spark, d, "pdf_page_start", "pdf_page_end", "full_text", "captions_text"), KEYWORD)
 
 
 @query
 def prompts(spark, d):
-    return retrieval.prompts(context_blocks(spark, d), journal_questions(spark, d), KEYWORD)
+    questions = written(journal_questions(spark, d), "questions")
+    return retrieval.prompts(_context(spark, d, questions), questions, KEYWORD)
 
 
 @query
 def citations(spark, d):
-    c = chunks(spark, d).join(table(spark, d, "journals").select("journal", "journal_name"), "journal")
-    return c.select("chunk_id", retrieval.citation(KEYWORD, *[F.col(x) for x in ("journal_name", "year", "issue", "title", "author", "page_start", "page_end")]).alias("citation"))
+    c = chunks(spark, d, *ISSUE, "title", "author", "page_start", "page_end").join(table(spark, d, "journals").select("journal", "journal_name"), "journal")
+    return c.select("chunk_id", retrieval.citation(KEYWORD.wording, *[F.col(x) for x in ("journal_name", "year", "issue", "title", "author", "page_start", "page_end")]).alias("citation"))
 
 
 @query
 def hash_embeddings(spark, d):
     e = index.embed(table(spark, d, "documents").select("doc_id", "text"), "text")
-    return e.select("doc_id", F.round(vectors.norm(F.col("embedding")), 4).alias("norm"))
+    return e.select("doc_id", F.posexplode("embedding").alias("bucket", "x")).where("x <> 0").select("doc_id", "bucket", F.round(F.col("x").cast("double"), 6).alias("value"))
 
 
 # --- figures ----------------------------------------------------------------------------------
@@ -461,32 +475,32 @@ def hash_embeddings(spark, d):
 
 @query
 def quality_flag_counts(spark, d):
-    return evaluate.flag_counts(corpus(spark, d))
+    return evaluate.flag_counts(corpus(spark, d, "quality_flags"))
 
 
 @query
 def flags_by_issue(spark, d):
-    return evaluate.flags_by_issue(corpus(spark, d))
+    return evaluate.flags_by_issue(corpus(spark, d, *ISSUE, "quality_flags"))
 
 
 @query
 def flagged_unique_titles(spark, d):
-    return evaluate.flagged_titles(corpus(spark, d))
+    return evaluate.flagged_titles(corpus(spark, d, "title", "quality_flags", "full_text"))
 
 
 @query
 def issue_health(spark, d):
-    return evaluate.issue_health(corpus(spark, d))
+    return evaluate.issue_health(corpus(spark, d, *ISSUE, "quality_flags", "full_text"))
 
 
 @query
 def length_histogram(spark, d):
-    return evaluate.length_histogram(chunks(spark, d))
+    return evaluate.length_histogram(chunks(spark, d, "chunk_type", "text"))
 
 
 @query
 def chunk_length_stats(spark, d):
-    return evaluate.length_stats(chunks(spark, d))
+    return evaluate.length_stats(chunks(spark, d, "chunk_type", "text"))
 
 
 @query
@@ -496,7 +510,7 @@ def duplicate_ids(spark, d):
 
 @query
 def chunks_per_year(spark, d):
-    return evaluate.counts_by(chunks(spark, d), "journal", "year")
+    return evaluate.counts_by(chunks(spark, d, "journal", "year", "text"), "journal", "year")
 
 
 @query
@@ -516,7 +530,7 @@ def hit_rate_at_k(spark, d):
 @query
 def model_comparison(spark, d):
     """A model without parameters on titles: each journal's question is a title, to be found among its own chunks."""
-    c = chunks(spark, d)
+    c = written(chunks(spark, d, "journal", "title", "embedding_text"), "chunks")
     q = c.where("title IS NOT NULL").groupBy(F.col("journal").alias("query_id")).agg(F.min("title").alias("question")).withColumn("expect", F.col("question"))
     return evaluate.compare_models(c, q, {"hash": 64})
 
@@ -524,13 +538,13 @@ def model_comparison(spark, d):
 @query
 def truncated_texts(spark, d):
     """Texts over 1,500 characters, which an embedder with that limit would cut."""
-    e = index.embed(chunks(spark, d).select("chunk_id", "embedding_text"), max_chars=1500)
+    e = index.embed(chunks(spark, d, "embedding_text").select("chunk_id", "embedding_text"), max_chars=1500)
     return index.truncation_report(e.select("chunk_id", "truncated")).select("n", "n_truncated", F.array_join("ids", ",").alias("ids"))
 
 
 @query
 def common_titles(spark, d):
-    return evaluate.most_common(corpus(spark, d).where("title IS NOT NULL"), "title", F.col("article_id"), 20)
+    return evaluate.most_common(corpus(spark, d, "title").where("title IS NOT NULL"), "title", F.col("article_id"), 20)
 
 
 @query

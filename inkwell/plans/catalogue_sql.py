@@ -1,6 +1,6 @@
 """The queries of the catalogue as SQL for another engine, over the same tables.
 
-Pieces that several queries share are common table expressions, put together by _with.
+Pieces that several queries share are common table expressions, put together by with_.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ _NEEDS = {"ve": ["v"], "qs": ["c", "v"], "hits": ["c", "v", "ve", "qs"], "stats"
           "rng": ["b", "lab", "rv", "runs", "last", "ext", "map", "toc", "tl", "res"], "pg": ["b", "lab", "rv", "runs", "last", "ext", "map", "toc", "tl", "res", "rng"]}
 
 
-def _with(*names: str, **more: str) -> str:
+def with_(*names: str, **more: str) -> str:
     """WITH of the named expressions and all they need, then of those given."""
     order: list[str] = []
     for n in names:
@@ -147,85 +147,87 @@ JUNK = f"(coalesce(font_size < 10 AND height > 0 AND (y0 >= 0 OR y1 <= 0.08 * he
 AUTHOR = "coalesce(nullif(author, ''), 'unknown')"
 LAB_TITLE = "concat_ws('-', nullif(journal, ''), nullif(year, ''), nullif(issue, ''))"
 
+BOUNDARY_CUTS = f"""SELECT journal, year, issue, group_no, page, coalesce(arg_min(y0, reading_pos) FILTER (by_author), arg_min(y0, reading_pos) FILTER (by_title)) AS split_y FROM (
+        SELECT f.*, o.y0, o.reading_pos, coalesce(o.type = 'other' AND {same_title('f.ka', 'o.k')}, false) AS by_author, coalesce(o.type IN ('title', 'heading') AND {same_title('f.kt', 'o.k')}, false) AS by_title
+        FROM (SELECT journal, year, issue, group_no, pdf_page_start AS page, {match_key('title')} AS kt, {match_key("coalesce(author, '')")} AS ka FROM rng WHERE in_group = 0 AND group_no > 0) f
+        LEFT JOIN (SELECT *, {match_key('text')} AS k FROM ord WHERE type IN ('other', 'title', 'heading')) o USING (journal, year, issue, page)) GROUP BY ALL"""
+
 SQL: dict[str, str] = {
     "clean_text": f"SELECT doc_id, md5({clean('text')}) AS cleaned FROM documents",
-    "word_breaks": _with("b") + rf"""SELECT journal, count(*) AS n FROM (SELECT *, lead(text) OVER (PARTITION BY journal, year, issue, page ORDER BY block_id) AS nxt FROM b)
+    "word_breaks": with_("b") + rf"""SELECT journal, count(*) AS n FROM (SELECT *, lead(text) OVER (PARTITION BY journal, year, issue, page ORDER BY block_id) AS nxt FROM b)
         WHERE regexp_matches(text, '{W}{WS}*-{WS}*$') AND regexp_matches(nxt, '^{WS}*\p{{Ll}}') GROUP BY journal""",
-    "font_styles": _with("b") + f"SELECT {family('font')} AS family, {SIZE} AS size, contains(lower(coalesce(font, '')), 'bold') AS bold, count(*) AS n FROM b GROUP BY ALL",
-    "figure_labels": _with("b") + f"SELECT journal, count(*) FILTER ({LABEL}) AS n_labels, count(*) FILTER ({CAPTION}) AS n_captions FROM ({LINES}) GROUP BY journal",
-    "roman_round_trip": _with("b") + f"SELECT n, {roman('n')} AS roman, n AS value FROM (SELECT DISTINCT page AS n FROM b)",
-    "canonical_labels": _with("a") + "SELECT article_id, CAST(CAST(printed_page_start AS INTEGER) AS VARCHAR) AS label, printed_page_start AS first_page FROM a",
+    "font_styles": with_("b") + f"SELECT {family('font')} AS family, {SIZE} AS size, contains(lower(coalesce(font, '')), 'bold') AS bold, count(*) AS n FROM b GROUP BY ALL",
+    "figure_labels": with_("b") + f"SELECT journal, count(*) FILTER ({LABEL}) AS n_labels, count(*) FILTER ({CAPTION}) AS n_captions FROM ({LINES}) GROUP BY journal",
+    "roman_round_trip": with_("b") + f"SELECT n, {roman('n')} AS roman, n AS value FROM (SELECT DISTINCT page AS n FROM b)",
+    "canonical_labels": with_("a") + "SELECT article_id, CAST(CAST(printed_page_start AS INTEGER) AS VARCHAR) AS label, printed_page_start AS first_page FROM a",
     "sentence_counts": rf"SELECT doc_id, 1 + len(regexp_extract_all(regexp_replace(text, '([.!?]){WS}+([{CAPS}])', '\1' || chr(1) || '\2', 'g'), chr(1))) AS n_sentences FROM documents WHERE text IS NOT NULL",
-    "title_matches": _with("b", "toc") + f"""SELECT h.journal, h.year, h.issue, h.page, h.block_id, t.toc_pos FROM (SELECT *, {match_key('text')} AS k FROM b WHERE type IN ('title', 'heading')) h
+    "title_matches": with_("b", "toc") + f"""SELECT h.journal, h.year, h.issue, h.page, h.block_id, t.toc_pos FROM (SELECT *, {match_key('text')} AS k FROM b WHERE type IN ('title', 'heading')) h
         JOIN (SELECT *, {match_key('title')} AS m FROM toc) t {ON} WHERE {same_title('t.m', 'h.k')}""",
-    "token_totals": _with("c") + "SELECT journal, sum(CAST(round_even(coalesce(length(text), 0) / 2.3, 0) AS BIGINT)) AS est_tokens, sum(CAST(round_even(coalesce(length(embedding_text), 0) / 2.3, 0) AS BIGINT)) AS est_embedding_tokens FROM c GROUP BY journal",
-    "document_stats": _with("stats") + "SELECT * FROM stats",
-    "classify_absolute": _with("b") + f"SELECT journal, type, CASE WHEN k = 'body' AND {CAPTION} THEN 'caption' ELSE k END AS new_type, count(*) AS n FROM (SELECT *, {ABSOLUTE} AS k FROM ({LINES})) GROUP BY ALL",
-    "classify_adaptive": _with("b", "stats") + f"SELECT journal, type, CASE WHEN k = 'body' AND {CAPTION} THEN 'caption' ELSE k END AS new_type, count(*) AS n FROM (SELECT *, {RELATIVE} AS k FROM (SELECT *, {family('font')} = body_family AS same FROM ({LINES}) JOIN stats {ON})) GROUP BY ALL",
-    "style_histogram": _with("b") + f"""SELECT *, round(chars / sum(chars) OVER (PARTITION BY journal, year, issue), 6) AS share FROM (
+    "token_totals": with_("c") + "SELECT journal, sum(CAST(round_even(coalesce(length(text), 0) / 2.3, 0) AS BIGINT)) AS est_tokens, sum(CAST(round_even(coalesce(length(embedding_text), 0) / 2.3, 0) AS BIGINT)) AS est_embedding_tokens FROM c GROUP BY journal",
+    "document_stats": with_("stats") + "SELECT * FROM stats",
+    "classify_absolute": with_("b") + f"SELECT journal, type, CASE WHEN k = 'body' AND {CAPTION} THEN 'caption' ELSE k END AS new_type, count(*) AS n FROM (SELECT *, {ABSOLUTE} AS k FROM ({LINES})) GROUP BY ALL",
+    "classify_adaptive": with_("b", "stats") + f"SELECT journal, type, CASE WHEN k = 'body' AND {CAPTION} THEN 'caption' ELSE k END AS new_type, count(*) AS n FROM (SELECT *, {RELATIVE} AS k FROM (SELECT *, {family('font')} = body_family AS same FROM ({LINES}) JOIN stats {ON})) GROUP BY ALL",
+    "style_histogram": with_("b") + f"""SELECT *, round(chars / sum(chars) OVER (PARTITION BY journal, year, issue), 6) AS share FROM (
         SELECT journal, year, issue, {family('font')} AS family, {SIZE} AS size, contains(lower(coalesce(font, '')), 'bold') AS bold, sum(length({T})) AS chars FROM b WHERE length({T}) > 0 GROUP BY ALL)""",
-    "dominant_font": _with("b") + """SELECT journal, year, issue, page, arg_max_null(font, (n, -pos)) AS font, arg_min(size, pos) AS size FROM (
+    "dominant_font": with_("b") + """SELECT journal, year, issue, page, arg_max_null(font, (n, -pos)) AS font, arg_min(size, pos) AS size FROM (
         SELECT journal, year, issue, page, font, coalesce(sum(length(text)), 0) AS n, min(block_id) AS pos, arg_min(font_size, block_id) AS size FROM b GROUP BY ALL) GROUP BY ALL""",
-    "footer_candidates": _with("b") + f"""SELECT journal, line, n_pages FROM (SELECT journal, {strip('text')} AS line, count(DISTINCT (year, issue, page)) AS n_pages FROM b WHERE {strip('text')} <> '' AND font_size < 12 AND len({words('text')}) <= 6 GROUP BY ALL)
+    "footer_candidates": with_("b") + f"""SELECT journal, line, n_pages FROM (SELECT journal, {strip('text')} AS line, count(DISTINCT (year, issue, page)) AS n_pages FROM b WHERE {strip('text')} <> '' AND font_size < 12 AND len({words('text')}) <= 6 GROUP BY ALL)
         JOIN (SELECT journal, count(DISTINCT (year, issue, page)) AS pages FROM b GROUP BY ALL) USING (journal) WHERE n_pages >= 3 AND n_pages >= greatest(3, pages * 0.1)""",
-    "numbered_pages": _with("b") + f"""SELECT *, CASE WHEN with_number >= 0.4 * pages THEN 'position' ELSE 'keyword' END AS advice FROM (SELECT journal, count(*) AS pages, count(*) FILTER (bare) AS with_number FROM (
+    "numbered_pages": with_("b") + f"""SELECT *, CASE WHEN with_number >= 0.4 * pages THEN 'position' ELSE 'keyword' END AS advice FROM (SELECT journal, count(*) AS pages, count(*) FILTER (bare) AS with_number FROM (
         SELECT journal, year, issue, page, bool_or(coalesce(regexp_matches(text, '^{WS}*[0-9]{{1,4}}{WS}*$'), false)) AS bare FROM b GROUP BY ALL) GROUP BY journal)""",
-    "suggested_rules": _with("stats") + "SELECT journal, year, issue, body_family AS family, body_size AS body, round(body_size * 1.7, 1) AS title_from, round(body_size * 1.18, 1) AS heading_from, round(body_size * 1.05, 1) AS subheading_from, round(body_size * 3.0, 1) AS cover_from FROM stats",
-    "junk_blocks": _with("b") + f"""SELECT journal, count(*) FILTER (coalesce(font_size < 10 AND (y0 >= 0 OR y1 <= 80) AND len({words('text')}) <= 1, false)
+    "suggested_rules": with_("stats") + "SELECT journal, year, issue, body_family AS family, body_size AS body, round(body_size * 1.7, 1) AS title_from, round(body_size * 1.18, 1) AS heading_from, round(body_size * 1.05, 1) AS subheading_from, round(body_size * 3.0, 1) AS cover_from FROM stats",
+    "junk_blocks": with_("b") + f"""SELECT journal, count(*) FILTER (coalesce(font_size < 10 AND (y0 >= 0 OR y1 <= 80) AND len({words('text')}) <= 1, false)
         OR coalesce(regexp_matches(text, '^{WS}*\\p{{Nd}}+{WS}*$') AND x1 - x0 < 15 AND y1 - y0 < 15, false)) AS n_junk, count(*) AS n FROM b GROUP BY journal""",
-    "page_labels": _with("lab") + "SELECT journal, year, issue, page, upper(label) AS label FROM lab",
-    "page_labels_keyword": _with("b") + f"""SELECT journal, year, issue, page, arg_min(label, block_id) AS label FROM (SELECT journal, year, issue, page, block_id, upper(list_filter({words('text')}, lambda w: NOT contains(w, '/') AND regexp_matches(w, '^([0-9]{{1,4}}|[IVXLCDMivxlcdm]{{1,10}})$'))[1]) AS label
+    "page_labels": with_("lab") + "SELECT journal, year, issue, page, upper(label) AS label FROM lab",
+    "page_labels_keyword": with_("b") + f"""SELECT journal, year, issue, page, arg_min(label, block_id) AS label FROM (SELECT journal, year, issue, page, block_id, upper(list_filter({words('text')}, lambda w: NOT contains(w, '/') AND regexp_matches(w, '^([0-9]{{1,4}}|[IVXLCDMivxlcdm]{{1,10}})$'))[1]) AS label
         FROM b WHERE font_size < 10 AND contains(lower(text), '.example')) WHERE label IS NOT NULL GROUP BY ALL""",
-    "page_runs": _with("runs") + "SELECT * FROM runs",
-    "extended_runs": _with("ext") + "SELECT * FROM ext",
-    "label_to_page": _with("map") + "SELECT * FROM map",
-    "unlabelled_pages": _with("map") + "SELECT DISTINCT journal, year, issue, page FROM b ANTI JOIN map USING (journal, year, issue, page)",
-    "lone_runs": _with("runs") + "SELECT * FROM (SELECT journal, year, issue, count(*) AS n_runs, count(*) FILTER (value_min = value_max) AS n_lone FROM runs GROUP BY ALL) WHERE n_lone > greatest(2, n_runs * 0.2)",
-    "toc_pages": _with("toc") + "SELECT journal, year, issue, 3 AS page, n FROM (SELECT journal, year, issue, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL) WHERE n >= 5",
-    "toc_style_pairs": _with("toc") + "SELECT journal, year, issue, 'Serifa' AS family, 9.0::DOUBLE AS size, 'Serifa' AS text_family, 9.0::DOUBLE AS text_size, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL",
-    "toc_entries": _with("toc") + f"""SELECT journal, year, issue, row_number() OVER (PARTITION BY journal, year, issue ORDER BY toc_pos, part) - 1 AS toc_pos, printed_page, title, author FROM (
+    "page_runs": with_("runs") + "SELECT * FROM runs",
+    "extended_runs": with_("ext") + "SELECT * FROM ext",
+    "label_to_page": with_("map") + "SELECT * FROM map",
+    "unlabelled_pages": with_("map") + "SELECT DISTINCT journal, year, issue, page FROM b ANTI JOIN map USING (journal, year, issue, page)",
+    "lone_runs": with_("runs") + "SELECT * FROM (SELECT journal, year, issue, count(*) AS n_runs, count(*) FILTER (value_min = value_max) AS n_lone FROM runs GROUP BY ALL) WHERE n_lone > greatest(2, n_runs * 0.2)",
+    "toc_pages": with_("toc") + "SELECT journal, year, issue, 3 AS page, n FROM (SELECT journal, year, issue, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL) WHERE n >= 5",
+    "toc_style_pairs": with_("toc") + "SELECT journal, year, issue, 'Serifa' AS family, 9.0::DOUBLE AS size, 'Serifa' AS text_family, 9.0::DOUBLE AS text_size, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL",
+    "toc_entries": with_("toc") + f"""SELECT journal, year, issue, row_number() OVER (PARTITION BY journal, year, issue ORDER BY toc_pos, part) - 1 AS toc_pos, printed_page, title, author FROM (
         SELECT journal, year, issue, toc_pos, printed_page, regexp_replace({strip('part_title')}, '^[ ,;]+|[ ,;]+$', '', 'g') AS title, nullif(regexp_replace({clean('author')}, '^[ ,;]+|[ ,;]+$', '', 'g'), '') AS author, part
         FROM (SELECT *, unnest(string_split({clean('title')}, ';')) AS part_title, generate_subscripts(string_split({clean('title')}, ';'), 1) AS part FROM toc)) WHERE title <> ''""",
-    "question_hits": _with("hits") + "SELECT * FROM hits",
-    "hits_by_article": _with("c", "hits") + "SELECT query_id, article_id, count(*) AS n_hits, min(distance) AS best, count(*) >= 3 AS promoted FROM hits JOIN c USING (chunk_id) GROUP BY ALL",
-    "resolved_entries": _with("res") + "SELECT * FROM res",
-    "unresolved_entries": _with("map", "toc", "tl") + "SELECT * FROM tl ANTI JOIN map USING (journal, year, issue, label)",
-    "nearby_labels": _with("map", "toc", "tl") + "SELECT t.journal, t.year, t.issue, t.toc_pos, t.printed_page, CAST(t.delta AS INTEGER) AS delta, map.page FROM (SELECT *, CAST(CAST(label AS INTEGER) + delta AS VARCHAR) AS near FROM (SELECT *, unnest(range(-3, 4)) AS delta FROM tl)) t JOIN map ON map.journal = t.journal AND map.year = t.year AND map.issue = t.issue AND map.label = t.near WHERE CAST(t.label AS INTEGER) + t.delta > 0",
-    "other_families": _with("b", "stats") + f"""SELECT journal, year, issue, CAST(place AS INTEGER) AS place, family, chars FROM (SELECT *, row_number() OVER (PARTITION BY journal, year, issue ORDER BY chars DESC, family) AS place FROM (
+    "question_hits": with_("hits") + "SELECT * FROM hits",
+    "hits_by_article": with_("c", "hits") + "SELECT query_id, article_id, count(*) AS n_hits, min(distance) AS best, count(*) >= 3 AS promoted FROM hits JOIN c USING (chunk_id) GROUP BY ALL",
+    "resolved_entries": with_("res") + "SELECT * FROM res",
+    "unresolved_entries": with_("map", "toc", "tl") + "SELECT * FROM tl ANTI JOIN map USING (journal, year, issue, label)",
+    "nearby_labels": with_("map", "toc", "tl") + "SELECT t.journal, t.year, t.issue, t.toc_pos, t.printed_page, CAST(t.delta AS INTEGER) AS delta, map.page FROM (SELECT *, CAST(CAST(label AS INTEGER) + delta AS VARCHAR) AS near FROM (SELECT *, unnest(range(-3, 4)) AS delta FROM tl)) t JOIN map ON map.journal = t.journal AND map.year = t.year AND map.issue = t.issue AND map.label = t.near WHERE CAST(t.label AS INTEGER) + t.delta > 0",
+    "other_families": with_("b", "stats") + f"""SELECT journal, year, issue, CAST(place AS INTEGER) AS place, family, chars FROM (SELECT *, row_number() OVER (PARTITION BY journal, year, issue ORDER BY chars DESC, family) AS place FROM (
         SELECT journal, year, issue, {family('font')} AS family, sum(length({T})) AS chars FROM b WHERE length({T}) > 0 GROUP BY ALL) JOIN stats {ON} WHERE family <> body_family) WHERE place <= 3""",
-    "contact_blocks": _with("b") + "SELECT journal, year, issue, page, block_id FROM b WHERE contains(lower(text), '.example')",
-    "truncated_texts": _with("c") + "SELECT count(*) AS n, count(*) FILTER (length(embedding_text) > 1500) AS n_truncated, coalesce((SELECT string_agg(chunk_id, ',' ORDER BY chunk_id) FROM (SELECT chunk_id FROM c WHERE length(embedding_text) > 1500 ORDER BY chunk_id LIMIT 5)), '') AS ids FROM c",
-    "article_ranges": _with("rng") + "SELECT journal, year, issue, toc_pos, group_no, in_group, pdf_page_start, pdf_page_end FROM rng",
-    "blocks_in_ranges": _with("pg") + "SELECT journal, year, issue, group_no, count(*) AS n_blocks FROM b JOIN pg USING (journal, year, issue, page) GROUP BY ALL",
-    "boundary_cuts": _with("rng", src=f"SELECT * FROM b JOIN (SELECT journal, year, issue, max(y1) AS height FROM b GROUP BY ALL) {ON} WHERE NOT {JUNK}", ord=CTE["ord"]) + f"""SELECT journal, year, issue, group_no, page, coalesce(arg_min(y0, reading_pos) FILTER (by_author), arg_min(y0, reading_pos) FILTER (by_title)) AS split_y FROM (
-        SELECT f.*, o.y0, o.reading_pos, coalesce(o.type = 'other' AND {same_title('f.ka', 'o.k')}, false) AS by_author, coalesce(o.type IN ('title', 'heading') AND {same_title('f.kt', 'o.k')}, false) AS by_title
-        FROM (SELECT journal, year, issue, group_no, pdf_page_start AS page, {match_key('title')} AS kt, {match_key("coalesce(author, '')")} AS ka FROM rng WHERE in_group = 0 AND group_no > 0) f
-        LEFT JOIN (SELECT *, {match_key('text')} AS k FROM ord WHERE type IN ('other', 'title', 'heading')) o USING (journal, year, issue, page)) GROUP BY ALL""",
+    "contact_blocks": with_("b") + "SELECT journal, year, issue, page, block_id FROM b WHERE contains(lower(text), '.example')",
+    "truncated_texts": with_("c") + "SELECT count(*) AS n, count(*) FILTER (length(embedding_text) > 1500) AS n_truncated, coalesce((SELECT string_agg(chunk_id, ',' ORDER BY chunk_id) FROM (SELECT chunk_id FROM c WHERE length(embedding_text) > 1500 ORDER BY chunk_id LIMIT 5)), '') AS ids FROM c",
+    "article_ranges": with_("rng") + "SELECT journal, year, issue, toc_pos, group_no, in_group, pdf_page_start, pdf_page_end FROM rng",
+    "blocks_in_ranges": with_("pg") + "SELECT journal, year, issue, group_no, count(*) AS n_blocks FROM b JOIN pg USING (journal, year, issue, page) GROUP BY ALL",
+    "boundary_cuts": with_("rng", src=f"SELECT * FROM b JOIN (SELECT journal, year, issue, max(y1) AS height FROM b GROUP BY ALL) {ON} WHERE NOT {JUNK}", ord=CTE["ord"]) + BOUNDARY_CUTS,
     "reading_order": f"WITH src AS ({CTE['b']}), ord AS ({CTE['ord']}) SELECT journal, year, issue, page, block_id, column_no, reading_pos FROM ord",
-    "cover_filter": _with("a") + "SELECT article_id, len(CASE WHEN coalesce(total_pdf_pages, 0) = 0 THEN full_text_paragraphs ELSE list_filter(full_text_paragraphs, lambda p: p.page > 2 AND p.page <= total_pdf_pages - 2) END) AS n_kept, len(full_text_paragraphs) AS n_all FROM a",
-    "embedding_texts": _with("c") + f"SELECT chunk_id, md5('Magazine: ' || journal_name || chr(10) || 'Year: ' || coalesce(year, '') || chr(10) || 'Issue: ' || coalesce(issue, '') || chr(10) || 'Article: ' || coalesce(title, '') || chr(10) || 'Authors: ' || {AUTHOR} || chr(10) || 'Text: ' || coalesce(text, '')) AS header_md5 FROM c JOIN journals USING (journal)",
-    "body_and_captions": _with("c") + "SELECT journal, chunk_type, count(*) AS n, sum(length(text)) AS chars FROM c WHERE chunk_type IN ('body', 'caption') GROUP BY ALL",
-    "index_metadata": _with("c") + "SELECT chunk_id, chunk_type, chunk_index, journal, TRY_CAST(nullif(issue, '') AS INTEGER) AS issue, TRY_CAST(nullif(year, '') AS INTEGER) AS year, article_id, coalesce(title, '') AS title, coalesce(author, '') AS author, page_start, page_end FROM c",
-    "pending_chunks": _with("c") + "SELECT chunk_id, journal FROM c ANTI JOIN vectors USING (chunk_id)",
-    "upserted_chunks": _with("c") + """, n AS (SELECT chunk_id, article_id, text FROM c WHERE TRY_CAST(year AS INTEGER) < 2000), o AS (SELECT chunk_id, arg_min(article_id, (ingested_at, text)) AS article_id, arg_min(text, (ingested_at, text)) AS text FROM chunks GROUP BY chunk_id)
+    "cover_filter": with_("a") + "SELECT article_id, len(CASE WHEN coalesce(total_pdf_pages, 0) = 0 THEN full_text_paragraphs ELSE list_filter(full_text_paragraphs, lambda p: p.page > 2 AND p.page <= total_pdf_pages - 2) END) AS n_kept, len(full_text_paragraphs) AS n_all FROM a",
+    "embedding_texts": with_("c") + f"SELECT chunk_id, md5('Magazine: ' || journal_name || chr(10) || 'Year: ' || coalesce(year, '') || chr(10) || 'Issue: ' || coalesce(issue, '') || chr(10) || 'Article: ' || coalesce(title, '') || chr(10) || 'Authors: ' || {AUTHOR} || chr(10) || 'Text: ' || coalesce(text, '')) AS header_md5 FROM c JOIN journals USING (journal)",
+    "body_and_captions": with_("c") + "SELECT journal, chunk_type, count(*) AS n, sum(length(text)) AS chars FROM c WHERE chunk_type IN ('body', 'caption') GROUP BY ALL",
+    "index_metadata": with_("c") + "SELECT chunk_id, chunk_type, chunk_index, journal, TRY_CAST(nullif(issue, '') AS INTEGER) AS issue, TRY_CAST(nullif(year, '') AS INTEGER) AS year, article_id, coalesce(title, '') AS title, coalesce(author, '') AS author, page_start, page_end FROM c",
+    "pending_chunks": with_("c") + "SELECT chunk_id, journal FROM c ANTI JOIN vectors USING (chunk_id)",
+    "upserted_chunks": with_("c") + """, n AS (SELECT chunk_id, article_id, text FROM c WHERE TRY_CAST(year AS INTEGER) < 2000), o AS (SELECT chunk_id, arg_min(article_id, (ingested_at, text)) AS article_id, arg_min(text, (ingested_at, text)) AS text FROM chunks GROUP BY chunk_id)
         SELECT chunk_id, article_id, md5(text) AS text_md5 FROM n UNION ALL SELECT chunk_id, article_id, md5(text) FROM o ANTI JOIN n USING (chunk_id)""",
     "misaligned_ids": "SELECT DISTINCT chunk_id, 'chunks' AS side FROM chunks ANTI JOIN vectors USING (chunk_id) UNION ALL SELECT DISTINCT chunk_id, 'vectors' FROM vectors ANTI JOIN chunks USING (chunk_id)",
-    "vector_topk": _with("es") + TOPK % ("", 10),
-    "vector_topk_filtered": _with("es") + TOPK % ("AND a.label = 3", 5),
-    "merged_page_spans": _with("c") + """SELECT article_id, min(page_start) AS lo, max(page_end) AS hi FROM (SELECT *, sum(CASE WHEN before IS NULL OR page_start > before + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY article_id ORDER BY page_start, page_end, chunk_id ROWS UNBOUNDED PRECEDING) AS span FROM (
+    "vector_topk": with_("es") + TOPK % ("", 10),
+    "vector_topk_filtered": with_("es") + TOPK % ("AND a.label = 3", 5),
+    "merged_page_spans": with_("c") + """SELECT article_id, min(page_start) AS lo, max(page_end) AS hi FROM (SELECT *, sum(CASE WHEN before IS NULL OR page_start > before + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY article_id ORDER BY page_start, page_end, chunk_id ROWS UNBOUNDED PRECEDING) AS span FROM (
         SELECT *, max(page_end) OVER (PARTITION BY article_id ORDER BY page_start, page_end, chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM c WHERE chunk_type = 'body')) GROUP BY article_id, span""",
-    "caption_windows": _with("c") + """SELECT chunk_id, greatest(l[1], l[1 + len(l) // 2] - 1) AS lo, least(l[-1], l[1 + len(l) // 2] + 1) AS hi FROM (SELECT k.chunk_id, list_sort(list(o.chunk_index) FILTER (o.chunk_index IS NOT NULL)) AS l
+    "caption_windows": with_("c") + """SELECT chunk_id, greatest(l[1], l[1 + len(l) // 2] - 1) AS lo, least(l[-1], l[1 + len(l) // 2] + 1) AS hi FROM (SELECT k.chunk_id, list_sort(list(o.chunk_index) FILTER (o.chunk_index IS NOT NULL)) AS l
         FROM (SELECT * FROM c WHERE chunk_type = 'caption') k LEFT JOIN (SELECT * FROM c WHERE chunk_type = 'body') o ON o.article_id = k.article_id AND o.page_start <= k.page_end AND o.page_end >= k.page_start GROUP BY k.chunk_id)""",
-    "citations": _with("c") + f"SELECT chunk_id, coalesce(title, '') || ' (' || journal_name || ' ' || coalesce(year, '') || '/' || coalesce(issue, '') || ', ' || {PAGES} || '), authors: ' || {AUTHOR} AS citation FROM c JOIN journals USING (journal)",
-    "quality_flag_counts": _with("a") + "SELECT flag, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM a), 4) AS percent FROM (SELECT unnest(quality_flags) AS flag FROM a) GROUP BY flag",
-    "flags_by_issue": _with("a") + f"SELECT issue_label, flag, count(*) AS n FROM (SELECT {LAB_TITLE} AS issue_label, unnest(quality_flags) AS flag FROM a) GROUP BY CUBE (issue_label, flag) HAVING count(*) > 0",
-    "flagged_unique_titles": _with("a") + "SELECT title, article_id, array_to_string(quality_flags, ',') AS flags, length(full_text) AS n_chars FROM (SELECT *, count(*) OVER (PARTITION BY title) AS n FROM a WHERE len(quality_flags) > 0) WHERE n = 1",
-    "issue_health": _with("a") + f"SELECT {LAB_TITLE} AS issue_label, count(*) AS articles, count(*) FILTER (len(quality_flags) > 0) AS flagged, count(*) FILTER (full_text IS NULL OR NOT regexp_matches(full_text, '{NWS}')) AS empty FROM a GROUP BY 1",
-    "length_histogram": _with("c") + "SELECT chunk_type, CAST(least(length(text) // 200 * 200, 3000) AS INTEGER) AS bucket, count(*) AS n FROM c WHERE text IS NOT NULL GROUP BY ALL",
-    "chunk_length_stats": _with("c") + "SELECT chunk_type, count(*) AS n, min(length(text)) AS least, max(length(text)) AS most, round(avg(length(text)), 4) AS mean, CAST(median(length(text)) AS DOUBLE) AS middle FROM c WHERE text IS NOT NULL GROUP BY ALL",
+    "citations": with_("c") + f"SELECT chunk_id, coalesce(title, '') || ' (' || journal_name || ' ' || coalesce(year, '') || '/' || coalesce(issue, '') || ', ' || {PAGES} || '), authors: ' || {AUTHOR} AS citation FROM c JOIN journals USING (journal)",
+    "quality_flag_counts": with_("a") + "SELECT flag, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM a), 4) AS percent FROM (SELECT unnest(quality_flags) AS flag FROM a) GROUP BY flag",
+    "flags_by_issue": with_("a") + f"SELECT issue_label, flag, count(*) AS n FROM (SELECT {LAB_TITLE} AS issue_label, unnest(quality_flags) AS flag FROM a) GROUP BY CUBE (issue_label, flag) HAVING count(*) > 0",
+    "flagged_unique_titles": with_("a") + "SELECT title, article_id, array_to_string(quality_flags, ',') AS flags, length(full_text) AS n_chars FROM (SELECT *, count(*) OVER (PARTITION BY title) AS n FROM a WHERE len(quality_flags) > 0) WHERE n = 1",
+    "issue_health": with_("a") + f"SELECT {LAB_TITLE} AS issue_label, count(*) AS articles, count(*) FILTER (len(quality_flags) > 0) AS flagged, count(*) FILTER (full_text IS NULL OR NOT regexp_matches(full_text, '{NWS}')) AS empty FROM a GROUP BY 1",
+    "length_histogram": with_("c") + "SELECT chunk_type, CAST(least(length(text) // 200 * 200, 3000) AS INTEGER) AS bucket, count(*) AS n FROM c WHERE text IS NOT NULL GROUP BY ALL",
+    "chunk_length_stats": with_("c") + "SELECT chunk_type, count(*) AS n, min(length(text)) AS least, max(length(text)) AS most, round(avg(length(text)), 4) AS mean, CAST(median(length(text)) AS DOUBLE) AS middle FROM c WHERE text IS NOT NULL GROUP BY ALL",
     "duplicate_ids": "SELECT chunk_id, count(*) AS n FROM chunks GROUP BY chunk_id HAVING count(*) > 1",
-    "chunks_per_year": _with("c") + f"SELECT journal, year, count(*) AS n, count(*) FILTER (text IS NULL OR NOT regexp_matches(text, '{NWS}')) AS n_blank FROM c GROUP BY ALL",
-    "hit_rate_at_k": _with("es") + "SELECT count(*) AS n, count(*) FILTER (found) AS found, round(avg(CAST(found AS DOUBLE)), 6) AS rate FROM (SELECT t.query_id, bool_or(contains(CAST(h.label AS VARCHAR), CAST(o.label AS VARCHAR))) AS found FROM (" + TOPK % ("", 5) + ") t JOIN es h ON CAST(h.vec_id AS VARCHAR) = t.chunk_id JOIN es o ON o.vec_id = t.query_id GROUP BY t.query_id)",
-    "common_titles": _with("a") + "SELECT title, n FROM (SELECT title, count(*) AS n, min(article_id) AS met FROM a WHERE title IS NOT NULL GROUP BY title ORDER BY n DESC, met LIMIT 20)",
+    "chunks_per_year": with_("c") + f"SELECT journal, year, count(*) AS n, count(*) FILTER (text IS NULL OR NOT regexp_matches(text, '{NWS}')) AS n_blank FROM c GROUP BY ALL",
+    "hit_rate_at_k": with_("es") + "SELECT count(*) AS n, count(*) FILTER (found) AS found, round(avg(CAST(found AS DOUBLE)), 6) AS rate FROM (SELECT t.query_id, bool_or(contains(CAST(h.label AS VARCHAR), CAST(o.label AS VARCHAR))) AS found FROM (" + TOPK % ("", 5) + ") t JOIN es h ON CAST(h.vec_id AS VARCHAR) = t.chunk_id JOIN es o ON o.vec_id = t.query_id GROUP BY t.query_id)",
+    "common_titles": with_("a") + "SELECT title, n FROM (SELECT title, count(*) AS n, min(article_id) AS met FROM a WHERE title IS NOT NULL GROUP BY title ORDER BY n DESC, met LIMIT 20)",
     "event_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

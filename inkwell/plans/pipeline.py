@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkwell.operators import articles, chunking, layout, page_map, toc, typography
 from inkwell.operators.common import ISSUE
-from inkwell.plans.profile import Profile
+from inkwell.plans.publication import Publication
 from inkwell.session import cut
 
 
@@ -23,26 +23,26 @@ class Archive:
     unresolved: DataFrame
 
 
-def blocks_of_spans(spans: DataFrame, profile: Profile) -> DataFrame:
+def blocks_of_spans(spans: DataFrame, publication: Publication) -> DataFrame:
     """Typed blocks (BLOCKS) of spans (SPANS)."""
     b = layout.merged_frames(layout.frames_of_spans(spans)).withColumn("bbox", F.array("x0", "y0", "x1", "y1"))
-    return typography.classify(b, profile).select(*ISSUE, "page", "block_id", F.col("new_type").alias("type"), "text", "font", "font_size", "bbox")
+    return typography.classify(b, publication).select(*ISSUE, "page", "block_id", F.col("new_type").alias("type"), "text", "font", "font_size", "bbox")
 
 
-def contents_of_spans(spans: DataFrame, profile: Profile) -> DataFrame:
-    """Contents entries: of the pages that the profile names (counted from 0), else of those found."""
+def contents_of_spans(spans: DataFrame, publication: Publication) -> DataFrame:
+    """Contents entries: of the pages that the publication names (counted from 0), else of those found."""
     s = spans.where("kind = 'text'").select(*ISSUE, "page", "pos", "text", "font", "size", "color")
-    if profile.toc_pages:
-        s = s.where(F.col("page").isin(*[p + 1 for p in profile.toc_pages]))
+    if publication.contents.pages:
+        s = s.where(F.col("page").isin(*[p + 1 for p in publication.contents.pages]))
     else:
-        s = s.join(toc.toc_pages(s, profile).select(*ISSUE, "page"), [*ISSUE, "page"], "left_semi")
-    return toc.entries(s, profile)
+        s = s.join(toc.toc_pages(s, publication).select(*ISSUE, "page"), [*ISSUE, "page"], "left_semi")
+    return toc.entries(s, publication)
 
 
-def build(spans: DataFrame, profile: Profile, skip_first: int | None = None, skip_last: int | None = None) -> Archive:
+def build(spans: DataFrame, publication: Publication, skip_first: int | None = None, skip_last: int | None = None) -> Archive:
     """All stages. blocks, contents and page labels have several readers and are written once."""
-    blocks = cut(blocks_of_spans(spans, profile))
-    contents = cut(contents_of_spans(spans, profile))
-    labels = cut(page_map.page_map(blocks, profile))
-    arts = articles.assemble(blocks, contents, labels, profile)
-    return Archive(blocks, contents, labels, arts, chunking.chunk_articles(arts, profile, None, skip_first, skip_last), articles.unresolved(contents, labels))
+    blocks = cut(blocks_of_spans(spans, publication))
+    contents = cut(contents_of_spans(spans, publication))
+    labels = cut(page_map.page_map(blocks, publication))
+    arts = articles.assemble(blocks, contents, labels, publication)
+    return Archive(blocks, contents, labels, arts, chunking.chunk_articles(arts, publication, None, skip_first, skip_last), articles.unresolved(contents, labels))

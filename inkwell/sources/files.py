@@ -9,17 +9,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.plans.profile import Profile
+from inkwell.plans.publication import Publication
 from inkwell.sources import schemas
 
 
-def find_issues(spark: SparkSession, folder: str, profile: Profile, glob: str = "*.pdf") -> tuple[DataFrame, DataFrame]:
-    """((path, year, issue) of the files whose name fits the profile, paths of those whose name doesn't).
+def find_issues(spark: SparkSession, folder: str, publication: Publication, glob: str = "*.pdf") -> tuple[DataFrame, DataFrame]:
+    """((path, year, issue) of the files whose name fits the publication, paths of those whose name doesn't).
 
     A pattern with one group gives the issue and an empty year. Contents are not read.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
-    p = "(?i)" + profile.filename_pattern
+    p = "(?i)" + publication.files
     fits = F.col("name").rlike(p)
     import re
 

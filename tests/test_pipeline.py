@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from inkwell import __main__ as cli
 from inkwell.operators import layout
-from inkwell.plans import pipeline, profile
+from inkwell.plans import pipeline, publication
 from inkwell.sources import files, schemas
 from inkwell.streaming import ingest
 
@@ -28,7 +28,7 @@ def issue():
 
 
 def test_spans_to_chunks(spark):
-    p = profile.register(profile.replace(profile.NUMBERED_PAGES, key="test", toc_pages=(2,), skip_first_pages=3, skip_last_pages=0)) or profile.get("test")
+    p = publication.register(publication.replace(publication.NUMBERED_PAGES, name="test", covers=(3, 0)))
     built = pipeline.build(spark.createDataFrame(issue(), schemas.SPANS), p)
     got = {r.article_id: r for r in built.articles.collect()}
     assert [(k, r.title, r.author, r.pdf_page_start, r.pdf_page_end) for k, r in sorted(got.items())] == [("j-2000-1-0", "The first one", "Ann", 4, 4), ("j-2000-1-1", "Second thoughts", "Bea", 5, 6), ("j-2000-1-2", "Third time", "Cyd", 7, 7)]
@@ -49,7 +49,7 @@ def test_a_raw_block_is_cut_where_the_size_jumps(spark):
 def test_issues_by_name(spark, tmp_path):
     for n in ("mag-2014-6.pdf", "mag-2015-1.PDF", "notes.pdf"):
         (tmp_path / n).write_bytes(b"%PDF")
-    found, skipped = files.find_issues(spark, str(tmp_path), profile.ADAPTIVE)
+    found, skipped = files.find_issues(spark, str(tmp_path), publication.ADAPTIVE)
     assert [(r.year, r.issue) for r in found.collect()] == [("2014", "6")] and skipped.count() == 1
     spans, errors = files.read_spans(found, "j", lambda content: iter([{"page": 1, "raw_block": 0, "kind": "text", "line": 0, "pos": 0, "text": content.decode(), "font": "F", "size": 9.0, "color": 0, "x0": 0.0, "y0": 0.0, "x1": 1.0, "y1": 1.0}]))
     assert [(r.year, r.text) for r in spans.collect()] == [("2014", "%PDF")] and errors.count() == 0
