@@ -75,7 +75,22 @@ PHRASES = {
     "scripts": r"(?:enable|activate|allow) javascript to|javascript (?:is|must be) (?:disabled|required|enabled|turned off|turned on)|requires javascript|does not run scripts|needs active scripting|turn on scripts to|zapněte javascript|povolte javascript|vyžaduje (?:povolené skripty|javascript)|nespouští skripty|^bez skriptů se"
     r"|aktivieren sie javascript|benötigt javascript|javascript ist deaktiviert|ohne aktivierte skripte|führt keine skripte|activer javascript pour|exécute pas les scripts|exige des scripts actifs|javascript est désactivé|sans javascript",
 }
+#: Words that are a label only in a segment of few words, in which nothing is said about them.
+SHORT_PHRASES = (
+    r"\b(?:error|chyba|fehler|erreur) (?:no |č |nr |n° )?\d{2,}\b|\bnot found\b|\bnenalezen[aoý]?\b|\bnicht gefunden\b|\bintrouvable\b|\bforbidden\b|\bunauthorized\b|\bzakázáno\b|\baccès interdit\b|\btimed out\b|\btime-?out\b|\btemps (?:d.attente )?écoulé\b"
+    r"|\bunavailable\b|\bnedostupn[áéý]\b|\bnicht (?:verfügbar|erreichbar)\b|\bindisponible\b|\b(?:under|for|in) maintenance\b|\bmaintenance mode\b|\bprobíhá údržba\b|\bwartungs(?:arbeiten|modus)\b|\ben maintenance\b|\bserver error\b|\bneočekávaná chyba\b|\bunerwarteter fehler\b|\berreur inattendue\b"
+    r"|\b(?:failed|unable) to (?:load|connect|open|read)\b|\bnepodařilo se (?:načíst|otevřít|připojit)\b|\bkonnte nicht (?:geladen|geöffnet|gefunden)\b|\bimpossible (?:de charger|d.ouvrir)\b|\bplease (?:log|sign) in\b|\bpřihlaste se\b|\bmelden sie sich an\b|\bveuillez vous connecter\b"
+    r"|\b(?:unhandled |uncaught )?\w*exception\b|\bcore dumped\b|\bout of memory\b|\bobject object\b|\bscripts? (?:is|are) (?:disabled|blocked|required)\b|\bskripty (?:jsou )?(?:vypnuty|zakázány)\b|\bskripte (?:sind )?(?:deaktiviert|blockiert)\b|\bscripts (?:sont )?(?:désactivés|bloqués)\b"
+    r"|\bplaceholder\b|\bplatzhalter(?:text)?\b|\bdummytext\b|\bzástupný text\b|\btexte bidon\b|\bquick brown fox\b|\bžluťoučký kůň\b|\bfranz jagt\b|\bvieux whisky\b|\bqwert[yz]\b|\bfoo bar\b|\blipsum\b"
+    r"|\b(?:title|headline|heading|caption|picture|photo|text|name|author|teaser|lead) (?:goes )?here\b|\b(?:replace|delete) this (?:text|line|sentence|paragraph)\b|\bto be (?:written|supplied|filled in|confirmed)\b|\bt\.?b\.?[acd]\b"
+    r"|\b(?:titulek|nadpis|text|popisek|perex|jméno|foto) sem\b|\bbude doplněn[ao]?\b|\b(?:vložit|doplnit|dodat) (?:text|titulek|nadpis|popisek|perex|foto|jméno)\b"
+    r"|\b(?:titel|überschrift|text|bildtext|bildunterschrift|name|autor|vorspann) (?:hier|folgt|einfügen|einsetzen|ergänzen)\b|\bhier (?:titel|überschrift|text|bildtext|name|autor)\b|\bwird (?:noch )?(?:ergänzt|nachgereicht)\b"
+    r"|\b(?:titre|légende|texte|chapo|nom|photo|signature) (?:ici|à venir|à insérer|à compléter)\b|\bà (?:insérer|rédiger|remplacer)\b")
+_SHORT_PHRASE = re.compile(SHORT_PHRASES)
+_SHORT_WORDS = 8
 _PHRASE = re.compile("|".join(f"(?:{p})" for p in PHRASES.values()).replace(r"\1", r"(?:bla|blah|text|texte|probe|sazba|asdf|testing)"))
+#: What labels, segments and features are made by: a model made by other rules is another model.
+_RULES = zlib.crc32(repr((_PHRASE.pattern, SHORT_PHRASES, _SLOT.pattern, _CODE.pattern, _QUOTED.pattern, NEGATIVES, BITS, THRESHOLD, FILLER_SHARE)).encode())
 #: Of these words each phrase holds one; a segment without any needs no search.
 _PHRASE_WORDS = {w for p in PHRASES.values() for w in re.findall(r"[^\W\d_]{4,}", re.sub(r"\\[a-zA-Z]", " ", p))} | {"bla", "xxx", "ora", "at", "tk"}
 _STATUS = re.compile(r"^http \d{3}\b|^(?:4\d\d|5\d\d) \w+(?: \w+){0,9}$|\(?\b(?:40\d|41\d|429|50\d)\)$")
@@ -213,7 +228,7 @@ def weak_label(words: str) -> bool:
         return True
     if not _PHRASE_WORDS.isdisjoint(re.split(r"[^\w]+", words)) and _PHRASE.search(words):
         return True
-    return bool(_STATUS.search(words))
+    return bool(_STATUS.search(words)) or (words.count(" ") < _SHORT_WORDS and "⟨" not in words and bool(_SHORT_PHRASE.search(words)))
 
 
 def spread_filler(labels: np.ndarray, said: list[str], s: Segments) -> np.ndarray:
@@ -365,7 +380,7 @@ def model_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     spark = docs.sparkSession
     row = F.xxhash64(F.col(id_col), F.col(text_col), F.col("title"), F.col("source"))
     n, mark = docs.agg(F.count(F.lit(1)), F.bit_xor(row)).first()
-    kept = Generations(spark, f"{shared_dir(spark)}/residue-{n}-{(mark or 0) & (2**64 - 1):x}-{sample_docs}")
+    kept = Generations(spark, f"{shared_dir(spark)}/residue-{n}-{(mark or 0) & (2**64 - 1):x}-{sample_docs}-{_RULES:x}")
     if not kept.last():
         model, figures = train(docs, n, id_col, text_col, sample_docs)
         if model is None:
