@@ -172,7 +172,7 @@ _CONTEXT = dict(
             SELECT {_BY}, lo, hi, dist, min(page_start) AS ps, max(page_end) AS pe, string_agg(text, {_BREAK} ORDER BY i) FILTER (k = 0) AS bt, string_agg(text, {_BREAK} ORDER BY i) FILTER (k = 1) AS ct FROM parts GROUP BY ALL) JOIN heads USING ({_BY})
         UNION ALL SELECT query_id, 'full_article', n_hits, m, pdf_page_start, pdf_page_end, coalesce(full_text, '') || CASE WHEN coalesce(captions_text, '') <> '' THEN {_BREAK} || 'Figure captions:' || {_BREAK} || captions_text ELSE '' END, best, first_rank, -1
         FROM heads JOIN a USING (article_id) WHERE n_hits >= 3""",
-    ctx="""SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY best_distance, first_rank, win) - 1 AS block_no, mode, n_hits,
+    ctx="""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY best_distance, first_rank, win) - 1 AS INTEGER) AS block_no, mode, n_hits,
         coalesce(m.title, '') || ' (' || coalesce(m.journal, '') || ' ' || coalesce(m.year, '') || '/' || coalesce(m.issue, '') || ', ' || CASE WHEN ps = pe THEN 'PDF p. ' || ps ELSE 'PDF pp. ' || ps || '-' || pe END || '), authors: ' || coalesce(nullif(m.author, ''), 'unknown') AS citation, text, best_distance FROM every""")
 CONTEXT_BLOCKS = with_("a", "hits", **_CONTEXT) + "SELECT * FROM ctx"
 PROMPTS = with_("a", "hits", **_CONTEXT) + f""", q AS (SELECT query_id, text AS question FROM qs JOIN c USING (chunk_id)),
