@@ -11,6 +11,11 @@ from inkwell.functions.text import words
 PREFIXES = {"intfloat/multilingual-e5-small": ("query: ", "passage: "), "intfloat/multilingual-e5-base": ("query: ", "passage: "), "intfloat/multilingual-e5-large": ("query: ", "passage: ")}
 
 
+def model_slug(model: str) -> str:
+    """A model's name as a folder's."""
+    return model.replace("/", "__")
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

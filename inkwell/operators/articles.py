@@ -12,7 +12,7 @@ from inkwell.operators import layout
 from inkwell.operators.common import ISSUE, with_box
 from inkwell.operators.page_map import last_pages
 from inkwell.plans.publication import Line, Publication
-from inkwell.session import cut
+from inkwell.session import written
 
 BODY_TYPES = ("title", "heading", "other", "body")
 
@@ -176,17 +176,17 @@ def assemble(blocks: DataFrame, toc: DataFrame, label_to_page: DataFrame, public
     """
     last = last_pages(blocks)
     # each of these has several readers; written once, they also keep the plans behind them short
-    entries = cut(ranges(resolved(toc, label_to_page), last))
-    ordered = cut(content_blocks(blocks, publication))
+    entries = written(ranges(resolved(toc, label_to_page), last), "entries")
+    ordered = written(content_blocks(blocks, publication), "ordered")
     mine = assigned(ordered, entries)
     w = Window.partitionBy(*ISSUE, "group_no").orderBy("page", "reading_pos")
     # a boundary page's blocks of the group before come after that group's own
-    mine = cut(mine.withColumn("group_pos", F.row_number().over(w) - 1))
+    mine = written(mine.withColumn("group_pos", F.row_number().over(w) - 1), "assigned")
     shared = article_entries(entries, mine, boundary_cuts(ordered, entries))
     at = F.row_number().over(Window.partitionBy(*ISSUE).orderBy("group_no", "in_group")) - 1
     pages = entries.groupBy(*ISSUE, "group_no").agg(F.min_by("printed_page", "in_group").alias("printed_page_start"), F.min("pdf_page_start").alias("pdf_page_start"), F.max("pdf_page_end").alias("pdf_page_end"))
     arts = shared.withColumn("art_no", at).join(pages, [*ISSUE, "group_no"]).join(last.withColumnRenamed("last_page", "total_pdf_pages"), list(ISSUE))
-    arts = arts.withColumn("article_id", joined(F.col("journal"), F.col("year"), F.col("issue"), F.col("art_no")))
+    arts = written(arts.withColumn("article_id", joined(F.col("journal"), F.col("year"), F.col("issue"), F.col("art_no"))), "articles")
     held = mine.join(arts.select(*ISSUE, "group_no", "article_id", "lo", "hi"), [*ISSUE, "group_no"]).where((F.col("group_pos") >= F.col("lo")) & (F.col("hi").isNull() | (F.col("group_pos") < F.col("hi"))))
     held = layout.reading_order(held.drop("column_no"), ("article_id", "page"), "group_pos", "article_pos").withColumn("pos", F.struct("page", "article_pos"))
     body = merged_paragraphs(held.where(F.col("type").isin(*BODY_TYPES)), ("article_id",)).withColumnRenamed("paragraphs", "full_text_paragraphs")

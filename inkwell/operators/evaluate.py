@@ -31,6 +31,15 @@ def flagged_titles(articles: DataFrame) -> DataFrame:
     return f.where("n = 1").select("title", "article_id", F.array_join("quality_flags", ",").alias("flags"), F.length("full_text").alias("n_chars"))
 
 
+def flagged_share(articles: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(articles, flagged, empty, chunks, flagged_chunks, percent): how much of an archive its flagged articles make up."""
+    a = articles.select("article_id", (F.size("quality_flags") > 0).alias("flagged"), is_blank(F.col("full_text")).alias("empty"))
+    c = chunks.groupBy("article_id").agg(F.count(F.lit(1)).alias("n"))
+    j = a.join(c, "article_id", "left")
+    n, of_flagged = F.coalesce(F.sum("n"), F.lit(0).cast("bigint")), F.coalesce(F.sum(F.when(F.col("flagged"), F.col("n"))), F.lit(0).cast("bigint"))
+    return j.agg(F.count(F.lit(1)).alias("articles"), F.count_if("flagged").alias("flagged"), F.count_if("empty").alias("empty"), n.alias("chunks"), of_flagged.alias("flagged_chunks"), F.round(100 * F.try_divide(of_flagged, n), 4).alias("percent"))
+
+
 def issue_health(articles: DataFrame) -> DataFrame:
     """(issue_label, articles, flagged, empty)."""
     label = joined(F.col("journal"), F.col("year"), F.col("issue"))

@@ -72,9 +72,9 @@ def unlabelled_pages(blocks: DataFrame, publication: Publication) -> DataFrame:
 
 
 def lone_runs(blocks: DataFrame, publication: Publication) -> DataFrame:
-    """(issue, n_runs, n_lone) of issues with suspiciously many runs of one page: over 2 and over a fifth."""
+    """(issue, n_runs, n_lone, suspicious): runs, those of one page, and whether these are over 2 and over a fifth."""
     r = runs(page_labels(blocks, publication)).groupBy(*ISSUE).agg(F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("value_min") == F.col("value_max")).alias("n_lone"))
-    return r.where(F.col("n_lone") > F.greatest(F.lit(2.0), F.col("n_runs") * 0.2))
+    return r.withColumn("suspicious", F.col("n_lone") > F.greatest(F.lit(2.0), F.col("n_runs") * 0.2))
 
 
 def nearby_labels(toc: DataFrame, label_to_page: DataFrame, reach: int = 3) -> DataFrame:

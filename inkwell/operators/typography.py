@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions import fonts
-from inkwell.functions.text import strip, words
-from inkwell.operators.common import ISSUE
+from inkwell.functions.text import preview, strip, words
+from inkwell.operators.common import ISSUE, with_box
 from inkwell.plans.publication import Line, Publication
 
 
@@ -52,13 +52,31 @@ def style_histogram(blocks: DataFrame, keys: tuple[str, ...] = ISSUE) -> DataFra
     return h.withColumn("share", F.round(F.col("chars") / F.sum("chars").over(Window.partitionBy(*keys)), 6))
 
 
-def footer_candidates(blocks: DataFrame, keys: tuple[str, ...] = ("journal",), max_size: float = 12.0, max_words: int = 6) -> DataFrame:
-    """Short small texts that come back on many pages: at least 3 and a tenth of the document's pages."""
+def footer_candidates(blocks: DataFrame, keys: tuple[str, ...] = ("journal",), max_size: float = 12.0, max_words: int = 6, edge: float = 0.1, top: int = 20) -> DataFrame:
+    """(keys, place, line, n_pages): short small texts near the upper or lower edge that come back on many pages.
+
+    On at least 3 and a tenth of the document's pages, of the `top` most frequent ones; equal ones by
+    text. A page is as high as its lowest box; a text without a box is at no edge.
+    """
     t = strip(F.col("text"))
-    pages = blocks.groupBy(*keys).agg(F.count_distinct("year", "issue", "page").alias("pages"))
-    short = blocks.where((t != "") & (F.col("font_size") < max_size) & (F.size(words(F.col("text"))) <= max_words))
+    b = with_box(blocks)
+    b = b.withColumn("height", F.max("y1").over(Window.partitionBy(*ISSUE, "page")))
+    pages = b.groupBy(*keys).agg(F.count_distinct("year", "issue", "page").alias("pages"))
+    near = (F.col("y0") >= F.col("height") * (1 - edge)) | (F.col("y1") <= F.col("height") * edge)
+    short = b.where((t != "") & near & (F.col("font_size") < max_size) & (F.size(words(F.col("text"))) <= max_words))
     seen = short.groupBy(*keys, t.alias("line")).agg(F.count_distinct("year", "issue", "page").alias("n_pages"))
-    return seen.where("n_pages >= 3").join(pages, list(keys)).where(F.col("n_pages") >= F.greatest(F.lit(3), F.col("pages") * 0.1)).select(*keys, "line", "n_pages")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n_pages"), "line"))
+    seen = seen.withColumn("place", place).where(F.col("place") <= top)
+    return seen.join(pages, list(keys)).where((F.col("n_pages") >= 3) & (F.col("n_pages") >= F.col("pages") * 0.1)).select(*keys, "place", "line", "n_pages")
+
+
+def style_samples(blocks: DataFrame, n: int = 20, chars: int = 60, keys: tuple[str, ...] = ISSUE) -> DataFrame:
+    """(keys, family, size, bold, no, text): the first n texts set in each style, cut short."""
+    t = strip(F.col("text"))
+    style = [fonts.family(F.col("font")).alias("family"), fonts.half_points(F.col("font_size")).alias("size"), fonts.is_bold(F.col("font")).alias("bold")]
+    no = F.row_number().over(Window.partitionBy(*keys, "family", "size", "bold").orderBy("page", "block_id"))
+    s = blocks.where(t != "").select(*keys, *style, "page", "block_id", preview(t, chars).alias("text")).withColumn("no", no)
+    return s.where(F.col("no") <= n).drop("page", "block_id")
 
 
 def numbered_pages(blocks: DataFrame, keys: tuple[str, ...] = ("journal",)) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions import fonts, labels, templates, text
-from inkwell.operators import articles, chunking, evaluate, index, layout, page_map, retrieval, toc, typography
+from inkwell.operators import articles, chunking, diagnose, evaluate, index, layout, page_map, retrieval, toc, typography
 from inkwell.operators.common import BLOCK, ISSUE, latest, with_box
 from inkwell.plans import publication
 from inkwell.session import table, written
@@ -83,10 +83,10 @@ def clean_text(spark, d):
 
 @query
 def word_breaks(spark, d):
-    """Blocks whose last word goes on in the page's next block, by journal."""
-    w = Window.partitionBy(*ISSUE, "page").orderBy("block_id")
-    b = blocks(spark, d, "text").select(*BLOCK, "text").withColumn("after", F.lead("text").over(w))
-    return b.where(text.breaks_word(F.col("text"), F.col("after"))).groupBy("journal").agg(F.count(F.lit(1)).alias("n"))
+    """Blocks set in a column of 30 characters with hyphens: how often the first break is one within a word, by journal."""
+    b = blocks(spark, d, "text").where(F.length("text") > 30)
+    first, rest = F.concat(F.left("text", F.lit(30)), F.lit("- ")), F.substring("text", 31, 1_000_000)
+    return b.groupBy("journal").agg(F.count_if(text.breaks_word(first, rest)).alias("n"), F.count(F.lit(1)).alias("n_blocks"))
 
 
 @query
@@ -170,7 +170,31 @@ def dominant_font(spark, d):
 
 @query
 def footer_candidates(spark, d):
-    return typography.footer_candidates(blocks(spark, d, "text", "font_size"))
+    return typography.footer_candidates(blocks(spark, d, "text", "font_size", "bbox"))
+
+
+@query
+def style_samples(spark, d):
+    return typography.style_samples(blocks(spark, d, "text", "font", "font_size"), 3)
+
+
+@query
+def issues_in_order(spark, d):
+    """Issues of each journal and year, numbers first and by value."""
+    at = F.row_number().over(Window.partitionBy("journal", "year").orderBy(*templates.issue_order(F.col("issue"))))
+    return table(spark, d, "blocks").select(*ISSUE).distinct().withColumn("place", at)
+
+
+@query
+def group_overview(spark, d):
+    b = page_blocks(spark, d, "type")
+    e = written(articles.ranges(articles.resolved(contents(spark, d), page_map.page_map(b, NUMBERED)), page_map.last_pages(b)), "entries")
+    return diagnose.group_view(b, e, NUMBERED)
+
+
+@query
+def flagged_share(spark, d):
+    return evaluate.flagged_share(corpus(spark, d, "quality_flags", "full_text"), chunks(spark, d, "article_id"))
 
 
 @query
@@ -524,7 +548,9 @@ def similarity_separation(spark, d):
 def hit_rate_at_k(spark, d):
     e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding", "vec_id", F.col("label").cast("string").alias("title"))
     q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding", F.col("title").alias("expect"))
-    return evaluate.hit_rate(retrieval.search(e, q, 5), q, e)
+    hits = retrieval.search(e, q, 6).where(F.col("chunk_id") != F.col("query_id").cast("string"))  # a question isn't its own answer
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
+    return evaluate.hit_rate(hits.withColumn("rank", place), q, e)
 
 
 @query

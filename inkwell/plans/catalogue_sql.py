@@ -154,8 +154,8 @@ BOUNDARY_CUTS = f"""SELECT journal, year, issue, group_no, page, coalesce(arg_mi
 
 SQL: dict[str, str] = {
     "clean_text": f"SELECT doc_id, md5({clean('text')}) AS cleaned FROM documents",
-    "word_breaks": with_("b") + rf"""SELECT journal, count(*) AS n FROM (SELECT *, lead(text) OVER (PARTITION BY journal, year, issue, page ORDER BY block_id) AS nxt FROM b)
-        WHERE regexp_matches(text, '{W}{WS}*-{WS}*$') AND regexp_matches(nxt, '^{WS}*\p{{Ll}}') GROUP BY journal""",
+    "word_breaks": with_("b") + rf"""SELECT journal, count(*) FILTER (regexp_matches(left(text, 30), '{W}{WS}*$') AND regexp_matches(substring(text, 31), '^{WS}*\p{{Ll}}')) AS n, count(*) AS n_blocks
+        FROM b WHERE length(text) > 30 GROUP BY journal""",
     "font_styles": with_("b") + f"SELECT {family('font')} AS family, {SIZE} AS size, contains(lower(coalesce(font, '')), 'bold') AS bold, count(*) AS n FROM b GROUP BY ALL",
     "figure_labels": with_("b") + f"SELECT journal, count(*) FILTER ({LABEL}) AS n_labels, count(*) FILTER ({CAPTION}) AS n_captions FROM ({LINES}) GROUP BY journal",
     "roman_round_trip": with_("b") + f"SELECT n, {roman('n')} AS roman, n AS value FROM (SELECT DISTINCT page AS n FROM b)",
@@ -171,8 +171,16 @@ SQL: dict[str, str] = {
         SELECT journal, year, issue, {family('font')} AS family, {SIZE} AS size, contains(lower(coalesce(font, '')), 'bold') AS bold, sum(length({T})) AS chars FROM b WHERE length({T}) > 0 GROUP BY ALL)""",
     "dominant_font": with_("b") + """SELECT journal, year, issue, page, arg_max_null(font, (n, -pos)) AS font, arg_min(size, pos) AS size FROM (
         SELECT journal, year, issue, page, font, coalesce(sum(length(text)), 0) AS n, min(block_id) AS pos, arg_min(font_size, block_id) AS size FROM b GROUP BY ALL) GROUP BY ALL""",
-    "footer_candidates": with_("b") + f"""SELECT journal, line, n_pages FROM (SELECT journal, {strip('text')} AS line, count(DISTINCT (year, issue, page)) AS n_pages FROM b WHERE {strip('text')} <> '' AND font_size < 12 AND len({words('text')}) <= 6 GROUP BY ALL)
-        JOIN (SELECT journal, count(DISTINCT (year, issue, page)) AS pages FROM b GROUP BY ALL) USING (journal) WHERE n_pages >= 3 AND n_pages >= greatest(3, pages * 0.1)""",
+    "footer_candidates": with_("b") + f"""SELECT journal, CAST(place AS INTEGER) AS place, line, n_pages FROM (
+        SELECT *, row_number() OVER (PARTITION BY journal ORDER BY n_pages DESC, line) AS place FROM (SELECT journal, {strip('text')} AS line, count(DISTINCT (year, issue, page)) AS n_pages
+            FROM (SELECT *, max(y1) OVER (PARTITION BY journal, year, issue, page) AS height FROM b) WHERE {strip('text')} <> '' AND (y0 >= 0.9 * height OR y1 <= 0.1 * height) AND font_size < 12 AND len({words('text')}) <= 6 GROUP BY ALL))
+        JOIN (SELECT journal, count(DISTINCT (year, issue, page)) AS pages FROM b GROUP BY ALL) USING (journal) WHERE place <= 20 AND n_pages >= 3 AND n_pages >= pages * 0.1""",
+    "style_samples": with_("b") + f"""SELECT journal, year, issue, family, size, bold, CAST(no AS INTEGER) AS no, CASE WHEN length(t) > 60 THEN left(t, 60) || '...' ELSE t END AS text FROM (
+        SELECT *, row_number() OVER (PARTITION BY journal, year, issue, family, size, bold ORDER BY page, block_id) AS no FROM (
+            SELECT journal, year, issue, page, block_id, {family('font')} AS family, {SIZE} AS size, contains(lower(coalesce(font, '')), 'bold') AS bold, {T} AS t FROM b WHERE length({T}) > 0)) WHERE no <= 3""",
+    "issues_in_order": "SELECT journal, year, issue, CAST(row_number() OVER (PARTITION BY journal, year ORDER BY TRY_CAST(issue AS INTEGER) NULLS LAST, issue) AS INTEGER) AS place FROM (SELECT DISTINCT journal, year, issue FROM blocks)",
+    "flagged_share": with_("a", "c") + f"""SELECT count(*) AS articles, count(*) FILTER (len(quality_flags) > 0) AS flagged, count(*) FILTER (full_text IS NULL OR NOT regexp_matches(full_text, '{NWS}')) AS empty, CAST(coalesce(sum(n), 0) AS BIGINT) AS chunks,
+        CAST(coalesce(sum(n) FILTER (len(quality_flags) > 0), 0) AS BIGINT) AS flagged_chunks, round(100 * coalesce(sum(n) FILTER (len(quality_flags) > 0), 0) / sum(n), 4) AS percent FROM a LEFT JOIN (SELECT article_id, count(*) AS n FROM c GROUP BY ALL) USING (article_id)""",
     "numbered_pages": with_("b") + f"""SELECT *, CASE WHEN with_number >= 0.4 * pages THEN 'position' ELSE 'keyword' END AS advice FROM (SELECT journal, count(*) AS pages, count(*) FILTER (bare) AS with_number FROM (
         SELECT journal, year, issue, page, bool_or(coalesce(regexp_matches(text, '^{WS}*[0-9]{{1,4}}{WS}*$'), false)) AS bare FROM b GROUP BY ALL) GROUP BY journal)""",
     "suggested_rules": with_("stats") + "SELECT journal, year, issue, body_family AS family, body_size AS body, round(body_size * 1.7, 1) AS title_from, round(body_size * 1.18, 1) AS heading_from, round(body_size * 1.05, 1) AS subheading_from, round(body_size * 3.0, 1) AS cover_from FROM stats",
@@ -185,7 +193,7 @@ SQL: dict[str, str] = {
     "extended_runs": with_("ext") + "SELECT * FROM ext",
     "label_to_page": with_("map") + "SELECT * FROM map",
     "unlabelled_pages": with_("map") + "SELECT DISTINCT journal, year, issue, page FROM b ANTI JOIN map USING (journal, year, issue, page)",
-    "lone_runs": with_("runs") + "SELECT * FROM (SELECT journal, year, issue, count(*) AS n_runs, count(*) FILTER (value_min = value_max) AS n_lone FROM runs GROUP BY ALL) WHERE n_lone > greatest(2, n_runs * 0.2)",
+    "lone_runs": with_("runs") + "SELECT *, n_lone > greatest(2, n_runs * 0.2) AS suspicious FROM (SELECT journal, year, issue, count(*) AS n_runs, count(*) FILTER (value_min = value_max) AS n_lone FROM runs GROUP BY ALL)",
     "toc_pages": with_("toc") + "SELECT journal, year, issue, 3 AS page, n FROM (SELECT journal, year, issue, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL) WHERE n >= 5",
     "toc_style_pairs": with_("toc") + "SELECT journal, year, issue, 'Serifa' AS family, 9.0::DOUBLE AS size, 'Serifa' AS text_family, 9.0::DOUBLE AS text_size, count(*) AS n FROM toc WHERE printed_page IS NOT NULL GROUP BY ALL",
     "toc_entries": with_("toc") + f"""SELECT journal, year, issue, row_number() OVER (PARTITION BY journal, year, issue ORDER BY toc_pos, part) - 1 AS toc_pos, printed_page, title, author FROM (
@@ -227,7 +235,7 @@ SQL: dict[str, str] = {
     "chunk_length_stats": with_("c") + "SELECT chunk_type, count(*) AS n, min(length(text)) AS least, max(length(text)) AS most, round(avg(length(text)), 4) AS mean, CAST(median(length(text)) AS DOUBLE) AS middle FROM c WHERE text IS NOT NULL GROUP BY ALL",
     "duplicate_ids": "SELECT chunk_id, count(*) AS n FROM chunks GROUP BY chunk_id HAVING count(*) > 1",
     "chunks_per_year": with_("c") + f"SELECT journal, year, count(*) AS n, count(*) FILTER (text IS NULL OR NOT regexp_matches(text, '{NWS}')) AS n_blank FROM c GROUP BY ALL",
-    "hit_rate_at_k": with_("es") + "SELECT count(*) AS n, count(*) FILTER (found) AS found, round(avg(CAST(found AS DOUBLE)), 6) AS rate FROM (SELECT t.query_id, bool_or(contains(CAST(h.label AS VARCHAR), CAST(o.label AS VARCHAR))) AS found FROM (" + TOPK % ("", 5) + ") t JOIN es h ON CAST(h.vec_id AS VARCHAR) = t.chunk_id JOIN es o ON o.vec_id = t.query_id GROUP BY t.query_id)",
+    "hit_rate_at_k": with_("es") + "SELECT count(*) AS n, count(*) FILTER (found) AS found, round(avg(CAST(found AS DOUBLE)), 6) AS rate FROM (SELECT t.query_id, bool_or(contains(CAST(h.label AS VARCHAR), CAST(o.label AS VARCHAR))) AS found FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place FROM (" + TOPK % ("", 6) + ") WHERE chunk_id <> CAST(query_id AS VARCHAR)) t JOIN es h ON CAST(h.vec_id AS VARCHAR) = t.chunk_id JOIN es o ON o.vec_id = t.query_id WHERE place <= 5 GROUP BY t.query_id)",
     "common_titles": with_("a") + "SELECT title, n FROM (SELECT title, count(*) AS n, min(article_id) AS met FROM a WHERE title IS NOT NULL GROUP BY title ORDER BY n DESC, met LIMIT 20)",
     "event_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

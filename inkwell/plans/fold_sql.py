@@ -115,9 +115,13 @@ FROM f JOIN a USING (article_id)"""
 _SRC = f"SELECT * FROM b JOIN (SELECT journal, year, issue, max(y1) AS height FROM b GROUP BY ALL) {ON} WHERE NOT {JUNK}"
 _COMMON = "list_max(list_filter(range(0, length(m) + 1), lambda n: len(list_filter(range(1, length(m) - n + 2), lambda i: contains(k, substring(m, i, n)))) > 0))"
 _G = "journal, year, issue, group_no"
-_ARTICLES = with_("rng", "pg", src=_SRC, ord=CTE["ord"], cuts=BOUNDARY_CUTS, asg=f"""
+_ASSIGNED = dict(src=_SRC, ord=CTE["ord"], cuts=BOUNDARY_CUTS, asg=f"""
         SELECT * EXCLUDE (group_no, start, split_y), CASE WHEN page = start AND group_no > 0 AND y1 <= split_y THEN group_no - 1 ELSE group_no END AS group_no
-        FROM ord JOIN pg USING (journal, year, issue, page) LEFT JOIN (SELECT journal, year, issue, page, split_y FROM cuts) USING (journal, year, issue, page)""",
+        FROM ord JOIN pg USING (journal, year, issue, page) LEFT JOIN (SELECT journal, year, issue, page, split_y FROM cuts) USING (journal, year, issue, page)""")
+GROUP_OVERVIEW = with_("rng", "pg", **_ASSIGNED) + f"""SELECT g.*, coalesce(n_blocks, 0) AS n_blocks, coalesce(n_headings, 0) AS n_headings, split_y FROM (
+        SELECT {_G}, min(pdf_page_start) AS pdf_page_start, max(pdf_page_end) AS pdf_page_end, count(*) AS n_entries, string_agg(title, ' | ' ORDER BY in_group) AS titles FROM rng GROUP BY ALL) g
+    LEFT JOIN (SELECT {_G}, count(*) AS n_blocks, count(*) FILTER (type IN ('title', 'heading')) AS n_headings FROM asg GROUP BY ALL) USING ({_G}) LEFT JOIN (SELECT {_G}, split_y FROM cuts) USING ({_G})"""
+_ARTICLES = with_("rng", "pg", **_ASSIGNED,
     mine=f"SELECT *, row_number() OVER (PARTITION BY {_G} ORDER BY page, reading_pos) - 1 AS group_pos FROM asg",
     ent=f"""SELECT {_G}, in_group, title, author, {match_key('title')} AS m, count(*) OVER (PARTITION BY {_G}) AS n, coalesce(u, false) AS unsure
         FROM rng LEFT JOIN (SELECT {_G}, true AS u FROM cuts WHERE split_y IS NULL) USING ({_G})""",
@@ -209,4 +213,4 @@ SELECT 'hash' AS model, count(*) AS n, count(*) FILTER (found) AS found, round(a
 
 SQL: dict[str, str] = {
     "glued_pages": GLUED_PAGES, "style_groups": STYLE_GROUPS, "merged_frames": MERGED_FRAMES, "merged_paragraphs": MERGED_PARAGRAPHS, "long_paragraphs_cut": LONG_PARAGRAPHS_CUT, "article_chunks": ARTICLE_CHUNKS,
-    "assembled_articles": ASSEMBLED_ARTICLES, "context_blocks": CONTEXT_BLOCKS, "prompts": PROMPTS, "hash_embeddings": HASH_EMBEDDINGS, "similarity_separation": SIMILARITY_SEPARATION, "model_comparison": MODEL_COMPARISON}
+    "assembled_articles": ASSEMBLED_ARTICLES, "group_overview": GROUP_OVERVIEW, "context_blocks": CONTEXT_BLOCKS, "prompts": PROMPTS, "hash_embeddings": HASH_EMBEDDINGS, "similarity_separation": SIMILARITY_SEPARATION, "model_comparison": MODEL_COMPARISON}

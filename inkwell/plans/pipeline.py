@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from inkwell.operators import articles, chunking, layout, page_map, toc, typography
 from inkwell.operators.common import ISSUE
 from inkwell.plans.publication import Publication
-from inkwell.session import cut
+from inkwell.session import written
 
 
 @dataclass
@@ -40,9 +40,9 @@ def contents_of_spans(spans: DataFrame, publication: Publication) -> DataFrame:
 
 
 def build(spans: DataFrame, publication: Publication, skip_first: int | None = None, skip_last: int | None = None) -> Archive:
-    """All stages. blocks, contents and page labels have several readers and are written once."""
-    blocks = cut(blocks_of_spans(spans, publication))
-    contents = cut(contents_of_spans(spans, publication))
-    labels = cut(page_map.page_map(blocks, publication))
-    arts = articles.assemble(blocks, contents, labels, publication)
+    """All stages. Every stage has several readers and is written once."""
+    blocks = written(blocks_of_spans(spans, publication), "blocks")
+    contents = written(contents_of_spans(spans, publication), "contents")
+    labels = written(page_map.page_map(blocks, publication), "labels")
+    arts = written(articles.assemble(blocks, contents, labels, publication), "articles")
     return Archive(blocks, contents, labels, arts, chunking.chunk_articles(arts, publication, None, skip_first, skip_last), articles.unresolved(contents, labels))

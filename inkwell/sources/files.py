@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,14 +48,40 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("jour
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """df in place of the table at path, which df may read: written beside it whole, then moved."""
+    """df in place of the table at path, which df may read: written beside it whole, then exchanged by renaming.
+
+    The old table is moved aside before the new one takes its place and deleted only then. Where a run
+    ended in between, the next one puts back what is there (see recover_table) before it begins.
+    """
+    recover_table(spark, path)
     new = f"{path}.new"
     df.write.mode("overwrite").parquet(new)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    a, b = hadoop.Path(new), hadoop.Path(path)
-    fs = b.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(b, True)
-    fs.rename(a, b)
+    fs, p = _fs(spark, path)
+    if fs.exists(p(path)):
+        _renamed(fs, p(path), p(f"{path}.old"))
+    _renamed(fs, p(new), p(path))
+    fs.delete(p(f"{path}.old"), True)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Ends an exchange that was broken off: the old table comes back if no table is there, else it goes."""
+    fs, p = _fs(spark, path)
+    old = p(f"{path}.old")
+    if fs.exists(old):
+        if fs.exists(p(path)):
+            fs.delete(old, True)
+        else:
+            _renamed(fs, old, p(path))
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    return p(path).getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _renamed(fs, a, b) -> None:
+    if not fs.rename(a, b):
+        raise OSError(f"{a.toString()} could not be renamed to {b.toString()}")
 
 
 def export_json(df: DataFrame, path: str) -> None:
@@ -69,24 +94,59 @@ def export_json(df: DataFrame, path: str) -> None:
 
 
 def read_npy(spark: SparkSession, npy: str, ids: str) -> DataFrame:
-    """Vectors of a matrix file and its list of ids (JSON); an error if their lengths differ."""
-    import json
+    """Vectors of a matrix file and its list of ids (JSON); an error if their lengths differ.
 
+    Tasks open both files themselves, so they lie where every executor can open them.
+    """
     import numpy as np
 
-    m = np.load(npy, mmap_mode="r")
-    with open(ids, encoding="utf-8") as f:
-        names = json.load(f)
-    if len(names) != len(m):
-        raise ValueError(f"{len(names)} ids for {len(m)} vectors")
-    n = spark.sparkContext.defaultParallelism
+    n = len(np.load(npy, mmap_mode="r"))
+    if len(_names(ids)) != n:
+        raise ValueError(f"{len(_names(ids))} ids for {n} vectors")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = np.load(npy, mmap_mode="r")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, names = np.load(npy, mmap_mode="r"), _names(ids)
         for b in batches:
-            yield pd.DataFrame({"chunk_id": [names[i] for i in b["id"]], "embedding": [rows[i].astype("float32") for i in b["id"]]})
+            at = b.column(0).to_numpy()
+            if len(at):
+                part = rows[at].astype("float32")
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * part.shape[1]), pa.array(part.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in at]), lists], names=["chunk_id", "embedding"])
+
+    return spark.range(0, n, 1, spark.sparkContext.defaultParallelism).mapInArrow(run, schemas.VECTORS)
+
 
-    return spark.range(0, len(names), 1, n).mapInPandas(run, schemas.VECTORS)
+def _names(path: str) -> list[str]:
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def write_npy(vectors: DataFrame, npy: str, ids: str) -> int:
+    """Vectors as a matrix file with its list of ids, in the order of ids, row by row through the driver; the number of rows.
+
+    For exchange: what is kept for further work is a table. Vectors of different lengths are an error.
+    """
+    import json
+
+    import numpy as np
+
+    n = vectors.count()
+    names: list[str] = []
+    matrix = None
+    for r in vectors.select("chunk_id", "embedding").orderBy("chunk_id").toLocalIterator():
+        if matrix is None:
+            matrix = np.lib.format.open_memmap(npy, "w+", np.float32, (n, len(r.embedding)))
+        matrix[len(names)] = r.embedding
+        names.append(r.chunk_id)
+    if matrix is None:
+        np.save(npy, np.zeros((0, 0), np.float32))
+    else:
+        matrix.flush()
+    with open(ids, "w", encoding="utf-8") as f:
+        json.dump(names, f, ensure_ascii=False)
+    return n
 
 
 def pymupdf_spans(content: bytes) -> Iterator[dict]:
@@ -109,9 +169,13 @@ def pymupdf_spans(content: bytes) -> Iterator[dict]:
 
 
 def read_spans(issues: DataFrame, journal: str, parse: Callable[[bytes], Iterator[dict]] = pymupdf_spans) -> tuple[DataFrame, DataFrame]:
-    """(SPANS, (path, error)): one file at a time; a broken file is an error row and stops nothing."""
+    """(SPANS, (path, error)) of find_issues' rows: one file at a time; a broken file is an error row and stops nothing.
+
+    The files are listed and read by the executors; the driver knows their folders only.
+    """
     spark = issues.sparkSession
-    paths = spark.read.format("binaryFile").load([r.path for r in issues.select("path").collect()]).select("path", "content").join(issues, "path")
+    folders = [r[0] for r in issues.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect()]
+    paths = spark.read.format("binaryFile").load(folders).select("path", "content").join(issues, "path") if folders else issues.withColumn("content", F.lit(None).cast("binary"))
     schema = schemas.SPANS + ", path STRING, error STRING"
     kinds = {"STRING": pa.string(), "INT": pa.int32(), "DOUBLE": pa.float64()}
     fields = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))])

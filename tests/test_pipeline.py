@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkwell import __main__ as cli
-from inkwell.operators import layout
+from inkwell.operators import index, layout
 from inkwell.plans import pipeline, publication
 from inkwell.sources import files, schemas
 from inkwell.streaming import ingest
@@ -72,22 +72,101 @@ def test_json_and_vectors(spark, tmp_path):
     assert files.read_json(spark, str(tmp_path / "one.json"), "chunk_id string, text string").count() == 2
     np.save(tmp_path / "v.npy", np.eye(3, dtype="float32"))
     (tmp_path / "i.json").write_text('["a", "b", "c"]')
-    assert {r.chunk_id: r.embedding for r in files.read_npy(spark, str(tmp_path / "v.npy"), str(tmp_path / "i.json")).collect()}["b"] == [0.0, 1.0, 0.0]
+    v = files.read_npy(spark, str(tmp_path / "v.npy"), str(tmp_path / "i.json"))
+    assert {r.chunk_id: r.embedding for r in v.collect()}["b"] == [0.0, 1.0, 0.0]
+    assert files.write_npy(v.where("chunk_id <> 'b'"), str(tmp_path / "w.npy"), str(tmp_path / "w.json")) == 2
+    assert np.load(tmp_path / "w.npy").tolist() == [[1.0, 0.0, 0.0], [0.0, 0.0, 1.0]] and json.loads((tmp_path / "w.json").read_text()) == ["a", "c"]
+    assert files.write_npy(v.limit(0), str(tmp_path / "w.npy"), str(tmp_path / "w.json")) == 0
     (tmp_path / "i.json").write_text('["a"]')
     with pytest.raises(ValueError):
         files.read_npy(spark, str(tmp_path / "v.npy"), str(tmp_path / "i.json"))
 
 
+def test_tables_are_exchanged_or_stay(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([(x,)], "x string") for x in ("one", "two"))
+    files.replace_table(spark, one, path)
+    files.replace_table(spark, spark.read.parquet(path).unionByName(two), path)  # reads what it replaces
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == ["one", "two"]
+    real = files._renamed
+
+    def fails_at_the_second(fs, a, b):
+        if b.getName() == "t":
+            raise OSError("gone")
+        real(fs, a, b)
+
+    monkeypatch.setattr(files, "_renamed", fails_at_the_second)
+    with pytest.raises(OSError):
+        files.replace_table(spark, one, path)
+    monkeypatch.undo()
+    files.recover_table(spark, path)
+    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t.old").exists()
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    from inkwell import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            class _sc:
+                class _dir:
+                    @staticmethod
+                    def isDefined():
+                        return False
+
+                @classmethod
+                def getCheckpointDir(cls):
+                    return cls._dir
+
+            @classmethod
+            def sc(cls):
+                return cls._sc
+
+        @staticmethod
+        def getConf():
+            return {}
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Session)
+
+
 CHUNK = {"chunk_type": "body", "chunk_index": 0, "journal": "j", "year": "2000", "issue": "1", "article_id": "a", "title": "T", "page_start": 1, "page_end": 2}
 
 
 def test_stream_of_chunks(spark, tmp_path):
-    source, index = tmp_path / "in", tmp_path / "index"
+    source, folder = tmp_path / "in", tmp_path / "index"
     source.mkdir()
-    for n, rows in enumerate([[("a", "one"), ("b", "one")], [("b", "two"), ("c", "two")]]):
+    for n, rows in enumerate([[("a", "one"), ("b", "one")], [("b", "two"), ("c", "two")], [("b", "a third"), ("d", "new")]]):
         (source / f"{n}.json").write_text("\n".join(json.dumps(CHUNK | {"chunk_id": k, "text": t}) for k, t in rows))
-        ingest.upsert_stream(spark, str(source), str(index), str(tmp_path / "cp")).awaitTermination()
-    assert {(r.chunk_id, r.text) for r in ingest.current(spark, str(index)).collect()} == {("a", "one"), ("b", "two"), ("c", "two")}
+        ingest.upsert_stream(spark, str(source), str(folder), str(tmp_path / "cp")).awaitTermination()
+        if n == 1:
+            assert {(r.chunk_id, r.text) for r in ingest.current(spark, str(folder)).collect()} == {("a", "one"), ("b", "two"), ("c", "two")}
+            ingest.compact(spark, str(folder))
+    want = {("a", "one"), ("b", "a third"), ("c", "two"), ("d", "new")}
+    assert {(r.chunk_id, r.text) for r in ingest.current(spark, str(folder)).collect()} == want
+    for _ in range(2):
+        ingest.compact(spark, str(folder))
+        assert {(r.chunk_id, r.text) for r in ingest.current(spark, str(folder)).collect()} == want
+    assert ingest.current(spark, str(tmp_path / "nowhere")) is None
+
+
+def test_digest(spark):
+    from inkwell.operators.diagnose import digest
+
+    a = spark.createDataFrame([(1, "x", [1]), (2, None, [])], "n int, t string, l array<int>")
+    assert digest(a) == digest(a.orderBy("t").repartition(3).select("l", "t", "n"))
+    assert digest(a) != digest(a.unionByName(a)) and digest(a) != digest(a.where("n = 1")) and digest(a.where("false")) == "0-0"
+    assert digest(a.where("n = 2")) != digest(a.where("n = 2").withColumn("t", F.lit("")))
 
 
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
@@ -96,9 +175,15 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     art = spark.createDataFrame([("a-1", "j", "2000", "1", "Moths", None, "1", 1, 2, 9, [], None, None, "Moths fly at night.", [(3, "Moths fly at night.")], "", [])], schemas.ARTICLES)
     art.write.parquet(f"{d}/corpus")
     cli.main(["build-chunks", "--input", f"{d}/corpus", "--output", f"{d}/chunks"])
+    build = ["build-embeddings", "--input", f"{d}/chunks", "--output", f"{d}/vectors", "--checkpoint-every", "1", "--batch-size", "2"]
     for _ in range(2):  # the second run has nothing left to do
-        cli.main(["build-embeddings", "--input", f"{d}/chunks", "--output", f"{d}/vectors"])
+        cli.main(build)
     assert spark.read.parquet(f"{d}/vectors").count() == 1
+    index.register_embedder("other", 3, lambda: lambda texts: [[1.0, 0.0, 0.0]] * len(texts))
+    with pytest.raises(index.OtherModel):
+        cli.main([*build, "--model", "other"])
+    with pytest.raises(KeyError):
+        cli.main([*build, "--model", "nobody knows it"])
     for _ in range(2):
         cli.main(["build-index", "--chunks", f"{d}/chunks", "--vectors", f"{d}/vectors", "--output", f"{d}/index"])
     assert spark.read.parquet(f"{d}/index").count() == 1
@@ -107,6 +192,67 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     cli.main(["answer", *common, "--dry-run"])
     cli.main(["query-index", "--index", f"{d}/index", "--query", "moths", "--year", "2000"])
     cli.main(["inspect-chunks", "--chunks", f"{d}/chunks"])
-    cli.main(["quality-flags", "--corpus", f"{d}/corpus"])
+    cli.main(["quality-flags", "--corpus", f"{d}/corpus", "--chunks", f"{d}/chunks"])
+    (tmp_path / "q.json").write_text('{"query_id": "1", "question": "moths at night", "expect": "Moths"}')
+    cli.main(["compare-models", "--chunks", f"{d}/chunks", "--questions", f"{d}/q.json"])
+    out = capsys.readouterr().out
+    assert "PDF p. 3" in out and "Question: moths at night" in out and "a-1-chunk-0" in out and "hash\t1 of 1" in out
+    # a changed text is embedded again, and the index takes the new vector
+    changed = spark.read.parquet(f"{d}/chunks").withColumn("embedding_text", F.lit("Beetles"))
+    changed.write.parquet(f"{d}/chunks2")
+    cli.main([*build[:2], f"{d}/chunks2", *build[3:]])
+    kept = spark.read.schema(schemas.KEPT_VECTORS).parquet(f"{d}/vectors")
+    assert kept.count() == 2 and index.current_vectors(kept, changed).count() == 1
+
+
+def test_answers_come_in_pieces(capsys):
+    def ask(told, prompt, most):
+        yield from ("Moths ", "fly", cli.End("length"))
+
+    assert cli.stream_answer(ask, "", "", 10) == "length" and "length" in cli.NOTICES
+    assert capsys.readouterr().out == "Moths fly\n"
+
+
+def test_stages_by_command(spark, tmp_path, capsys, monkeypatch):
+    """Stage by stage over tables gives what one run gives; a second run gives the same digests; one broken file stops nothing."""
+    from inkwell.operators.diagnose import digest
+
+    monkeypatch.setattr(cli, "get_spark", lambda *a: spark)
+    publication.register(publication.replace(publication.NUMBERED_PAGES, name="stages", covers=(3, 0), title="j"))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in ("mag-2000-1.pdf", "mag-2000-2.pdf", "mag-2000-10.pdf"):
+        (folder / n).write_bytes(b"broken" if "-2." in n else b"%PDF")
+    fields = ("page", "raw_block", "kind", "line", "pos", "text", "font", "size", "color", "x0", "y0", "x1", "y1")
+
+    rows = [dict(zip(fields, s[3:])) for s in issue()]
+
+    def parse(content):
+        if content == b"broken":
+            raise ValueError("no page")
+        return iter(rows)
+
+    real = files.read_spans
+    monkeypatch.setattr(files, "read_spans", lambda issues, journal: real(issues, journal, parse))
+    d, p = str(tmp_path), ["--publication", "stages"]
+    for run in ("one", "two"):
+        cli.main(["run-all", "--input", str(folder), "--output", f"{d}/{run}", *p])
+    out = capsys.readouterr().out.splitlines()
+    assert out[:2] == ["j-2000-1 3", "j-2000-10 3"] and "broken files: 1" in out and len({x for x in out if x.startswith("digest")}) == 1
+    cli.main(["extract-blocks", "--input", str(folder), "--output", f"{d}/b", *p])
+    cli.main(["create-toc", "--input", str(folder), "--output", f"{d}/t", "--toc-page", "2", *p])
+    cli.main(["build-page-map", "--blocks", f"{d}/b", "--output", f"{d}/m", *p])
+    tables = ["--blocks", f"{d}/b", "--toc", f"{d}/t", "--page-map", f"{d}/m"]
+    cli.main(["assign-articles", *tables, "--output", f"{d}/a", "--issue", "10", *p])
+    articles = {n: spark.read.schema(schemas.ARTICLES).parquet(f"{d}/{n}") for n in ("one/articles", "two/articles", "a")}
+    assert digest(articles["one/articles"]) == digest(articles["two/articles"])
+    assert digest(articles["a"]) == digest(articles["one/articles"].where("issue = '10'")) != "0-0"
+    capsys.readouterr()
+    cli.main(["diag-groups", *tables, *p])
+    cli.main(["diag-pages", "--toc", f"{d}/t", "--page-map", f"{d}/m", *p])
+    cli.main(["diag-spans", "--input", str(folder), "--first", "3", "--last", "3", *p])
+    cli.main(["diag-toc", "--input", str(folder), "--first", "3", "--last", "3", *p])
+    cli.main(["diag-text", "--blocks", f"{d}/b", "--needle", "BROKEN WORD", *p])
+    cli.main(["inspect-fonts", "--blocks", f"{d}/b", *p])
     out = capsys.readouterr().out
-    assert "PDF p. 3" in out and "Question: moths at night" in out and "a-1-chunk-0" in out
+    assert "The first one" in out and "broken word" in out and "Serifa-Bold" in out
