@@ -78,7 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p3_clean": P3_CLEAN}
+    return {"p1_found": P1_FOUND, "p2_found": P2_FOUND, "p2_shares": P2_SHARES, "p3_found": P3_FOUND, "p3_clean": P3_CLEAN, "p5_found": P5_FOUND}
 
 
 P1_FOUND = r"""
@@ -118,3 +118,29 @@ SELECT journal, year, issue, page, block_id,
        CAST(len(gone) AS INTEGER) AS n_removed
 FROM k
 """
+
+P2_FOUND = """
+WITH c AS (SELECT chunk_id, text FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY ingested_at DESC NULLS LAST) AS n FROM chunks WHERE chunk_id IS NOT NULL) WHERE n = 1),
+     w AS (SELECT chunk_id, i, substring(text, i + 1, 200) AS s FROM (SELECT chunk_id, text, unnest(range(length(text) - 199)) AS i FROM c WHERE length(text) >= 200)),
+     k AS (SELECT s FROM w GROUP BY s HAVING min(chunk_id) <> max(chunk_id)),
+     h AS (SELECT chunk_id, i, lag(i) OVER (PARTITION BY chunk_id ORDER BY i) AS p FROM w SEMI JOIN k USING (s)),
+     r AS (SELECT chunk_id, i, sum(CASE WHEN p IS NULL OR i > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY chunk_id ORDER BY i) AS run FROM h)
+SELECT chunk_id, CAST(min(i) AS INTEGER) AS span_start, CAST(max(i) + 200 AS INTEGER) AS span_end FROM r GROUP BY chunk_id, run
+"""
+
+P2_SHARES = f"""
+WITH f AS ({P2_FOUND}),
+     g AS (SELECT chunk_id, sum(span_end - span_start) AS n FROM f GROUP BY chunk_id),
+     t AS (SELECT chunk_id, coalesce(length(text), 0) AS n_chars FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY ingested_at DESC NULLS LAST) AS n FROM chunks WHERE chunk_id IS NOT NULL) WHERE n = 1)
+SELECT chunk_id, CAST(n_chars AS INTEGER) AS n_chars, CAST(coalesce(g.n, 0) AS BIGINT) AS n_shared, coalesce(coalesce(g.n, 0) / nullif(n_chars, 0), 0.0) AS share FROM t LEFT JOIN g USING (chunk_id)
+"""
+
+#: Exact; on tables of a few thousand vectors the operator's candidates hold all that matter.
+P5_FOUND = """
+WITH v AS (SELECT chunk_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM (
+         SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY embedded_at DESC NULLS LAST) AS n FROM vectors WHERE chunk_id IS NOT NULL AND len(embedding) = 64
+         AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0) WHERE n = 1),
+     u AS (SELECT chunk_id, e, sqrt(list_dot_product(e, e)) AS l FROM v),
+     r AS (SELECT a.chunk_id AS x, b.chunk_id AS y, row_number() OVER (PARTITION BY a.chunk_id ORDER BY round(list_dot_product(a.e, b.e) / (a.l * b.l), 9) DESC, b.chunk_id) AS n FROM u a JOIN u b ON a.chunk_id <> b.chunk_id)
+SELECT DISTINCT least(x, y) AS chunk_a, greatest(x, y) AS chunk_b FROM r WHERE n <= 5
+"""
