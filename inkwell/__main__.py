@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import templates
-from inkwell.operators import articles, chunking, diagnose, evaluate, index, page_map, retrieval, typography
+from inkwell.operators import articles, chunking, diagnose, evaluate, index, page_map, retrieval, typography, vector_index
 from inkwell.plans import pipeline, publication
 from inkwell.session import get_spark, written
 from inkwell.sources import files, schemas
@@ -136,6 +136,7 @@ def build_index(spark, a):
     if not a.overwrite and index.exists(spark, a.output):
         rows = index.upserted(spark.read.parquet(a.output), rows)
     files.replace_table(spark, rows, a.output)
+    vector_index.build(spark.read.parquet(a.output), f"{a.output}.lists", index.embedding_dim(a.model))
 
 
 def context(spark, a):
@@ -193,7 +194,7 @@ def query_index(spark, a):
         where = where & (F.col("year") == a.year)
     if a.chunk_type:
         where = where & (F.col("chunk_type") == a.chunk_type)
-    hits = retrieval.search(ix, _questions(spark, a.query, a.model), a.top_n, where)
+    hits = vector_index.search(spark, f"{a.index}.lists", _questions(spark, a.query, a.model), a.top_n, where, a.probes, a.exact)
     hits.join(ix.drop("embedding"), "chunk_id").orderBy("rank").select("rank", "distance", "chunk_id", "title", F.left("text", F.lit(200)).alias("text")).show(a.top_n, False)
 
 
@@ -306,7 +307,7 @@ def main(argv: list[str] | None = None) -> None:
     add(build_page_map, "blocks", "output")
     add(assign_articles, "blocks", "toc", "page-map", "output", "year", "issue", **one)
     add(build_embeddings, "input", "output", "model", "batch-size", "checkpoint-every", "max-tokens", model="hash", batch_size=32, checkpoint_every=0, max_tokens=None)
-    add(build_index, "chunks", "vectors", "output").add_argument("--overwrite", action="store_true")
+    add(build_index, "chunks", "vectors", "output", "model", model="hash").add_argument("--overwrite", action="store_true")
     add(diag_groups, "blocks", "toc", "page-map", "year", "issue", **one)
     add(diag_pages, "toc", "page-map", "year", "issue", **one)
     add(diag_spans, "input", "journal-name", "first", "last", first=1, last=8, **folder)
@@ -315,7 +316,7 @@ def main(argv: list[str] | None = None) -> None:
     add(compare_models, "chunks", "questions", "models", "top-n", models="hash", top_n=5)
     add(context, "chunks", "corpus", "vectors", "query", "top-n", "window", "promote-threshold", "model", "preview-chars", preview_chars=0, **search)
     add(answer, "chunks", "corpus", "vectors", "query", "top-n", "window", "promote-threshold", "model", "llm-model", "max-tokens", llm_model="", max_tokens=8000, **search).add_argument("--dry-run", action="store_true")
-    add(query_index, "index", "query", "year", "chunk-type", "top-n", "model", year=None, chunk_type=None, top_n=5, model="hash")
+    add(query_index, "index", "query", "year", "chunk-type", "top-n", "model", "probes", year=None, chunk_type=None, top_n=5, model="hash", probes=vector_index.PROBES).add_argument("--exact", action="store_true")
     add(check_embeddings, "chunks", "vectors", "pairs", "seed", pairs=2000, seed=42)
     add(inspect_chunks, "chunks", "samples", "seed", samples=5, seed=0)
     add(inspect_fonts, "blocks", "top", "samples", top=20, samples=20)

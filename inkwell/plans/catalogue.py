@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions import fonts, labels, templates, text
-from inkwell.operators import articles, chunking, diagnose, evaluate, index, layout, page_map, retrieval, toc, typography
+from inkwell.operators import articles, chunking, diagnose, evaluate, index, layout, page_map, retrieval, toc, typography, vector_index
 from inkwell.operators.common import BLOCK, ISSUE, latest, with_box
 from inkwell.plans import publication
-from inkwell.session import table, written
+from inkwell.session import scratch_table, table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -426,6 +426,26 @@ def vector_topk_filtered(spark, d):
     return retrieval.search(e, q, 5, F.col("label") == 3)
 
 
+def _indexed(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """(an index of all embeddings, every hundredth of them as questions)."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("chunk_id"), "embedding", "vec_id", "label")
+    path = scratch_table(spark, "lists")
+    vector_index.build(e, path)
+    return path, e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query
+def indexed_topk(spark, d):
+    path, q = _indexed(spark, d)
+    return vector_index.search(spark, path, q, exact=True)
+
+
+@query
+def indexed_topk_filtered(spark, d):
+    path, q = _indexed(spark, d)
+    return vector_index.search(spark, path, q, 5, F.col("label") == 3, exact=True)
+
+
 def journal_questions(spark: SparkSession, d: str) -> DataFrame:
     """One question per journal: the text and vector of its chunk with the least id among those with a vector."""
     v = latest(table(spark, d, "vectors"), ["chunk_id"], "embedded_at").where("size(embedding) = 64")

@@ -221,6 +221,8 @@ SQL: dict[str, str] = {
         SELECT chunk_id, article_id, md5(text) AS text_md5 FROM n UNION ALL SELECT chunk_id, article_id, md5(text) FROM o ANTI JOIN n USING (chunk_id)""",
     "misaligned_ids": "SELECT DISTINCT chunk_id, 'chunks' AS side FROM chunks ANTI JOIN vectors USING (chunk_id) UNION ALL SELECT DISTINCT chunk_id, 'vectors' FROM vectors ANTI JOIN chunks USING (chunk_id)",
     "vector_topk": with_("es") + TOPK % ("", 10),
+    "indexed_topk": with_("es") + TOPK % ("", 10),
+    "indexed_topk_filtered": with_("es") + TOPK % ("AND a.label = 3", 5),
     "vector_topk_filtered": with_("es") + TOPK % ("AND a.label = 3", 5),
     "merged_page_spans": with_("c") + """SELECT article_id, min(page_start) AS lo, max(page_end) AS hi FROM (SELECT *, sum(CASE WHEN before IS NULL OR page_start > before + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY article_id ORDER BY page_start, page_end, chunk_id ROWS UNBOUNDED PRECEDING) AS span FROM (
         SELECT *, max(page_end) OVER (PARTITION BY article_id ORDER BY page_start, page_end, chunk_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM c WHERE chunk_type = 'body')) GROUP BY article_id, span""",
