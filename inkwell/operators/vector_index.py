@@ -99,6 +99,8 @@ def search(spark: SparkSession, path: str, queries: DataFrame, top_n: int = retr
     """
     kind = queries.schema["query_id"].dataType.simpleString()
     known = spark.read.schema(_LISTS).parquet(f"{path}/lists").orderBy("list").collect()  # at most MOST_LISTS
+    if not known:
+        return spark.createDataFrame([], f"query_id {kind}, rank INT, chunk_id STRING, distance DOUBLE")
     numbers, radius = np.array([r.list for r in known], dtype=np.int64), np.array([r.radius for r in known])
     centres = np.array([r.centroid for r in known])
     rows = spark.read.parquet(f"{path}/vectors")
@@ -106,7 +108,7 @@ def search(spark: SparkSession, path: str, queries: DataFrame, top_n: int = retr
     found = spark.createDataFrame([], f"query_id {kind}, chunk_id STRING, distance DOUBLE")
     few = queries.select("query_id", "embedding").toLocalIterator()
     while block := list(itertools.islice(few, retrieval.BLOCK)):
-        asked = [(r.query_id, np.array(r.embedding, dtype=np.float64)) for r in block if r.embedding is not None and len(known) and len(r.embedding) == centres.shape[1] and None not in r.embedding]
+        asked = [(r.query_id, np.array(r.embedding, dtype=np.float64)) for r in block if r.embedding is not None and len(r.embedding) == centres.shape[1] and None not in r.embedding]
         asked = [(i, v / np.sqrt((v * v).sum())) for i, v in asked if (v * v).sum() > 0]
         if not asked:
             continue
