@@ -225,6 +225,17 @@ def junk_blocks(spark, d):
     return b.groupBy("journal").agg(F.count_if(junk).alias("n_junk"), F.count(F.lit(1)).alias("n"))
 
 
+#: With marks of boilerplate, and running text that is body text in whatever size.
+MARKED = publication.replace(NUMBERED, name="marked", boilerplate=((".example", "1"), ("no such mark",)), always_body="^[a-z]+ [a-z]+ ")
+
+
+@query
+def marked_blocks(spark, d):
+    b = with_box(blocks(spark, d, "text", "font", "font_size", "bbox"))
+    line = publication.Line.of_block(F.lit(1000.0))
+    return b.groupBy("journal").agg(F.count_if(MARKED.is_junk(line)).alias("n_junk"), F.count_if(MARKED.block_type(line) == "body").alias("n_body"))
+
+
 # --- page numbers ---------------------------------------------------------------------
 
 
@@ -282,6 +293,41 @@ def toc_entries(spark, d):
     return toc.entries(contents_spans(spark, d), KEYWORD)
 
 
+#: Two sizes of entries, authors in colour, the printer's lines and notes among the titles.
+TWO_STYLES = publication.replace(publication.SERIF_SANS, name="two-styles", contents=publication.Contents(authors_in_colour=True, imprint=("© ",), passed_over=("overleaf",)))
+
+
+def two_style_spans(spark: SparkSession, d: str) -> DataFrame:
+    """A contents over two pages, every third entry in a smaller size, with notes and imprints; on a third page large numbers that begin no entry."""
+    e = contents(spark, d)
+    n = F.col("toc_pos")
+    size = F.when(n % 3 == 0, 8.0).otherwise(9.0)
+
+    def span(at: int, value: Column, font: str, size: Column, color: int = 0, page: Column | None = None) -> Column:
+        return F.struct((3 + n % 2 if page is None else page).alias("page"), (n * 10 + at).alias("pos"), value.alias("text"), F.lit(font).alias("font"), size.alias("size"), F.lit(color).alias("color"))
+
+    arms = F.array(
+        span(0, F.col("printed_page"), "Serifa-Bold", size), span(1, F.when(n % 7 == 2, F.concat("title", F.lit(", © Press 1999"))).otherwise(F.col("title")), "Serifa-Regular", size), span(2, F.col("author"), "Serifa-Regular", size, 255),
+        span(3, F.when(n % 4 == 1, "see overleaf"), "Serifa-Regular", size), span(4, F.when(n % 5 == 0, "7"), "Okraj-Black", F.lit(30.0), 0, F.lit(5)), span(5, F.when(n % 5 == 0, "NEWS"), "Okraj-Light", F.lit(14.0), 0, F.lit(5)))
+    return e.select(*ISSUE, F.explode(arms).alias("s")).select(*ISSUE, "s.*").where("text IS NOT NULL")
+
+
+@query
+def two_style_entries(spark, d):
+    return toc.entries(two_style_spans(spark, d), TWO_STYLES)
+
+
+@query
+def two_style_pairs(spark, d):
+    s = toc.entry_styles(two_style_spans(spark, d))
+    return s.select(*ISSUE, "number_style.family", "number_style.size", F.col("text_style.size").alias("text_size"))
+
+
+@query
+def two_style_pages(spark, d):
+    return toc.toc_pages(two_style_spans(spark, d), TWO_STYLES)
+
+
 @query
 def resolved_entries(spark, d):
     return articles.resolved(contents(spark, d), page_map.page_map(page_blocks(spark, d), NUMBERED))

