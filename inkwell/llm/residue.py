@@ -6,8 +6,9 @@ token. A segment's features are its words, pairs and triples, hashed, with its l
 document, and whether it stands alone, first, last, or as the document's title. Weights come from a
 logistic regression with an L2 penalty. Its labels are weak: phrases and slots, response status codes at
 the begin or end of a segment, and segments made of the words that labelled filler is made of. A document is a case if one of its segments scores over the
-threshold. Training sees a bounded sample; the sources (hosts) of a fifth of it are held out to
-validate. All documents are scored, whole.
+threshold. Training sees the labelled segments of all documents, one of each wording and a bounded number
+of wordings, and other segments of a bounded sample of documents. The sources (hosts) of a fifth of it are
+held out to validate; the model that is used is then fitted to all of it. All documents are scored, whole.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inkwell.session import shared_dir
+from inkwell.session import shared_dir, written
 from inkwell.sources.generations import Generations
 
-#: Documents that segments for training are taken from, about so many at most.
+#: Documents that unlabelled segments for training are taken from, about so many at most.
 SAMPLE_DOCS = 10_000
+#: Wordings of labelled segments that are trained on, about so many at most, drawn by hash.
+WORDINGS = 60_000
 #: One in so many unlabelled segments of these is a negative example, and every one of up to three words.
 NEGATIVES = 5
 BITS = 19
@@ -90,7 +93,7 @@ _SHORT_PHRASE = re.compile(SHORT_PHRASES)
 _SHORT_WORDS = 8
 _PHRASE = re.compile("|".join(f"(?:{p})" for p in PHRASES.values()).replace(r"\1", r"(?:bla|blah|text|texte|probe|sazba|asdf|testing)"))
 #: What labels, segments and features are made by: a model made by other rules is another model.
-_RULES = zlib.crc32(repr((_PHRASE.pattern, SHORT_PHRASES, _SLOT.pattern, _CODE.pattern, _QUOTED.pattern, NEGATIVES, BITS, THRESHOLD, FILLER_SHARE)).encode())
+_RULES = zlib.crc32(repr((_PHRASE.pattern, SHORT_PHRASES, _SLOT.pattern, _CODE.pattern, _QUOTED.pattern, NEGATIVES, BITS, THRESHOLD, FILLER_SHARE, WORDINGS)).encode())
 #: Of these words each phrase holds one; a segment without any needs no search.
 _PHRASE_WORDS = {w for p in PHRASES.values() for w in re.findall(r"[^\W\d_]{4,}", re.sub(r"\\[a-zA-Z]", " ", p))} | {"bla", "xxx", "ora", "at", "tk"}
 _STATUS = re.compile(r"^http \d{3}\b|^(?:4\d\d|5\d\d) \w+(?: \w+){0,9}$|\(?\b(?:40\d|41\d|429|50\d)\)$")
@@ -279,14 +282,14 @@ def fit(s_features: np.ndarray, s_of: np.ndarray, labels: np.ndarray, l2: float
     return Model(w.astype(np.float32), float(b))
 
 
-_SAMPLED = "source STRING, label BOOLEAN, filler BOOLEAN, features ARRAY<INT>, words ARRAY<INT>"
+_SAMPLED = "source STRING, label BOOLEAN, filler BOOLEAN, features ARRAY<INT>, words ARRAY<INT>, wording BIGINT"
 
 
 def _sampled(docs: DataFrame, n: int, id_col: str, text_col: str, sample_docs: int) -> DataFrame:
-    """_SAMPLED of labelled segments; all positives, one in NEGATIVES of the rest."""
+    """_SAMPLED: the labelled segments of all documents, one of each wording, and one in NEGATIVES of the others of a sample."""
     rate = min(1.0, sample_docs / max(n, 1))
-    some = docs.where(F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(F.lit(8), F.col(id_col)), F.lit(1_000_000)) < int(rate * 1_000_000) + 1))
-    data = some.select(F.coalesce(F.col("source"), F.lit("")).alias("source"), F.col(text_col).alias("t"), F.col("title").alias("title"))
+    drawn = F.pmod(F.xxhash64(F.lit(8), F.col(id_col)), F.lit(1_000_000)) < int(rate * 1_000_000) + 1
+    data = docs.where(F.col(text_col).isNotNull()).select(F.coalesce(F.col("source"), F.lit("")).alias("source"), F.col(text_col).alias("t"), F.col("title").alias("title"), F.coalesce(drawn, F.lit(False)).alias("drawn"))
 
     def lists(values: np.ndarray, of: np.ndarray, n_segments: int, picked: np.ndarray) -> pa.Array:
         order = np.argsort(of, kind="stable")
@@ -306,13 +309,21 @@ def _sampled(docs: DataFrame, n: int, id_col: str, text_col: str, sample_docs: i
                 said = [_words_of(texts[d], span - base) for d, span, base in zip(s.doc, s.spans, _bases(texts)[s.doc])]
                 labels = np.array([weak_label(x) for x in said])
                 filler = spread_filler(labels, said, s)
-                drawn = labels | (np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in said]) % NEGATIVES == 0) | (np.array([x.count(" ") for x in said]) < 3)
-                picked = np.nonzero(drawn)[0]
+                marks = np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in said])
+                in_sample = np.asarray(part.column(3))[s.doc]
+                picked = np.nonzero(labels | in_sample & ((marks % NEGATIVES == 0) | (np.array([x.count(" ") for x in said]) < 3)))[0]
+                if not len(picked):
+                    continue
+                wording = np.array([zlib.adler32(said[i].encode("utf-8", "surrogatepass")) for i in picked]) << 32 | marks[picked]
                 words = lists(s.words.astype(np.uint32).view(np.int32), s.of_word, len(s.doc), picked)
-                columns = [part.column(0).take(pa.array(s.doc[picked])), pa.array(labels[picked]), pa.array(filler[picked]), lists(s.features, s.of, len(s.doc), picked), words]
+                columns = [part.column(0).take(pa.array(s.doc[picked])), pa.array(labels[picked]), pa.array(filler[picked]), lists(s.features, s.of, len(s.doc), picked), words, pa.array(wording.astype(np.uint64).view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _SAMPLED.split(", ")])
 
-    return data.mapInArrow(run, _SAMPLED)
+    rows = written(data.mapInArrow(run, _SAMPLED), "segments")
+    one = rows.where("label").groupBy("wording").agg(F.min(F.struct("source", "label", "filler", "features", "words")).alias("s"))
+    share = min(1.0, WORDINGS / max(1, rows.where("label").select("wording").distinct().count()))
+    kept = one.where(F.pmod(F.xxhash64("wording"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    return kept.select("s.*").unionByName(rows.where("NOT label").drop("wording"))
 
 
 def filler_words(words: np.ndarray, of: np.ndarray, filler: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -364,11 +375,11 @@ def train(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text
         out[:] = False
     number = np.cumsum(~out) - 1
     inner = ~out[of]
-    model = fit(flat[inner], number[of[inner]], labels[~out])
-    z = np.bincount(of, model.weights[flat], minlength=len(labels)) + model.bias
-    hit = z > model.threshold
+    tried = fit(flat[inner], number[of[inner]], labels[~out])
+    hit = np.bincount(of, tried.weights[flat], minlength=len(labels)) + tried.bias > tried.threshold
     seen = out if out.any() else np.ones(len(out), bool)
     both = float((hit & labels & seen).sum())
+    model = fit(flat, of, labels) if out.any() else tried
     return model, {"segments": float(seen.sum()), "labelled": float((labels & seen).sum()), "precision": both / max(1.0, float((hit & seen).sum())), "recall": both / max(1.0, float((labels & seen).sum()))}
 
 
