@@ -6,8 +6,8 @@ token. A segment's features are its words, pairs and triples, hashed, with its l
 document, and whether it stands alone, first, last, or as the document's title. Weights come from a
 logistic regression with an L2 penalty. Its labels are weak: phrases and slots, response status codes at
 the begin or end of a segment, and segments made of the words that labelled filler is made of. A document is a case if one of its segments scores over the
-threshold. Training sees the labelled segments of all documents, one of each wording and a bounded number
-of wordings, and other segments of a bounded sample of documents. The sources (hosts) of a fifth of it are
+threshold. Training sees the labelled segments of all documents, a few of each wording, which stand for all
+of it, and a bounded number of wordings, and other segments of a bounded sample of documents. The sources (hosts) of a fifth of it are
 held out to validate; the model that is used is then fitted to all of it. All documents are scored, whole.
 """
 
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +29,9 @@ from inkwell.sources.generations import Generations
 
 #: Documents that unlabelled segments for training are taken from, about so many at most.
 SAMPLE_DOCS = 10_000
-#: Wordings of labelled segments that are trained on, about so many at most, drawn by hash.
-WORDINGS = 60_000
+#: Wordings of labelled segments that are trained on, about so many at most, drawn by hash, and segments of each.
+WORDINGS = 30_000
+OF_WORDING = 50
 #: One in so many unlabelled segments of these is a negative example, and every one of up to three words.
 NEGATIVES = 5
 BITS = 19
@@ -93,7 +94,7 @@ _SHORT_PHRASE = re.compile(SHORT_PHRASES)
 _SHORT_WORDS = 8
 _PHRASE = re.compile("|".join(f"(?:{p})" for p in PHRASES.values()).replace(r"\1", r"(?:bla|blah|text|texte|probe|sazba|asdf|testing)"))
 #: What labels, segments and features are made by: a model made by other rules is another model.
-_RULES = zlib.crc32(repr((_PHRASE.pattern, SHORT_PHRASES, _SLOT.pattern, _CODE.pattern, _QUOTED.pattern, NEGATIVES, BITS, THRESHOLD, FILLER_SHARE, WORDINGS)).encode())
+_RULES = zlib.crc32(repr((_PHRASE.pattern, SHORT_PHRASES, _SLOT.pattern, _CODE.pattern, _QUOTED.pattern, NEGATIVES, BITS, THRESHOLD, FILLER_SHARE, WORDINGS, OF_WORDING)).encode())
 #: Of these words each phrase holds one; a segment without any needs no search.
 _PHRASE_WORDS = {w for p in PHRASES.values() for w in re.findall(r"[^\W\d_]{4,}", re.sub(r"\\[a-zA-Z]", " ", p))} | {"bla", "xxx", "ora", "at", "tk"}
 _STATUS = re.compile(r"^http \d{3}\b|^(?:4\d\d|5\d\d) \w+(?: \w+){0,9}$|\(?\b(?:40\d|41\d|429|50\d)\)$")
@@ -264,13 +265,14 @@ class Model:
         return np.bincount(s.of, self.weights[s.features], minlength=len(s.doc)) + self.bias
 
 
-def fit(s_features: np.ndarray, s_of: np.ndarray, labels: np.ndarray, l2: float = 2e-6, rounds: int = 120, rate: float = 0.6) -> Model:
+def fit(s_features: np.ndarray, s_of: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, l2: float = 2e-6, rounds: int = 120, rate: float = 0.6) -> Model:
     """Logistic regression, both classes of equal weight, with an L2 penalty; full gradients, per-weight rates."""
     w = np.zeros(1 << BITS)
     b, gb = 0.0, 1e-8
     seen = np.full(1 << BITS, 1e-10)
-    n, positive = len(labels), max(1, int(labels.sum()))
-    each = np.where(labels, 0.5 / positive, 0.5 / max(1, n - positive))
+    n = len(labels)
+    weights = np.ones(n) if weights is None else weights
+    each = np.where(labels, 0.5 / max(1.0, weights[labels].sum()), 0.5 / max(1.0, weights[~labels].sum())) * weights
     for _ in range(rounds):
         z = np.bincount(s_of, w[s_features], minlength=n) + b
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * each
@@ -286,7 +288,7 @@ _SAMPLED = "source STRING, label BOOLEAN, filler BOOLEAN, features ARRAY<INT>, w
 
 
 def _sampled(docs: DataFrame, n: int, id_col: str, text_col: str, sample_docs: int) -> DataFrame:
-    """_SAMPLED: the labelled segments of all documents, one of each wording, and one in NEGATIVES of the others of a sample."""
+    """_SAMPLED and a weight: labelled segments of all documents, a few of each wording, and one in NEGATIVES of the others of a sample."""
     rate = min(1.0, sample_docs / max(n, 1))
     drawn = F.pmod(F.xxhash64(F.lit(8), F.col(id_col)), F.lit(1_000_000)) < int(rate * 1_000_000) + 1
     data = docs.where(F.col(text_col).isNotNull()).select(F.coalesce(F.col("source"), F.lit("")).alias("source"), F.col(text_col).alias("t"), F.col("title").alias("title"), F.coalesce(drawn, F.lit(False)).alias("drawn"))
@@ -320,10 +322,13 @@ def _sampled(docs: DataFrame, n: int, id_col: str, text_col: str, sample_docs: i
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _SAMPLED.split(", ")])
 
     rows = written(data.mapInArrow(run, _SAMPLED), "segments")
-    one = rows.where("label").groupBy("wording").agg(F.min(F.struct("source", "label", "filler", "features", "words")).alias("s"))
-    share = min(1.0, WORDINGS / max(1, rows.where("label").select("wording").distinct().count()))
-    kept = one.where(F.pmod(F.xxhash64("wording"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    return kept.select("s.*").unionByName(rows.where("NOT label").drop("wording"))
+    counts = rows.where("label").groupBy("wording").agg(F.count(F.lit(1)).alias("n"))
+    share = min(1.0, WORDINGS / max(1, counts.count()))
+    some = rows.where("label").where(F.pmod(F.xxhash64("wording"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    no = F.row_number().over(Window.partitionBy("wording").orderBy(F.xxhash64("features"), "source", "filler"))
+    few = some.withColumn("no", no).where(F.col("no") <= OF_WORDING).drop("no").join(counts, "wording")
+    weight = F.col("n") / F.least("n", F.lit(OF_WORDING))
+    return few.withColumn("weight", weight).drop("n").unionByName(rows.where("NOT label").withColumn("weight", F.lit(1.0))).drop("wording")
 
 
 def filler_words(words: np.ndarray, of: np.ndarray, filler: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -375,12 +380,16 @@ def train(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text
         out[:] = False
     number = np.cumsum(~out) - 1
     inner = ~out[of]
-    tried = fit(flat[inner], number[of[inner]], labels[~out])
+    weights = t["weight"].to_numpy()
+    tried = fit(flat[inner], number[of[inner]], labels[~out], weights[~out])
     hit = np.bincount(of, tried.weights[flat], minlength=len(labels)) + tried.bias > tried.threshold
     seen = out if out.any() else np.ones(len(out), bool)
-    both = float((hit & labels & seen).sum())
-    model = fit(flat, of, labels) if out.any() else tried
-    return model, {"segments": float(seen.sum()), "labelled": float((labels & seen).sum()), "precision": both / max(1.0, float((hit & seen).sum())), "recall": both / max(1.0, float((labels & seen).sum()))}
+    def weighed(rows: np.ndarray) -> float:
+        return float(weights[rows & seen].sum())
+
+    both = weighed(hit & labels)
+    model = fit(flat, of, labels, weights) if out.any() else tried
+    return model, {"segments": weighed(seen), "labelled": weighed(labels), "precision": both / max(1.0, weighed(hit)), "recall": both / max(1.0, weighed(labels))}
 
 
 def model_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> tuple[Model | None, dict[str, float]]:
