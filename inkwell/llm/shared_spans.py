@@ -289,8 +289,15 @@ def shared_windows(records: DataFrame, id_col: str, text_col: str, version: str
     newest = Window.partitionBy("rec").orderBy(F.col("v").desc_nulls_last(), F.xxhash64("t").desc())
     near = written(near.withColumn("latest", F.row_number().over(newest) == 1).where(F.length("t") >= span).drop("v"), "routed")
     cut_out = F.filter("phrases", lambda p: F.shiftright(p["at"], 32) == F.col("state"))
-    of_phrase = F.substring(F.col("t"), (F.col("p.at").bitwiseAND(F.lit(0xFFFFFFFF)) + 1).cast("int"), F.lit(phrase))
-    patterns = near.select("t", F.explode(cut_out).alias("p")).select(F.col("p.shard").alias("shard"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("rec"), of_phrase.alias("t"))
+
+    def cut_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(p["shard"], t[(p["at"] & 0xFFFFFFFF) : (p["at"] & 0xFFFFFFFF) + phrase]) for t, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for p in places]
+            shard_of, texts = zip(*rows) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(shard_of, pa.int32()), pa.array(texts, pa.string())], names=["shard", "t"])
+
+    patterns = near.select("t", cut_out.alias("ps")).where(F.size("ps") > 0).mapInArrow(cut_phrases, "shard INT, t STRING")
+    patterns = patterns.select("shard", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("rec"), "t")
     docs = near.where("latest").select(F.explode("shards").alias("shard"), F.lit(1).alias("kind"), "rec", "t")
     stream = patterns.unionByName(docs).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
     answers = in_two_records(stream.mapInArrow(lambda batches: _windows(batches, span, phrase), _ROWS), "windows")
