@@ -97,15 +97,19 @@ def split(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
     begins[0] = 0
     count = -(-(n - overlap) // (limit - overlap))
     size = (n + (count - 1) * overlap) / count
-    best = np.full(len(ends), np.inf)
-    best[0] = 0.0
-    came = np.zeros(len(ends), dtype=np.int64)
-    first = np.searchsorted(begins, ends - limit)  # begins never decreases
+    # with x of an end and y of a begin, a piece costs (x - y)^2; x^2 is the same for all its begins, and
+    # y^2 is added to the cost of what lies before the begin once
+    x, y = ends / size - 1.0, begins / size
+    before = np.full(len(ends), np.inf)
+    before[0] = y[0] ** 2
+    came = [0] * len(ends)
+    first = np.searchsorted(begins, ends - limit).tolist()  # begins never decreases
+    twice, rest = (2 * x).tolist(), (x * x + penalty + y * y).tolist()
     for j in range(1, len(ends)):
         lo = first[j]
-        total = best[lo:j] + ((ends[j] - begins[lo:j]) / size - 1.0) ** 2
-        k = int(np.argmin(total))
-        best[j], came[j] = total[k] + penalty[j], lo + k
+        total = before[lo:j] - twice[j] * y[lo:j]
+        k = int(total.argmin())
+        before[j], came[j] = total[k] + rest[j], lo + k
     pieces, j = [], len(ends) - 1
     while j:
         i = came[j]
