@@ -102,8 +102,8 @@ def hit_rate(hits: DataFrame, expected: DataFrame, chunks: DataFrame, k: int = 5
 
 
 def hash_sample(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows, the same ones each time: those with the least hashes."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows, the same ones each time: those whose key and seed have the least MD5."""
+    return rows.orderBy(F.md5(F.concat_ws("/", key, F.lit(seed))), key).limit(n)
 
 
 def most_common(rows: DataFrame, key: str, order: Column, k: int) -> DataFrame:

@@ -639,6 +639,12 @@ def common_titles(spark, d):
     return evaluate.most_common(corpus(spark, d, "title").where("title IS NOT NULL"), "title", F.col("article_id"), 20)
 
 
+@query
+def article_sample(spark, d):
+    """Twenty articles drawn by hash."""
+    return evaluate.hash_sample(corpus(spark, d, "title").select("article_id", "title"), "article_id", 20, 7)
+
+
 @query
 def event_windows(spark, d):
     from inkwell.streaming.ingest import windowed_counts

@@ -254,6 +254,7 @@ SQL: dict[str, str] = {
     "duplicate_ids": "SELECT chunk_id, count(*) AS n FROM chunks GROUP BY chunk_id HAVING count(*) > 1",
     "chunks_per_year": with_("c") + f"SELECT journal, year, count(*) AS n, count(*) FILTER (text IS NULL OR NOT regexp_matches(text, '{NWS}')) AS n_blank FROM c GROUP BY ALL",
     "hit_rate_at_k": with_("es") + "SELECT count(*) AS n, count(*) FILTER (found) AS found, round(avg(CAST(found AS DOUBLE)), 6) AS rate FROM (SELECT t.query_id, bool_or(contains(CAST(h.label AS VARCHAR), CAST(o.label AS VARCHAR))) AS found FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS place FROM (" + TOPK % ("", 6) + ") WHERE chunk_id <> CAST(query_id AS VARCHAR)) t JOIN es h ON CAST(h.vec_id AS VARCHAR) = t.chunk_id JOIN es o ON o.vec_id = t.query_id WHERE place <= 5 GROUP BY t.query_id)",
+    "article_sample": with_("a") + "SELECT article_id, title FROM a ORDER BY md5(article_id || '/7'), article_id LIMIT 20",
     "common_titles": with_("a") + "SELECT title, n FROM (SELECT title, count(*) AS n, min(article_id) AS met FROM a WHERE title IS NOT NULL GROUP BY title ORDER BY n DESC, met LIMIT 20)",
     "event_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
 }

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from inkwell import __main__ as cli
 from inkwell.operators import index, layout
+from inkwell.operators.diagnose import digest
 from inkwell.plans import pipeline, publication
 from inkwell.sources import files, schemas
 from inkwell.streaming import ingest
@@ -27,6 +28,9 @@ def issue():
     return s
 
 
+GOLDEN = {"blocks": "14-726a65887bcfb00b", "toc": "3-277ccf14784a9c76", "labels": "7-32364280adaea906", "articles": "3-13ee8e66be1f8fe5", "chunks": "3-1fe74981dc2ed845"}
+
+
 def test_spans_to_chunks(spark):
     p = publication.register(publication.replace(publication.NUMBERED_PAGES, name="test", covers=(3, 0)))
     built = pipeline.build(spark.createDataFrame(issue(), schemas.SPANS), p)
@@ -36,6 +40,8 @@ def test_spans_to_chunks(spark):
     assert built.unresolved.count() == 0
     chunks = built.chunks.collect()
     assert {c.article_id for c in chunks} == set(got) and all(c.embedding_text.endswith(c.text) for c in chunks)
+    # the stages of this issue, as they have been since these digests were taken
+    assert {n: digest(getattr(built, n)) for n in GOLDEN} == GOLDEN
     types = {(r.page, r.block_id): r.type for r in built.blocks.collect()}
     assert types[4, 0] == "title" and types[4, 1] == "body" and (4, 2) not in types
 
@@ -161,8 +167,6 @@ def test_stream_of_chunks(spark, tmp_path):
 
 
 def test_digest(spark):
-    from inkwell.operators.diagnose import digest
-
     a = spark.createDataFrame([(1, "x", [1]), (2, None, [])], "n int, t string, l array<int>")
     assert digest(a) == digest(a.orderBy("t").repartition(3).select("l", "t", "n"))
     assert digest(a) != digest(a.unionByName(a)) and digest(a) != digest(a.where("n = 1")) and digest(a.where("false")) == "0-0"
@@ -190,13 +194,16 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     common = ["--chunks", f"{d}/chunks", "--corpus", f"{d}/corpus", "--vectors", f"{d}/vectors", "--query", "moths at night"]
     cli.main(["context", *common])
     cli.main(["answer", *common, "--dry-run"])
+    (tmp_path / "told.txt").write_text("Answer from the sources only.")
+    publication.register(publication.replace(publication.ADAPTIVE, name="told", wording=publication.Wording(instructions=f"{d}/told.txt")))
+    cli.main(["answer", *common, "--publication", "told"])
     cli.main(["query-index", "--index", f"{d}/index", "--query", "moths", "--year", "2000"])
     cli.main(["inspect-chunks", "--chunks", f"{d}/chunks"])
     cli.main(["quality-flags", "--corpus", f"{d}/corpus", "--chunks", f"{d}/chunks"])
     (tmp_path / "q.json").write_text('{"query_id": "1", "question": "moths at night", "expect": "Moths"}')
     cli.main(["compare-models", "--chunks", f"{d}/chunks", "--questions", f"{d}/q.json"])
     out = capsys.readouterr().out
-    assert "PDF p. 3" in out and "Question: moths at night" in out and "a-1-chunk-0" in out and "hash\t1 of 1" in out
+    assert "Answer from the sources only.\n\n--- Source 1" in out and "PDF p. 3" in out and "Question: moths at night" in out and "a-1-chunk-0" in out and "hash\t1 of 1" in out
     # a changed text is embedded again, and the index takes the new vector
     changed = spark.read.parquet(f"{d}/chunks").withColumn("embedding_text", F.lit("Beetles"))
     changed.write.parquet(f"{d}/chunks2")
@@ -215,8 +222,6 @@ def test_answers_come_in_pieces(capsys):
 
 def test_stages_by_command(spark, tmp_path, capsys, monkeypatch):
     """Stage by stage over tables gives what one run gives; a second run gives the same digests; one broken file stops nothing."""
-    from inkwell.operators.diagnose import digest
-
     monkeypatch.setattr(cli, "get_spark", lambda *a: spark)
     publication.register(publication.replace(publication.NUMBERED_PAGES, name="stages", covers=(3, 0), title="j"))
     folder = tmp_path / "in"
