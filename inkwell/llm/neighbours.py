@@ -33,8 +33,8 @@ from inkwell.session import cut, scratch_table
 DIM = 64
 #: Vectors that the codebooks are trained on, about so many or 32 a centroid; all vectors are indexed.
 SAMPLE = 16_384
-#: Centroids of a half at most: 2^24 cells, for some 500 million vectors; beyond that cells grow.
-MOST_CENTROIDS = 4_096
+#: Centroids of a half at most: 2^22 cells, for some 117 million vectors; beyond that cells grow.
+MOST_CENTROIDS = 2_048
 #: Candidates that a query's cells must hold, for up to GROWS_FROM vectors; for more of them the number
 #: grows with the fourth root of theirs.
 CANDIDATES = 1_500
@@ -208,6 +208,25 @@ def _one_thread() -> None:
                 return
 
 
+def units_of(counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slices of cells as rows a, b, begin, end, each of at most `most` entries; the first slice of each unit).
+
+    A unit is one or more slices next to each other in one row of cells, of less than 2 `most` entries.
+    """
+    a, b = np.nonzero(counts)
+    size = counts[a, b].astype(np.int64)
+    times = -(-size // most)
+    a, b, size = (np.repeat(x, times) for x in (a, b, size))
+    lo = (np.arange(len(a)) - np.repeat(np.cumsum(times) - times, times)) * most
+    hi = np.minimum(lo + most, size)
+    before = np.cumsum(hi - lo) - (hi - lo)
+    row_begin = np.searchsorted(a, a)
+    unit = (before - before[row_begin]) // most
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (unit[1:] != unit[:-1])
+    return np.stack([a, b, lo, hi]).astype(np.int32), np.append(np.nonzero(new)[0], len(a))
+
+
 def near_order(centres: np.ndarray) -> np.ndarray:
     """Centroids along a chain that goes on to the nearest one not yet taken."""
     left = list(range(1, len(centres)))
@@ -349,24 +368,13 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
 
     uri = scratch_table(spark, "multi-index")
     sorted_parts.mapInArrow(unite, fields).write.options(**_WRITE).partitionBy("a").parquet(uri)
-    counted = spark.read.parquet(uri).groupBy("a", "b").count().collect()
+    counted = spark.read.parquet(uri).groupBy("a", "b").count().toArrow()  # at most a row for each cell
     counts = np.zeros((len(books[0]), len(books[1])), np.int32)
-    for a, b, c in counted:
-        counts[a, b] = c
+    counts[counted["a"].to_numpy(), counted["b"].to_numpy()] = counted["count"].to_numpy()
     total = int(counts.sum())
-    most = max(500, total // 20_000)
-    # slices (a, b, begin, end) of cells, and units of about `most` queries in neighbouring cells
-    slices = [(a, b, lo, min(lo + most, c)) for a, b in np.argwhere(counts).tolist() for c in (int(counts[a, b]),) for lo in range(0, c, most)]
-    units: list[list[tuple]] = []
-    room = 0
-    for x in slices:
-        n = x[3] - x[2]
-        if not units or units[-1][-1][0] != x[0] or room < n:
-            units.append([])
-            room = most
-        units[-1].append(x)
-        room -= n
-    tasks = min(len(units), max(spark.sparkContext.defaultParallelism * 3, len(units) // 64))
+    slices, begins = units_of(counts, max(500, total // 20_000))
+    n_units = len(begins) - 1
+    tasks = min(n_units, max(spark.sparkContext.defaultParallelism * 3, n_units // 64))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = cells_of(uri)
@@ -375,7 +383,7 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
             for u in batch.column(0).to_pylist():
                 keys: list[np.ndarray] = []
                 found: list[list[str]] = []
-                for a, b, lo, hi in units[u]:
+                for a, b, lo, hi in slices[:, begins[u] : begins[u + 1]].T.tolist():
                     own = index.get(a, b)
                     raw, k1, k2 = (np.concatenate([g[c][x:y] for g, x, y in own])[lo:hi] for c in (1, 4, 5))
                     keys.append(np.stack([k1, k2]))
@@ -391,7 +399,7 @@ def neighbours(vectors: DataFrame, k: int = 5, id_col: str = "chunk_id", vector_
                 k1, k2 = np.concatenate(keys, axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(found, pa.list_(pa.string()))], names=["k1", "k2", "best"])
 
-    best = spark.range(0, len(units), 1, tasks).mapInArrow(search, "k1 BIGINT, k2 BIGINT, best ARRAY<STRING>")
+    best = spark.range(0, n_units, 1, tasks).mapInArrow(search, "k1 BIGINT, k2 BIGINT, best ARRAY<STRING>")
     own = members.select("id", "k1", "k2")
     hot = [r[0] for r in own.groupBy("k1", "k2").count().where(F.col("count") > max(_HOT, n // 1000)).select("k1").collect()]  # at most 1,000
     if hot:

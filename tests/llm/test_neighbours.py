@@ -72,3 +72,19 @@ def test_candidates_by_default(spark):
     ids = [f"k{i:04d}" for i in range(len(vecs))]
     df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in zip(ids, vecs)], "chunk_id string, embedding array<float>, embedded_at int")
     assert {tuple(r) for r in N.neighbour_pairs(N.neighbours(df, centroids=32)).collect()} == brute(ids, vecs)
+
+
+def test_units_hold_every_entry_once():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 40, (7, 9)) * (rng.random((7, 9)) < 0.5)
+    counts[2, 3] = 250
+    slices, begins = N.units_of(counts, 60)
+    seen = np.zeros((7, 9), int)
+    for u in range(len(begins) - 1):
+        part = slices[:, begins[u] : begins[u + 1]]
+        assert len(set(part[0])) == 1 and 0 < (part[3] - part[2]).sum() < 120 and (part[3] - part[2]).max() <= 60
+        for a, b, lo, hi in part.T:
+            assert lo == seen[a, b]
+            seen[a, b] = hi
+    assert (seen == counts).all()
+    assert N.units_of(np.zeros((2, 2), int), 5)[1].tolist() == [0]
