@@ -13,6 +13,7 @@ held out to validate; the model that is used is then fitted to all of it. All do
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -86,17 +87,77 @@ SHORT_PHRASES = (
     r"|\b(?:failed|unable) to (?:load|connect|open|read)\b|\bnepodařilo se (?:načíst|otevřít|připojit)\b|\bkonnte nicht (?:geladen|geöffnet|gefunden)\b|\bimpossible (?:de charger|d.ouvrir)\b|\bplease (?:log|sign) in\b|\bpřihlaste se\b|\bmelden sie sich an\b|\bveuillez vous connecter\b"
     r"|\b(?:unhandled |uncaught )?\w*exception\b|\bcore dumped\b|\bout of memory\b|\bobject object\b|\bscripts? (?:is|are) (?:disabled|blocked|required)\b|\bskripty (?:jsou )?(?:vypnuty|zakázány)\b|\bskripte (?:sind )?(?:deaktiviert|blockiert)\b|\bscripts (?:sont )?(?:désactivés|bloqués)\b"
     r"|\bplaceholder\b|\bplatzhalter(?:text)?\b|\bdummytext\b|\bzástupný text\b|\btexte bidon\b|\bquick brown fox\b|\bžluťoučký kůň\b|\bfranz jagt\b|\bvieux whisky\b|\bqwert[yz]\b|\bfoo bar\b|\blipsum\b"
-    r"|\b(?:title|headline|heading|caption|picture|photo|text|name|author|teaser|lead) (?:goes )?here\b|\b(?:replace|delete) this (?:text|line|sentence|paragraph)\b|\bto be (?:written|supplied|filled in|confirmed)\b|\bt\.?b\.?[acd]\b"
+    r"|\b(?:title|headline|heading|caption|picture|photo|text|name|author|teaser|lead) (?:goes )?here\b|\b(?:replace|delete) this (?:text|line|sentence|paragraph)\b|\bto be (?:written|supplied|filled in|confirmed)\b|\btb[acd]\b"
     r"|\b(?:titulek|nadpis|text|popisek|perex|jméno|foto) sem\b|\bbude doplněn[ao]?\b|\b(?:vložit|doplnit|dodat) (?:text|titulek|nadpis|popisek|perex|foto|jméno)\b"
     r"|\b(?:titel|überschrift|text|bildtext|bildunterschrift|name|autor|vorspann) (?:hier|folgt|einfügen|einsetzen|ergänzen)\b|\bhier (?:titel|überschrift|text|bildtext|name|autor)\b|\bwird (?:noch )?(?:ergänzt|nachgereicht)\b"
     r"|\b(?:titre|légende|texte|chapo|nom|photo|signature) (?:ici|à venir|à insérer|à compléter)\b|\bà (?:insérer|rédiger|remplacer)\b")
-_SHORT_PHRASE = re.compile(SHORT_PHRASES)
 _SHORT_WORDS = 8
-_PHRASE = re.compile("|".join(f"(?:{p})" for p in PHRASES.values()).replace(r"\1", r"(?:bla|blah|text|texte|probe|sazba|asdf|testing)"))
+_AGAIN = "(?:bla|blah|text|texte|probe|sazba|asdf|testing)"
 #: What labels, segments and features are made by: a model made by other rules is another model.
-_RULES = zlib.crc32(repr((_PHRASE.pattern, SHORT_PHRASES, _SLOT.pattern, _CODE.pattern, _QUOTED.pattern, NEGATIVES, BITS, THRESHOLD, FILLER_SHARE, WORDINGS, OF_WORDING)).encode())
-#: Of these words each phrase holds one; a segment without any needs no search.
-_PHRASE_WORDS = {w for p in PHRASES.values() for w in re.findall(r"[^\W\d_]{4,}", re.sub(r"\\[a-zA-Z]", " ", p))} | {"bla", "xxx", "ora", "at", "tk"}
+_RULES = zlib.crc32(repr((PHRASES, SHORT_PHRASES, _SLOT.pattern, _CODE.pattern, _QUOTED.pattern, NEGATIVES, BITS, THRESHOLD, FILLER_SHARE, WORDINGS, OF_WORDING)).encode())
+
+
+def needed(parsed) -> set[str] | None:
+    """Strings of which every match of a parsed pattern holds one, as long as can be told; None if none is needed."""
+    best: set[str] | None = None
+    run = ""
+
+    def consider(found: set[str] | None) -> None:
+        nonlocal best
+        if found and (best is None or min(map(len, found)) > min(map(len, best))):
+            best = found
+
+    for op, value in [*parsed, (None, None)]:
+        if op is re._constants.LITERAL:
+            run += chr(value)
+            continue
+        consider({run} if run else None)
+        run = ""
+        if op is re._constants.SUBPATTERN:
+            consider(needed(value[-1]))
+        elif op is re._constants.BRANCH:
+            parts = [needed(x) for x in value[1]]
+            consider(set().union(*parts) if all(parts) else None)
+        elif op in (re._constants.MAX_REPEAT, re._constants.MIN_REPEAT) and value[0] > 0:
+            consider(needed(value[2]))
+    return best
+
+
+def alternatives(pattern: str) -> list[str]:
+    """What a pattern's bars at its outermost level part."""
+    out, depth, begin, i = [], 0, 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+        elif c == "[":
+            i = pattern.index("]", i + 2)
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|" and not depth:
+            out.append(pattern[begin:i])
+            begin = i + 1
+        i += 1
+    return [*out, pattern[begin:]]
+
+
+@functools.lru_cache(maxsize=1)
+def _triggers():
+    """An automaton of strings one of which stands in every labelled phrase, each with (pattern, for short segments only) of its phrases."""
+    import ahocorasick
+
+    of: dict[str, list] = {}
+    for patterns, short in ((PHRASES.values(), False), ([SHORT_PHRASES], True)):
+        for one in (x for p in patterns for x in alternatives(p.replace(r"\1", _AGAIN))):
+            for string in needed(re._parser.parse(one)) or {""}:
+                of.setdefault(string, []).append((re.compile(one), short))
+    found = ahocorasick.Automaton()
+    for string, phrases in of.items():
+        found.add_word(string, phrases)
+    found.make_automaton()
+    return found
+
+
 _STATUS = re.compile(r"^http \d{3}\b|^(?:4\d\d|5\d\d) \w+(?: \w+){0,9}$|\(?\b(?:40\d|41\d|429|50\d)\)$")
 #: Words before a set of one number, in the four languages: no slot.
 _SET_WORD = re.compile(r"(?:množin\w*|menge|set|ensemble|mengen|sets|ensembles) ⟨n⟩")
@@ -230,9 +291,14 @@ def weak_label(words: str) -> bool:
     """Whether a masked segment, its words between spaces, looks like residue."""
     if "⟨" in words and ("⟨slot⟩" in words or "⟨n⟩" in words and not _SET_WORD.search(words)):
         return True
-    if not _PHRASE_WORDS.isdisjoint(re.split(r"[^\w]+", words)) and _PHRASE.search(words):
-        return True
-    return bool(_STATUS.search(words)) or (words.count(" ") < _SHORT_WORDS and "⟨" not in words and bool(_SHORT_PHRASE.search(words)))
+    short = None
+    for _, phrases in _triggers().iter(words):
+        for pattern, of_short in phrases:
+            if of_short and short is None:
+                short = words.count(" ") < _SHORT_WORDS and "⟨" not in words
+            if (short or not of_short) and pattern.search(words):
+                return True
+    return ("4" in words or "5" in words) and bool(_STATUS.search(words))
 
 
 def spread_filler(labels: np.ndarray, said: list[str], s: Segments) -> np.ndarray:

@@ -62,3 +62,15 @@ def test_copies_and_no_labels(spark):
     assert R.classify(df, True).count() == 0 and R.classify(df, False).count() == 2
     assert R.classify(df.limit(0), True).count() == 0
     assert R.validation(df.limit(0)).count() == 0
+
+
+def test_every_phrase_is_found_by_strings_it_needs():
+    import re
+
+    phrases = [x for p in (*R.PHRASES.values(), R.SHORT_PHRASES) for x in R.alternatives(p.replace(r"\1", R._AGAIN))]
+    assert len(phrases) > 200 and all(R.needed(re._parser.parse(x)) for x in phrases)
+    assert R.alternatives(r"a(?:b|c)|[|)]d|e\|f") == ["a(?:b|c)", "[|)]d", r"e\|f"]
+    for words, want in (
+        ("the page was not found", True), ("error 404", True), ("fatal error call to a member function x", True), ("bla bla", True), ("insert the name of the town here", True), ("platzhalter", True),
+        ("he spoke of a placeholder that nobody had ever seen in the town", False), ("404 cm from the marker", True), ("a lamp on the shelf", False), ("", False)):
+        assert R.weak_label(words) is want, words
