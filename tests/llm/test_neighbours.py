@@ -88,3 +88,57 @@ def test_units_hold_every_entry_once():
             seen[a, b] = hi
     assert (seen == counts).all()
     assert N.units_of(np.zeros((2, 2), int), 5)[1].tolist() == [0]
+
+
+def test_tiles_give_the_cells_of_the_heap():
+    rng = np.random.default_rng(2)
+    for shape, share, enough in (((40, 50), 0.4, 300), ((33, 7), 0.05, 10), ((64, 64), 1.0, 10**9), ((20, 20), 0.02, 5)):
+        d1, d2 = rng.random(shape[0]), rng.random(shape[1])
+        o1, o2 = d1.argsort(), d2.argsort()
+        counts = rng.integers(1, 9, shape) * (rng.random(shape) < share)
+        want = N.visit(d1[o1].tolist(), d2[o2].tolist(), o1.tolist(), o2.tolist(), counts.tolist(), enough)
+        assert {tuple(x) for x in N.stream(d1[o1], d2[o2], o1, o2, counts, enough).T.tolist()} == set(want)
+
+
+def test_copies_make_no_cells(spark, monkeypatch):
+    """Cells and candidates go by different vectors: of 300 vectors in 40 copies the cells are those of 300."""
+    made = []
+    monkeypatch.setattr(N, "codebook", lambda points, k, *x, f=N.codebook, **y: made.append(k) or f(points, k, *x, **y))
+    vecs = np.random.default_rng(6).normal(size=(300, 64)).astype(np.float32)
+    df = spark.createDataFrame([(f"{c:02d}-{i:03d}", v.tolist(), 1) for c in range(40) for i, v in enumerate(vecs)], "chunk_id string, embedding array<float>, embedded_at int")
+    found = N.neighbours(df).where("chunk_id = '07-123'").orderBy("rank").collect()
+    assert [r.neighbour for r in found] == ["00-123", "01-123", "02-123", "03-123", "04-123"]
+    assert made == [4, 4]
+
+
+def test_cells_that_lie_apart_are_read_alone(tmp_path):
+    """A block takes no more bytes of the index than its own candidates have, whatever lies around them."""
+    import pyarrow as pa
+
+    class Sum:
+        n = 0
+
+        def add(self, x):
+            self.n += x
+
+    rng = np.random.default_rng(8)
+    n, dim = 20_000, 64
+    vecs = rng.normal(size=(n, dim)).astype(np.float32)
+    a, b = np.sort(rng.integers(0, 4, n)), rng.integers(0, 500, n)
+    b = np.concatenate([np.sort(b[a == x]) for x in range(4)])
+    names = ["a", "b", "k1", "k2", "vec", "ids"]
+    rows = [pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(np.arange(n)), pa.array(np.arange(n)), pa.array([x.tobytes() for x in N.packed(vecs)], pa.binary()), pa.array([[f"é{i}"] for i in range(n)], pa.list_(pa.string()))]
+    name, (ca, cb, held) = N.write_cells(f"file://{tmp_path}/index", iter(pa.RecordBatch.from_arrays(rows, names=names).slice(x, 777) for x in range(0, n, 777)))
+    counts, places = np.zeros((4, 500), np.int32), np.zeros((2, 4, 500), np.int32)
+    counts[ca, cb], places[1][ca, cb] = held, np.cumsum(held) - held
+    assert counts.sum() == n
+    asked = np.array([0, 1, 3]), np.array([7, 499, 250])
+    for mapped in (True, False):
+        index = N.Cells(f"file://{tmp_path}/index", [name], places, counts, dim)
+        index.mapped, index.reading = mapped, Sum()
+        number, place = index.rows_of(*asked)
+        want = np.concatenate([np.nonzero((a == x) & (b == y))[0] for x, y in zip(*asked)])
+        got = index.vectors(number, place)
+        assert (np.abs(N.unit(got[:, :dim])[0] - N.unit(vecs[want])[0]) < 1e-12).all()
+        assert index.ids(number, place) == [[f"é{i}"] for i in want] and (index.keys(number, place)[:, 0] == want).all()
+        assert index.reading.n == len(want) * (dim + 1) * 4
